@@ -255,3 +255,126 @@ def q_nearest_weather_keyed(spark, sf):
         ev, w, "event_time", "observed_at", by=["station_id"], right_cols=["observed_at", "temperature_c"],
         tie_cols=["observed_at"],
     )
+
+
+# --- SCD2, merge, insert-once -----------------------------------------------
+
+
+def _customer(spark, sf):
+    return table(spark, sf, "customer")
+
+
+@register("scd2_diff")
+def q_scd2_diff(spark, sf):
+    """Classify every customer key of current vs incoming."""
+    from headway.operators.scd2 import scd2_diff
+
+    c = _customer(spark, sf)
+    return scd2_diff(fx.customer_current(c), fx.customer_incoming(c), fx.SCD2_KEY, fx.SCD2_TRACKED)
+
+
+@register("scd2_counts")
+def q_scd2_counts(spark, sf):
+    """Q5: inserted / expired / unchanged of one load."""
+    from headway.operators.scd2 import scd2_counts, scd2_diff
+
+    c = _customer(spark, sf)
+    return scd2_counts(scd2_diff(fx.customer_current(c), fx.customer_incoming(c), fx.SCD2_KEY, fx.SCD2_TRACKED))
+
+
+def _scd2_applied(spark, sf):
+    from headway.operators.scd2 import scd2_apply
+
+    c = _customer(spark, sf)
+    return scd2_apply(
+        fx.customer_history(c), fx.customer_incoming(c), fx.SCD2_KEY, fx.SCD2_TRACKED, fx.SCD2_LOAD_TS
+    )
+
+
+@register("scd2_apply")
+def q_scd2_apply(spark, sf):
+    """M2: full history after applying the incoming load."""
+    return _scd2_applied(spark, sf)
+
+
+@register("scd2_as_of")
+def q_scd2_as_of(spark, sf):
+    """M3: the versions valid at 2024-03-01 after the load."""
+    from headway.operators.scd2 import scd2_as_of
+
+    return scd2_as_of(_scd2_applied(spark, sf), "2024-03-01 00:00:00")
+
+
+@register("scd2_join_as_of")
+def q_scd2_join_as_of(spark, sf):
+    """M3: each order joined to the customer version valid at its date."""
+    from headway.operators.scd2 import scd2_join_as_of
+
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").cast("timestamp").alias("t")
+    )
+    o = o.select("o_orderkey", "c_custkey", (F.col("t") + F.expr("INTERVAL 11323 DAYS")).alias("t"))
+    return scd2_join_as_of(o, _scd2_applied(spark, sf), "c_custkey", "t", ["c_mktsegment"])
+
+
+@register("last_row_wins")
+def q_last_row_wins(spark, sf):
+    """Last order (largest order key) per customer."""
+    from headway.operators.scd2 import last_row_wins
+
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    return last_row_wins(o, "o_custkey", "o_orderkey")
+
+
+@register("insert_if_absent")
+def q_insert_if_absent(spark, sf):
+    """Weather table after inserting a batch with repeats; first write wins."""
+    from headway.sources.tables import insert_if_absent
+
+    w = _weather(spark, sf)
+    target = w.where(F.col("observed_at") < F.lit("2024-01-15 00:00:00").cast("timestamp"))
+    again = w.where(F.col("humidity_pct") % 5 == 0).withColumn("temperature_c", F.col("temperature_c") + 100)
+    incoming = w.unionByName(again)
+    keys = ["station_id", "observed_at"]
+    return target.unionByName(insert_if_absent(target, incoming, keys))
+
+
+# --- spatial ---------------------------------------------------------------
+
+
+def _stops(spark, sf):
+    return fx.stops_from_supplier(table(spark, sf, "supplier"))
+
+
+def _restrictions(spark, sf):
+    return fx.restrictions_from_part(table(spark, sf, "part"))
+
+
+def _near(spark, sf, radius):
+    from headway.operators.spatial import within_radius
+
+    pairs = within_radius(_stops(spark, sf), _restrictions(spark, sf), radius_m=radius)
+    return pairs.withColumn("distance_m", F.round("distance_m", 6))
+
+
+@register("stops_near_restrictions")
+def q_stops_near(spark, sf):
+    """Stop-restriction pairs within 150 m (exact grid)."""
+    return _near(spark, sf, 150.0)
+
+
+@register("stops_near_restrictions_500m")
+def q_stops_near_500(spark, sf):
+    """J4 at 500 m: larger cells, same exactness."""
+    return _near(spark, sf, 500.0)
+
+
+@register("stg_road_restrictions")
+def q_stg_road_restrictions(spark, sf):
+    """P5: active restrictions only."""
+    r = _restrictions(spark, sf).select(
+        "*",
+        F.lit(None).cast("timestamp").alias("start_time"),
+        F.lit(None).cast("timestamp").alias("end_time"),
+    )
+    return mt.stg_road_restrictions(r)

@@ -250,3 +250,29 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "dim_route": dim_route_from_events(ev),
         "fact_weather": weather_from_events(ev),
     }
+
+
+SCD2_KEY = "c_custkey"
+SCD2_TRACKED = ["c_name", "c_mktsegment", "c_nationkey"]
+SCD2_LOAD_TS = "2024-06-01 00:00:00"
+
+
+def customer_history(customer: DataFrame) -> DataFrame:
+    """SCD2 history: one open row per customer from 2024-01-01, plus a
+    closed older version for every 5th customer."""
+    cur = customer_current(customer).select(
+        "*",
+        F.to_timestamp(F.lit(CURRENT_FROM)).alias("valid_from"),
+        F.lit(None).cast("timestamp").alias("valid_to"),
+        F.lit(True).alias("is_current"),
+    )
+    old = customer.where(F.col("c_custkey") % 5 == 0).select(
+        "c_custkey",
+        "c_name",
+        F.lit("OLD").alias("c_mktsegment"),
+        "c_nationkey",
+        F.to_timestamp(F.lit(HISTORY_FROM)).alias("valid_from"),
+        F.to_timestamp(F.lit(CURRENT_FROM)).alias("valid_to"),
+        F.lit(False).alias("is_current"),
+    )
+    return cur.unionByName(old)
