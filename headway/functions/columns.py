@@ -138,8 +138,9 @@ def repair_json_backslashes(c) -> Column:
     """
     col = _c(c)
     protected = F.regexp_replace(col, r"\\\\", _PAIR_MARK)
-    fixed = F.regexp_replace(protected, r"""\\(?!["\\/bfnrtu])""", r"\\\\\\\\")
-    return F.regexp_replace(fixed, _PAIR_MARK, r"\\\\\\\\")
+    # Replacement text is Java's: each "\\\\" pair yields one backslash.
+    fixed = F.regexp_replace(protected, r"""\\(?!["\\/bfnrtu])""", r"\\\\")
+    return F.regexp_replace(fixed, _PAIR_MARK, r"\\\\")
 
 
 def round_half_up(c, scale: int) -> Column:

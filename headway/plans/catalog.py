@@ -378,3 +378,116 @@ def q_stg_road_restrictions(spark, sf):
         F.lit(None).cast("timestamp").alias("end_time"),
     )
     return mt.stg_road_restrictions(r)
+
+
+# --- raw inputs: feed, JSON documents, CSV, JDBC, snapshots ------------------
+
+
+def _scratch(spark, name):
+    from headway.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+@register("flatten_feed")
+def q_flatten_feed(spark, sf):
+    """FeedMessage-shaped snapshots -> one row per vehicle entity."""
+    from headway.operators.positions import flatten_feed
+
+    return flatten_feed(fx.feed_messages(_events(spark, sf)))
+
+
+@register("read_restrictions")
+def q_read_restrictions(spark, sf):
+    """Restriction JSON text (with broken backslashes) -> rows."""
+    from headway.sources.files import read_restrictions
+
+    path = _scratch(spark, "restrictions")
+    fx.restriction_docs(table(spark, sf, "part")).write.text(path)
+    return read_restrictions(spark, path, one_doc_per_file=False).drop("loaded_at")
+
+
+@register("read_weather")
+def q_read_weather(spark, sf):
+    """GeoJSON weather documents -> fact_weather rows."""
+    from headway.sources.files import read_weather
+
+    path = _scratch(spark, "weather")
+    fx.weather_docs(_events(spark, sf)).write.text(path)
+    return read_weather(spark, path, multi_line=False).drop("loaded_at")
+
+
+@register("read_gtfs_stops")
+def q_read_gtfs_stops(spark, sf):
+    """Stops.txt (BOM, quoted commas, blanks) -> typed stop rows."""
+    from headway.schemas import STOP_TYPES
+    from headway.sources.files import read_gtfs_csv, type_gtfs
+
+    path = _scratch(spark, "stops_txt")
+    fx.stops_csv_rows(table(spark, sf, "supplier")).write.option("header", True).csv(path)
+    cols = ["stop_id", *STOP_TYPES]
+    return type_gtfs(read_gtfs_csv(spark, path, cols), STOP_TYPES)
+
+
+@register("jdbc_roundtrip")
+def q_jdbc_roundtrip(spark, sf):
+    """Bunching events written with TRUNCATE-overwrite to an
+    embedded in-process database and read back."""
+    import uuid
+
+    from headway.sources.jdbc import read_jdbc, write_jdbc
+
+    url = f"jdbc:derby:memory:hw{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    ev = _events_table(spark, sf)
+    write_jdbc(ev, url, "BUNCHING_EVENTS", props, mode="overwrite")
+    write_jdbc(ev, url, "BUNCHING_EVENTS", props, mode="overwrite")
+    back = read_jdbc(spark, url, "BUNCHING_EVENTS", props)
+    return back.select(*[F.col(c.upper()).alias(c) for c in ev.columns])
+
+
+@register("snapshot_as_of")
+def q_snapshot_as_of(spark, sf):
+    """Version 0 of a table stays readable after version 1 overwrites it."""
+    from headway.sources.tables import read_snapshot, write_snapshot
+
+    path = _scratch(spark, "snapshots")
+    routes = mt.stg_dim_route_current(_dim_route(spark, sf))
+    write_snapshot(routes, path)
+    write_snapshot(routes.withColumn("route_short_name", F.lit("RENAMED")), path)
+    return read_snapshot(spark, path, version=0)
+
+
+@register("dq_checks")
+def q_dq_checks(spark, sf):
+    """Q1-Q3: the 19 data tests over staging and marts; failures per check."""
+    from headway.operators.quality import run_checks
+    from headway.operators.spatial import within_radius
+
+    routes = _dim_route(spark, sf)
+    stops = _stops(spark, sf).select(
+        "stop_id",
+        F.lit(None).cast("string").alias("stop_code"),
+        "stop_name",
+        "stop_lat",
+        "stop_lon",
+        F.lit(None).cast("int").alias("wheelchair_boarding"),
+        F.lit(True).alias("is_current"),
+    )
+    restr = _restrictions(spark, sf).select(
+        "*",
+        F.lit(None).cast("timestamp").alias("start_time"),
+        F.lit(None).cast("timestamp").alias("end_time"),
+    )
+    mart = _mart(spark, sf)
+    tables = {
+        "stg_bunching_events": mt.stg_bunching_events(_events_table(spark, sf)),
+        "stg_dim_route_current": mt.stg_dim_route_current(routes),
+        "stg_dim_stop_current": mt.stg_dim_stop_current(stops),
+        "stg_fact_weather": mt.stg_fact_weather(_weather(spark, sf)),
+        "stg_road_restrictions": mt.stg_road_restrictions(restr),
+        "stg_stops_near_restrictions": within_radius(_stops(spark, sf), _restrictions(spark, sf)),
+        "mart_bunching_events": mart,
+        "mart_bunching_hourly": mt.mart_bunching_hourly(mart),
+    }
+    return run_checks(tables)

@@ -276,3 +276,133 @@ def customer_history(customer: DataFrame) -> DataFrame:
         F.lit(False).alias("is_current"),
     )
     return cur.unionByName(old)
+
+
+# Markers replaced by raw backslashes in generated JSON text.
+BAD_BACKSLASH_MARK = "~BS~"
+VALID_ESCAPE_MARK = "~VS~"
+DOC_SIZE = 100
+
+
+def restriction_docs(part: DataFrame) -> DataFrame:
+    """``{"Closure": [...]}`` documents (one per line, at most DOC_SIZE
+    closures each) with blank/zero times, text coordinates, JSON booleans, a
+    lone backslash (every 7th) and an escaped one before a letter (every 11th)."""
+    pk = F.col("p_partkey")
+    desc = (
+        F.when(pk % 7 == 0, F.concat(F.col("p_name"), F.lit(f" Water {BAD_BACKSLASH_MARK} Sewer")))
+        .when(pk % 11 == 0, F.concat(F.col("p_name"), F.lit(f" {VALID_ESCAPE_MARK}S")))
+        .otherwise(F.col("p_name"))
+    )
+    start = (
+        F.when(pk % 4 == 0, F.lit(""))
+        .when(pk % 4 == 1, F.lit(None))
+        .otherwise((F.lit(1_700_000_000_000) + pk * 3_600_000).cast("string"))
+    )
+    end = F.when(pk % 3 == 0, F.lit(0)).otherwise(F.lit(1_800_000_000_000) + pk * 60_000)
+    lat = F.when(pk % 13 == 0, F.lit("")).otherwise(_coord(pk, 53, LAT0, LAT_STEP).cast("string"))
+    closure = F.struct(
+        pk.cast("string").alias("id"),
+        F.col("p_name").alias("road"),
+        F.col("p_type").alias("roadClass"),
+        lat.alias("latitude"),
+        _coord(pk, 17, LON0, LON_STEP).alias("longitude"),
+        (F.col("p_size") % 3 == 0).alias("planned"),
+        (F.col("p_size") % 2 == 0).alias("expired"),
+        start.alias("startTime"),
+        end.alias("endTime"),
+        desc.alias("description"),
+    )
+    docs = part.groupBy((pk / DOC_SIZE).cast("long").alias("_doc")).agg(
+        F.collect_list(closure).alias("Closure")
+    )
+    text = F.to_json(F.struct("Closure"))
+    # Java replacement text: a doubled backslash yields one literal backslash.
+    text = F.regexp_replace(text, BAD_BACKSLASH_MARK, r"\\")
+    text = F.regexp_replace(text, VALID_ESCAPE_MARK, r"\\\\")
+    return docs.select(text.alias("value"))
+
+
+def weather_docs(events: DataFrame) -> DataFrame:
+    """GeoJSON current-conditions documents, one per 'error' event; every 5th
+    has no wind object at all."""
+    k = _k()
+    st = (F.col("user_id") % 3).cast("string")
+    en = lambda c: F.struct(c.alias("en"))
+    val = lambda c: F.struct(en(c).alias("value"))
+    cond = F.when(k % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), (k % 4).cast("string")))
+    cc = F.struct(
+        en(F.date_format(to_ts("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")).alias("timestamp"),
+        val(F.col("value")).alias("temperature"),
+        en(cond).alias("condition"),
+        val(k).alias("relativeHumidity"),
+        F.when(k % 5 == 0, F.lit(None)).otherwise(F.struct(val(k.cast("double")).alias("speed"))).alias("wind"),
+        val(F.lit(100.0) + k.cast("double") / 10).alias("pressure"),
+    )
+    props = F.struct(
+        F.concat(F.lit("S"), st).alias("identifier"),
+        en(F.concat(F.lit("Station "), st)).alias("name"),
+        cc.alias("currentConditions"),
+    )
+    return events.where(F.col("event_type") == "error").select(F.to_json(F.struct(props.alias("properties"))).alias("value"))
+
+
+def stops_csv_rows(supplier: DataFrame) -> DataFrame:
+    """stops.txt content as text columns: BOM before the first header name,
+    names with commas, blank codes, coordinates with trailing zeros."""
+    sk = F.col("s_suppkey")
+    return supplier.select(
+        sk.cast("string").alias("﻿stop_id"),
+        F.when(sk % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("C"), sk.cast("string"))).alias("stop_code"),
+        F.concat(F.col("s_name"), F.lit(", Toronto")).alias("stop_name"),
+        F.format_string("%.6f", _coord(sk, 37, LAT0, LAT_STEP)).alias("stop_lat"),
+        F.format_string("%.6f", _coord(sk, 91, LON0, LON_STEP)).alias("stop_lon"),
+        (sk % 3).cast("string").alias("wheelchair_boarding"),
+    )
+
+
+FEED_GROUP = 50
+
+
+def feed_messages(events: DataFrame) -> DataFrame:
+    """Feed snapshots shaped like ``FeedMessage``: the positions of one
+    snapshot hour, in messages of at most FEED_GROUP entities; every 31st
+    entity carries no vehicle (skipped by flattening); enums as numbers."""
+    pos = positions_from_events(events).where(~F.col("entity_id").endswith("d"))
+    pos = pos.withColumn("_eid", F.col("entity_id").cast("long"))
+    status_num = (
+        F.when(F.col("current_status") == "INCOMING_AT", F.lit("0"))
+        .when(F.col("current_status") == "STOPPED_AT", F.lit("1"))
+        .when(F.col("current_status") == "IN_TRANSIT_TO", F.lit("2"))
+    )
+    vehicle = F.struct(
+        F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"),
+        F.struct(
+            F.col("trip_id").alias("trip_id"),
+            F.col("route_id").alias("route_id"),
+            F.col("direction_id").alias("direction_id"),
+        ).alias("trip"),
+        F.when(
+            F.col("latitude").isNotNull(),
+            F.struct(
+                F.col("latitude").alias("latitude"),
+                F.col("longitude").alias("longitude"),
+                F.col("bearing").alias("bearing"),
+                F.col("speed").alias("speed"),
+            ),
+        ).alias("position"),
+        F.col("current_stop_sequence").alias("current_stop_sequence"),
+        F.col("stop_id").alias("stop_id"),
+        status_num.alias("current_status"),
+        F.col("vehicle_timestamp").alias("timestamp"),
+        F.col("occupancy_status").alias("occupancy_status"),
+    )
+    entity = F.struct(
+        F.col("entity_id").alias("id"),
+        F.when(F.col("_eid") % 31 != 0, vehicle).alias("vehicle"),
+    )
+    return pos.groupBy("feed_timestamp", (F.col("_eid") / FEED_GROUP).cast("long").alias("_grp")).agg(
+        F.struct(F.col("feed_timestamp").alias("timestamp")).alias("header"),
+        F.collect_list(entity).alias("entity"),
+        F.max("ingest_timestamp").alias("ingest_timestamp"),
+    ).drop("_grp", "feed_timestamp")
