@@ -491,3 +491,59 @@ def q_dq_checks(spark, sf):
         "mart_bunching_hourly": mt.mart_bunching_hourly(mart),
     }
     return run_checks(tables)
+
+
+# --- streaming ----------------------------------------------------------------
+
+
+def _stream_source(spark, sf, sentinel: bool = False):
+    from headway.streaming.ingest import read_position_stream
+
+    src = _scratch(spark, "stream-src")
+    fx.write_stream_files(_positions(spark, sf), src, sentinel_after_s=864_000 if sentinel else None)
+    return read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=1)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """ST1-ST3, ST5: record files -> parsed stream -> parquet append sink
+    (availableNow, one file per micro-batch) -> bronze table read back."""
+    from headway.streaming.ingest import ingest, run_ingest
+
+    sink, ckpt = _scratch(spark, "stream-sink"), _scratch(spark, "stream-ckpt")
+    q = run_ingest(ingest(_stream_source(spark, sf)), sink, ckpt, trigger="availableNow")
+    q.awaitTermination()
+    return spark.read.parquet(sink).drop("date", "hour")
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    """ST7: re-delivered rows dropped across micro-batches within the
+    watermark; the surviving (vehicle, snapshot) keys."""
+    from headway.streaming.ingest import dedup_stream, ingest
+
+    sink, ckpt = _scratch(spark, "dedup-sink"), _scratch(spark, "dedup-ckpt")
+    s = dedup_stream(ingest(_stream_source(spark, sf)), delay="1 hour")
+    q = (
+        s.select("vehicle_id", "feed_timestamp")
+        .writeStream.format("parquet")
+        .option("checkpointLocation", ckpt)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start(sink)
+    )
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
+@register("stream_bunching")
+def q_stream_bunching(spark, sf):
+    """ST8: bunching on the stream; snapshots close as the high-water mark
+    passes them (a sentinel row ten days later closes the last ones)."""
+    from headway.streaming.bunching import read_stream_events, run_stream_bunching
+    from headway.streaming.ingest import ingest
+
+    out, ckpt = _scratch(spark, "stream-events"), _scratch(spark, "stream-bunch-ckpt")
+    q = run_stream_bunching(ingest(_stream_source(spark, sf, sentinel=True)), _dim_route(spark, sf), out, ckpt)
+    q.awaitTermination()
+    return read_stream_events(spark, out)

@@ -406,3 +406,36 @@ def feed_messages(events: DataFrame) -> DataFrame:
         F.collect_list(entity).alias("entity"),
         F.max("ingest_timestamp").alias("ingest_timestamp"),
     ).drop("_grp", "feed_timestamp")
+
+
+# Day-of-month boundaries of the four ordered stream files.
+STREAM_FILE_DAYS = (1, 8, 16, 24, 32)
+
+
+def write_stream_files(positions: DataFrame, path: str, sentinel_after_s: int | None = None) -> None:
+    """Position records as JSON lines in four files written one after the
+    other in snapshot-time order (so file order = time order), plus an
+    optional sentinel row ``sentinel_after_s`` after the last snapshot."""
+    from headway.sources.messages import to_records
+
+    day = F.dayofmonth(F.timestamp_seconds("feed_timestamp"))
+    for lo, hi in zip(STREAM_FILE_DAYS, STREAM_FILE_DAYS[1:]):
+        part = positions.where((day >= lo) & (day < hi))
+        to_records(part).select(F.col("value").cast("string").alias("value")).coalesce(1).write.mode(
+            "append"
+        ).text(path)
+    if sentinel_after_s is not None:
+        last = positions.agg(F.max("feed_timestamp").alias("feed_timestamp"))
+        sentinel = last.select(
+            *[
+                (F.col("feed_timestamp") + sentinel_after_s).alias(c)
+                if c in ("feed_timestamp", "ingest_timestamp")
+                else F.lit("sentinel").alias(c)
+                if c in ("entity_id", "vehicle_id")
+                else F.lit(None).cast(t).alias(c)
+                for c, t in ((f.name, f.dataType) for f in POSITION_SCHEMA.fields)
+            ]
+        )
+        to_records(sentinel).select(F.col("value").cast("string").alias("value")).coalesce(1).write.mode(
+            "append"
+        ).text(path)
