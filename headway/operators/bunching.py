@@ -36,10 +36,11 @@ def detect_bunching(
 
     ``method="window"`` is the direct form: one ``lag`` window over the whole
     group.  ``method="split"`` (default, ``max_gap`` must be 1) never sorts a
-    whole group in one task: same-stop pairs come from a window over
-    ``(group, stop)`` and the cross-stop pair from per-stop first/last
-    aggregates (map-side combined) joined with the previous stop, so a
-    route/snapshot holding a third of all rows is spread over its stops.
+    whole route/snapshot in one task: rows are clustered by
+    ``(group, stop)``; same-stop pairs come from ``lag`` inside a stop; the
+    cross-stop pair needs only each stop's opening row, so the second window
+    over the whole group sees one row per distinct stop.  A route/snapshot
+    holding a third of all rows is thereby spread over its stops.
     Extra ``partition`` columns (e.g. ``direction_id``, finding F15) and
     ``keep`` columns of vehicle b (e.g. ``stop_id``, finding F16) pass through.
     """
@@ -80,45 +81,47 @@ def _window(silver: DataFrame, partition, max_gap: int, keep) -> DataFrame:
 
 def _split(silver: DataFrame, partition, keep) -> DataFrame:
     seq = "current_stop_sequence"
+    vid = F.col("vehicle_id")
     sub = [*partition, seq]
     rsn = [] if "route_short_name" in partition else ["route_short_name"]
     base = silver.select(*partition, seq, "vehicle_id", *rsn, *keep)
 
-    # Same stop: adjacent vehicles in vehicle order, gap 0.
-    w = Window.partitionBy(*sub).orderBy(F.col("vehicle_id").asc_nulls_first())
-    same = (
-        base.withColumn("vehicle_id_a", F.lag("vehicle_id").over(w))
-        .where(F.col("vehicle_id_a").isNotNull() & (F.col("vehicle_id_a") != F.col("vehicle_id")))
-        .withColumn("stop_sequence_gap", F.lit(0))
-        .withColumnRenamed("vehicle_id", "vehicle_id_b")
-        .drop(seq)
+    # Pass 1, clustered by (group, stop), vehicles sorted NULLS FIRST: the
+    # same-stop predecessor, whether the row opens its stop, and the stop's
+    # last vehicle.
+    w1 = Window.partitionBy(*sub).orderBy(vid.asc_nulls_first())
+    r = base.select(
+        "*",
+        F.lag("vehicle_id").over(w1).alias("_a0"),
+        F.lag(F.lit(1)).over(w1).isNull().alias("_first"),
+        F.max("vehicle_id").over(Window.partitionBy(*sub)).alias("_last"),
     )
+    # Keep same-stop pairs and the one opening row per stop.
+    r = r.where(F.col("_first") | (F.col("_a0").isNotNull() & (F.col("_a0") != vid)))
 
-    # Next stop: last vehicle of stop s-1 followed by the first of stop s.
-    # First in (vehicle NULLS FIRST) order is NULL when any vehicle is NULL.
-    per_stop = base.groupBy(*sub).agg(
-        F.max("vehicle_id").alias("_last"),
-        F.when(F.count(F.lit(1)) > F.count("vehicle_id"), F.lit(None).cast("string"))
-        .otherwise(F.min("vehicle_id"))
-        .alias("_first"),
-        *[F.max(c).alias(c) for c in rsn],
-        *([F.min_by(F.struct(*keep), F.col("vehicle_id")).alias("_keep")] if keep else []),
+    # Pass 2: opening rows of one group meet in one partition (at most one
+    # row per distinct stop) to see the previous stop; pair rows stay spread
+    # by stop.  No branch and no union, so pass 1 runs once.
+    key2 = F.when(F.col("_first"), F.lit(None)).otherwise(F.col(seq))
+    w2 = Window.partitionBy(*partition, key2).orderBy(seq)
+    r = r.select(
+        "*",
+        F.lag("_last").over(w2).alias("_plast"),
+        F.lag(seq).over(w2).alias("_pseq"),
     )
-    prev = per_stop.select(*partition, (F.col(seq) + 1).alias(seq), F.col("_last").alias("vehicle_id_a"))
-    nxt = (
-        per_stop.join(prev, on=sub, how="inner")
-        .where(
-            F.col("_first").isNotNull()
-            & F.col("vehicle_id_a").isNotNull()
-            & (F.col("vehicle_id_a") != F.col("_first"))
-        )
-        .select(
-            *partition,
-            *rsn,
-            F.col("_first").alias("vehicle_id_b"),
-            "vehicle_id_a",
-            F.lit(1).alias("stop_sequence_gap"),
-            *([F.col(f"_keep.{c}").alias(c) for c in keep]),
-        )
+    gap1 = (
+        F.col("_first")
+        & vid.isNotNull()
+        & F.col("_plast").isNotNull()
+        & (F.col("_pseq") == F.col(seq) - 1)
+        & (F.col("_plast") != vid)
+    )
+    gap0 = ~F.col("_first")
+    return r.where(gap0 | gap1).select(
+        *partition,
+        *rsn,
+        vid.alias("vehicle_id_b"),
+        F.when(gap0, F.col("_a0")).otherwise(F.col("_plast")).alias("vehicle_id_a"),
+        F.when(gap0, F.lit(0)).otherwise(F.lit(1)).alias("stop_sequence_gap"),
+        *keep,
     )
-    return same.unionByName(nxt)

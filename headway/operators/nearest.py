@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import micros
-from headway.operators.joins import DEFAULT_BROADCAST_ROWS, fits
+from headway.operators.joins import DEFAULT_BROADCAST_ROWS
 
 _DAY_US = 86_400_000_000
 _MIN_BUCKET_US = 1_000_000
@@ -98,18 +98,26 @@ def nearest_join(
     hi = F.col("_rt") + F.expr("(_next - _rt) div 2")
     r = r.select(*rk, "_rt", "_p", lo.alias("_lo"), hi.alias("_hi"))
 
-    # 3. bucket width and per-key covered bucket range.
+    # 3. bucket width and per-key covered bucket range.  One small
+    # aggregate row reaches the driver; it also bounds the interval table:
+    # the intervals of a key tile its range, so their buckets number at most
+    # span / width + rows + 2 per key.
     stats = r.groupBy(*rk).agg(
         F.min("_rt").alias("_kmin"), F.max("_rt").alias("_kmax"), F.count(F.lit(1)).alias("_kn")
     )
+    g = stats.agg(
+        F.sum(F.col("_kmax") - F.col("_kmin")).alias("span"),
+        F.sum("_kn").alias("n"),
+        F.count(F.lit(1)).alias("keys"),
+        F.min("_kmin").alias("kmin"),
+        F.max("_kmax").alias("kmax"),
+    ).first()
+    span, n, nkeys = (g["span"] or 0), (g["n"] or 0), (g["keys"] or 0)
     if bucket_seconds is None:
-        g = stats.agg(
-            F.sum(F.col("_kmax") - F.col("_kmin")).alias("span"), F.sum("_kn").alias("n")
-        ).first()
-        span, n = (g["span"] or 0), (g["n"] or 0)
         bucket_us = max(_MIN_BUCKET_US, int(span // max(1, n)))
     else:
         bucket_us = max(1, int(bucket_seconds * 1_000_000))
+    iv_rows_bound = n + span // bucket_us + 2 * nkeys
     # Open ends cover only the bucket of their own row; left times beyond
     # are clamped into it.  ``div`` is monotonic, so (lo, hi] maps to a
     # contiguous bucket range on both sides.
@@ -137,9 +145,8 @@ def nearest_join(
     lt = micros(left_time)
     lb = F.expr(f"unix_micros(cast({_quote(left_time)} as timestamp)) div {bucket_us}")
     if by:
-        small = fits(bounds, broadcast_max_rows)
         lb_df = left.join(
-            F.broadcast(bounds) if small else bounds,
+            F.broadcast(bounds) if nkeys <= broadcast_max_rows else bounds,
             on=[F.col(b) == F.col(k) for b, k in zip(by, rk)],
             how="left",
         )
@@ -148,17 +155,16 @@ def nearest_join(
             lt.alias("_lt"),
             F.least(F.greatest(lb, F.col("_bmin")), F.col("_bmax")).alias("_lbk"),
         )
+    elif n == 0:
+        lk = left.select(*lcols, lt.alias("_lt"), F.lit(None).cast("long").alias("_lbk"))
     else:
-        row = bounds.first()
-        if row is None:
-            lk = left.select(*lcols, lt.alias("_lt"), F.lit(None).cast("long").alias("_lbk"))
-        else:
-            lk = left.select(
-                *lcols,
-                lt.alias("_lt"),
-                F.least(F.greatest(lb, F.lit(row["_bmin"])), F.lit(row["_bmax"])).alias("_lbk"),
-            )
-    if fits(iv, broadcast_max_rows):
+        bmin, bmax = _tdiv(g["kmin"], bucket_us), _tdiv(g["kmax"], bucket_us)
+        lk = left.select(
+            *lcols,
+            lt.alias("_lt"),
+            F.least(F.greatest(lb, F.lit(bmin)), F.lit(bmax)).alias("_lbk"),
+        )
+    if iv_rows_bound <= broadcast_max_rows:
         iv = F.broadcast(iv)
     cond = [F.col("_lbk") == F.col("_bk")]
     cond += [lk[b] == iv[k] for b, k in zip(by, rk)]
@@ -174,6 +180,12 @@ def nearest_join(
     return joined.select(*[lk[c] for c in lcols], *payload)
 
 
+def _tdiv(a: int, b: int) -> int:
+    """Integer division truncating toward zero, like SQL ``div``."""
+    q = abs(a) // b
+    return -q if a < 0 else q
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
