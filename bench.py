@@ -56,7 +56,11 @@ def main() -> None:
     detect(events_path)  # also produces the input of the next benches
     events = spark.read.parquet(events_path)
     stg = mt.stg_bunching_events(events)
-    weather = fx.weather_from_orders(table(spark, sf_dir, "orders"))
+    # Dimension and fact inputs of the marts are stored tables, as in production.
+    w_path, d_path = scratch_path(spark, "bench-weather"), scratch_path(spark, "bench-dim-route")
+    fx.weather_from_orders(table(spark, sf_dir, "orders")).write.parquet(w_path)
+    fx.dim_route_from_lineitem(li).write.parquet(d_path)
+    weather, dim = spark.read.parquet(w_path), spark.read.parquet(d_path)
     n_ev, n_w = events.count(), weather.count()
 
     def nearest():
@@ -81,8 +85,6 @@ def main() -> None:
         out = scd2_apply(hist, fx.customer_incoming(cust), fx.SCD2_KEY, fx.SCD2_TRACKED, fx.SCD2_LOAD_TS)
         out.write.format("noop").mode("overwrite").save()
 
-    dim = fx.dim_route_from_lineitem(li)
-
     def marts():
         base = scratch_path(spark, "bench-marts")
         m = mt.build_marts(

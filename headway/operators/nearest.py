@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import micros
+from headway.session import cut_lineage
 from headway.operators.joins import DEFAULT_BROADCAST_ROWS
 
 _DAY_US = 86_400_000_000
@@ -51,6 +52,7 @@ def nearest_join(
     bucket_seconds: float | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
     prefix: str = "",
+    checkpoint_right: bool = True,
 ) -> DataFrame:
     """Left-outer nearest-in-time join; returns all left columns plus
     ``right_cols`` (default: every right column except keys), optionally
@@ -97,6 +99,10 @@ def nearest_join(
     lo = F.col("_prev") + F.expr("(_rt - _prev) div 2")
     hi = F.col("_rt") + F.expr("(_next - _rt) div 2")
     r = r.select(*rk, "_rt", "_p", lo.alias("_lo"), hi.alias("_hi"))
+    if checkpoint_right:
+        # Sized once below and joined once: cut lineage with a reliable
+        # checkpoint (shared checkpoint folder) instead of computing twice.
+        r = cut_lineage(r)
 
     # 3. bucket width and per-key covered bucket range.  One small
     # aggregate row reaches the driver; it also bounds the interval table:

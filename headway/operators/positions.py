@@ -80,7 +80,10 @@ def parse_positions(records: DataFrame, value_col: str = "value", drop_unparsed:
         F.from_json(F.col(value_col).cast("string"), POSITION_SCHEMA).alias("row")
     ).select("row.*")
     if drop_unparsed:
-        parsed = parsed.where(F.coalesce(*[F.col(c).isNotNull() for c in POSITION_COLUMNS]))
+        any_set = F.lit(False)
+        for c in POSITION_COLUMNS:
+            any_set = any_set | F.col(c).isNotNull()
+        parsed = parsed.where(any_set)
     return parsed
 
 

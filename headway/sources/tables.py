@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from headway.operators.joins import anti_join
 from headway.operators.quality import unique
@@ -31,14 +32,21 @@ def write_table(
     sort_within: Sequence[str] | None = None,
     compression: str | None = "snappy",
 ) -> None:
-    """Batch write (S7, S20, S21).  With ``partition_by`` rows are clustered
-    by the partition columns first so each task writes few files; with
-    ``sort_within`` files are sorted for min/max skipping."""
+    """Batch write.
+
+    With ``partition_by`` and ``sort_within`` rows are range-partitioned on
+    both (sampled bounds split even one hot partition value over many tasks)
+    and sorted, so each task writes a contiguous slice as few sorted files
+    and min/max statistics prune row groups.  With ``partition_by`` alone rows
+    are only sorted inside their task (no shuffle).
+    """
     out = df
-    if partition_by:
-        out = out.repartition(*partition_by)
-        if sort_within:
-            out = out.sortWithinPartitions(*partition_by, *sort_within)
+    if partition_by and sort_within:
+        out = out.repartitionByRange(*partition_by, *sort_within).sortWithinPartitions(
+            *partition_by, *sort_within
+        )
+    elif partition_by:
+        out = out.sortWithinPartitions(*partition_by)
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.format(fmt).mode(mode)
@@ -66,7 +74,8 @@ def write_bronze(positions: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(POSITION_SCHEMA.add("date", "string").add("hour", "string")).parquet(path)
+    schema = StructType([*POSITION_SCHEMA.fields, StructField("date", StringType()), StructField("hour", IntegerType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> int:
