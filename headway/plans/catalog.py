@@ -547,3 +547,17 @@ def q_stream_bunching(spark, sf):
     q = run_stream_bunching(ingest(_stream_source(spark, sf, sentinel=True)), _dim_route(spark, sf), out, ckpt)
     q.awaitTermination()
     return read_stream_events(spark, out)
+
+
+@register("rebuild_bronze")
+def q_rebuild_bronze(spark, sf):
+    """Feed snapshots archived as gzip JSON by snapshot time, scanned
+    back (time from the path), flattened and de-duplicated into bronze rows."""
+    from headway.sources.files import read_archive, rebuild_bronze, write_archive
+
+    root = _scratch(spark, "archive")
+    feeds = fx.feed_messages(_events(spark, sf)).withColumn(
+        "file_time", F.timestamp_seconds(F.col("header.timestamp"))
+    )
+    write_archive(feeds, root)
+    return rebuild_bronze(read_archive(spark, root))

@@ -113,8 +113,30 @@ def read_weather(spark: SparkSession, path: str, multi_line: bool = True, loaded
     return parse_weather(docs, loaded_at=loaded_at)
 
 
-# Archive file names: {yyyyMMdd'T'HHmmss}.<ext>, below date=/hour= folders.
-ARCHIVE_NAME = r"(\d{8}T\d{6})\.[^/]+$"
+# Archive snapshot time: the file name {yyyyMMdd'T'HHmmss}.<ext>, or a
+# snapshot={yyyyMMdd'T'HHmmss} folder as written by ``write_archive``.
+ARCHIVE_NAME = r"(?:snapshot=(\d{8}T\d{6})/[^/]+|(\d{8}T\d{6})\.[^/]+)$"
+
+
+def archive_time(path_col: str = "path"):
+    """Snapshot time (UTC) parsed from an archive path."""
+    folder = F.regexp_extract(path_col, ARCHIVE_NAME, 1)
+    name = F.regexp_extract(path_col, ARCHIVE_NAME, 2)
+    return F.to_timestamp(F.when(folder != "", folder).otherwise(name), "yyyyMMdd'T'HHmmss")
+
+
+def write_archive(feeds: DataFrame, root: str, time_col: str = "file_time", mode: str = "append") -> None:
+    """Archive raw snapshots (the collector's raw layer) as gzip JSON below
+    ``date=/hour=/snapshot=`` folders, one folder per snapshot time."""
+    t = F.col(time_col)
+    out = feeds.select(
+        "header",
+        "entity",
+        F.date_format(t, "yyyy-MM-dd").alias("date"),
+        F.date_format(t, "HH").alias("hour"),
+        F.date_format(t, "yyyyMMdd'T'HHmmss").alias("snapshot"),
+    )
+    out.write.mode(mode).partitionBy("date", "hour", "snapshot").option("compression", "gzip").json(root)
 
 
 def read_archive(spark: SparkSession, root: str, pattern: str = "*.json.gz") -> DataFrame:
@@ -130,12 +152,7 @@ def read_archive(spark: SparkSession, root: str, pattern: str = "*.json.gz") ->
         .json(root)
         .withColumn("path", F.col("_metadata.file_path"))
     )
-    name_ts = F.regexp_extract("path", ARCHIVE_NAME, 1)
-    return df.select(
-        "path",
-        F.to_timestamp(name_ts, "yyyyMMdd'T'HHmmss").alias("file_time"),
-        F.struct("header", "entity").alias("feed"),
-    )
+    return df.select("path", archive_time("path").alias("file_time"), F.struct("header", "entity").alias("feed"))
 
 
 def read_archive_protobuf(spark: SparkSession, root: str, descriptor_file: str, pattern: str = "*.pb") -> DataFrame:
@@ -146,10 +163,9 @@ def read_archive_protobuf(spark: SparkSession, root: str, descriptor_file: str,
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
         "pathGlobFilter", pattern
     ).load(root)
-    name_ts = F.regexp_extract("path", ARCHIVE_NAME, 1)
     return raw.select(
         "path",
-        F.to_timestamp(name_ts, "yyyyMMdd'T'HHmmss").alias("file_time"),
+        archive_time("path").alias("file_time"),
         from_protobuf("content", "transit_realtime.FeedMessage", descFilePath=descriptor_file).alias("feed"),
     )
 

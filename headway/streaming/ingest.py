@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.positions import flatten_feed, parse_positions
 from headway.schemas import FEED_SCHEMA
-from headway.sources.files import ARCHIVE_NAME
+from headway.sources.files import archive_time
 from headway.sources.tables import with_bronze_partitions
 
 # Processing-time trigger of the live ingest.
@@ -92,7 +92,7 @@ def archive_stream(spark: SparkSession, root: str, pattern: str = "*.json.gz", f
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
     df = r.json(root).withColumn("path", F.col("_metadata.file_path"))
-    t = F.to_timestamp(F.regexp_extract("path", ARCHIVE_NAME, 1), "yyyyMMdd'T'HHmmss")
+    t = archive_time("path")
     return df.select(F.struct("header", "entity").alias("feed"), F.unix_seconds(t).alias("ingest_timestamp"))
 
 
