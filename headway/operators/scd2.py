@@ -95,45 +95,64 @@ def scd2_apply(
     ``load_ts``; closed history and unchanged rows pass through.  Intervals
     are half-open and gap-free because the same ``load_ts`` closes and opens.
     ``surrogate_key`` (if named) is ``xxhash64(key, valid_from)`` for new rows.
-    Write the result with an overwrite (or ``MERGE INTO`` on Delta).
+
+    One full outer join of the open rows with the incoming rows on the key;
+    each joined row emits its kept/closed old version and/or its new version
+    (``explode`` of at most two rows), so the join runs once.  Write the
+    result with an overwrite (or ``MERGE INTO`` on Delta).
     """
     ts = F.lit(load_ts).cast("timestamp") if not isinstance(load_ts, Column) else load_ts
     cols = history.columns
+    schema = {f.name: f.dataType for f in history.schema.fields}
+    tmap = _types(history, tracked, types)
     open_rows = history.where(F.col("is_current"))
-    diff = scd2_diff(open_rows, incoming, key, tracked, types)
     closed_before = history.where(~F.col("is_current"))
 
-    cls = diff.select(F.col(key).alias("_k"), "change")
-    cur = open_rows.join(cls, open_rows[key] == cls["_k"], "left")
-    expire = cur.change.isin(CHANGE_CHANGED, CHANGE_MISSING)
-    kept = cur.select(
+    old = open_rows.select(F.col(key).alias("_ok"), F.struct(*[F.col(c) for c in cols]).alias("_old"))
+    inc = incoming.select(F.col(key).alias("_ik"), *[F.col(c).alias(f"_i_{c}") for c in tracked])
+    j = old.join(inc, F.col("_ok") == F.col("_ik"), "full_outer")
+
+    changed: Column = F.lit(False)
+    for c in tracked:
+        changed = changed | differs(F.col(f"_old.{c}"), F.col(f"_i_{c}"), tmap[c])
+    is_new = F.col("_ok").isNull()
+    is_missing = F.col("_ik").isNull()
+    expire = is_missing | (~is_new & changed)
+    insert = is_new | (~is_missing & changed)
+
+    kept = F.struct(
         *[
-            F.when(expire, ts).otherwise(F.col("valid_to")).alias(c)
+            F.when(expire, ts).otherwise(F.col("_old.valid_to")).cast(schema[c]).alias(c)
             if c == "valid_to"
-            else F.when(expire, F.lit(False)).otherwise(F.col("is_current")).alias(c)
+            else F.when(expire, F.lit(False)).otherwise(F.col("_old.is_current")).alias(c)
             if c == "is_current"
-            else F.col(c)
+            else F.col(f"_old.{c}").alias(c)
             for c in cols
         ]
     )
-    ins = diff.where(F.col("change").isin(CHANGE_NEW, CHANGE_CHANGED))
-    schema = {f.name: f.dataType for f in history.schema.fields}
-    new_cols = []
+    new_fields = []
     for c in cols:
-        if c == key or c in tracked:
-            new_cols.append(F.col(c).cast(schema[c]).alias(c))
+        if c == key:
+            new_fields.append(F.col("_ik").cast(schema[c]).alias(c))
+        elif c in tracked:
+            new_fields.append(typed(F.col(f"_i_{c}"), tmap[c]).cast(schema[c]).alias(c))
         elif c == "valid_from":
-            new_cols.append(ts.cast(schema[c]).alias(c))
+            new_fields.append(ts.cast(schema[c]).alias(c))
         elif c == "valid_to":
-            new_cols.append(F.lit(None).cast(schema[c]).alias(c))
+            new_fields.append(F.lit(None).cast(schema[c]).alias(c))
         elif c == "is_current":
-            new_cols.append(F.lit(True).alias(c))
+            new_fields.append(F.lit(True).alias(c))
         elif c == surrogate_key:
-            new_cols.append(F.xxhash64(F.col(key), ts).cast(schema[c]).alias(c))
+            new_fields.append(F.xxhash64(F.col("_ik"), ts).cast(schema[c]).alias(c))
         else:
-            new_cols.append(F.lit(None).cast(schema[c]).alias(c))
-    inserted = ins.select(*new_cols)
-    return closed_before.unionByName(kept).unionByName(inserted)
+            new_fields.append(F.lit(None).cast(schema[c]).alias(c))
+    new = F.struct(*new_fields)
+    rows = F.filter(
+        F.array(F.when(~is_new, kept), F.when(insert, new)),
+        lambda x: x.isNotNull(),
+    )
+    out = j.select(F.explode(rows).alias("_r")).select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+    return closed_before.unionByName(out)
 
 
 def scd2_as_of(history: DataFrame, ts) -> DataFrame:
