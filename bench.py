@@ -116,7 +116,7 @@ def main() -> None:
     def stream():
         from headway.streaming.ingest import dedup_stream, ingest, read_position_stream
 
-        s = dedup_stream(ingest(read_position_stream(spark, fmt="text", path=src)), delay="1 hour")
+        s = dedup_stream(ingest(read_position_stream(spark, fmt="text", path=src)), delay="10 days")
         q = (
             s.writeStream.format("parquet")
             .option("checkpointLocation", scratch_path(spark, "bench-stream-ckpt"))

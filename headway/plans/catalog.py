@@ -496,12 +496,21 @@ def q_dq_checks(spark, sf):
 # --- streaming ----------------------------------------------------------------
 
 
+# Ranges of about eight days arrive in order; inside a range rows are in no
+# particular order, so watermark delays cover one range.
+STREAM_DELAY = "10 days"
+SENTINEL_AFTER_S = 11 * 86_400
+FILES_PER_RANGE = 4
+
+
 def _stream_source(spark, sf, sentinel: bool = False):
     from headway.streaming.ingest import read_position_stream
 
     src = _scratch(spark, "stream-src")
-    fx.write_stream_files(_positions(spark, sf), src, sentinel_after_s=864_000 if sentinel else None)
-    return read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=1)
+    fx.write_stream_files(
+        _positions(spark, sf), src, SENTINEL_AFTER_S if sentinel else None, files_per_range=FILES_PER_RANGE
+    )
+    return read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=FILES_PER_RANGE)
 
 
 @register("stream_ingest")
@@ -523,7 +532,7 @@ def q_stream_dedup(spark, sf):
     from headway.streaming.ingest import dedup_stream, ingest
 
     sink, ckpt = _scratch(spark, "dedup-sink"), _scratch(spark, "dedup-ckpt")
-    s = dedup_stream(ingest(_stream_source(spark, sf)), delay="1 hour")
+    s = dedup_stream(ingest(_stream_source(spark, sf)), delay=STREAM_DELAY)
     q = (
         s.select("vehicle_id", "feed_timestamp")
         .writeStream.format("parquet")
@@ -539,12 +548,14 @@ def q_stream_dedup(spark, sf):
 @register("stream_bunching")
 def q_stream_bunching(spark, sf):
     """ST8: bunching on the stream; snapshots close as the high-water mark
-    passes them (a sentinel row ten days later closes the last ones)."""
+    passes them (a sentinel row eleven days later closes the last ones)."""
     from headway.streaming.bunching import read_stream_events, run_stream_bunching
     from headway.streaming.ingest import ingest
 
     out, ckpt = _scratch(spark, "stream-events"), _scratch(spark, "stream-bunch-ckpt")
-    q = run_stream_bunching(ingest(_stream_source(spark, sf, sentinel=True)), _dim_route(spark, sf), out, ckpt)
+    q = run_stream_bunching(
+        ingest(_stream_source(spark, sf, sentinel=True)), _dim_route(spark, sf), out, ckpt, delay=STREAM_DELAY
+    )
     q.awaitTermination()
     return read_stream_events(spark, out)
 

@@ -412,18 +412,22 @@ def feed_messages(events: DataFrame) -> DataFrame:
 STREAM_FILE_DAYS = (1, 8, 16, 24, 32)
 
 
-def write_stream_files(positions: DataFrame, path: str, sentinel_after_s: int | None = None) -> None:
-    """Position records as JSON lines in four files written one after the
-    other in snapshot-time order (so file order = time order), plus an
-    optional sentinel row ``sentinel_after_s`` after the last snapshot."""
+def write_stream_files(
+    positions: DataFrame, path: str, sentinel_after_s: int | None = None, files_per_range: int = 4
+) -> None:
+    """Position records as JSON lines, written as four time ranges one after
+    the other (one write job each, ``files_per_range`` tasks and files per
+    job), so file modification order follows snapshot-time order between
+    ranges; plus an optional one-row sentinel ``sentinel_after_s`` after
+    the last snapshot."""
     from headway.sources.messages import to_records
 
     day = F.dayofmonth(F.timestamp_seconds("feed_timestamp"))
     for lo, hi in zip(STREAM_FILE_DAYS, STREAM_FILE_DAYS[1:]):
         part = positions.where((day >= lo) & (day < hi))
-        to_records(part).select(F.col("value").cast("string").alias("value")).coalesce(1).write.mode(
-            "append"
-        ).text(path)
+        to_records(part).select(F.col("value").cast("string").alias("value")).repartition(
+            files_per_range
+        ).write.mode("append").text(path)
     if sentinel_after_s is not None:
         last = positions.agg(F.max("feed_timestamp").alias("feed_timestamp"))
         sentinel = last.select(
@@ -436,6 +440,5 @@ def write_stream_files(positions: DataFrame, path: str, sentinel_after_s: int |
                 for c, t in ((f.name, f.dataType) for f in POSITION_SCHEMA.fields)
             ]
         )
-        to_records(sentinel).select(F.col("value").cast("string").alias("value")).coalesce(1).write.mode(
-            "append"
-        ).text(path)
+        # a single aggregate row
+        to_records(sentinel).select(F.col("value").cast("string").alias("value")).write.mode("append").text(path)

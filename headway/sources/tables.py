@@ -138,6 +138,11 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]
     return anti_join(first, target, keys)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header (S24); meant for small report results."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, max_single_file_rows: int = 1_000_000) -> None:
+    """CSV with a header (S24).  A report result proven to have at most
+    ``max_single_file_rows`` rows is written as one file; anything larger is
+    written by all tasks in parallel (one file each)."""
+    from headway.operators.joins import fits
+
+    out = df.coalesce(1) if fits(df, max_single_file_rows) else df
+    out.write.mode("overwrite").option("header", True).csv(path)
