@@ -9,7 +9,8 @@ a write (parquet or the ``noop`` sink), never a collect of big results.
   nearest  nearest-in-time join: bunching events x order-time observations
   spatial  exact radius join: part-mapped x supplier-mapped points (150 m)
   scd2     SCD2 diff + apply on customer
-  marts    mart events (routes + nearest weather) + hourly rollup + 10 reports
+  marts    mart events (routes + nearest weather) + hourly rollup + the 10 dashboard
+           panels refreshed concurrently
   stream   record files -> parse -> watermark dedup, availableNow
 """
 
@@ -93,19 +94,7 @@ def main() -> None:
             out_dir=base,
         )
         me, mh = m["mart_bunching_events"], m["mart_bunching_hourly"]
-        for r in (
-            rp.report_total(me),
-            rp.report_network_share(me, dim),
-            rp.report_top_routes(mh),
-            rp.report_hourly_top8(mh),
-            rp.report_by_condition(me),
-            rp.report_by_hour(me),
-            rp.report_by_mode(me, dim),
-            rp.report_severity(me),
-            rp.report_top_detail(mh),
-            rp.report_recent(me),
-        ):
-            r.write.format("noop").mode("overwrite").save()
+        rp.refresh(rp.panels(me, mh, dim), parallelism=int(cpus))
 
     ev_tbl = table(spark, sf_dir, "events")
     src = scratch_path(spark, "bench-stream-src")

@@ -17,9 +17,11 @@ join is rewritten into an equi-join:
    Left times outside the right side's range are clamped into its first or
    last bucket, where the open-ended interval matches them.
 
-The interval table has about ``2 * |right|`` rows.  It is broadcast only when
-its row count is below ``broadcast_max_rows``; otherwise the join shuffles on
-``(by, bucket)`` and AQE splits skewed left buckets.  Neighbours are found per
+The interval table has about ``2 * |right|`` rows.  One aggregate row of the
+raw right side gives the bucket width and a proven bound on that count; the
+table is broadcast only when the bound is below ``broadcast_max_rows``;
+otherwise the join shuffles on ``(by, bucket)`` and AQE splits skewed left
+buckets.  Neighbours are found per
 day bucket with a carry-in from the previous/next non-empty day, so no window
 ever sorts the whole right side in one task.
 """
@@ -52,7 +54,7 @@ def nearest_join(
     bucket_seconds: float | None = None,
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
     prefix: str = "",
-    checkpoint_right: bool = True,
+    checkpoint_right: bool = False,
 ) -> DataFrame:
     """Left-outer nearest-in-time join; returns all left columns plus
     ``right_cols`` (default: every right column except keys), optionally
@@ -67,13 +69,13 @@ def nearest_join(
     rk = [f"_rk{i}" for i in range(len(by))]
 
     # 1. one row per (key, time); ties -> smallest tie_cols, then payload.
-    r = right.select(
+    r0 = right.select(
         *[F.col(c).alias(k) for c, k in zip(right_by, rk)],
         micros(right_time).alias("_rt"),
         *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_cols)],
         F.struct(*[F.col(c) for c in right_cols]).alias("_p"),
     ).where(F.col("_rt").isNotNull())
-    r = r.groupBy(*rk, "_rt").agg(
+    r = r0.groupBy(*rk, "_rt").agg(
         F.min(F.struct(*[F.col(f"_t{i}") for i in range(len(tie_cols))], "_p")).alias("_b")
     ).select(*rk, "_rt", F.col("_b._p").alias("_p"))
 
@@ -102,15 +104,16 @@ def nearest_join(
     hi = F.col("_rt") + F.expr("(_next - _rt) div 2")
     r = r.select(*rk, "_rt", "_p", lo.alias("_lo"), hi.alias("_hi"))
     if checkpoint_right:
-        # Sized once below and joined once: cut lineage with a reliable
-        # checkpoint (shared checkpoint folder) instead of computing twice.
+        # Reused by several joins: cut lineage with a reliable checkpoint in
+        # the shared checkpoint folder.
         r = cut_lineage(r)
 
-    # 3. bucket width and per-key covered bucket range.  One small
-    # aggregate row reaches the driver; it also bounds the interval table:
-    # the intervals of a key tile its range, so their buckets number at most
-    # span / width + rows + 2 per key.
-    stats = r.groupBy(*rk).agg(
+    # 3. bucket width and per-key covered bucket range, from one small
+    # aggregate of the *raw* right side (no need to build the intervals
+    # twice).  Raw rows >= distinct times, so the bound below stays an upper
+    # bound: the intervals of a key tile its range, so their buckets number
+    # at most span / width + rows + 2 per key.
+    stats = r0.groupBy(*rk).agg(
         F.min("_rt").alias("_kmin"), F.max("_rt").alias("_kmax"), F.count(F.lit(1)).alias("_kn")
     )
     g = stats.agg(

@@ -160,6 +160,30 @@ def time_filter(df: DataFrame, column: str, from_=None, to=None) -> DataFrame:
     return df
 
 
+# Partition column name and expression per time unit of the events mart.
+TIME_UNITS = {
+    "day": ("event_date", lambda c: F.to_date(c)),
+    "month": ("event_month", lambda c: F.date_format(c, "yyyy-MM")),
+    "year": ("event_year", lambda c: F.date_format(c, "yyyy")),
+}
+
+
+def choose_time_unit(df: DataFrame, time_col: str, rows_per_partition: int) -> str:
+    """Finest of day / month / year whose partitions average at least
+    ``rows_per_partition`` rows (one aggregate row reaches the driver)."""
+    g = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct(F.to_date(time_col)).alias("days"),
+        F.countDistinct(F.date_format(time_col, "yyyy-MM")).alias("months"),
+    ).first()
+    n = g["n"] or 0
+    if n >= rows_per_partition * max(1, g["days"] or 0):
+        return "day"
+    if n >= rows_per_partition * max(1, g["months"] or 0):
+        return "month"
+    return "year"
+
+
 def register_staging(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Staging models as temp views (S19): pass raw tables by name, get views."""
     makers = {
@@ -184,31 +208,43 @@ def build_marts(
     tables: dict[str, DataFrame],
     out_dir: str | None = None,
     fmt: str = "parquet",
-    partition_unit: str = "month",
+    partition_unit: str = "auto",
+    rows_per_partition: int = 4_000_000,
 ) -> dict[str, DataFrame]:
     """Full-rebuild marts (S20).  With ``out_dir`` each mart is written and
     the hourly mart is built from the written events, so lineage is cut.
 
-    Events are partitioned by ``event_month`` (or ``partition_unit="day"``)
-    and sorted by ``event_time`` inside files: a dashboard range prunes whole
-    partitions, then row groups by their min/max, in place of the btree
-    index on event_time."""
+    Events are partitioned by a time unit and sorted by ``event_time`` inside
+    files: a dashboard range prunes whole partitions, then row groups by
+    their min/max, in place of the btree index on event_time.  The unit
+    (``day``/``month``/``year``) is given, or with ``"auto"`` the finest
+    unit whose partitions average at least ``rows_per_partition`` rows
+    (one aggregate row of the events decides), so partitions grow with the
+    data instead of fragmenting small data into many files."""
     views = register_staging(spark, tables)
-    events = mart_bunching_events(
-        views["stg_bunching_events"], views["stg_dim_route_current"], views["stg_fact_weather"]
-    )
+    stg = views["stg_bunching_events"]
+    if out_dir:
+        # Range-partition the events by time *before* the route and weather
+        # joins: they are broadcast joins, which keep the partitioning, so the
+        # write needs only a local sort, and the range sampling re-reads the
+        # events table instead of recomputing the whole mart.
+        stg = stg.repartitionByRange("event_time")
+    events = mart_bunching_events(stg, views["stg_dim_route_current"], views["stg_fact_weather"])
     if out_dir:
         from headway.sources.tables import write_table
 
         ev_path = f"{out_dir.rstrip('/')}/mart_bunching_events"
-        part = "event_date" if partition_unit == "day" else "event_month"
-        unit = F.to_date("event_time") if partition_unit == "day" else F.date_format("event_time", "yyyy-MM")
+        if partition_unit == "auto":
+            partition_unit = choose_time_unit(stg, "event_time", rows_per_partition)
+        part, unit_of = TIME_UNITS[partition_unit]
+        unit = unit_of(F.col("event_time"))
         write_table(
             events.withColumn(part, unit),
             ev_path,
             fmt=fmt,
             partition_by=[part],
             sort_within=["event_time"],
+            clustered=True,
         )
         events = spark.read.format(fmt).load(ev_path).drop(part)
     hourly = mart_bunching_hourly(events)

@@ -178,3 +178,37 @@ def avg_speed_by_route_sql(positions: DataFrame, excluded_status: str = "STOPPED
     view = "positions_v"
     positions.createOrReplaceTempView(view)
     return positions.sparkSession.sql(AVG_SPEED_SQL.format(view=view, excluded=excluded_status))
+
+
+def panels(mart: DataFrame, hourly: DataFrame, routes: DataFrame, from_=None, to=None, total_routes=None) -> dict:
+    """The ten dashboard panels (R1-R10) for one time range, as DataFrames.
+
+    ``total_routes`` defaults to the current rows of ``routes`` (finding F12).
+    """
+    return {
+        "total": report_total(mart, from_, to),
+        "network_share": report_network_share(mart, total_routes if total_routes is not None else routes, from_, to),
+        "top_routes": report_top_routes(hourly, 10, from_, to),
+        "hourly_top8": report_hourly_top8(hourly, 8, from_, to),
+        "by_condition": report_by_condition(mart, from_, to),
+        "by_hour": report_by_hour(mart, from_, to),
+        "by_mode": report_by_mode(mart, routes, from_, to),
+        "severity": report_severity(mart, from_, to),
+        "top_detail": report_top_detail(hourly, 15, from_, to),
+        "recent": report_recent(mart, 200, from_, to),
+    }
+
+
+def refresh(frames: dict, parallelism: int = 4) -> dict:
+    """Evaluate panels concurrently, as a dashboard refresh does (Spark runs
+    jobs from several threads at once), and return their rows.
+
+    Panel results are small by construction: single aggregates, label-keyed
+    counts (modes, severities, hours, conditions), top-k lists, and the
+    hourly series of k routes over the requested range.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        futures = {name: ex.submit(df.collect) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}

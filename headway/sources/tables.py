@@ -31,6 +31,7 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     sort_within: Sequence[str] | None = None,
     compression: str | None = "snappy",
+    clustered: bool = False,
 ) -> None:
     """Batch write.
 
@@ -38,10 +39,13 @@ def write_table(
     both (sampled bounds split even one hot partition value over many tasks)
     and sorted, so each task writes a contiguous slice as few sorted files
     and min/max statistics prune row groups.  With ``partition_by`` alone rows
-    are only sorted inside their task (no shuffle).
+    are only sorted inside their task (no shuffle).  ``clustered`` says the
+    input is already range-partitioned upstream (only the local sort runs).
     """
     out = df
-    if partition_by and sort_within:
+    if clustered:
+        out = out.sortWithinPartitions(*(partition_by or []), *(sort_within or []))
+    elif partition_by and sort_within:
         out = out.repartitionByRange(*partition_by, *sort_within).sortWithinPartitions(
             *partition_by, *sort_within
         )

@@ -59,7 +59,7 @@ def test_build_marts_written_and_reports(spark, tmp_dir):
     )
     me, mh = out["mart_bunching_events"], out["mart_bunching_hourly"]
     assert me.count() == 6 and me.where("weather_condition = 'Rain'").count() == 6
-    assert any(d.startswith("event_month=") for d in os.listdir(os.path.join(tmp_dir, "mart_bunching_events")))
+    assert any(d.startswith("event_year=") for d in os.listdir(os.path.join(tmp_dir, "mart_bunching_events")))
     assert mh.count() == 3 and mh.agg(F.sum("bunching_event_count")).first()[0] == 6
     assert rp.report_total(me).first()["value"] == 6
     assert rp.report_network_share(me, 4).first()["value"] == 25.0
@@ -87,3 +87,18 @@ def test_replay_archive_into_bronze(spark, tmp_dir):
     bronze = spark.read.parquet(os.path.join(tmp_dir, "bronze"))
     got = sorted((r["feed_timestamp"], r["ingest_timestamp"], r["vehicle_id"]) for r in bronze.collect())
     assert got == [(1786582800, 1786582800, "7"), (1786582820, 1786582820, "7")]
+
+
+def test_dashboard_refresh_runs_all_panels(spark):
+    pos, dim = _positions(spark), _dim(spark)
+    events = detect_bunching(silver_positions(pos, dim))
+    weather = spark.createDataFrame([("S1", "2026-08-13 01:10:00", 20.0)], "station_id string, observed_at string, temperature_c double")
+    weather = weather.select(
+        "station_id", F.lit(None).cast("string").alias("station_name"), F.to_timestamp("observed_at").alias("observed_at"),
+        "temperature_c", F.lit("Rain").alias("condition"), F.lit(None).cast("int").alias("humidity_pct"),
+        F.lit(None).cast("double").alias("wind_kmh"), F.lit(None).cast("double").alias("pressure_kpa"),
+    )
+    me = mt.mart_bunching_events(mt.stg_bunching_events(events), mt.stg_dim_route_current(dim), mt.stg_fact_weather(weather))
+    got = rp.refresh(rp.panels(me, mt.mart_bunching_hourly(me), dim), parallelism=3)
+    assert len(got) == 10 and got["total"][0]["value"] == 6
+    assert got["by_mode"][0]["mode"] == "Streetcar" and got["by_condition"][0]["weather"] == "Rain"
