@@ -429,23 +429,6 @@ def q_read_gtfs_stops(spark, sf):
     return type_gtfs(read_gtfs_csv(spark, path, cols), STOP_TYPES)
 
 
-@register("jdbc_roundtrip")
-def q_jdbc_roundtrip(spark, sf):
-    """Bunching events written with TRUNCATE-overwrite to an
-    embedded in-process database and read back."""
-    import uuid
-
-    from headway.sources.jdbc import read_jdbc, write_jdbc
-
-    url = f"jdbc:derby:memory:hw{uuid.uuid4().hex[:8]};create=true"
-    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    ev = _events_table(spark, sf)
-    write_jdbc(ev, url, "BUNCHING_EVENTS", props, mode="overwrite")
-    write_jdbc(ev, url, "BUNCHING_EVENTS", props, mode="overwrite")
-    back = read_jdbc(spark, url, "BUNCHING_EVENTS", props)
-    return back.select(*[F.col(c.upper()).alias(c) for c in ev.columns])
-
-
 @register("snapshot_as_of")
 def q_snapshot_as_of(spark, sf):
     """Version 0 of a table stays readable after version 1 overwrites it."""

@@ -15,7 +15,6 @@ from headway.sources.files import (
     rebuild_bronze,
     type_gtfs,
 )
-from headway.sources.jdbc import read_jdbc, write_jdbc
 from headway.sources.tables import (
     export_csv,
     full_refresh,
@@ -73,18 +72,6 @@ def test_snapshot_versions_stay_readable(spark, tmp_dir):
     assert sql_on_path(spark, path, query="SELECT count(*) AS n FROM {t} WHERE version = 0").first()["n"] == 1000
 
 
-def test_jdbc_truncate_overwrite_roundtrip(spark):
-    url = "jdbc:derby:memory:test_io;create=true"
-    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    write_jdbc(df, url, "T1", props)
-    write_jdbc(df.where("id = 1"), url, "T1", props)  # truncate keeps the table object
-    back = read_jdbc(spark, url, "T1", props)
-    assert [tuple(r) for r in back.collect()] == [(1, "a")]
-    part = read_jdbc(spark, url, "T1", props, partition_column="ID", lower_bound=0, upper_bound=3, num_partitions=2)
-    assert part.count() == 1
-
-
 def test_gtfs_csv_bom_quotes_and_types(spark, tmp_dir):
     p = os.path.join(tmp_dir, "stops.txt")
     with open(p, "w", encoding="utf-8-sig") as f:
