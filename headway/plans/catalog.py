@@ -555,3 +555,17 @@ def q_rebuild_bronze(spark, sf):
     )
     write_archive(feeds, root)
     return rebuild_bronze(read_archive(spark, root))
+
+
+@register("silver_job")
+def q_silver_job(spark, sf):
+    """Entry B end to end: silver written partitioned by snapshot date, read
+    back, bunching events written with Observation counts, events read back
+    (run-time ``detected_at`` left out)."""
+    from headway.plans.silver import run_silver_job
+
+    silver, events = _scratch(spark, "silver"), _scratch(spark, "events")
+    metrics = run_silver_job(spark, _positions(spark, sf), _dim_route(spark, sf), silver, events)
+    out = spark.read.parquet(events).drop("detected_at")
+    assert metrics["bunching_events"] == out.count()
+    return out
