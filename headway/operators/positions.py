@@ -112,11 +112,14 @@ def dedup(
         for c in prefer_valid:
             bad = bad | F.col(c).isNull()
         order_cols.insert(0, bad.alias("_ov"))
-    packed = F.struct(*order_cols, F.struct(*[F.col(c) for c in cols]).alias("_row"))
+    keys = list(keys)
+    rest = [c for c in cols if c not in keys]
+    # The grouping keys are not repeated inside the packed row.
+    packed = F.struct(*order_cols, F.struct(*[F.col(c) for c in rest]).alias("_row"))
     return (
         df.groupBy(*keys)
         .agg(F.min(packed).alias("_best"))
-        .select(*[F.col(f"_best._row.{c}").alias(c) for c in cols])
+        .select(*[F.col(c) if c in keys else F.col(f"_best._row.{c}").alias(c) for c in cols])
     )
 
 
