@@ -50,18 +50,19 @@ def main() -> None:
     n_li = li.count()
     events_path = scratch_path(spark, "bench-events")
 
+    # Dimension and fact inputs are stored tables, as in production.
+    w_path, d_path = scratch_path(spark, "bench-weather"), scratch_path(spark, "bench-dim-route")
+    fx.weather_from_orders(table(spark, sf_dir, "orders")).write.parquet(w_path)
+    fx.dim_route_from_lineitem(li).write.parquet(d_path)
+    weather, dim = spark.read.parquet(w_path), spark.read.parquet(d_path)
+
     def detect(path=None):
-        ev = bunching_events(fx.positions_from_lineitem(li), fx.dim_route_from_lineitem(li), method=method)
+        ev = bunching_events(fx.positions_from_lineitem(li), dim, method=method)
         ev.write.mode("overwrite").parquet(path or scratch_path(spark, "bench-events"))
 
     detect(events_path)  # also produces the input of the next benches
     events = spark.read.parquet(events_path)
     stg = mt.stg_bunching_events(events)
-    # Dimension and fact inputs of the marts are stored tables, as in production.
-    w_path, d_path = scratch_path(spark, "bench-weather"), scratch_path(spark, "bench-dim-route")
-    fx.weather_from_orders(table(spark, sf_dir, "orders")).write.parquet(w_path)
-    fx.dim_route_from_lineitem(li).write.parquet(d_path)
-    weather, dim = spark.read.parquet(w_path), spark.read.parquet(d_path)
     n_ev, n_w = events.count(), weather.count()
 
     def nearest():
