@@ -7,7 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.session import ensure_utc
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``{sf_dir}/{name}.parquet`` (a file or a folder of files)."""
+def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+    """``{sf_dir}/{name}.parquet`` (a file or a folder of files).
+
+    A scan split into fewer partitions than the session's parallelism (a
+    small table, often a single row group read by one task) is spread
+    round-robin so the map-side work that follows uses every core.  Large
+    inputs already have more splits than cores and are left alone.
+    """
     ensure_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        df = df.repartition(target)
+    return df
