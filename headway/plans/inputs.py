@@ -17,7 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | Non
     """
     ensure_utc(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as is
+        return df
+    if planned < target:
         df = df.repartition(target)
     return df
