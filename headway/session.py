@@ -18,6 +18,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streaming state (dedup keys) lives in RocksDB: off-heap, spills to local
+    # disk and checkpoints incrementally, so state can outgrow executor heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
