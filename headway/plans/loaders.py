@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.positions import current, located
-from headway.operators.scd2 import scd2_apply, scd2_counts, scd2_diff
+from headway.operators.scd2 import last_row_wins, scd2_apply, scd2_counts, scd2_diff
 from headway.operators.spatial import within_radius
 from headway.schemas import (
     DIM_ROUTE_SCHEMA,
@@ -52,8 +52,12 @@ def load_dimension(
 ) -> dict[str, int]:
     """SCD2 load of one GTFS table into a versioned dimension.
 
-    Returns inserted / expired / unchanged counts (one aggregate row)."""
-    incoming = type_gtfs(read_gtfs_csv(spark, csv_path, [key, *tracked]), types)
+    A key listed twice keeps its last row (position within the read: each
+    multi-line CSV file is one unsplit partition, so the id is a stable row
+    position; it is used for ordering only, never stored).  Returns inserted
+    / expired / unchanged counts (one aggregate row)."""
+    raw = type_gtfs(read_gtfs_csv(spark, csv_path, [key, *tracked]), types)
+    incoming = last_row_wins(raw.withColumn("_pos", F.monotonically_increasing_id()), key, "_pos").drop("_pos")
     history = _latest_or_empty(spark, table_path, schema)
     counts = scd2_counts(scd2_diff(current(history), incoming, key, tracked)).first().asDict()
     new = scd2_apply(history, incoming, key, tracked, load_ts, surrogate_key=surrogate_key)

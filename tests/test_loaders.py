@@ -22,12 +22,13 @@ def test_gtfs_loads_are_scd2_and_versioned(spark, tmp_dir):
     _gtfs(g1, HDR_R + "504,504,King,0,,\n999,999,Gone,3,,\n", HDR_S + "1,,A,43.65,-79.38,\n", HDR_T + "t1,504,s,King,0,\n")
     c1 = load_gtfs_dimensions(spark, g1, out, "2024-01-01 00:00:00")
     assert c1["dim_route"] == {"inserted": 2, "expired": 0, "unchanged": 0}
-    _gtfs(g2, HDR_R + "504,504,King Streetcar,0,,\n", HDR_S + "1,,A,43.650000,-79.380000,\n", HDR_T + "t2,504,s,King,1,\n")
+    _gtfs(g2, HDR_R + "504,504,King Car,0,,\n504,504,King Streetcar,0,,\n", HDR_S + "1,,A,43.650000,-79.380000,\n", HDR_T + "t2,504,s,King,1,\n")
     c2 = load_gtfs_dimensions(spark, g2, out, "2024-06-01 00:00:00")
     assert c2["dim_route"] == {"inserted": 1, "expired": 2, "unchanged": 0}
     assert c2["dim_stop"] == {"inserted": 0, "expired": 0, "unchanged": 1}  # 43.65 == "43.650000"
     routes = read_snapshot(spark, os.path.join(out, "dim_route"))
     assert routes.count() == 3 and routes.where("is_current").count() == 1
+    assert routes.where("is_current").first()["route_long_name"] == "King Streetcar"  # last row wins
     assert read_snapshot(spark, os.path.join(out, "dim_route"), version=0).count() == 2
     assert [r["trip_id"] for r in spark.read.parquet(os.path.join(out, "dim_trip")).collect()] == ["t2"]
 
