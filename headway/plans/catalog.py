@@ -569,3 +569,22 @@ def q_silver_job(spark, sf):
     out = spark.read.parquet(events).drop("detected_at")
     assert metrics["bunching_events"] == out.count()
     return out
+
+
+@register("gtfs_route_loads")
+def q_gtfs_route_loads(spark, sf):
+    """S13 + M1/M2 + S9 as the loader runs them: two routes.txt versions
+    loaded into a versioned SCD2 dimension; the resulting history."""
+    from headway.plans.loaders import load_dimension
+    from headway.schemas import DIM_ROUTE_SCHEMA, ROUTE_TRACKED, ROUTE_TYPES
+    from headway.sources.tables import read_snapshot
+
+    ev = _events(spark, sf)
+    out = _scratch(spark, "dim_route")
+    for version, ts in ((1, "2024-01-01 00:00:00"), (2, "2024-06-01 00:00:00")):
+        csv = _scratch(spark, f"routes{version}")
+        fx.routes_txt_rows(ev, version).write.option("header", True).csv(csv)
+        load_dimension(
+            spark, csv, out, "route_id", ROUTE_TRACKED, ROUTE_TYPES, DIM_ROUTE_SCHEMA, ts, "route_key"
+        )
+    return read_snapshot(spark, out).drop("route_key")

@@ -442,3 +442,22 @@ def write_stream_files(
         )
         # a single aggregate row
         to_records(sentinel).select(F.col("value").cast("string").alias("value")).write.mode("append").text(path)
+
+
+def routes_txt_rows(events: DataFrame, version: int) -> DataFrame:
+    """routes.txt content (all text) from the event types: version 1 lacks
+    'signup'; version 2 lacks 'error', renames 'view' and adds 'signup'."""
+    r = F.col("route_id")
+    ids = events.select(F.col("event_type").alias("route_id")).distinct()
+    ids = ids.where(r != ("signup" if version == 1 else "error"))
+    long_name = F.concat(F.upper(r), F.lit(" LINE"))
+    if version == 2:
+        long_name = F.when(r == "view", F.lit("VIEW LINE 2")).otherwise(long_name)
+    return ids.select(
+        r,
+        F.upper(r).alias("route_short_name"),
+        long_name.alias("route_long_name"),
+        F.coalesce(_route_type(r).cast("string"), F.lit("")).alias("route_type"),
+        F.upper(F.substring(r, 1, 3)).alias("route_color"),
+        F.lit("FFFFFF").alias("route_text_color"),
+    )
