@@ -33,6 +33,7 @@ def within_radius(
     max_abs_lat: float | None = None,
     compat_grid: bool = False,
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
+    replicate: str = "auto",
 ) -> DataFrame:
     """``(point_id, center_id, distance_m)`` for every pair within the radius.
 
@@ -40,6 +41,11 @@ def within_radius(
     fixed 0.001 degree cells with a +-1 cell search, which misses pairs whose
     longitude cells are two apart (finding F4); it exists only to show that
     difference.
+
+    ``replicate`` names the side copied into its 3 x 3 neighbourhood:
+    ``"centers"``, ``"points"``, or ``"auto"`` (the centres when their
+    replicated rows are proven below ``broadcast_max_rows``, else the points
+    when theirs are, else the centres through a shuffled join).
     """
     pid, plat, plon = point_cols
     cid, clat, clon = center_cols
@@ -68,12 +74,32 @@ def within_radius(
         pcy, pcx = grid_cell("_plat", "_plon", dlat, dlon)
         ccy, ccx = grid_cell("_clat", "_clon", dlat, dlon)
     p = p.withColumn("_cy", pcy).withColumn("_cx", pcx)
-    # The centres side is replicated into its 3 x 3 neighbourhood.
-    c = c.select("*", F.explode(neighbour_cells(ccy, ccx)).alias("_n")).select(
-        "_cid", "_clat", "_clon", F.col("_n.cy").alias("_cy"), F.col("_n.cx").alias("_cx")
-    )
-    if fits(c, broadcast_max_rows):
-        c = F.broadcast(c)
+    c = c.withColumn("_cy", ccy).withColumn("_cx", ccx)
+
+    def spread(df: DataFrame, keep: list[str]) -> DataFrame:
+        return df.select(*keep, F.explode(neighbour_cells(F.col("_cy"), F.col("_cx"))).alias("_n")).select(
+            *keep, F.col("_n.cy").alias("_cy"), F.col("_n.cx").alias("_cx")
+        )
+
+    side = replicate
+    small = None
+    if side == "auto":
+        cap = max(0, broadcast_max_rows // 9)
+        if fits(c, cap):
+            side, small = "centers", True
+        elif fits(p, cap):
+            side, small = "points", True
+        else:
+            side, small = "centers", False
+    if side == "points":
+        p = spread(p, ["_pid", "_plat", "_plon"])
+        c = c.select("_cid", "_clat", "_clon", "_cy", "_cx")
+        if small if small is not None else fits(p, broadcast_max_rows):
+            p = F.broadcast(p)
+    else:
+        c = spread(c, ["_cid", "_clat", "_clon"])
+        if small if small is not None else fits(c, broadcast_max_rows):
+            c = F.broadcast(c)
     j = p.join(c, on=["_cy", "_cx"], how="inner")
     d = haversine_m("_plat", "_plon", "_clat", "_clon")
     return j.select(F.col("_pid").alias(pid), F.col("_cid").alias(cid), d.alias("distance_m")).where(

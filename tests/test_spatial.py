@@ -48,3 +48,5 @@ def test_equals_brute_force_random_radii(spark):
     for radius in (150.0, 500.0):
         want = {(s, r) for s, a, b in stops for r, c, d in restr if c is not None and hav(a, b, c, d) <= radius}
         assert pairs(spark, stops, restr, radius) == want
+        assert pairs(spark, stops, restr, radius, replicate="points") == want
+        assert pairs(spark, stops, restr, radius, replicate="centers", broadcast_max_rows=0) == want
