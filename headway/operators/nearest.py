@@ -55,6 +55,7 @@ def nearest_join(
     broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
     prefix: str = "",
     checkpoint_right: bool = False,
+    max_bucket_intervals: int = 64,
 ) -> DataFrame:
     """Left-outer nearest-in-time join; returns all left columns plus
     ``right_cols`` (default: every right column except keys), optionally
@@ -175,20 +176,91 @@ def nearest_join(
             lt.alias("_lt"),
             F.least(F.greatest(lb, F.lit(bmin)), F.lit(bmax)).alias("_lbk"),
         )
-    if iv_rows_bound <= broadcast_max_rows:
-        iv = F.broadcast(iv)
-    cond = [F.col("_lbk") == F.col("_bk")]
-    cond += [lk[b] == iv[k] for b, k in zip(by, rk)]
+    # 5. dense buckets: a bucket touched by more than ``max_bucket_intervals``
+    # intervals is cut into k uniform sub-buckets, so a left row checks about
+    # ``limit`` intervals however the right side clusters.  A bucket meets at
+    # most (raw right rows in it) + 2 intervals (its own rows' and one crossing
+    # in from each side), so hot buckets are found by
+    # one hash aggregate of the raw right side; the table has at most
+    # n / limit rows.
+    limit = max(1, int(max_bucket_intervals))
+    per_bucket = r0.groupBy(*rk, F.expr(f"_rt div {bucket_us}").alias("_b")).agg(
+        (F.count(F.lit(1)) + 2).alias("_c")
+    )
+    densest = per_bucket.agg(F.max("_c").alias("m")).first()["m"] if n else None
+    cond = [F.col(b) == F.col(k) for b, k in zip(by, rk)]
     cond.append(F.col("_lo").isNull() | (F.col("_lt") > F.col("_lo")))
     cond.append(F.col("_hi").isNull() | (F.col("_lt") <= F.col("_hi")))
-    joined = lk.join(iv, on=_and(cond), how="left")
+    if densest is None or densest <= limit:
+        # no dense bucket: the coarse buckets are the join key
+        if iv_rows_bound <= broadcast_max_rows:
+            iv = F.broadcast(iv)
+        joined = lk.join(iv, on=_and([F.col("_lbk") == F.col("_bk"), *cond]), how="left")
+    else:
+        joined = _join_subdivided(lk, iv, per_bucket, rk, by, lcols, bucket_us, limit, n, iv_rows_bound,
+                                  broadcast_max_rows, cond)
     payload = [F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in right_cols]
     if tolerance_seconds is not None:
         far = F.abs(F.col("_lt") - F.col("_rt")) > F.lit(int(tolerance_seconds * 1_000_000))
         payload = [
             F.when(far, F.lit(None)).otherwise(F.col(f"_p.{c}")).alias(f"{prefix}{c}") for c in right_cols
         ]
-    return joined.select(*[lk[c] for c in lcols], *payload)
+    return joined.select(*[F.col(c) for c in lcols], *payload)
+
+
+def _join_subdivided(lk, iv, per_bucket, rk, by, lcols, bucket_us, limit, n, iv_rows_bound, broadcast_max_rows, cond):
+    """Join through sub-buckets: buckets meeting more than ``limit``
+    intervals are cut into k = ceil(count / limit) uniform sub-buckets on
+    both sides (the hot-bucket table has at most n / limit rows)."""
+    hot = (
+        per_bucket.where(F.col("_c") > limit)
+        .select(
+            *[F.col(k).alias(f"_h{k}") for k in rk],
+            F.col("_b").alias("_hbk"),
+            F.ceil(F.col("_c") / F.lit(limit)).cast("long").alias("_k"),
+        )
+    )
+    if n // limit + 1 <= broadcast_max_rows:
+        hot = F.broadcast(hot)
+    hot_cond_iv = [F.col(k) == F.col(f"_h{k}") for k in rk] + [F.col("_bk") == F.col("_hbk")]
+    ivk = iv.join(hot, on=_and(hot_cond_iv), how="left").select(
+        *rk, "_p", "_rt", "_lo", "_hi", "_bk", F.coalesce("_k", F.lit(1)).alias("_k")
+    )
+    base = F.col("_bk") * F.lit(bucket_us)
+    flo = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(
+        F.greatest(F.col("_lo") + 1, base) - base
+    )
+    fhi = F.when(F.col("_hi").isNull(), F.lit(bucket_us - 1)).otherwise(
+        F.least(F.col("_hi"), base + F.lit(bucket_us - 1)) - base
+    )
+    ivf = ivk.select(
+        *rk,
+        "_p",
+        "_rt",
+        "_lo",
+        "_hi",
+        "_bk",
+        F.explode(
+            F.sequence(
+                F.floor(flo * F.col("_k") / F.lit(bucket_us)).cast("long"),
+                F.floor(fhi * F.col("_k") / F.lit(bucket_us)).cast("long"),
+            )
+        ).alias("_f"),
+    )
+    hot_l = [F.col(b) == F.col(f"_h{k}") for b, k in zip(by, rk)] + [F.col("_lbk") == F.col("_hbk")]
+    lkk = lk.join(hot, on=_and(hot_l), how="left")
+    lbase = F.col("_lbk") * F.lit(bucket_us)
+    tcl = F.least(F.greatest(F.col("_lt"), lbase), lbase + F.lit(bucket_us - 1)) - lbase
+    lkk = lkk.select(
+        *[F.col(c) for c in lcols],
+        "_lt",
+        "_lbk",
+        F.floor(tcl * F.coalesce(F.col("_k"), F.lit(1)) / F.lit(bucket_us)).cast("long").alias("_lf"),
+    )
+    if iv_rows_bound * 2 <= broadcast_max_rows:
+        ivf = F.broadcast(ivf)
+    keys = [F.col("_lbk") == F.col("_bk"), F.col("_lf") == F.col("_f")]
+    return lkk.join(ivf, on=_and([*keys, *cond]), how="left")
 
 
 def _tdiv(a: int, b: int) -> int:

@@ -48,3 +48,16 @@ def test_empty_right_gives_nulls(spark):
     left = [(1, T0, "a")]
     assert run(spark, left, []) == {1: None}
     assert run(spark, left, [], keyed=True) == {1: None}
+
+
+def test_dense_buckets_are_subdivided_exactly(spark):
+    rnd = random.Random(5)
+    # a third of the observations crowd into one minute, the rest spread over days
+    right = [(i, T0 + dt.timedelta(seconds=3600 + rnd.random() * 60), rnd.choice("ab")) for i in range(40)]
+    right += [(100 + i, T0 + dt.timedelta(seconds=rnd.randint(0, 4 * 86400)), rnd.choice("ab")) for i in range(80)]
+    left = [(i, T0 + dt.timedelta(seconds=3550 + rnd.random() * 160), rnd.choice("ab")) for i in range(150)]
+    left += [(1000 + i, T0 + dt.timedelta(seconds=rnd.randint(-3600, 5 * 86400)), rnd.choice("ab")) for i in range(150)]
+    want, want_k = brute(left, right), brute(left, right, keyed=True)
+    for kw in ({"max_bucket_intervals": 2}, {"max_bucket_intervals": 3, "broadcast_max_rows": 0}):
+        assert run(spark, left, right, **kw) == want
+        assert run(spark, left, right, keyed=True, **kw) == want_k
