@@ -102,3 +102,19 @@ def test_dashboard_refresh_runs_all_panels(spark):
     got = rp.refresh(rp.panels(me, mt.mart_bunching_hourly(me), dim), parallelism=3)
     assert len(got) == 10 and got["total"][0]["value"] == 6
     assert got["by_mode"][0]["mode"] == "Streetcar" and got["by_condition"][0]["weather"] == "Rain"
+
+
+def test_paced_replay_releases_one_snapshot_per_trigger(spark, tmp_dir):
+    feeds = spark.createDataFrame(
+        [({"timestamp": 1786582800 + 20 * i}, [{"id": "e1", "vehicle": {"vehicle": {"id": "7"}}}], f"2026-08-13 01:00:{20 * i:02d}") for i in range(3)],
+        "header struct<timestamp: bigint>, entity array<struct<id: string, vehicle: struct<vehicle: struct<id: string>>>>, file_time string",
+    ).withColumn("file_time", F.to_timestamp("file_time"))
+    root = os.path.join(tmp_dir, "raw")
+    write_archive(feeds, root)
+    q = replay(spark, root, os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "ckpt"), files_per_trigger=1, pace="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(os.path.join(tmp_dir, "bronze")).count() == 3
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3

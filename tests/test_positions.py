@@ -115,3 +115,12 @@ def test_clean_keeps_nan_drops_null(spark):
         "latitude double, longitude double, route_id string, current_stop_sequence int",
     )
     assert clean_positions(df).count() == 1
+
+
+def test_blank_ids_become_null_only_when_asked(spark):
+    ent = {"id": "e", "vehicle": {"vehicle": {"id": ""}, "trip": {"trip_id": "", "route_id": ""}}}
+    df = spark.createDataFrame([({"timestamp": 1}, [ent], 2)], StructType([*FEED_SCHEMA.fields, StructField("ingest_timestamp", LongType())]))
+    parity = flatten_feed(df).first()
+    assert parity["route_id"] == "" and parity["vehicle_id"] == ""
+    fixed = flatten_feed(df, blank_ids_as_null=True).first()
+    assert fixed["route_id"] is None and fixed["vehicle_id"] is None and fixed["trip_id"] is None
