@@ -13,7 +13,7 @@ The result equals the batch job over the same non-late rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,8 +54,11 @@ def run_stream_bunching(
         lo = done["until"]
         # Rows of snapshots closed earlier are late: dropped, as a watermark would.
         fresh = batch if lo is None else batch.where(F.col("feed_timestamp") >= F.lit(lo))
+        # The high-water mark is observed while staging: the batch is read once.
+        seen = Observation(f"hw-{batch_id}")
+        fresh = fresh.observe(seen, F.max("feed_timestamp").alias("m"))
         fresh.withColumn("date", F.to_date(ts)).write.mode("append").partitionBy("date").parquet(staging)
-        m = batch.agg(F.max("feed_timestamp").alias("m")).first()["m"]
+        m = seen.get.get("m")
         hw = max(x for x in (m, done["hw"]) if x is not None) if (m is not None or done["hw"] is not None) else None
         if hw is None:
             return
