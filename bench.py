@@ -25,7 +25,6 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from headway.operators.nearest import nearest_join  # noqa: E402
 from headway.operators.scd2 import scd2_apply  # noqa: E402

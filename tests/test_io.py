@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from headway.schemas import STOP_TYPES
 from headway.sources.files import (
-    parse_restrictions,
     read_archive,
     read_gtfs_csv,
     read_restrictions,

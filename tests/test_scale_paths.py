@@ -8,7 +8,6 @@ from contextlib import redirect_stdout
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from headway.operators.bunching import detect_bunching
 from headway.operators.nearest import nearest_join

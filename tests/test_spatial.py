@@ -1,7 +1,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
 
 from headway.functions.geo import haversine_m
 from headway.operators.spatial import within_radius
