@@ -1,4 +1,5 @@
 import os
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
