@@ -354,7 +354,7 @@ def stops_csv_rows(supplier: DataFrame) -> DataFrame:
     return supplier.select(
         sk.cast("string").alias("﻿stop_id"),
         F.when(sk % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("C"), sk.cast("string"))).alias("stop_code"),
-        F.concat(F.col("s_name"), F.lit(", Toronto")).alias("stop_name"),
+        F.concat(F.col("s_name"), F.lit(", Centre")).alias("stop_name"),
         F.format_string("%.6f", _coord(sk, 37, LAT0, LAT_STEP)).alias("stop_lat"),
         F.format_string("%.6f", _coord(sk, 91, LON0, LON_STEP)).alias("stop_lon"),
         (sk % 3).cast("string").alias("wheelchair_boarding"),

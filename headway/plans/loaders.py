@@ -85,7 +85,7 @@ def load_gtfs_dimensions(spark: SparkSession, gtfs_dir: str, out_dir: str, load_
     return out
 
 
-def load_road_restrictions(
+def load_restriction_snapshot(
     spark: SparkSession,
     restrictions_path: str,
     dim_stop: DataFrame,
@@ -111,7 +111,7 @@ def load_road_restrictions(
     full_refresh(pairs, f"{o}/stops_near_restrictions", keys=["stop_id", "restriction_id"])
 
 
-def load_weather(spark: SparkSession, docs_path: str, table_path: str, load_ts: str, multi_line: bool = True) -> int:
+def load_observations(spark: SparkSession, docs_path: str, table_path: str, load_ts: str, multi_line: bool = True) -> int:
     """Insert observations whose (station, time) is not stored yet; first
     write wins.  Returns the new version number."""
     incoming = read_weather(spark, docs_path, multi_line, loaded_at=load_ts)

@@ -75,12 +75,12 @@ def test_gtfs_csv_bom_quotes_and_types(spark, tmp_dir):
     p = os.path.join(tmp_dir, "stops.txt")
     with open(p, "w", encoding="utf-8-sig") as f:
         f.write('stop_id,stop_code,stop_name,stop_lat,stop_lon,wheelchair_boarding\n')
-        f.write('1,,"King St, West",43.650000,-79.380000,1\n')
+        f.write('1,,"Main St, West",43.650000,-79.380000,1\n')
         f.write('2,C2,"Say ""hi""",43.7,-79.4,\n')
     df = type_gtfs(read_gtfs_csv(spark, p), STOP_TYPES)
     rows = {r["stop_id"]: r for r in df.collect()}
     assert df.columns[0] == "stop_id"
-    assert rows["1"]["stop_code"] is None and rows["1"]["stop_name"] == "King St, West"
+    assert rows["1"]["stop_code"] is None and rows["1"]["stop_name"] == "Main St, West"
     assert rows["1"]["stop_lat"] == 43.65 and rows["2"]["stop_name"] == 'Say "hi"'
     assert rows["1"]["wheelchair_boarding"] == 1 and rows["2"]["wheelchair_boarding"] is None
 
@@ -105,7 +105,7 @@ def test_restrictions_with_broken_backslash(spark, tmp_dir):
 
 
 def test_weather_missing_objects_are_null(spark, tmp_dir):
-    d = {"properties": {"identifier": "on-143", "name": {"en": "Toronto"},
+    d = {"properties": {"identifier": "st-1", "name": {"en": "Central"},
                         "currentConditions": {"timestamp": {"en": "2026-08-13T01:00:00Z"},
                                               "temperature": {"value": {"en": 21.5}},
                                               "condition": {"en": "Cloudy"}}}}
@@ -113,7 +113,7 @@ def test_weather_missing_objects_are_null(spark, tmp_dir):
     with open(p, "w") as f:
         json.dump(d, f, indent=2)
     r = read_weather(spark, p).first()
-    assert r["station_id"] == "on-143" and r["temperature_c"] == 21.5 and r["wind_kmh"] is None
+    assert r["station_id"] == "st-1" and r["temperature_c"] == 21.5 and r["wind_kmh"] is None
     assert r["observed_at"].replace(tzinfo=None) == dt.datetime(2026, 8, 13, 1, 0, 0)
 
 

@@ -1,7 +1,7 @@
 import json
 import os
 
-from headway.plans.loaders import load_gtfs_dimensions, load_road_restrictions, load_weather
+from headway.plans.loaders import load_gtfs_dimensions, load_observations, load_restriction_snapshot
 from headway.sources.tables import read_snapshot
 
 
@@ -42,17 +42,17 @@ def test_restrictions_and_pairs(spark, tmp_dir):
     with open(p, "w") as f:
         f.write('{"Closure":[{"id":"R1","latitude":"43.65","longitude":"-79.38","expired":true,'
                 '"description":"Water \\ Sewer"},{"id":"R2","latitude":"","longitude":""}]}')
-    load_road_restrictions(spark, p, stops, tmp_dir, "2024-01-01 00:00:00")
+    load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-01 00:00:00")
     assert spark.read.parquet(os.path.join(tmp_dir, "road_restrictions")).count() == 2
     pairs = spark.read.parquet(os.path.join(tmp_dir, "stops_near_restrictions")).collect()
     assert [(r["stop_id"], r["restriction_id"]) for r in pairs] == [("s1", "R1")]
-    load_road_restrictions(spark, p, stops, os.path.join(tmp_dir, "b"), "2024-01-01", active_only=True)
+    load_restriction_snapshot(spark, p, stops, os.path.join(tmp_dir, "b"), "2024-01-01", active_only=True)
     assert spark.read.parquet(os.path.join(tmp_dir, "b", "stops_near_restrictions")).count() == 0
 
 
 def test_weather_insert_once(spark, tmp_dir):
     def doc(ts, temp):
-        return {"properties": {"identifier": "on-143", "name": {"en": "Toronto"},
+        return {"properties": {"identifier": "st-1", "name": {"en": "Central"},
                                "currentConditions": {"timestamp": {"en": ts}, "temperature": {"value": {"en": temp}}}}}
 
     d1, d2, table = (os.path.join(tmp_dir, x) for x in ("d1", "d2", "fw"))
@@ -60,7 +60,7 @@ def test_weather_insert_once(spark, tmp_dir):
         os.makedirs(d)
         with open(os.path.join(d, "w.json"), "w") as f:
             f.write("\n".join(json.dumps(x) for x in docs))
-    assert load_weather(spark, d1, table, "2024-01-01 00:05:00", multi_line=False) == 0
-    assert load_weather(spark, d2, table, "2024-01-01 01:05:00", multi_line=False) == 1
+    assert load_observations(spark, d1, table, "2024-01-01 00:05:00", multi_line=False) == 0
+    assert load_observations(spark, d2, table, "2024-01-01 01:05:00", multi_line=False) == 1
     rows = sorted((r["observed_at"].hour, r["temperature_c"]) for r in read_snapshot(spark, table).collect())
     assert rows == [(0, 1.0), (1, 2.0)]  # first write wins
