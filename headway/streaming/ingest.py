@@ -25,12 +25,16 @@ def read_position_stream(
     servers: str | None = None,
     options: Mapping[str, str] | None = None,
     max_files_per_trigger: int | None = None,
+    schema=None,
 ) -> DataFrame:
     """Stream of raw records with a ``value`` column (ST1).
 
     ``kafka`` subscribes to ``topic`` from the earliest offset on the first
     run; later runs resume from the checkpoint.  ``text`` reads files whose
     lines are JSON values (the same records, for tests and file drops).
+    Other file formats (``json``, ``parquet``, ``csv``) need ``schema`` (file
+    streams do not infer one); e.g. ``POSITION_SCHEMA`` to read position rows
+    directly, without ``ingest``.
     """
     opts = dict(options or {})
     if fmt == "kafka":
@@ -44,6 +48,8 @@ def read_position_stream(
             r = r.option(k, v)
         return r.load()
     r = spark.readStream.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in opts.items():

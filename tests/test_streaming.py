@@ -81,3 +81,16 @@ def test_stream_bunching_equals_batch(spark, tmp_dir):
     want = detect_bunching(silver_positions(pos, dim))
     assert got.count() == 12  # a-b (gap 0) and b-c (gap 1) in each of 6 snapshots
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_parquet_position_stream_with_schema(spark, tmp_dir):
+    from headway.operators.positions import conform_positions
+    from headway.schemas import POSITION_SCHEMA
+
+    pos = conform_positions(_positions(spark, _rows()))
+    src = os.path.join(tmp_dir, "pq")
+    pos.write.parquet(src)
+    s = read_position_stream(spark, fmt="parquet", path=src, schema=POSITION_SCHEMA)
+    q = s.writeStream.format("memory").queryName("pq_positions").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("pq_positions").count() == pos.count()
