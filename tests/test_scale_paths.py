@@ -111,3 +111,27 @@ def test_spatial_property(spark, a, b, radius):
     # pairs within 1 mm of the radius may differ by float rounding between engines
     border = {(f"s{i}", f"r{j}") for i, (x1, y1) in enumerate(a) for j, (x2, y2) in enumerate(b) if abs(_hav(x1, y1, x2, y2) - radius) < 1e-3}
     assert got - border == want - border
+
+
+snap_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["r1", "r2"]),
+        st.integers(min_value=0, max_value=2),
+        st.one_of(st.none(), st.sampled_from([f"v{i}" for i in range(12)])),
+        st.integers(min_value=0, max_value=6),
+    ),
+    min_size=0,
+    max_size=40,
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(rows=snap_rows)
+def test_split_detector_equals_window_property(spark, rows):
+    df = spark.createDataFrame(
+        [(r, r.upper(), ts, v, seq) for r, ts, v, seq in rows],
+        "route_id string, route_short_name string, feed_timestamp long, vehicle_id string, current_stop_sequence int",
+    )
+    a = sorted(map(tuple, detect_bunching(df, method="window").collect()))
+    b = sorted(map(tuple, detect_bunching(df, method="split").collect()))
+    assert a == b
