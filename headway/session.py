@@ -59,19 +59,15 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created
-    and registered; on a cluster the configured shared folder is always used.
+    Only where the session names none (local tests) a private folder is made;
+    on a cluster the configured shared folder is always used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="headway-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if not current:
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="headway-ckpt-"))
+        current = sc.getCheckpointDir()
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
