@@ -41,7 +41,7 @@ class AtomicFile:
     def __init__(self, uri: str):
         self.fs, self.path = local_or_remote(uri)
         self.part = f"{self.path}.{uuid.uuid4().hex}.tmp"
-        self.stream = self.fs.open_output_stream(self.part)
+        self.stream = self.fs.open_output_stream(self.part, compression=None)
 
     def __enter__(self):
         return self.stream

@@ -128,7 +128,7 @@ WITH units AS (
   SELECT *, array_to_string(list_transform(string_split(trim(regexp_replace(replace(
       regexp_replace(lower(unit), {quoted(licenses.COPYRIGHT_LINE)}, '', 'g'), '&', ' and '),
       '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' '),
-      w -> coalesce(({spelling})[w], w)), ' ') AS form
+      lambda w: coalesce(({spelling})[w], w)), ' ') AS form
   FROM units
 ), known AS (
   SELECT DISTINCT license, form FROM (VALUES {known}) k(license, text) JOIN forms ON forms.whole IS NULL AND forms.unit = k.text
@@ -156,7 +156,7 @@ def _quality_sql(documents: str = "documents") -> str:
     n_tests = len(quality.RULES) * len(quality.CUTOFFS)
     share = "CASE rule " + " ".join(f"WHEN '{r}' THEN {r}" for r in quality.RULES) + " END"
     p = quality.RISK / len(quality.RULES)
-    tail = f"""list_sum(list_transform(range(0, k + 1), i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+    tail = f"""list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
         + i * ln({p}) + (n - i) * ln(1 - {p}))))"""
     return f"""
 WITH words AS (
@@ -179,7 +179,7 @@ WITH words AS (
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals,
          coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-         len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) AS n_echoes
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes
   FROM words LEFT JOIN lines USING (id) LEFT JOIN repeated USING (id)
 ), judged AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

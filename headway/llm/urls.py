@@ -93,7 +93,7 @@ class DigestArray:
                 self.keys.append(np.load(path, mmap_mode="r"))
                 source = pa.memory_map(local_or_remote(rules)[1])
             else:
-                with fs.open_input_stream(path) as stream:
+                with fs.open_input_stream(path, compression=None) as stream:
                     self.keys.append(np.load(io.BytesIO(stream.read())))
                 source = fs.open_input_file(local_or_remote(rules)[1])
             table = pa.ipc.open_file(source).read_all()

@@ -201,7 +201,7 @@ def records(archive: str, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple]:
     such as a revisit, has one empty chunk.
     """
     fs, path = local_or_remote(archive)
-    with fs.open_input_stream(path) as stream:
+    with fs.open_input_stream(path, compression=None) as stream:
         source, n = _Members(stream, chunk_bytes), 0
         while (header := source.until(b"\r\n\r\n")) is not None:
             fields = _fields(header)
