@@ -38,17 +38,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     the one with the smallest text hash stays.
     """
     grouped = written(partenum.jaccard_groups(docs).filter("doc_id is not null").distinct(), "groups")
-    gone = grouped.groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("c < doc_id").select(F.col("doc_id").alias("_gone"))
+    gone = grouped.groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("c < doc_id").select(F.col("doc_id").alias("_hw_gone"))
     if gone.count() <= BROADCAST_IDS:  # 8 bytes each
         gone = F.broadcast(gone)
-    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again"))
+    left = docs.join(gone, docs["doc_id"] == gone["_hw_gone"], "left_anti")
+    again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_hw_again"))
     again = written(again, "again")
     if again.isEmpty():
         return left
-    once = left.join(again, left["doc_id"] == again["_again"], "left_semi")
-    first = once.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("_hash").dropDuplicates(["doc_id"]).drop("_hash")
-    return left.join(again, left["doc_id"] == again["_again"], "left_anti").unionByName(first)
+    once = left.join(again, left["doc_id"] == again["_hw_again"], "left_semi")
+    first = once.withColumn("_hw_hash", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("_hw_hash").dropDuplicates(["doc_id"]).drop("_hw_hash")
+    return left.join(again, left["doc_id"] == again["_hw_again"], "left_anti").unionByName(first)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -214,7 +214,7 @@ def decontaminate(
 
     # a carried text is sent to the tasks once
     at_text = names.index(text_col) if text_col in names else len(names)
-    sent = kept if text_col in names else docs.select(*names, F.col(text_col).alias("_text"))
+    sent = kept if text_col in names else docs.select(*names, F.col(text_col).alias("_hw_text"))
     return sent.mapInArrow(mark, schema)
 
 

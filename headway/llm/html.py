@@ -237,4 +237,4 @@ def extract(pages: DataFrame, *, html_col: str = "html", carry: list[str] | None
             texts = [main_text(x.as_py()) for x in batch.column(len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(texts, pa.string())], names=schema.names)
 
-    return pages.select(*names, F.col(html_col).alias("_html")).mapInArrow(run, schema)
+    return pages.select(*names, F.col(html_col).alias("_hw_html")).mapInArrow(run, schema)

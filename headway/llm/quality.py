@@ -58,38 +58,38 @@ def measure(docs: DataFrame, *, text_col: str = "text", carry: list[str] | None
         (F.length(text) - _without(text, _SPACES)).cast("long").alias("word_chars"),
         _without(text, _SYMBOLS).cast("long").alias("n_symbols"),
         _without(text, _CAPITALS).cast("long").alias("n_capitals"),
-        lines.alias("_lines"),
-        F.transform(F.array_remove(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), ""), lambda x: F.xxhash64(x)).alias("_words"),
+        lines.alias("_hw_lines"),
+        F.transform(F.array_remove(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), ""), lambda x: F.xxhash64(x)).alias("_hw_words"),
     )
-    size = F.size("_words")
+    size = F.size("_hw_words")
     at = F.sequence(F.lit(0), size - WINDOW)
-    windows = F.transform(at, lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)]))
+    windows = F.transform(at, lambda i: F.xxhash64(*[F.get("_hw_words", i + k) for k in range(WINDOW)]))
     pairs = F.sequence(F.lit(1), size - 1)
     hashed = split.select(
         *kept,
         "word_chars",
         "n_symbols",
         "n_capitals",
-        F.size("_lines").cast("long").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.size("_hw_lines").cast("long").alias("n_lines"),
+        (F.size("_hw_lines") - F.size(F.array_distinct("_hw_lines"))).cast("long").alias("n_dup_lines"),
         size.cast("long").alias("n_words"),
-        F.when(size >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")).alias("_windows"),
-        F.when(size > 1, F.size(F.filter(pairs, lambda i: F.get("_words", i) == F.get("_words", i - 1)))).otherwise(0).cast("long").alias("n_echoes"),
+        F.when(size >= WINDOW, windows).otherwise(F.array().cast("array<bigint>")).alias("_hw_windows"),
+        F.when(size > 1, F.size(F.filter(pairs, lambda i: F.get("_hw_words", i) == F.get("_hw_words", i - 1)))).otherwise(0).cast("long").alias("n_echoes"),
     )
     # only a text with a repeated window has its windows sorted
-    repeated = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    ordered = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    listed = hashed.select("*", F.when(repeated, ordered).alias("_sorted")).drop("_windows")
-    same = lambda a, k: F.get("_sorted", k)["h"] == a["h"]
+    repeated = F.size(F.array_distinct("_hw_windows")) < F.size("_hw_windows")
+    ordered = F.array_sort(F.transform("_hw_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    listed = hashed.select("*", F.when(repeated, ordered).alias("_hw_sorted")).drop("_hw_windows")
+    same = lambda a, k: F.get("_hw_sorted", k)["h"] == a["h"]
     places = F.array_sort(
         F.array_compact(
-            F.transform("_sorted", lambda a, k: F.when(F.coalesce(same(a, k - 1), F.lit(False)) | F.coalesce(same(a, k + 1), F.lit(False)), a["i"]))
+            F.transform("_hw_sorted", lambda a, k: F.when(F.coalesce(same(a, k - 1), F.lit(False)) | F.coalesce(same(a, k + 1), F.lit(False)), a["i"]))
         )
     )
-    placed = listed.select("*", places.alias("_places")).drop("_sorted")
+    placed = listed.select("*", places.alias("_hw_places")).drop("_hw_sorted")
     start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(
-        "_places",
+        "_hw_places",
         start,
         lambda acc, p: F.struct((p + WINDOW).alias("end"), (acc["n"] + p + WINDOW - F.greatest(p, acc["end"])).alias("n")),
         lambda acc: acc["n"],
@@ -151,7 +151,7 @@ def cutoffs(
     risk: float = RISK,
     error: float = ERROR,
 ) -> DataFrame:
-    """``stratum`` and, for each rule, the cutoff ``<rule>_cut`` (null: off); one row for each stratum with labels.
+    """``stratum`` and, for each rule, the cutoff ``_hw_<rule>_cut`` (null: off); one row for each stratum with labels.
 
     Rows that fail the base rules, or whose label or id is null, are left out; of
     several labels of an id the smallest counts.  A null stratum is a stratum of
@@ -186,7 +186,7 @@ def cutoffs(
     gain = F.col("hits") - GOOD_COST * F.col("k")
     best = F.max(F.when(gain > 0, F.struct(gain.alias("gain"), F.col("cutoff").alias("cutoff"))))["cutoff"]
     chosen = passed.groupBy("stratum", "rule").agg(best.alias("cutoff"))
-    return chosen.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"{r}_cut") for r in RULES])
+    return chosen.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_hw_{r}_cut") for r in RULES])
 
 
 def _stratum(column: str) -> Column:
@@ -197,10 +197,11 @@ def judge(measured: DataFrame, chosen: DataFrame, *, stratum_col: str = "lang")
     """``measured`` with ``base_failed`` and ``kept``; ``chosen`` has a row for each stratum."""
     over = F.lit(False)
     for rule, share in _shares().items():
-        over = over | F.coalesce(share > F.col(f"{rule}_cut"), F.lit(False))
+        over = over | F.coalesce(share > F.col(f"_hw_{rule}_cut"), F.lit(False))
     names = [c for c in measured.columns if c not in ("base_failed", "kept")]
-    joined = measured.withColumn("_stratum", _stratum(stratum_col)).join(chosen, F.col("_stratum") == F.col("stratum"), "left")
-    return joined.select(*[measured[c] for c in names], base_failed().alias("base_failed"), (~base_failed() & ~over).alias("kept"))
+    cuts = chosen.withColumnRenamed("stratum", "_hw_cut_stratum")
+    joined = measured.withColumn("_hw_stratum", _stratum(stratum_col)).join(cuts, F.col("_hw_stratum") == F.col("_hw_cut_stratum"), "left")
+    return joined.select(*names, base_failed().alias("base_failed"), (~base_failed() & ~over).alias("kept"))
 
 
 def quality_rules(

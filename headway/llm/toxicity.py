@@ -335,5 +335,5 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", carry: list[
             found = _loaded[key].scores(batch.column(at_text).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.float64())], names=schema.names)
 
-    sent = docs.select(*names) if text_col in names else docs.select(*names, F.col(text_col).alias("_text"))
+    sent = docs.select(*names) if text_col in names else docs.select(*names, F.col(text_col).alias("_hw_text"))
     return sent.mapInArrow(run, schema)
