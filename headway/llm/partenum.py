@@ -13,7 +13,7 @@ emits its first elements in the order of their hashes.
 Equal sets are one node from the start.  Within the sets of one signature, each
 is compared with the first only; what these comparisons and the links through
 other signatures leave in different components is compared pair by pair, behind
-a bound on the difference that 64 counters of each set give.  All comparisons
+a bound on the difference that 256 counters of each set give.  All comparisons
 are of the exact sets, recomputed from the texts.
 """
 
@@ -39,7 +39,8 @@ BAND = 1.5
 SMALL = 100
 #: Partitions of a band, over what its largest sets need.
 SPARE = 1.1
-COUNTERS = 64
+#: Counters of a set, and of them summed into one for a first look.
+COUNTERS, SUMMED = 256, 8
 #: Buckets that signatures are dealt out by, and signatures that a task holds before it sends them.
 BUCKETS = 1024
 HELD = 2_000_000
@@ -302,11 +303,11 @@ def _choose_threes(sets, owner, part, content, need, band):
 
 
 def counters(sets: list[np.ndarray]) -> list[bytes]:
-    """64 saturating counters of each set's elements; their difference is no more than the sets'."""
+    """256 saturating counters of each set's elements; their difference is no more than the sets'."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
     if not size.sum():
         return [bytes(COUNTERS)] * len(sets)
-    place = (np.concatenate(sets) >> _U(58)).astype(np.int64) + np.repeat(np.arange(len(sets)), size) * COUNTERS
+    place = (np.concatenate(sets) >> _U(56)).astype(np.int64) + np.repeat(np.arange(len(sets)), size) * COUNTERS
     table = np.minimum(np.bincount(place, minlength=len(sets) * COUNTERS), 255).astype(np.uint8).reshape(-1, COUNTERS)
     return [row.tobytes() for row in table]
 
@@ -405,12 +406,19 @@ def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int =
     return dealt.mapInArrow(gather, "sig long, node long, center long")
 
 
+def _room(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Difference that similar sets of these sizes may have; -1 if such sizes cannot be similar."""
+    common = _least_common(n_a + n_b)
+    return np.where(common <= np.minimum(n_a, n_b), n_a + n_b - 2 * common, -1)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(axis=-1)
+
+
 def _near(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """May rows of counters be of similar sets?"""
-    total = n_a + n_b
-    common = _least_common(total)
-    apart = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(axis=-1)
-    return (common <= np.minimum(n_a, n_b)) & (apart <= total - 2 * common)
+    return _apart(a, b) <= _room(n_a, n_b)
 
 
 def _rows(column: pa.Array) -> np.ndarray:
@@ -498,13 +506,16 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
             rows = pa.Table.from_batches(held).combine_chunks()
             mine, node, root, n = (rows.column(k).to_numpy() for k in ("mine", "node", "root", "n"))
             table = _rows(rows.column("counters"))
+            coarse = table.reshape(len(table), -1, SUMMED).sum(axis=2, dtype=np.int16)
             first = np.flatnonzero(mine == key[1])
             second = np.flatnonzero(mine == key[2])
             for k in first.tolist():
                 with_ = second[second > k] if key[1] == key[2] else second
                 with_ = with_[root[with_] != root[k]]
-                if len(with_):
-                    with_ = with_[_near(n[k], n[with_], table[k], table[with_])]
+                room = _room(n[k], n[with_])
+                for level in (coarse, table):  # the sums rule most out
+                    keep = room >= 0 if not len(with_) else _apart(level[k], level[with_]) <= room
+                    with_, room = with_[keep], room[keep]
                 if len(with_):
                     x = np.full(len(with_), node[k])
                     ends = np.minimum(x, node[with_]), np.maximum(x, node[with_])
