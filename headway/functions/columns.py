@@ -48,7 +48,6 @@ MODE_OTHER = "Other"
 SEVERITY_LABELS = {0: "Same stop", 1: "One stop apart"}
 
 # Placeholder for an already-valid escaped backslash while lone ones are fixed.
-_PAIR_MARK = "\u0001"
 
 
 def _c(c) -> Column:
@@ -136,11 +135,9 @@ def repair_json_backslashes(c) -> Column:
     Valid ``\\\\`` pairs are consumed first (finding F6), so an already escaped
     backslash followed by a letter stays valid instead of becoming three.
     """
-    col = _c(c)
-    protected = F.regexp_replace(col, r"\\\\", _PAIR_MARK)
-    # Replacement text is Java's: each "\\\\" pair yields one backslash.
-    fixed = F.regexp_replace(protected, r"""\\(?!["\\/bfnrtu])""", r"\\\\")
-    return F.regexp_replace(fixed, _PAIR_MARK, r"\\\\")
+    # In a run of backslashes the pairs come first; an odd last one is lone
+    # unless it starts an escape, \\u with its four digits included.
+    return F.regexp_replace(_c(c), r"""(?<!\\)((?:\\\\)*)\\(?!["\\/bfnrt]|u[0-9a-fA-F]{4})""", r"$1\\\\")
 
 
 def round_half_up(c, scale: int) -> Column:

@@ -32,11 +32,12 @@ def detect_bunching(
     Order is ``(current_stop_sequence, vehicle_id NULLS FIRST)`` so ties are
     broken deterministically (finding F3).  Only adjacent pairs: k vehicles at
     one stop give k-1 events.  A row with a NULL vehicle keeps its place and
-    blocks pairs across it; a pair of a vehicle with itself is dropped.
+    blocks pairs across it; a pair of a vehicle with itself is dropped.  A row
+    without a stop sequence has no place and is left out.
 
     ``method="window"`` is the direct form: one ``lag`` window over the whole
-    group.  ``method="split"`` (default, ``max_gap`` must be 1) never sorts a
-    whole route/snapshot in one task: rows are clustered by
+    group.  ``method="split"`` (default) never sorts a whole route/snapshot in
+    one task: rows are clustered by
     ``(group, stop)``; same-stop pairs come from ``lag`` inside a stop; the
     cross-stop pair needs only each stop's opening row, so the second window
     over the whole group sees one row per distinct stop.  A route/snapshot
@@ -46,10 +47,10 @@ def detect_bunching(
     """
     partition = list(partition)
     keep = [c for c in keep if c not in EVENT_COLUMNS and c not in partition]
-    if method == "split" and max_gap == 1:
-        events = _split(silver, partition, keep)
-    else:
-        events = _window(silver, partition, max_gap, keep)
+    if max_gap < 0 or method not in ("split", "window"):
+        raise ValueError("max_gap must not be negative, and method split or window")
+    silver = silver.where(F.col("current_stop_sequence").isNotNull())
+    events = (_split if method == "split" else _window)(silver, partition, max_gap, keep)
     extra = [c for c in partition if c not in EVENT_COLUMNS]
     cols = EVENT_COLUMNS + extra + keep
     events = events.select(*cols)
@@ -79,7 +80,7 @@ def _window(silver: DataFrame, partition, max_gap: int, keep) -> DataFrame:
     )
 
 
-def _split(silver: DataFrame, partition, keep) -> DataFrame:
+def _split(silver: DataFrame, partition, max_gap: int, keep) -> DataFrame:
     seq = "current_stop_sequence"
     vid = F.col("vehicle_id")
     sub = [*partition, seq]
@@ -109,19 +110,19 @@ def _split(silver: DataFrame, partition, keep) -> DataFrame:
         F.lag("_last").over(w2).alias("_plast"),
         F.lag(seq).over(w2).alias("_pseq"),
     )
-    gap1 = (
+    across = (
         F.col("_first")
         & vid.isNotNull()
         & F.col("_plast").isNotNull()
-        & (F.col("_pseq") == F.col(seq) - 1)
+        & (F.col(seq) - F.col("_pseq") <= max_gap)
         & (F.col("_plast") != vid)
     )
     gap0 = ~F.col("_first")
-    return r.where(gap0 | gap1).select(
+    return r.where(gap0 | across).select(
         *partition,
         *rsn,
         vid.alias("vehicle_id_b"),
         F.when(gap0, F.col("_a0")).otherwise(F.col("_plast")).alias("vehicle_id_a"),
-        F.when(gap0, F.lit(0)).otherwise(F.lit(1)).alias("stop_sequence_gap"),
+        F.when(gap0, F.lit(0)).otherwise(F.col(seq) - F.col("_pseq")).alias("stop_sequence_gap"),
         *keep,
     )

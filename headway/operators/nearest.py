@@ -1,29 +1,20 @@
 """Nearest-in-time join (J3): for each left row, the one right row whose time
 is closest, in the past or the future.
 
-Spark cannot decorrelate ``LATERAL (... ORDER BY abs(dt) LIMIT 1)``, so the
-join is rewritten into an equi-join:
-
-1. the right side is reduced to one row per ``(by, time)`` (ties broken by
-   ``tie_cols``), a map-side combined aggregation;
-2. each right row owns the half-open interval ``(mid(prev, t), mid(t, next)]``
-   of the time line (``mid(a, b) = a + (b - a) div 2`` in microseconds), so an
-   exact tie between a past and a future row goes to the earlier one; the
-   first interval is open to the left, the last to the right;
-3. intervals are cut into fixed-width time buckets (``explode(sequence)``);
-   the bucket width defaults to the mean gap between right rows, so about
-   two intervals touch a bucket;
-4. the left side joins on ``(by, bucket)`` with the residual interval test.
-   Left times outside the right side's range are clamped into its first or
-   last bucket, where the open-ended interval matches them.
-
-The interval table has about ``2 * |right|`` rows.  One aggregate row of the
-raw right side gives the bucket width and a proven bound on that count; the
-table is broadcast only when the bound is below ``broadcast_max_rows``;
-otherwise the join shuffles on ``(by, bucket)`` and AQE splits skewed left
-buckets.  Neighbours are found per
-day bucket with a carry-in from the previous/next non-empty day, so no window
-ever sorts the whole right side in one task.
+Spark cannot decorrelate ``LATERAL (... ORDER BY abs(dt) LIMIT 1)``.  Here both
+sides become one time line: one row for each (key, time) of either side, with
+the right row of that time where there is one (copies of a time are combined
+map-side).  The line is cut at quantiles of the times, so a slice holds about
+as many points whether the times are even or crowd into a minute, and inside a
+slice the last right row before and the first after each point are running
+values of two windows.  What a slice does not know, the last and first right
+row of the slices around it, comes from one row for each key and slice.  The
+nearer of the two neighbours is joined back to the left rows by (key, time).
+
+No bucket width has to be guessed, nothing is exploded, and no side is
+broadcast by assumption.  The quantiles are the only statistic taken while the
+plan is built (one aggregate row); all points of a time are one row, so a
+repeated time does not fill a slice.
 """
 
 from __future__ import annotations
@@ -34,11 +25,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import micros
-from headway.session import cut_lineage
-from headway.operators.joins import DEFAULT_BROADCAST_ROWS
 
-_DAY_US = 86_400_000_000
-_MIN_BUCKET_US = 1_000_000
+#: Relative accuracy of the quantiles; it moves the cuts, not the result.
+_ACCURACY = 2000
 
 
 def nearest_join(
@@ -51,230 +40,105 @@ def nearest_join(
     right_cols: Sequence[str] | None = None,
     tie_cols: Sequence[str] = (),
     tolerance_seconds: float | None = None,
-    bucket_seconds: float | None = None,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
     prefix: str = "",
-    checkpoint_right: bool = False,
-    max_bucket_intervals: int = 64,
+    slices: int | None = None,
 ) -> DataFrame:
     """Left-outer nearest-in-time join; returns all left columns plus
     ``right_cols`` (default: every right column except keys), optionally
-    prefixed.  A left row gets NULLs when the right side (for its key) is
-    empty or, with ``tolerance_seconds``, when the nearest row is farther.
+    prefixed.  Of two equally near rows the earlier one is taken, of right rows
+    of one time that with the smallest ``tie_cols``, then payload.  A left row
+    gets NULLs when the right side (for its key) is empty, its time is NULL or,
+    with ``tolerance_seconds``, the nearest row is farther.  ``slices`` (default:
+    the shuffle partitions) is the number of parts of the time line.
     """
     by = list(by or [])
     right_by = list(right_by or by)
     if right_cols is None:
         right_cols = [c for c in right.columns if c not in right_by]
     right_cols = list(right_cols)
-    rk = [f"_rk{i}" for i in range(len(by))]
-
-    # 1. one row per (key, time); ties -> smallest tie_cols, then payload.
-    r0 = right.select(
-        *[F.col(c).alias(k) for c, k in zip(right_by, rk)],
-        micros(right_time).alias("_rt"),
-        *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_cols)],
-        F.struct(*[F.col(c) for c in right_cols]).alias("_p"),
-    ).where(F.col("_rt").isNotNull())
-    r = r0.groupBy(*rk, "_rt").agg(
-        F.min(F.struct(*[F.col(f"_t{i}") for i in range(len(tie_cols))], "_p")).alias("_b")
-    ).select(*rk, "_rt", F.col("_b._p").alias("_p"))
+    keys = [f"_k{i}" for i in range(len(by))]
 
-    # 2. previous / next right time per key, with day-bucket carry-in.
-    r = r.withColumn("_d", F.expr(f"_rt div {_DAY_US}"))
-    w_in = Window.partitionBy(*rk, "_d").orderBy("_rt")
-    r = r.withColumn("_prev", F.lag("_rt").over(w_in)).withColumn("_next", F.lead("_rt").over(w_in))
-    days = r.groupBy(*rk, "_d").agg(F.min("_rt").alias("_dmin"), F.max("_rt").alias("_dmax"))
-    # One row per (key, day): bounded by the days spanned, not by data volume
-    # (a century is 36,525 rows), so even the unkeyed case is a small window.
-    w_day = Window.partitionBy(*rk).orderBy("_d")
-    days = days.select(
-        *rk,
-        "_d",
-        F.lag("_dmax").over(w_day).alias("_pday"),
-        F.lead("_dmin").over(w_day).alias("_nday"),
+    ties = F.struct(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_cols)], F.struct(*right_cols).alias("_p"))
+    seen = right.select(
+        *[F.col(c).alias(k) for c, k in zip(right_by, keys, strict=True)], micros(right_time).alias("_t"), ties.alias("_row")
     )
-    r = r.join(days, on=[*rk, "_d"], how="inner").select(
-        *rk,
-        "_rt",
-        "_p",
-        F.coalesce("_prev", "_pday").alias("_prev"),
-        F.coalesce("_next", "_nday").alias("_next"),
+    asked = left.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], micros(left_time).alias("_t"))
+    cuts = _cuts(seen.select("_t"), asked.select("_t"), slices or _shuffle_partitions(left))
+
+    # The time line: one row for each (key, time); _row is NULL where only the left side has the time.
+    nothing = F.lit(None).cast(seen.schema["_row"].dataType)
+    line = (
+        seen.unionByName(asked.distinct().withColumn("_row", nothing))
+        .where(F.col("_t").isNotNull())
+        .groupBy(*keys, "_t")
+        .agg(F.min("_row").alias("_row"))
+        .withColumn("_s", _slice(F.col("_t"), cuts))
     )
-    lo = F.col("_prev") + F.expr("(_rt - _prev) div 2")
-    hi = F.col("_rt") + F.expr("(_next - _rt) div 2")
-    r = r.select(*rk, "_rt", "_p", lo.alias("_lo"), hi.alias("_hi"))
-    if checkpoint_right:
-        # Reused by several joins: cut lineage with a reliable checkpoint in
-        # the shared checkpoint folder.
-        r = cut_lineage(r)
+    here = F.when(F.col("_row").isNotNull(), F.struct(F.col("_t").alias("t"), F.col("_row._p").alias("p")))
+    line = line.select(*keys, "_s", "_t", here.alias("_here"))
 
-    # 3. bucket width and per-key covered bucket range, from one small
-    # aggregate of the *raw* right side (no need to build the intervals
-    # twice).  Raw rows >= distinct times, so the bound below stays an upper
-    # bound: the intervals of a key tile its range, so their buckets number
-    # at most span / width + rows + 2 per key.
-    stats = r0.groupBy(*rk).agg(
-        F.min("_rt").alias("_kmin"), F.max("_rt").alias("_kmax"), F.count(F.lit(1)).alias("_kn")
+    up = Window.partitionBy(*keys, "_s").orderBy("_t")
+    down = Window.partitionBy(*keys, "_s").orderBy(F.desc("_t"))
+    known = line.select(
+        *keys, "_s", "_t", F.last("_here", True).over(up).alias("_before"), F.last("_here", True).over(down).alias("_after")
     )
-    g = stats.agg(
-        F.sum(F.col("_kmax") - F.col("_kmin")).alias("span"),
-        F.sum("_kn").alias("n"),
-        F.count(F.lit(1)).alias("keys"),
-        F.min("_kmin").alias("kmin"),
-        F.max("_kmax").alias("kmax"),
-    ).first()
-    span, n, nkeys = (g["span"] or 0), (g["n"] or 0), (g["keys"] or 0)
-    if bucket_seconds is None:
-        bucket_us = max(_MIN_BUCKET_US, int(span // max(1, n)))
-    else:
-        bucket_us = max(1, int(bucket_seconds * 1_000_000))
-    iv_rows_bound = n + span // bucket_us + 2 * nkeys
-    # Open ends cover only the bucket of their own row; left times beyond
-    # are clamped into it.  ``div`` is monotonic, so (lo, hi] maps to a
-    # contiguous bucket range on both sides.
-    iv = r.withColumn("_blo", F.coalesce(F.col("_lo") + 1, F.col("_rt"))).withColumn(
-        "_bhi", F.coalesce(F.col("_hi"), F.col("_rt"))
+    # The nearest right rows outside a slice; a row for each key and slice, at most `slices` for a key.
+    ends = line.groupBy(*keys, "_s").agg(
+        F.max_by("_here", F.when(F.col("_here").isNotNull(), F.col("_t"))).alias("_last"),
+        F.min_by("_here", F.when(F.col("_here").isNotNull(), F.col("_t"))).alias("_first"),
     )
-    iv = iv.select(
-        *rk,
-        "_p",
-        "_rt",
-        "_lo",
-        "_hi",
-        F.explode(
-            F.sequence(F.expr(f"_blo div {bucket_us}"), F.expr(f"_bhi div {bucket_us}"))
-        ).alias("_bk"),
+    earlier = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
+    around = ends.select(
+        *[F.col(k).alias(f"_e{k}") for k in keys],
+        F.col("_s").alias("_es"),
+        F.last("_last", True).over(earlier).alias("_far_before"),
+        F.last("_first", True).over(later).alias("_far_after"),
     )
-    bounds = stats.select(
-        *rk,
-        F.expr(f"_kmin div {bucket_us}").alias("_bmin"),
-        F.expr(f"_kmax div {bucket_us}").alias("_bmax"),
+    same = F.col("_s") == F.col("_es")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_e{k}"))
+    both = known.join(around, same).select(
+        *keys,
+        "_t",
+        F.coalesce("_before", "_far_before").alias("_before"),
+        F.coalesce("_after", "_far_after").alias("_after"),
     )
-
-    # 4. clamp left buckets into the covered range and join.
-    lcols = left.columns
-    lt = micros(left_time)
-    lb = F.expr(f"unix_micros(cast({_quote(left_time)} as timestamp)) div {bucket_us}")
-    if by:
-        lb_df = left.join(
-            F.broadcast(bounds) if nkeys <= broadcast_max_rows else bounds,
-            on=[F.col(b) == F.col(k) for b, k in zip(by, rk)],
-            how="left",
-        )
-        lk = lb_df.select(
-            *[F.col(c) for c in lcols],
-            lt.alias("_lt"),
-            F.least(F.greatest(lb, F.col("_bmin")), F.col("_bmax")).alias("_lbk"),
-        )
-    elif n == 0:
-        lk = left.select(*lcols, lt.alias("_lt"), F.lit(None).cast("long").alias("_lbk"))
-    else:
-        bmin, bmax = _tdiv(g["kmin"], bucket_us), _tdiv(g["kmax"], bucket_us)
-        lk = left.select(
-            *lcols,
-            lt.alias("_lt"),
-            F.least(F.greatest(lb, F.lit(bmin)), F.lit(bmax)).alias("_lbk"),
-        )
-    # 5. dense buckets: a bucket touched by more than ``max_bucket_intervals``
-    # intervals is cut into k uniform sub-buckets, so a left row checks about
-    # ``limit`` intervals however the right side clusters.  A bucket meets at
-    # most (raw right rows in it) + 2 intervals (its own rows' and one crossing
-    # in from each side), so hot buckets are found by
-    # one hash aggregate of the raw right side; the table has at most
-    # n / limit rows.
-    limit = max(1, int(max_bucket_intervals))
-    per_bucket = r0.groupBy(*rk, F.expr(f"_rt div {bucket_us}").alias("_b")).agg(
-        (F.count(F.lit(1)) + 2).alias("_c")
-    )
-    densest = per_bucket.agg(F.max("_c").alias("m")).first()["m"] if n else None
-    cond = [F.col(b) == F.col(k) for b, k in zip(by, rk)]
-    cond.append(F.col("_lo").isNull() | (F.col("_lt") > F.col("_lo")))
-    cond.append(F.col("_hi").isNull() | (F.col("_lt") <= F.col("_hi")))
-    if densest is None or densest <= limit:
-        # no dense bucket: the coarse buckets are the join key
-        if iv_rows_bound <= broadcast_max_rows:
-            iv = F.broadcast(iv)
-        joined = lk.join(iv, on=_and([F.col("_lbk") == F.col("_bk"), *cond]), how="left")
-    else:
-        joined = _join_subdivided(lk, iv, per_bucket, rk, by, lcols, bucket_us, limit, n, iv_rows_bound,
-                                  broadcast_max_rows, cond)
-    payload = [F.col(f"_p.{c}").alias(f"{prefix}{c}") for c in right_cols]
+    to_before, to_after = F.col("_t") - F.col("_before.t"), F.col("_after.t") - F.col("_t")
+    nearest = F.when(F.col("_after").isNull() | (to_before <= to_after), F.col("_before")).otherwise(F.col("_after"))
+    found = both.select(*[F.col(k).alias(f"_f{k}") for k in keys], F.col("_t").alias("_ft"), nearest.alias("_near"))
+
+    condition = micros(left_time) == F.col("_ft")
+    for c, k in zip(by, keys, strict=True):
+        condition = condition & (F.col(c) == F.col(f"_f{k}"))
+    joined = left.join(found.where("_near is not null"), condition, "left")
+    payload = [F.col(f"_near.p.{c}") for c in right_cols]
     if tolerance_seconds is not None:
-        far = F.abs(F.col("_lt") - F.col("_rt")) > F.lit(int(tolerance_seconds * 1_000_000))
-        payload = [
-            F.when(far, F.lit(None)).otherwise(F.col(f"_p.{c}")).alias(f"{prefix}{c}") for c in right_cols
-        ]
-    return joined.select(*[F.col(c) for c in lcols], *payload)
+        near = F.abs(F.col("_ft") - F.col("_near.t")) <= F.lit(int(tolerance_seconds * 1_000_000))
+        payload = [F.when(near, c) for c in payload]
+    return joined.select(*[F.col(c) for c in left.columns], *[p.alias(f"{prefix}{c}") for p, c in zip(payload, right_cols, strict=True)])
 
 
-def _join_subdivided(lk, iv, per_bucket, rk, by, lcols, bucket_us, limit, n, iv_rows_bound, broadcast_max_rows, cond):
-    """Join through sub-buckets: buckets meeting more than ``limit``
-    intervals are cut into k = ceil(count / limit) uniform sub-buckets on
-    both sides (the hot-bucket table has at most n / limit rows)."""
-    hot = (
-        per_bucket.where(F.col("_c") > limit)
-        .select(
-            *[F.col(k).alias(f"_h{k}") for k in rk],
-            F.col("_b").alias("_hbk"),
-            F.ceil(F.col("_c") / F.lit(limit)).cast("long").alias("_k"),
-        )
-    )
-    if n // limit + 1 <= broadcast_max_rows:
-        hot = F.broadcast(hot)
-    hot_cond_iv = [F.col(k) == F.col(f"_h{k}") for k in rk] + [F.col("_bk") == F.col("_hbk")]
-    ivk = iv.join(hot, on=_and(hot_cond_iv), how="left").select(
-        *rk, "_p", "_rt", "_lo", "_hi", "_bk", F.coalesce("_k", F.lit(1)).alias("_k")
-    )
-    base = F.col("_bk") * F.lit(bucket_us)
-    flo = F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(
-        F.greatest(F.col("_lo") + 1, base) - base
-    )
-    fhi = F.when(F.col("_hi").isNull(), F.lit(bucket_us - 1)).otherwise(
-        F.least(F.col("_hi"), base + F.lit(bucket_us - 1)) - base
-    )
-    ivf = ivk.select(
-        *rk,
-        "_p",
-        "_rt",
-        "_lo",
-        "_hi",
-        "_bk",
-        F.explode(
-            F.sequence(
-                F.floor(flo * F.col("_k") / F.lit(bucket_us)).cast("long"),
-                F.floor(fhi * F.col("_k") / F.lit(bucket_us)).cast("long"),
-            )
-        ).alias("_f"),
-    )
-    hot_l = [F.col(b) == F.col(f"_h{k}") for b, k in zip(by, rk)] + [F.col("_lbk") == F.col("_hbk")]
-    lkk = lk.join(hot, on=_and(hot_l), how="left")
-    lbase = F.col("_lbk") * F.lit(bucket_us)
-    tcl = F.least(F.greatest(F.col("_lt"), lbase), lbase + F.lit(bucket_us - 1)) - lbase
-    lkk = lkk.select(
-        *[F.col(c) for c in lcols],
-        "_lt",
-        "_lbk",
-        F.floor(tcl * F.coalesce(F.col("_k"), F.lit(1)) / F.lit(bucket_us)).cast("long").alias("_lf"),
-    )
-    if iv_rows_bound * 2 <= broadcast_max_rows:
-        ivf = F.broadcast(ivf)
-    keys = [F.col("_lbk") == F.col("_bk"), F.col("_lf") == F.col("_f")]
-    return lkk.join(ivf, on=_and([*keys, *cond]), how="left")
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _tdiv(a: int, b: int) -> int:
-    """Integer division truncating toward zero, like SQL ``div``."""
-    q = abs(a) // b
-    return -q if a < 0 else q
+def _cuts(seen: DataFrame, asked: DataFrame, slices: int) -> list[int]:
+    """Times that cut the line into about equally full slices."""
+    if slices < 2:
+        return []
+    shares = [i / slices for i in range(1, slices)]
+    row = seen.unionByName(asked).agg(F.percentile_approx("_t", shares, _ACCURACY).alias("q")).first()
+    return sorted(set(row["q"] or []))
 
 
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+def _slice(t: Column, cuts: list[int]) -> Column:
+    """How many cuts are at or before ``t``, by halving."""
 
+    def halve(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(t >= F.lit(cuts[mid]), halve(mid + 1, hi)).otherwise(halve(lo, mid))
 
-def _and(conds: list[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    return halve(0, len(cuts))

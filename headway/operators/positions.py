@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.columns import OCCUPANCY_STATUS, VEHICLE_STOP_STATUS, blank_to_null, enum_name
-from headway.operators.joins import join_small
+from headway.operators.joins import join_dimension
 from headway.schemas import POSITION_COLUMNS, POSITION_SCHEMA
 
 # Columns that must be present for a position to take part in bunching.
@@ -148,13 +148,13 @@ def enrich_routes(
     positions: DataFrame,
     dim_route: DataFrame,
     columns: Sequence[str] = ("route_short_name", "route_long_name"),
-    broadcast_max_rows: int = 1_000_000,
+    checked: bool = True,
 ) -> DataFrame:
     """positions LEFT JOIN current routes USING (route_id).
 
-    The dimension is filtered to current rows and pruned to ``columns``; it is
-    broadcast only after its row count is checked against ``broadcast_max_rows``
-    (otherwise a shuffled join on route_id).
+    The dimension is filtered to current rows and pruned to ``columns``.  Two
+    current rows of a route are an error, not two copies of its positions
+    (``checked``; finding F18).
     """
     dim = current(dim_route).select("route_id", *columns)
-    return join_small(positions, dim, on=["route_id"], how="left", max_rows=broadcast_max_rows)
+    return join_dimension(positions, dim, ["route_id"], checked=checked)

@@ -46,11 +46,13 @@ def scd2_diff(
     ``change`` in new / changed / missing / same.  Values are compared after
     blank -> NULL and a cast to the dimension's type, so ``""`` equals NULL,
     ``0`` equals ``"0"`` and ``43.65`` equals ``"43.650000"`` (F7).
-    ``incoming`` must be unique on ``key`` (see :func:`last_row_wins`).
+    ``incoming`` must be unique on ``key`` (see :func:`last_row_wins`); rows
+    without a key, on either side, are not classified.
     """
     tmap = _types(current, tracked, types)
     cur = current.select(F.col(key).alias("_ck"), *[F.col(c).alias(f"_c_{c}") for c in tracked])
     inc = incoming.select(F.col(key).alias("_ik"), *[F.col(c).alias(f"_i_{c}") for c in tracked])
+    cur, inc = cur.where(F.col("_ck").isNotNull()), inc.where(F.col("_ik").isNotNull())
     j = cur.join(inc, F.col("_ck") == F.col("_ik"), "full_outer")
     changed: Column = F.lit(False)
     for c in tracked:
@@ -79,6 +81,17 @@ def scd2_counts(diff: DataFrame) -> DataFrame:
     )
 
 
+def scd2_counts_of(history: DataFrame, load_ts) -> DataFrame:
+    """Rows of a history that one load opened and closed, and its open rows (Q5)."""
+    ts = F.lit(load_ts).cast("timestamp") if not isinstance(load_ts, Column) else load_ts
+    one = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("long")
+    return history.agg(
+        one(F.col("valid_from") == ts).alias("opened"),
+        one(F.col("valid_to") == ts).alias("closed"),
+        one(F.col("is_current")).alias("open"),
+    )
+
+
 def scd2_apply(
     history: DataFrame,
     incoming: DataFrame,
@@ -92,7 +105,8 @@ def scd2_apply(
 
     Open rows of changed or missing keys are closed (``valid_to = load_ts``,
     ``is_current = false``); new and changed keys get an open row from
-    ``load_ts``; closed history and unchanged rows pass through.  Intervals
+    ``load_ts``; closed history and unchanged rows pass through, and so do rows
+    with a NULL ``is_current`` or key.  Incoming rows without a key are left out.  Intervals
     are half-open and gap-free because the same ``load_ts`` closes and opens.
     ``surrogate_key`` (if named) is ``xxhash64(key, valid_from)`` for new rows.
 
@@ -105,8 +119,11 @@ def scd2_apply(
     cols = history.columns
     schema = {f.name: f.dataType for f in history.schema.fields}
     tmap = _types(history, tracked, types)
-    open_rows = history.where(F.col("is_current"))
-    closed_before = history.where(~F.col("is_current"))
+    # rows that are not open, or that no incoming key can name, stay as they are
+    may_change = F.coalesce(F.col("is_current"), F.lit(False)) & F.col(key).isNotNull()
+    open_rows = history.where(may_change)
+    closed_before = history.where(~may_change)
+    incoming = incoming.where(F.col(key).isNotNull())
 
     old = open_rows.select(F.col(key).alias("_ok"), F.struct(*[F.col(c) for c in cols]).alias("_old"))
     inc = incoming.select(F.col(key).alias("_ik"), *[F.col(c).alias(f"_i_{c}") for c in tracked])

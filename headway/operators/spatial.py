@@ -2,12 +2,11 @@
 
 Both sides get integer grid cells whose size is derived from the radius (and
 widened in longitude for the highest latitude present), so every pair within
-the radius lies in the same or a neighbouring cell.  One side is replicated
-into its 3 x 3 neighbourhood, the join is an equi-join on the cell, and the
-exact haversine distance is the residual filter.  The replicated side is
-broadcast only when its row count is proven small; otherwise both sides
-shuffle on the cell and AQE splits hot cells.  Candidates per pair are a
-constant factor of the true pairs, never a cross product.
+the radius lies in the same or a neighbouring cell.  One side is copied into its
+3 x 3 neighbourhood, the join is an equi-join on the cell, and the exact
+haversine distance is the residual filter.  Spark broadcasts a side by its size
+in bytes, or shuffles both on the cell, where AQE splits hot cells.  Candidates
+per pair are a constant factor of the true pairs, never a cross product.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.geo import cell_size_deg, grid_cell, haversine_m, neighbour_cells
-from headway.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 
 # The reference grid of 0.001 degree cells (compat mode only).
 COMPAT_CELL_DEG = 0.001
@@ -32,8 +30,7 @@ def within_radius(
     center_cols: Sequence[str] = ("restriction_id", "latitude", "longitude"),
     max_abs_lat: float | None = None,
     compat_grid: bool = False,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS,
-    replicate: str = "auto",
+    replicate: str = "centers",
 ) -> DataFrame:
     """``(point_id, center_id, distance_m)`` for every pair within the radius.
 
@@ -42,10 +39,10 @@ def within_radius(
     longitude cells are two apart (finding F4); it exists only to show that
     difference.
 
-    ``replicate`` names the side copied into its 3 x 3 neighbourhood:
-    ``"centers"``, ``"points"``, or ``"auto"`` (the centres when their
-    replicated rows are proven below ``broadcast_max_rows``, else the points
-    when theirs are, else the centres through a shuffled join).
+    ``replicate`` names the side copied into its 3 x 3 neighbourhood,
+    ``"centers"`` or ``"points"``: the smaller one, by choice of the caller.
+    Without ``max_abs_lat`` the largest latitude is read while the plan is
+    built (one aggregate row).
     """
     pid, plat, plon = point_cols
     cid, clat, clon = center_cols
@@ -81,25 +78,13 @@ def within_radius(
             *keep, F.col("_n.cy").alias("_cy"), F.col("_n.cx").alias("_cx")
         )
 
-    side = replicate
-    small = None
-    if side == "auto":
-        cap = max(0, broadcast_max_rows // 9)
-        if fits(c, cap):
-            side, small = "centers", True
-        elif fits(p, cap):
-            side, small = "points", True
-        else:
-            side, small = "centers", False
-    if side == "points":
+    if replicate == "points":
         p = spread(p, ["_pid", "_plat", "_plon"])
         c = c.select("_cid", "_clat", "_clon", "_cy", "_cx")
-        if small if small is not None else fits(p, broadcast_max_rows):
-            p = F.broadcast(p)
-    else:
+    elif replicate == "centers":
         c = spread(c, ["_cid", "_clat", "_clon"])
-        if small if small is not None else fits(c, broadcast_max_rows):
-            c = F.broadcast(c)
+    else:
+        raise ValueError("replicate must be centers or points")
     j = p.join(c, on=["_cy", "_cx"], how="inner")
     d = haversine_m("_plat", "_plon", "_clat", "_clon")
     return j.select(F.col("_pid").alias(pid), F.col("_cid").alias(cid), d.alias("distance_m")).where(

@@ -30,4 +30,4 @@ def keep_top_k(df: DataFrame, key: str, measure: str, k: int = 8) -> DataFrame:
     ``sum(measure)`` (ties: key ascending).  The k keys are a bounded set, so
     the semi join broadcasts them."""
     top = top_k(df.groupBy(key).agg(F.sum(measure).alias("_total")), ["-_total"], k, [key])
-    return semi_join(df, top.select(key), [key], max_rows=k)
+    return semi_join(df, F.broadcast(top.select(key)), [key])  # k rows

@@ -1,10 +1,10 @@
 """The small loaders as Spark jobs: GTFS dimensions with SCD2,
 road restrictions with their stop pairs, and insert-once weather.
 
-Each loader reads its raw files, computes the complete new table and writes
-it once; a table is never overwritten while it is being read: dimensions
-and facts are versioned snapshots (``write_snapshot``), so the previous
-version stays readable (time travel) and a failed run leaves it untouched.
+The SCD2 dimensions are versioned snapshots (``write_snapshot``): the previous
+version stays readable and a failed run leaves it untouched.  ``dim_trip`` and
+the restriction tables are replaced in place once the new rows are staged and
+checked.  Weather is appended.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.positions import current, located
-from headway.operators.scd2 import last_row_wins, scd2_apply, scd2_counts, scd2_diff
+from headway.operators.quality import unique, with_metrics
+from headway.operators.scd2 import last_row_wins, scd2_apply, scd2_counts_of
 from headway.operators.spatial import within_radius
 from headway.schemas import (
     DIM_ROUTE_SCHEMA,
@@ -27,6 +28,8 @@ from headway.schemas import (
     TRIP_TYPES,
 )
 from headway.sources.files import read_gtfs_csv, read_restrictions, read_weather, type_gtfs
+from headway.session import scratch_path
+from headway.sources.paths import exists, remove_folder
 from headway.sources.tables import full_refresh, insert_if_absent, latest_version, read_snapshot, write_snapshot
 
 # Radius of the stop / restriction pairing, metres.
@@ -52,17 +55,21 @@ def load_dimension(
 ) -> dict[str, int]:
     """SCD2 load of one GTFS table into a versioned dimension.
 
-    A key listed twice keeps its last row (position within the read: each
-    multi-line CSV file is one unsplit partition, so the id is a stable row
-    position; it is used for ordering only, never stored).  Returns inserted
-    / expired / unchanged counts (one aggregate row)."""
-    raw = type_gtfs(read_gtfs_csv(spark, csv_path, [key, *tracked]), types)
-    incoming = last_row_wins(raw.withColumn("_pos", F.monotonically_increasing_id()), key, "_pos").drop("_pos")
+    A key listed twice keeps its last row: the last by file name, then by
+    position in the file (each multi-line CSV file is one unsplit read, so the
+    id rises along it; it is used for ordering only, never stored).  Rows
+    without a key are left out.  Returns inserted / expired / unchanged counts,
+    from the written versions."""
+    raw = type_gtfs(read_gtfs_csv(spark, csv_path, [key, *tracked]), types).where(F.col(key).isNotNull())
+    place = F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
+    incoming = last_row_wins(raw.withColumn("_pos", place), key, "_pos").drop("_pos")
     history = _latest_or_empty(spark, table_path, schema)
-    counts = scd2_counts(scd2_diff(current(history), incoming, key, tracked)).first().asDict()
     new = scd2_apply(history, incoming, key, tracked, load_ts, surrogate_key=surrogate_key)
-    write_snapshot(new, table_path)
-    return counts
+    before = scd2_counts_of(history, load_ts).first()
+    version = write_snapshot(new, table_path)
+    after = scd2_counts_of(read_snapshot(spark, table_path, version), load_ts).first()
+    opened, closed = after["opened"] - before["opened"], after["closed"] - before["closed"]
+    return {"inserted": opened, "expired": closed, "unchanged": before["open"] - closed}
 
 
 def load_gtfs_dimensions(spark: SparkSession, gtfs_dir: str, out_dir: str, load_ts: str) -> dict[str, dict]:
@@ -97,24 +104,35 @@ def load_restriction_snapshot(
 ) -> None:
     """Restrictions snapshot (full refresh, key checked) and the stops within
     ``radius_m`` of each located restriction.  ``active_only`` restricts the
-    pairing to non-expired restrictions (finding F5; off = reference)."""
+    pairing to non-expired restrictions (finding F5; off = reference).  Both
+    tables are computed and checked before the first of them is replaced."""
     o = out_dir.rstrip("/")
-    r = read_restrictions(spark, restrictions_path, one_doc_per_file, loaded_at=load_ts)
-    full_refresh(r, f"{o}/road_restrictions", keys=["restriction_id"])
-    r = spark.read.parquet(f"{o}/road_restrictions")
-    if active_only:
-        r = r.where(~F.col("expired"))
+    stage = scratch_path(spark, "restrictions")
+    read_restrictions(spark, restrictions_path, one_doc_per_file, loaded_at=load_ts).write.parquet(f"{stage}/r")
+    rows = spark.read.parquet(f"{stage}/r")
+    active = rows.where(~F.col("expired")) if active_only else rows
     stops = located(current(dim_stop), "stop_lat", None)
-    pairs = within_radius(stops, located(r), radius_m=radius_m).withColumn(
+    pairs = within_radius(stops, located(active), radius_m=radius_m).withColumn(
         "loaded_at", F.lit(load_ts).cast("timestamp")
     )
-    full_refresh(pairs, f"{o}/stops_near_restrictions", keys=["stop_id", "restriction_id"])
+    pairs.write.parquet(f"{stage}/p")
+    staged = spark.read.parquet(f"{stage}/p")
+    if not unique(staged, ["stop_id", "restriction_id"]).isEmpty():
+        raise ValueError("a stop and a restriction are paired twice")
+    full_refresh(rows, f"{o}/road_restrictions", keys=["restriction_id"])
+    full_refresh(staged, f"{o}/stops_near_restrictions", allow_empty=True)
+    remove_folder(spark, stage)
 
 
 def load_observations(spark: SparkSession, docs_path: str, table_path: str, load_ts: str, multi_line: bool = True) -> int:
-    """Insert observations whose (station, time) is not stored yet; first
-    write wins.  Returns the new version number."""
+    """Append the observations whose (station, time) is not stored yet; first
+    write wins.  Only the new rows are written.  Returns their number."""
     incoming = read_weather(spark, docs_path, multi_line, loaded_at=load_ts)
-    target = _latest_or_empty(spark, table_path, FACT_WEATHER_SCHEMA)
+    if exists(spark, table_path):
+        target = spark.read.schema(FACT_WEATHER_SCHEMA).parquet(table_path)
+    else:
+        target = spark.createDataFrame([], FACT_WEATHER_SCHEMA)
     added = insert_if_absent(target, incoming, ["station_id", "observed_at"])
-    return write_snapshot(target.unionByName(added), table_path)
+    added, seen = with_metrics(added.select(*FACT_WEATHER_SCHEMA.names), "observations")
+    added.write.mode("append").parquet(table_path)
+    return seen.get["rows"]

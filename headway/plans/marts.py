@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.functions.columns import epoch_to_ts
-from headway.operators.joins import join_small
+from headway.operators.joins import join_dimension
 from headway.operators.nearest import nearest_join
 from headway.operators.positions import current
 
+# The mart's columns.
 MART_EVENT_COLUMNS = [
     "route_id",
     "route_short_name",
@@ -104,7 +105,7 @@ def mart_bunching_events(
         "route_long_name",
         "route_color",
     )
-    b = join_small(stg_events, routes, on=["route_id"], how="left").select(
+    b = join_dimension(stg_events, routes, ["route_id"], checked=True).select(
         "route_id",
         F.coalesce("_r_short", "route_short_name").alias("route_short_name"),
         "route_long_name",
@@ -160,37 +161,6 @@ def time_filter(df: DataFrame, column: str, from_=None, to=None) -> DataFrame:
     return df
 
 
-# Partition column name and expression per time unit of the events mart.
-TIME_UNITS = {
-    "day": ("event_date", lambda c: F.to_date(c)),
-    "month": ("event_month", lambda c: F.date_format(c, "yyyy-MM")),
-    "year": ("event_year", lambda c: F.date_format(c, "yyyy")),
-}
-
-
-def choose_time_unit(df: DataFrame, time_col: str, rows_per_partition: int) -> str:
-    """Finest of day / month / year whose partitions average at least
-    ``rows_per_partition`` rows.  One aggregate row (count, min, max) reaches
-    the driver; days and months are counted over the span, an upper bound on
-    the distinct units, so gaps only make the choice coarser."""
-    g = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(time_col).alias("lo"),
-        F.max(time_col).alias("hi"),
-    ).first()
-    n = g["n"] or 0
-    if not n:
-        return "year"
-    lo, hi = g["lo"], g["hi"]
-    days = (hi.date() - lo.date()).days + 1
-    months = (hi.year - lo.year) * 12 + (hi.month - lo.month) + 1
-    if n >= rows_per_partition * days:
-        return "day"
-    if n >= rows_per_partition * months:
-        return "month"
-    return "year"
-
-
 def register_staging(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Staging models as temp views (S19): pass raw tables by name, get views."""
     makers = {
@@ -215,19 +185,14 @@ def build_marts(
     tables: dict[str, DataFrame],
     out_dir: str | None = None,
     fmt: str = "parquet",
-    partition_unit: str = "auto",
-    rows_per_partition: int = 4_000_000,
 ) -> dict[str, DataFrame]:
     """Full-rebuild marts (S20).  With ``out_dir`` each mart is written and
     the hourly mart is built from the written events, so lineage is cut.
 
-    Events are partitioned by a time unit and sorted by ``event_time`` inside
-    files: a dashboard range prunes whole partitions, then row groups by
-    their min/max, in place of the btree index on event_time.  The unit
-    (``day``/``month``/``year``) is given, or with ``"auto"`` the finest
-    unit whose partitions average at least ``rows_per_partition`` rows
-    (one aggregate row of the events decides), so partitions grow with the
-    data instead of fragmenting small data into many files."""
+    Events are partitioned by ``event_date`` and sorted by ``event_time`` inside
+    files: a dashboard range prunes whole partitions, then row groups by their
+    min/max.  The hourly mart is sorted by ``event_hour`` and route.  The layout
+    does not depend on the data's size; a rebuild replaces both tables."""
     views = register_staging(spark, tables)
     stg = views["stg_bunching_events"]
     if out_dir:
@@ -241,24 +206,21 @@ def build_marts(
         from headway.sources.tables import write_table
 
         ev_path = f"{out_dir.rstrip('/')}/mart_bunching_events"
-        if partition_unit == "auto":
-            partition_unit = choose_time_unit(stg, "event_time", rows_per_partition)
-        part, unit_of = TIME_UNITS[partition_unit]
-        unit = unit_of(F.col("event_time"))
         write_table(
-            events.withColumn(part, unit),
+            events.withColumn("event_date", F.to_date("event_time")),
             ev_path,
             fmt=fmt,
-            partition_by=[part],
+            partition_by=["event_date"],
             sort_within=["event_time"],
             clustered=True,
         )
-        events = spark.read.format(fmt).load(ev_path).drop(part)
+        events = spark.read.format(fmt).load(ev_path).drop("event_date")
     hourly = mart_bunching_hourly(events)
     if out_dir:
         from headway.sources.tables import write_table
 
         h_path = f"{out_dir.rstrip('/')}/mart_bunching_hourly"
-        write_table(hourly, h_path, fmt=fmt)
+        ordered = ["event_hour", "route_short_name", "route_id"]
+        write_table(hourly.repartitionByRange(*ordered), h_path, fmt=fmt, sort_within=ordered)
         hourly = spark.read.format(fmt).load(h_path)
     return {"mart_bunching_events": events, "mart_bunching_hourly": hourly}

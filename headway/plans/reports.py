@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.columns import mode_label, round_half_up, severity_label
-from headway.operators.joins import join_small
+from headway.operators.joins import join_dimension
 from headway.operators.topk import top_k
 from headway.plans.marts import time_filter
 
@@ -91,7 +91,7 @@ def report_by_mode(mart: DataFrame, routes: DataFrame, from_=None, to=None) -> D
     """Average events per route by mode, rounded to an integer."""
     m = time_filter(mart, "event_time", from_, to)
     r = routes.where(F.col("is_current")) if "is_current" in routes.columns else routes
-    j = join_small(m.select("route_id"), r.select("route_id", "route_type"), on=["route_id"], how="left")
+    j = join_dimension(m.select("route_id"), r.select("route_id", "route_type"), ["route_id"], checked=True)
     agg = j.groupBy(mode_label("route_type").alias("mode")).agg(
         F.count(F.lit(1)).alias("_n"), F.countDistinct("route_id").alias("_r")
     )

@@ -3,11 +3,13 @@ weather JSON (S15) and the raw feed archive (S3, S4)."""
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import DataType
 
 from headway.functions.columns import (
     blank_to_null,
@@ -60,9 +62,14 @@ def parse_restrictions(docs: DataFrame, loaded_at=None) -> DataFrame:
     Lone backslashes are escaped first (valid escapes kept, finding F6);
     epoch-millisecond times become timestamps (falsy -> NULL); coordinates are
     float-if-present; ``planned``/``expired`` are typed booleans (finding F9).
+    A document that is no JSON or has no ``Closure`` list raises an error with
+    its first characters; blank lines are skipped.
     """
-    doc = F.from_json(repair_json_backslashes(F.col("value")), CLOSURE_DOC_SCHEMA)
-    c = docs.select(F.explode(doc["Closure"]).alias("c")).select("c.*")
+    value = F.col("value")
+    listed = F.from_json(repair_json_backslashes(value), CLOSURE_DOC_SCHEMA)["Closure"]
+    bad = F.raise_error(F.concat(F.lit("not a restriction document: "), F.substring(value, 1, 120)))
+    docs = docs.where(F.trim(F.coalesce(value, F.lit(""))) != "")
+    c = docs.select(F.explode(F.when(listed.isNull(), bad.cast(CLOSURE_DOC_SCHEMA["Closure"].dataType)).otherwise(listed)).alias("c")).select("c.*")
     ts = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
     return c.select(
         F.col("id").alias("restriction_id"),
@@ -136,6 +143,8 @@ def write_archive(feeds: DataFrame, root: str, time_col: str = "file_time", mode
         F.date_format(t, "HH").alias("hour"),
         F.date_format(t, "yyyyMMdd'T'HHmmss").alias("snapshot"),
     )
+    # a snapshot's rows meet in one task, so it becomes one file
+    out = out.repartition("date", "hour", "snapshot")
     out.write.mode(mode).partitionBy("date", "hour", "snapshot").option("compression", "gzip").json(root)
 
 
@@ -155,9 +164,18 @@ def read_archive(spark: SparkSession, root: str, pattern: str = "*.json.gz") ->
     return df.select("path", archive_time("path").alias("file_time"), F.struct("header", "entity").alias("feed"))
 
 
-def read_archive_protobuf(spark: SparkSession, root: str, descriptor_file: str, pattern: str = "*.pb") -> DataFrame:
-    """Protobuf-encoded archive, only where the ``spark-protobuf`` package is
-    on the classpath (``from_protobuf`` with a descriptor set)."""
+def gunzipped(content):
+    """Plain bytes of gzip content; other content and NULL as they are."""
+    def run(raws: pd.Series) -> pd.Series:
+        return raws.map(lambda raw: gzip.decompress(raw) if raw is not None and raw[:2] == b"\x1f\x8b" else raw)
+
+    return F.pandas_udf(run, "binary")(content)
+
+
+def read_archive_protobuf(spark: SparkSession, root: str, descriptor_file: str, pattern: str = "*.{pb,pb.gz}") -> DataFrame:
+    """Protobuf-encoded archive, plain or gzipped, only where the
+    ``spark-protobuf`` package is on the classpath (``from_protobuf`` with a
+    descriptor set).  A file is one snapshot."""
     from pyspark.sql.protobuf.functions import from_protobuf
 
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
@@ -166,7 +184,7 @@ def read_archive_protobuf(spark: SparkSession, root: str, descriptor_file: str,
     return raw.select(
         "path",
         archive_time("path").alias("file_time"),
-        from_protobuf("content", "transit_realtime.FeedMessage", descFilePath=descriptor_file).alias("feed"),
+        from_protobuf(gunzipped("content"), "transit_realtime.FeedMessage", descFilePath=descriptor_file).alias("feed"),
     )
 
 
@@ -180,7 +198,3 @@ def rebuild_bronze(archive: DataFrame) -> DataFrame:
         feed_col="feed",
     )
     return dedup(rows)
-
-
-def string_schema(names: list[str]) -> StructType:
-    return StructType([StructField(n, StringType(), True) for n in names])

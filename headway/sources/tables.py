@@ -12,6 +12,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from headway.operators.joins import anti_join
 from headway.operators.quality import unique
 from headway.schemas import POSITION_SCHEMA
+from headway.session import scratch_path
+from headway.sources.paths import folders, remove_folder
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
@@ -32,32 +34,31 @@ def write_table(
     sort_within: Sequence[str] | None = None,
     compression: str | None = "snappy",
     clustered: bool = False,
+    keep_other_partitions: bool = False,
 ) -> None:
     """Batch write.
 
-    With ``partition_by`` and ``sort_within`` rows are range-partitioned on
-    both (sampled bounds split even one hot partition value over many tasks)
-    and sorted, so each task writes a contiguous slice as few sorted files
-    and min/max statistics prune row groups.  With ``partition_by`` alone rows
-    are only sorted inside their task (no shuffle).  ``clustered`` says the
-    input is already range-partitioned upstream (only the local sort runs).
+    With ``partition_by`` rows are rebalanced on it and sorted: the rows of a
+    partition value meet in one task, AQE splits a value whose bytes exceed the
+    advisory partition size over several, and packs small ones together.  There
+    are about as many files as values, plus one for each such split, not tasks
+    times values; min/max statistics of ``sort_within`` prune row groups.
+    ``clustered`` says the input is already partitioned upstream (only the local
+    sort runs).  An overwrite replaces the whole table;
+    ``keep_other_partitions`` replaces only the partition values in ``df``.
     """
     out = df
     if clustered:
         out = out.sortWithinPartitions(*(partition_by or []), *(sort_within or []))
-    elif partition_by and sort_within:
-        out = out.repartitionByRange(*partition_by, *sort_within).sortWithinPartitions(
-            *partition_by, *sort_within
-        )
     elif partition_by:
-        out = out.sortWithinPartitions(*partition_by)
+        out = out.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *(sort_within or []))
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.format(fmt).mode(mode)
     if compression and fmt in ("parquet", "orc"):
         w = w.option("compression", compression)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if keep_other_partitions else "static")
     w.save(path)
 
 
@@ -74,7 +75,7 @@ def write_bronze(positions: DataFrame, path: str, mode: str = "append") -> None:
     by row time ``date=/hour=``.  An empty input writes no data file."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in POSITION_SCHEMA.fields]
     df = with_bronze_partitions(positions.select(*cols))
-    write_table(df, path, mode=mode, partition_by=["date", "hour"])
+    write_table(df, path, mode=mode, partition_by=["date", "hour"], sort_within=["feed_timestamp"])
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -86,27 +87,26 @@ def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Overwrite as a new version (S9): version n+1 is written next to the
     older ones, which stay readable.  With Delta on the classpath use
     ``fmt="delta"`` and its own ``versionAsOf`` instead.  Returns the version."""
-    spark = df.sparkSession
-    latest = latest_version(spark, path, fmt)
+    latest = latest_version(df.sparkSession, path, fmt)
     version = 0 if latest is None else latest + 1
-    df.write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/version={version}")
+    df.write.format(fmt).mode("errorifexists").save(f"{path.rstrip('/')}/version={version}")
     return version
 
 
 def latest_version(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
-    """Largest written version, from the partition column (no data read)."""
-    try:
-        row = spark.read.format(fmt).load(path).agg(F.max("version").alias("v")).first()
-    except Exception:  # no table yet
-        return None
-    return None if row is None else row["v"]
+    """Largest written version, from the folder names (no data is read, so an
+    empty version counts); None only where no version exists."""
+    names = [n for n in folders(spark, path) if n.startswith("version=")]
+    return max((int(n.partition("=")[2]) for n in names), default=None)
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read one version (default: latest); partition pruning reads only it."""
+    """Read one version (default: latest) from its own folder."""
     if version is None:
         version = latest_version(spark, path, fmt)
-    return spark.read.format(fmt).load(path).where(F.col("version") == version).drop("version")
+        if version is None:
+            raise FileNotFoundError(f"no version of {path}")
+    return spark.read.format(fmt).load(f"{path.rstrip('/')}/version={version}")
 
 
 def sql_on_path(spark: SparkSession, path: str, fmt: str = "parquet", query: str = "SELECT * FROM {t}") -> DataFrame:
@@ -114,39 +114,47 @@ def sql_on_path(spark: SparkSession, path: str, fmt: str = "parquet", query: str
     return spark.sql(query.format(t=f"{fmt}.`{path}`"))
 
 
-def full_refresh(df: DataFrame, path: str, keys: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Truncate-and-insert (S21): blank text -> NULL, key uniqueness checked
-    before anything is replaced."""
+def full_refresh(
+    df: DataFrame, path: str, keys: Sequence[str] | None = None, fmt: str = "parquet", allow_empty: bool = False
+) -> None:
+    """Truncate-and-insert (S21): blank text -> NULL; the new rows are staged
+    once in the shared folder and checked there (keys unique, not empty unless
+    ``allow_empty``) before anything is replaced."""
     out = df.select(
         *[
             F.nullif(F.col(f.name), F.lit("")).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name)
             for f in df.schema.fields
         ]
     )
-    if keys:
-        dup = unique(out, keys).limit(1).count()
-        if dup:
-            raise ValueError(f"duplicate key {list(keys)} in full refresh of {path}")
-    write_table(out, path, fmt=fmt)
-
-
-def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    stage = scratch_path(df.sparkSession, "refresh")
+    out.write.parquet(stage)
+    staged = df.sparkSession.read.schema(out.schema).parquet(stage)
+    if not allow_empty and staged.isEmpty():
+        raise ValueError(f"no rows for a full refresh of {path}")
+    if keys and not unique(staged, keys).isEmpty():
+        raise ValueError(f"duplicate key {list(keys)} in full refresh of {path}")
+    write_table(staged, path, fmt=fmt)
+    remove_folder(df.sparkSession, stage)
+
+
+def insert_if_absent(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None
+) -> DataFrame:
     """Rows to append so that ``keys`` stay unique, first write wins.
 
-    In-batch duplicates keep their first row by the remaining columns; rows
-    whose key already exists in ``target`` are dropped (``left_anti``)."""
+    In-batch duplicates keep their first row by ``order_by`` (an arrival time
+    or position; without one, the smallest by the remaining columns); rows whose
+    key already exists in ``target`` are dropped (``left_anti``)."""
     from headway.operators.positions import dedup
 
     others = [c for c in incoming.columns if c not in keys]
-    first = dedup(incoming, keys=keys, order_by=others)
+    first = dedup(incoming, keys=keys, order_by=[*(order_by or []), *[c for c in others if c not in (order_by or [])]])
     return anti_join(first, target, keys)
 
 
-def export_csv(df: DataFrame, path: str, max_single_file_rows: int = 1_000_000) -> None:
-    """CSV with a header (S24).  A report result proven to have at most
-    ``max_single_file_rows`` rows is written as one file; anything larger is
-    written by all tasks in parallel (one file each)."""
-    from headway.operators.joins import fits
-
-    out = df.coalesce(1) if fits(df, max_single_file_rows) else df
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header (S24), a file for each task, or by choice one file:
+    its rows go through a one-partition shuffle, so the stages before keep
+    their tasks."""
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)

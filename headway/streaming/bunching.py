@@ -6,7 +6,8 @@ come; after each micro-batch the snapshots older than the high-water mark
 minus ``delay`` are *closed*: they are read back from staging (partition
 pruned by date) and run through the batch silver + detector functions, and
 their events are written under the micro-batch id, so a retried batch
-overwrites its own output.  Rows arriving for an already closed snapshot are
+overwrites its own output.  Staging lies beside the checkpoint by default, so a
+restarted query finds what it had staged.  Rows arriving for an already closed snapshot are
 late and are dropped by the watermark, the same rule as the dedup operator.
 The result equals the batch job over the same non-late rows.
 """
@@ -16,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from headway.operators.bunching import detect_bunching
 from headway.plans.silver import silver_positions
-from headway.session import scratch_path
+from headway.sources.paths import exists, remove_folder
 
 
 def _parse_delay_seconds(delay: str) -> int:
@@ -40,9 +42,9 @@ def run_stream_bunching(
 ) -> StreamingQuery:
     """Start the stream; events land in ``events_path`` (parquet, column
     ``batch_id`` identifies the closing micro-batch)."""
-    spark = positions.sparkSession
-    staging = staging_path or scratch_path(spark, "stream-staging")
-    progress = f"{checkpoint.rstrip('/')}/_closed"
+    base = checkpoint.rstrip("/")
+    staging = (staging_path or f"{base}/_staging").rstrip("/")
+    progress = f"{base}/_closed"
     delay_s = _parse_delay_seconds(delay)
     ts = F.timestamp_seconds("feed_timestamp")
 
@@ -55,25 +57,31 @@ def run_stream_bunching(
         # Rows of snapshots closed earlier are late: dropped, as a watermark would.
         fresh = batch if lo is None else batch.where(F.col("feed_timestamp") >= F.lit(lo))
         # The high-water mark is observed while staging: the batch is read once.
+        # A batch that is run again replaces what it had staged.
         seen = Observation(f"hw-{batch_id}")
         fresh = fresh.observe(seen, F.max("feed_timestamp").alias("m"))
-        fresh.withColumn("date", F.to_date(ts)).write.mode("append").partitionBy("date").parquet(staging)
+        mine = f"{staging}/batch_id={batch_id}"
+        fresh.withColumn("date", F.to_date(ts)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static"
+        ).partitionBy("date").parquet(mine)
         m = seen.get.get("m")
-        hw = max(x for x in (m, done["hw"]) if x is not None) if (m is not None or done["hw"] is not None) else None
-        if hw is None:
-            return
+        if m is None:
+            remove_folder(s, mine)
+            return  # nothing new: nothing to close, no progress to record
+        hw = max(x for x in (m, done["hw"]) if x is not None)
         until = hw - delay_s  # snapshots strictly older than this are closed
         win = F.col("feed_timestamp") < F.lit(until)
         dates = F.col("date") <= F.to_date(F.timestamp_seconds(F.lit(until)))
         if lo is not None:
             win = win & (F.col("feed_timestamp") >= F.lit(lo))
             dates = dates & (F.col("date") >= F.to_date(F.timestamp_seconds(F.lit(lo))))
-        rows = s.read.parquet(staging).where(dates).where(win).drop("date")
+        rows = s.read.schema(_staged_schema(batch)).parquet(staging).where(dates).where(win).drop("date", "batch_id")
         events = detect_bunching(silver_positions(rows, dim_route), method=method)
         events.write.mode("overwrite").parquet(f"{events_path.rstrip('/')}/batch_id={batch_id}")
-        s.createDataFrame([(batch_id, hw, until)], "batch_id long, hw long, until long").write.mode(
-            "append"
-        ).parquet(progress)
+        s.createDataFrame([(batch_id, hw, until, m)], _PROGRESS).coalesce(1).write.mode("append").parquet(progress)
+        if lo is not None:  # batches that hold only snapshots closed before this one
+            for old in _all_closed(s, progress, lo):
+                remove_folder(s, f"{staging}/batch_id={old}")
 
     w = positions.writeStream.foreachBatch(close).option("checkpointLocation", checkpoint)
     if trigger == "availableNow":
@@ -83,19 +91,36 @@ def run_stream_bunching(
     return w.start()
 
 
+_PROGRESS = "batch_id long, hw long, until long, newest long"
+
+
+def _staged_schema(batch: DataFrame) -> StructType:
+    return StructType([*batch.schema.fields, StructField("date", DateType()), StructField("batch_id", LongType())])
+
+
 def _read_progress(spark: SparkSession, path: str, batch_id: int) -> dict:
     """Closed-until point, high-water mark and whether ``batch_id`` is done;
-    one aggregate row reaches the driver."""
-    try:
-        p = spark.read.parquet(path)
-        row = p.agg(
+    one aggregate row reaches the driver.  Only a missing table means that
+    nothing is closed yet; any other failure is raised."""
+    if not exists(spark, path):
+        return {"until": None, "hw": None, "seen": False}
+    row = (
+        spark.read.schema(_PROGRESS)
+        .parquet(path)
+        .agg(
             F.max("until").alias("u"),
             F.max("hw").alias("h"),
             F.max(F.when(F.col("batch_id") == batch_id, 1).otherwise(0)).alias("seen"),
-        ).first()
-        return {"until": row["u"], "hw": row["h"], "seen": bool(row["seen"])}
-    except Exception:  # first batch: nothing closed yet
-        return {"until": None, "hw": None, "seen": False}
+        )
+        .first()
+    )
+    return {"until": row["u"], "hw": row["h"], "seen": bool(row["seen"])}
+
+
+def _all_closed(spark: SparkSession, path: str, until: int) -> list[int]:
+    """Still staged batches whose newest row was closed by an earlier, recorded batch."""
+    rows = spark.read.schema(_PROGRESS).parquet(path).where(F.col("newest") < F.lit(until)).select("batch_id")
+    return [r[0] for r in rows.orderBy(F.desc("batch_id")).limit(64).collect()]
 
 
 def read_stream_events(spark: SparkSession, events_path: str) -> DataFrame:

@@ -66,3 +66,16 @@ def test_split_equals_window_on_random_snapshots(spark):
                 rows.append((route, route.upper(), ts, vid, rnd.randint(0, 12)))
     got = both(spark, rows)
     assert len(got) > 20
+
+
+def test_wider_gaps_and_missing_stops_agree(spark):
+    rnd = random.Random(8)
+    rows = [
+        (rnd.choice("AB"), "n", rnd.choice([1, 2]), rnd.choice(["v1", "v2", "v3", "v4", None]), rnd.choice([None, 1, 2, 4, 5, 9, 12]))
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, "route_id string, route_short_name string, feed_timestamp long, vehicle_id string, current_stop_sequence int")
+    for gap in (0, 1, 3, 5):
+        split, window = (sorted(map(str, detect_bunching(df, max_gap=gap, method=m).collect())) for m in ("split", "window"))
+        assert split == window and split
+        assert all(0 <= int(r.rsplit("=", 1)[1].rstrip(")")) <= gap for r in split)

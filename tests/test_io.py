@@ -3,10 +3,12 @@ import gzip
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from headway.schemas import STOP_TYPES
+from headway.schemas import POSITION_SCHEMA, STOP_TYPES
 from headway.sources.files import (
+    gunzipped,
     read_archive,
     read_gtfs_csv,
     read_restrictions,
@@ -18,9 +20,13 @@ from headway.sources.tables import (
     export_csv,
     full_refresh,
     insert_if_absent,
+    latest_version,
+    read_bronze,
     read_snapshot,
     sql_on_path,
+    write_bronze,
     write_snapshot,
+    write_table,
 )
 
 
@@ -140,6 +146,63 @@ def test_full_refresh_blank_to_null_and_key_check(spark, tmp_dir):
 
 def test_export_csv_single_file(spark, tmp_dir):
     out = os.path.join(tmp_dir, "report")
-    export_csv(spark.createDataFrame([("504", 3)], "route_id string, n int"), out)
+    export_csv(spark.createDataFrame([("504", 3)], "route_id string, n int"), out, single_file=True)
     files = [f for f in os.listdir(out) if f.endswith(".csv")]
     assert len(files) == 1
+
+
+def test_versions_are_found_by_their_folders(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "t")
+    rows = spark.range(3)
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, t)
+    assert [write_snapshot(df, t) for df in (rows, rows.where("id > 9"), rows.where("id > 0"))] == [0, 1, 2]
+    assert [read_snapshot(spark, t, v).count() for v in (0, 1, 2, None)] == [3, 0, 2, 2]
+    # an unreadable file is an error, not a missing table, and nothing is overwritten
+    with open(os.path.join(t, "version=2", "part-bad.parquet"), "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        read_snapshot(spark, t).count()
+    assert latest_version(spark, t) == 2 and write_snapshot(rows, t) == 3
+    assert read_snapshot(spark, t, 0).count() == 3
+
+
+def test_full_rewrite_drops_old_partitions(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "t")
+    rows = spark.range(20).select("id", F.concat(F.lit("2024-01-0"), (F.col("id") % 2 + 1).cast("string")).alias("date"))
+    write_table(rows, t, partition_by=["date"])
+    write_table(rows.where("date = '2024-01-02'"), t, partition_by=["date"])
+    assert spark.read.parquet(t).count() == 10
+    write_table(rows.where("id = 0"), t, partition_by=["date"], keep_other_partitions=True)
+    assert spark.read.parquet(t).count() == 11
+
+
+def test_files_follow_the_partitions_not_the_tasks(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "bronze")
+    rows = spark.range(16 * 500).repartition(16).select(
+        *[(F.col("id") % 48 * 3600).cast(f.dataType).alias(f.name) if f.name == "ingest_timestamp" else F.lit(None).cast(f.dataType).alias(f.name) for f in POSITION_SCHEMA.fields]
+    )
+    write_bronze(rows, t)
+    files = [f for _, _, names in os.walk(t) for f in names if f.endswith(".parquet")]
+    assert 48 <= len(files) <= 60, len(files)
+    assert read_bronze(spark, t).count() == 8000
+
+
+def test_full_refresh_checks_before_it_replaces(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "t")
+    good = spark.createDataFrame([("a", ""), ("b", "x")], "k string, v string")
+    full_refresh(good, t, keys=["k"])
+    for bad in (good.unionByName(good), good.where("false")):
+        with pytest.raises(ValueError):
+            full_refresh(bad, t, keys=["k"])
+    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(t).collect()) == [("a", None), ("b", "x")]
+    full_refresh(good.where("false"), t, keys=["k"], allow_empty=True)
+    assert spark.read.parquet(t).count() == 0
+
+
+def test_gzip_content_is_unpacked(spark):
+    import gzip as gz
+
+    df = spark.createDataFrame([(gz.compress(b"abc"),), (b"abc",), (None,), (b"",)], "c binary")
+    got = [r["x"] if r["x"] is None else bytes(r["x"]) for r in df.select(gunzipped("c").alias("x")).collect()]
+    assert got == [b"abc", b"abc", None, b""]

@@ -59,7 +59,7 @@ def test_build_marts_written_and_reports(spark, tmp_dir):
     )
     me, mh = out["mart_bunching_events"], out["mart_bunching_hourly"]
     assert me.count() == 6 and me.where("weather_condition = 'Rain'").count() == 6
-    assert any(d.startswith("event_year=") for d in os.listdir(os.path.join(tmp_dir, "mart_bunching_events")))
+    assert any(d.startswith("event_date=") for d in os.listdir(os.path.join(tmp_dir, "mart_bunching_events")))
     assert mh.count() == 3 and mh.agg(F.sum("bunching_event_count")).first()[0] == 6
     assert rp.report_total(me).first()["value"] == 6
     assert rp.report_network_share(me, 4).first()["value"] == 25.0

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from headway.plans.loaders import load_gtfs_dimensions, load_observations, load_restriction_snapshot
 from headway.sources.tables import read_snapshot
 
@@ -60,7 +62,27 @@ def test_weather_insert_once(spark, tmp_dir):
         os.makedirs(d)
         with open(os.path.join(d, "w.json"), "w") as f:
             f.write("\n".join(json.dumps(x) for x in docs))
-    assert load_observations(spark, d1, table, "2024-01-01 00:05:00", multi_line=False) == 0
+    assert load_observations(spark, d1, table, "2024-01-01 00:05:00", multi_line=False) == 1
     assert load_observations(spark, d2, table, "2024-01-01 01:05:00", multi_line=False) == 1
-    rows = sorted((r["observed_at"].hour, r["temperature_c"]) for r in read_snapshot(spark, table).collect())
+    rows = sorted((r["observed_at"].hour, r["temperature_c"]) for r in spark.read.parquet(table).collect())
     assert rows == [(0, 1.0), (1, 2.0)]  # first write wins
+
+
+def test_a_bad_restriction_document_leaves_the_tables_alone(spark, tmp_dir):
+    stops = spark.createDataFrame([("s1", 43.6501, -79.3801, True)], "stop_id string, stop_lat double, stop_lon double, is_current boolean")
+    p = os.path.join(tmp_dir, "closures.json")
+    with open(p, "w") as f:
+        f.write('{"Closure":[{"id":"R1","latitude":"43.65","longitude":"-79.38","description":"C:\\users and \\u00e9"}]}')
+    load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-01 00:00:00")
+    for bad in ("not json at all", '{"Closed":[]}', '{"Closure":'):
+        with open(p, "w") as f:
+            f.write(bad)
+        with pytest.raises(Exception, match="not a restriction document"):
+            load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-02 00:00:00")
+    rows = spark.read.parquet(os.path.join(tmp_dir, "road_restrictions")).collect()
+    assert [(r["restriction_id"], r["description"]) for r in rows] == [("R1", "C:\\users and \u00e9")]
+    with open(p, "w") as f:
+        f.write('{"Closure":[]}')
+    with pytest.raises(ValueError, match="no rows"):
+        load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-03 00:00:00")
+    assert spark.read.parquet(os.path.join(tmp_dir, "stops_near_restrictions")).count() == 1

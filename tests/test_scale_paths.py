@@ -6,10 +6,12 @@ import io
 import math
 from contextlib import redirect_stdout
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from headway.operators.bunching import detect_bunching
+from headway.operators.joins import require_unique
 from headway.operators.nearest import nearest_join
 from headway.operators.positions import dedup, enrich_routes
 from headway.operators.spatial import within_radius
@@ -24,6 +26,21 @@ def plan(df):
     return buf.getvalue()
 
 
+def shuffled(spark):
+    """The session with broadcasts by size switched off."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+
+    class Off:
+        def __enter__(self):
+            spark.conf.set(key, "-1")
+
+        def __exit__(self, *_):
+            spark.conf.set(key, before)
+
+    return Off()
+
+
 def test_nearest_shuffled_path_equals_broadcast_path(spark):
     left = spark.createDataFrame(
         [(i, T0 + dt.timedelta(minutes=7 * i), "ab"[i % 2]) for i in range(300)], "lid int, lt timestamp, k string"
@@ -32,23 +49,37 @@ def test_nearest_shuffled_path_equals_broadcast_path(spark):
         [(i, T0 + dt.timedelta(minutes=31 * i + 3), "ab"[i % 2]) for i in range(40)], "rid int, rt timestamp, k string"
     )
     for by in (None, ["k"]):
-        a = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"])
-        b = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"], broadcast_max_rows=0)
-        assert "BroadcastHashJoin" not in plan(b)
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+        a = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"]).collect()
+        with shuffled(spark):
+            b = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"])
+            assert "BroadcastHashJoin" not in plan(b) and "explode" not in plan(b)
+            assert sorted(map(tuple, a)) == sorted(map(tuple, b.collect()))
 
 
 def test_spatial_and_enrich_shuffled_paths(spark):
     stops = spark.createDataFrame([(f"s{i}", 43.6 + i * 1e-4, -79.4) for i in range(50)], "stop_id string, stop_lat double, stop_lon double")
     restr = spark.createDataFrame([(f"r{i}", 43.6 + i * 5e-4, -79.4005) for i in range(10)], "restriction_id string, latitude double, longitude double")
-    a = within_radius(stops, restr)
-    b = within_radius(stops, restr, broadcast_max_rows=0)
-    assert "BroadcastHashJoin" not in plan(b)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    a = within_radius(stops, restr).collect()
     pos = spark.createDataFrame([("504", 1), ("9", 2)], "route_id string, x int")
     dim = spark.createDataFrame([("504", "504", "King", True)], "route_id string, route_short_name string, route_long_name string, is_current boolean")
-    e = enrich_routes(pos, dim, broadcast_max_rows=0)
-    assert sorted((r["route_id"], r["route_short_name"]) for r in e.collect()) == [("504", "504"), ("9", None)]
+    with shuffled(spark):
+        b = within_radius(stops, restr)
+        assert "BroadcastHashJoin" not in plan(b)
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b.collect()))
+        e = enrich_routes(pos, dim)
+        assert sorted((r["route_id"], r["route_short_name"]) for r in e.collect()) == [("504", "504"), ("9", None)]
+
+
+def test_repeated_dimension_keys_are_an_error(spark):
+    pos = spark.createDataFrame([("504", 1), (None, 2)], "route_id string, x int")
+    rows = [("504", "a", "A", True), ("504", "b", "B", True), (None, "c", "C", True), (None, "d", "D", True)]
+    dim = spark.createDataFrame(rows, "route_id string, route_short_name string, route_long_name string, is_current boolean")
+    with pytest.raises(Exception, match="repeated key: 504"):
+        enrich_routes(pos, dim).collect()
+    assert enrich_routes(pos, dim.where("route_short_name != 'b'")).count() == 2
+    assert enrich_routes(pos, dim, checked=False).count() == 3
+    with pytest.raises(ValueError):
+        require_unique(dim.where("is_current"), ["route_id"], "dim_route")
 
 
 def test_dedup_hot_key_is_combined_map_side(spark):

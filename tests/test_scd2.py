@@ -82,3 +82,20 @@ def test_as_of_and_join_as_of(spark):
 def test_last_row_wins(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", 1, "q")], "k string, pos int, v string")
     assert sorted((r["k"], r["v"]) for r in last_row_wins(df, "k", "pos").collect()) == [("a", "z"), ("b", "q")]
+
+
+def test_rows_that_no_key_names_are_carried_through(spark):
+    cols = "k string, v string, valid_from timestamp, valid_to timestamp, is_current boolean"
+    history = spark.createDataFrame(
+        [("a", "1", None, None, True), ("a", "0", None, None, None), (None, "x", None, None, True), ("b", "2", None, None, False)], cols
+    )
+    incoming = spark.createDataFrame([("a", "9"), (None, "y")], "k string, v string")
+    out = scd2_apply(history, incoming, "k", ["v"], "2024-01-01 00:00:00").collect()
+    got = sorted((str(r["k"]), r["v"], r["is_current"], r["valid_to"] is not None) for r in out)
+    assert got == [
+        ("None", "x", True, False),
+        ("a", "0", None, False),
+        ("a", "1", False, True),
+        ("a", "9", True, False),
+        ("b", "2", False, False),
+    ]

@@ -1,22 +1,22 @@
 import math
 import random
 
+import pytest
 
 from headway.functions.geo import haversine_m
 from headway.operators.spatial import within_radius
 
+EARTH_M = 6371000.0
 
-def hav(a, b, c, d):
-    r = 6371000.0
-    p1, p2 = math.radians(a), math.radians(c)
-    x = math.sin(math.radians(c - a) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(d - b) / 2) ** 2
-    return 2 * r * math.asin(math.sqrt(min(1.0, x)))
 
+def chord_m(lat1, lon1, lat2, lon2):
+    """Great-circle distance from the chord between two points on the sphere."""
 
-def test_haversine_zero_and_one_degree(spark):
-    df = spark.createDataFrame([(43.65, -79.38, 43.65, -79.38), (43.65, -79.38, 44.65, -79.38)], "a double, b double, c double, d double")
-    got = [r["m"] for r in df.select(haversine_m("a", "b", "c", "d").alias("m")).collect()]
-    assert got[0] == 0.0 and 111000 < got[1] < 111500
+    def xyz(lat, lon):
+        lat, lon = math.radians(lat), math.radians(lon)
+        return math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)
+
+    return 2 * EARTH_M * math.asin(min(1.0, math.dist(xyz(lat1, lon1), xyz(lat2, lon2)) / 2))
 
 
 def pairs(spark, stops, restr, radius=150.0, **kw):
@@ -25,27 +25,44 @@ def pairs(spark, stops, restr, radius=150.0, **kw):
     return {(x["stop_id"], x["restriction_id"]) for x in within_radius(s, r, radius_m=radius, **kw).collect()}
 
 
-def test_near_found_far_excluded(spark):
-    stops = [("s1", 43.6501, -79.3801), ("s2", 43.70, -79.42)]
-    restr = [("r1", 43.6500, -79.3800)]
-    assert pairs(spark, stops, restr) == {("s1", "r1")}
+def test_distance_along_equator_and_meridian(spark):
+    # a quarter of a great circle, and a thousandth of a degree of the equator
+    quarter = math.pi / 2 * EARTH_M
+    rows = [(0.0, 10.0, 0.0, 100.0, quarter), (0.0, 7.0, 90.0, 7.0, quarter), (0.0, 3.0, 0.0, 3.001, quarter / 90_000), (51.0, 9.0, 51.0, 9.0, 0.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, want double")
+    for r in df.select(haversine_m("a", "b", "c", "d").alias("m"), "want").collect():
+        assert r["m"] == pytest.approx(r["want"], rel=1e-9, abs=1e-6)
+
+
+def test_radius_is_a_sharp_bound(spark):
+    # on a meridian one degree is EARTH_M * pi / 180 metres
+    degree = EARTH_M * math.pi / 180
+    stops = [("inside", 52.0 + 149.9 / degree, 13.4), ("outside", 52.0 + 150.1 / degree, 13.4), ("far", -52.0, 13.4)]
+    assert pairs(spark, stops, [("r", 52.0, 13.4)]) == {("inside", "r")}
 
 
-def test_exact_grid_finds_pair_two_fixed_cells_apart(spark):
-    # 96.5 m apart, but two 0.001-degree longitude cells away.
-    stops = [("s", 43.65, -79.3804)]
-    restr = [("r", 43.65, -79.3816)]
-    assert 90 < hav(43.65, -79.3804, 43.65, -79.3816) < 100
+def test_exact_grid_finds_what_a_fixed_grid_misses(spark):
+    # at 60 degrees north 0.0022 degrees of longitude are about 122 m, but more than two fixed cells
+    stops, restr = [("s", 60.0, 24.9994)], [("r", 60.0, 25.0016)]
+    assert 120 < chord_m(60.0, 24.9994, 60.0, 25.0016) < 125
     assert pairs(spark, stops, restr) == {("s", "r")}
     assert pairs(spark, stops, restr, compat_grid=True) == set()
 
 
-def test_equals_brute_force_random_radii(spark):
-    rnd = random.Random(11)
-    stops = [(f"s{i}", 43.6 + rnd.random() * 0.05, -79.5 + rnd.random() * 0.08) for i in range(150)]
-    restr = [(f"r{i}", 43.6 + rnd.random() * 0.05, -79.5 + rnd.random() * 0.08) for i in range(80)] + [("nolat", None, -79.4)]
-    for radius in (150.0, 500.0):
-        want = {(s, r) for s, a, b in stops for r, c, d in restr if c is not None and hav(a, b, c, d) <= radius}
-        assert pairs(spark, stops, restr, radius) == want
-        assert pairs(spark, stops, restr, radius, replicate="points") == want
-        assert pairs(spark, stops, restr, radius, replicate="centers", broadcast_max_rows=0) == want
+def test_equals_all_pairs_at_random(spark):
+    rnd = random.Random(23)
+    point = lambda: (-33.9 + rnd.random() * 0.04, 18.4 + rnd.random() * 0.06)
+    stops = [(f"s{i}", *point()) for i in range(140)] + [("nowhere", None, 18.4)]
+    restr = [(f"r{i}", *point()) for i in range(90)] + [("nolat", None, 18.41), ("nolon", -33.9, None)]
+    for radius in (90.0, 150.0, 800.0):
+        want = {
+            (s, r)
+            for s, a, b in stops
+            for r, c, d in restr
+            if None not in (a, b, c, d) and chord_m(a, b, c, d) <= radius
+        }
+        assert want
+        for side in ("centers", "points"):
+            assert pairs(spark, stops, restr, radius, replicate=side) == want
+    with pytest.raises(ValueError):
+        pairs(spark, stops, restr, replicate="auto")

@@ -94,3 +94,26 @@ def test_parquet_position_stream_with_schema(spark, tmp_dir):
     q = s.writeStream.format("memory").queryName("pq_positions").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("pq_positions").count() == pos.count()
+
+
+def test_stream_bunching_survives_a_restart(spark, tmp_dir):
+    """Two queries, one after the other, on one checkpoint with the default staging: no event is lost."""
+    rows = _rows()
+    cut = sorted({r[0] for r in rows})[3]
+    dim = spark.createDataFrame([("504", "504", "King", True)], "route_id string, route_short_name string, route_long_name string, is_current boolean")
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "events", "ckpt"))
+    parts = [[r for r in rows if r[0] < cut], [r for r in rows if r[0] >= cut], [(1_800_000_000, 1_800_000_000, "sentinel", "sentinel", None, None)]]
+    for part in parts:
+        _write_files(_positions(spark, part), src, 1)
+        stream = ingest(read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=1))
+        q = run_stream_bunching(stream, dim, out, ckpt, delay="30 seconds")
+        q.awaitTermination()
+        assert q.exception() is None
+    got, want = read_stream_events(spark, out), detect_bunching(silver_positions(_positions(spark, rows), dim))
+    assert got.count() == 12
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # a run without new rows changes nothing; staging of closed batches is dropped in time
+    q = run_stream_bunching(stream, dim, out, ckpt, delay="30 seconds")
+    q.awaitTermination()
+    assert read_stream_events(spark, out).count() == 12
+    assert len([d for d in os.listdir(os.path.join(ckpt, "_staging")) if d.startswith("batch_id=")]) < 3
