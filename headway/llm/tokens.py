@@ -211,5 +211,6 @@ def read_documents(spark: SparkSession, folder: str, *, digests: bool = False) -
                         names=["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"],
                     )
 
-    spread = manifest.select("shard", "tokens_path", "index_path", "base").repartition("shard")
+    shards = max(1, manifest.count())  # a task for each shard
+    spread = manifest.select("shard", "tokens_path", "index_path", "base").repartitionByRange(shards, "shard")
     return spread.mapInArrow(read, f"doc_id long, start long, n_tokens long, {last}")

@@ -32,7 +32,7 @@ SHARE = 0.01
 #: At most so many labelled rows are learned from, those with the smallest hash of their id.
 LABELLED_ROWS = 400_000
 #: At most so many distinct n-grams make up the shared counts, the most frequent ones.
-MODEL_GRAMS = 4_000_000
+MODEL_GRAMS = 2_000_000
 #: Distinct words whose value a worker keeps, and that are counted before they are turned into n-grams.
 CACHED_WORDS = 700_000
 #: Labels are learned from the folds 1 to 4 of crc32(id) mod 5; fold 4 fits the curve of a model of folds 1 to 3.
@@ -278,21 +278,24 @@ def train(
             least = 2 ** (power + 1)
             break
         kept += n
-    table = counted.filter(F.col("everywhere") >= least).toPandas().sort_values("gram")
-    grams = table["gram"].to_numpy(np.int64).view(np.uint64)
+    sparse = counted.filter(F.col("everywhere") >= least).select("gram", *[F.col(s).cast("int") for s in _SLOTS[1:]])
+    table = sparse.toArrow()
+    grams = table.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(grams)
     grams = grams[order]
-    n = {s: table[s].to_numpy(np.int64)[order] for s in _SLOTS}
+    n = {s: table.column(s).to_numpy()[order] for s in _SLOTS[1:]}
+    del table, order
 
     def model(slots: list[list[str]]) -> Model:
         classes = []
         for names in slots:
-            total = sum(n[s] for s in names)
+            total = sum(n[s].astype(np.int64) for s in names)
             classes.append((grams[total > 0], total[total > 0]))
         return Model(grams, classes)
 
     first = model([["ordinary"], ["toxic"]])
     final = model([["ordinary", "ordinary_curve"], ["toxic", "toxic_curve"]])
+    del grams, n
     ids, toxic, curve = labelled
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

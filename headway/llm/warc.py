@@ -60,8 +60,8 @@ def _digest(payload_col: str) -> list:
     return [F.sha1(payload).alias("_sha1"), F.octet_length(payload).cast("long").alias("_bytes")]
 
 
-def _record_id(page_id: int | None, copy: int) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'{page_id}:{copy}'.encode()).digest())}>"
+def _record_id(page_id: int | None, sha1: str, copy: int) -> str:
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'{page_id}:{sha1}:{copy}'.encode()).digest())}>"
 
 
 def _base32(hex_digest: str) -> str:
@@ -93,19 +93,18 @@ def write_archives(
     spark = pages.sparkSession
     make_folder(folder)
     page = pages.select(F.col(id_col).cast("long").alias("_id"), F.col(url_col).alias("_url"), F.col(payload_col).alias("_payload"))
-    keyed = page.select("*", *_digest("_payload"))
-    known = revisits(page, id_col="_id", payload_col="_payload", min_bytes=min_bytes)
-    known = known.withColumnRenamed("_id", "_of").withColumnRenamed("_sha1", "_of_sha1")
-    joined = (
-        keyed.join(known, keyed["_id"].eqNullSafe(known["_of"]) & (keyed["_sha1"] == known["_of_sha1"]), "left")
-        .select("_id", "_url", "_sha1", "_bytes", "refers_to", F.when(F.col("refers_to").isNull(), F.col("_payload").cast("binary")).alias("_payload"))
-    )
+    # one shuffle of the payloads; rows with the same id and payload meet in one task
+    key = F.concat_ws(":", F.col("_sha1"), F.col("_id").cast("string")).alias("_key")
+    keyed = page.select("*", *_digest("_payload")).select("*", key).repartition("_key")
+    known = revisits(page, id_col="_id", payload_col="_payload", min_bytes=min_bytes).select(key, "refers_to")
+    whole = F.when(F.col("refers_to").isNull(), F.col("_payload").cast("binary"))
+    joined = keyed.join(known, "_key", "left").select("_id", "_url", "_sha1", "_bytes", "refers_to", whole.alias("_payload"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"{folder}/part-{TaskContext.get().partitionId():05d}.warc.gz"
         file = out = None
         n_records = n_bytes = 0
-        copies: dict[int | None, int] = {}
+        copies: dict[tuple, int] = {}
         for batch in batches:
             for k in range(batch.num_rows):
                 if file is None:
@@ -113,12 +112,11 @@ def write_archives(
                     out = file.__enter__()
                 page_id, url, sha1, size, target = (batch.column(c)[k].as_py() for c in range(5))
                 payload = batch.column(5)[k]
-                # the same id meets itself in one task, as its rows were dealt out by it
-                copy = copies[page_id] = copies.get(page_id, -1) + 1
+                copy = copies[page_id, sha1] = copies.get((page_id, sha1), -1) + 1
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
                 fields = [
                     ("WARC-Type", "response" if target is None else "revisit"),
-                    ("WARC-Record-ID", _record_id(page_id, copy)),
+                    ("WARC-Record-ID", _record_id(page_id, sha1, copy)),
                     ("WARC-Date", date),
                     ("WARC-Target-URI", url or ""),
                     ("WARC-Payload-Digest", _base32(sha1)),
@@ -127,7 +125,7 @@ def write_archives(
                 if page_id is not None:
                     fields.append(("X-Page-ID", str(page_id)))
                 if target is not None:
-                    fields += [("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", _record_id(target, 0)), ("X-Refers-To-Page-ID", str(target))]
+                    fields += [("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", _record_id(target, sha1, 0)), ("X-Refers-To-Page-ID", str(target))]
                 body = b"" if target is not None or not payload.is_valid else memoryview(payload.as_buffer())
                 fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(head) + len(body)))]
                 gzip = zlib.compressobj(level, zlib.DEFLATED, 31)
@@ -140,8 +138,7 @@ def write_archives(
             file.__exit__(None)
             yield pa.RecordBatch.from_pydict({"archive": [name], "n_records": [n_records], "n_bytes": [n_bytes]})
 
-    dealt = joined.repartition("_id")
-    dealt.mapInArrow(write, _MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
+    joined.mapInArrow(write, _MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
 
 
@@ -251,7 +248,8 @@ def read_archives(spark: SparkSession, folder: str, *, chunk_bytes: int = CHUNK_
     payload is elsewhere, they are what its header says.  A digest that differs
     from the header's raises an error.  ``data=False`` leaves the bytes out.
     """
-    manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").select("archive").repartition("archive")
+    archives = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest").select("archive")
+    manifest = archives.repartitionByRange(max(1, archives.count()), "archive")  # a task for each file
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = pa.schema(
