@@ -61,6 +61,20 @@ def _events(spark, sf):
     return table(spark, sf, "events")
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark, sf, name, make) -> DataFrame:
+    """A table derived from ``sf``, written once in a session and read from then on,
+    as the jobs do between their steps."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path = _scratch(spark, name)
+        make(spark, sf).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def _positions(spark, sf):
     return fx.positions_from_events(_events(spark, sf))
 
@@ -81,14 +95,22 @@ def _weather(spark, sf):
     return fx.weather_from_events(_events(spark, sf))
 
 
-def _mart(spark, sf):
+def _stored_routes(spark, sf):
+    return _stored(spark, sf, "dim-route", _dim_route)
+
+
+def _built_mart(spark, sf):
     return mt.mart_bunching_events(
-        mt.stg_bunching_events(_events_table(spark, sf)),
-        mt.stg_dim_route_current(_dim_route(spark, sf)),
-        mt.stg_fact_weather(_weather(spark, sf)),
+        mt.stg_bunching_events(_stored(spark, sf, "bunching-events", _events_table)),
+        mt.stg_dim_route_current(_stored_routes(spark, sf)),
+        mt.stg_fact_weather(_stored(spark, sf, "fact-weather", _weather)),
     )
 
 
+def _mart(spark, sf):
+    return _stored(spark, sf, "mart-events", _built_mart)
+
+
 def _hourly(spark, sf):
     return mt.mart_bunching_hourly(_mart(spark, sf))
 
@@ -147,7 +169,7 @@ def q_parse_positions(spark, sf):
 @register("mart_bunching_events")
 def q_mart_events(spark, sf):
     """J2 + J3 + C1 + C11 (detected_at left out: run-time stamp)."""
-    return _mart(spark, sf).drop("detected_at")
+    return _built_mart(spark, sf).drop("detected_at")
 
 
 @register("mart_bunching_hourly")
@@ -162,7 +184,7 @@ def q_report_total(spark, sf):
 
 @register("report_network_share")
 def q_report_network_share(spark, sf):
-    return rp.report_network_share(_mart(spark, sf), _dim_route(spark, sf))
+    return rp.report_network_share(_mart(spark, sf), _stored_routes(spark, sf))
 
 
 @register("report_top_routes")
@@ -187,7 +209,7 @@ def q_report_by_hour(spark, sf):
 
 @register("report_by_mode")
 def q_report_by_mode(spark, sf):
-    return rp.report_by_mode(_mart(spark, sf), _dim_route(spark, sf))
+    return rp.report_by_mode(_mart(spark, sf), _stored_routes(spark, sf))
 
 
 @register("report_severity")
@@ -589,3 +611,273 @@ def q_gtfs_route_loads(spark, sf):
             spark, csv, out, "route_id", ROUTE_TRACKED, ROUTE_TYPES, DIM_ROUTE_SCHEMA, ts, "route_key"
         )
     return read_snapshot(spark, out).drop("route_key")
+
+
+# --- time ranges, real cuts, planted failures -----------------------------------
+
+RANGE = ("2024-01-08 00:00:00", "2024-01-20 16:00:00")
+
+
+def _ranged(name, make):
+    @register(f"{name}_range")
+    def q(spark, sf):
+        return make(spark, sf, *RANGE)
+
+    q.__doc__ = f"P9: {name} over an inclusive time range."
+
+
+_ranged("report_total", lambda s, sf, a, b: rp.report_total(_mart(s, sf), a, b))
+_ranged("report_network_share", lambda s, sf, a, b: rp.report_network_share(_mart(s, sf), _stored_routes(s, sf), a, b))
+_ranged("report_top_routes", lambda s, sf, a, b: rp.report_top_routes(_hourly(s, sf), 10, a, b))
+_ranged("report_hourly_top8", lambda s, sf, a, b: rp.report_hourly_top8(_hourly(s, sf), 8, a, b))
+_ranged("report_by_condition", lambda s, sf, a, b: rp.report_by_condition(_mart(s, sf), a, b))
+_ranged("report_by_hour", lambda s, sf, a, b: rp.report_by_hour(_mart(s, sf), a, b))
+_ranged("report_by_mode", lambda s, sf, a, b: rp.report_by_mode(_mart(s, sf), _stored_routes(s, sf), a, b))
+_ranged("report_severity", lambda s, sf, a, b: rp.report_severity(_mart(s, sf), a, b))
+_ranged("report_top_detail", lambda s, sf, a, b: rp.report_top_detail(_hourly(s, sf), 15, a, b, weighted=True))
+_ranged("report_recent", lambda s, sf, a, b: rp.report_recent(_mart(s, sf), 200, a, b))
+
+
+@register("bunching_events_gap3")
+def q_bunching_events_gap3(spark, sf):
+    """W1 with up to three stops between the vehicles (split form)."""
+    return detect_bunching(_silver(spark, sf), max_gap=3, method="split")
+
+
+@register("bunching_events_gap3_window")
+def q_bunching_events_gap3_window(spark, sf):
+    return detect_bunching(_silver(spark, sf), max_gap=3, method="window")
+
+
+@register("nearest_clustered")
+def q_nearest_clustered(spark, sf):
+    """J3 where the times crowd into seconds beside a few very old ones."""
+    asked, seen = fx.clustered_times(_events(spark, sf))
+    return nearest_join(
+        asked, seen, "event_time", "observed_at", right_cols=["observed_at", "temperature_c"],
+        tie_cols=["observed_at", "station_id", "temperature_c"],
+    )
+
+
+@register("located_positions")
+def q_located_positions(spark, sf):
+    """Rows with a position; some have none."""
+    from headway.operators.positions import located
+
+    return located(_positions(spark, sf)).select("entity_id", "latitude", "longitude")
+
+
+@register("position_records")
+def q_position_records(spark, sf):
+    """Record keys and the fields of the JSON value, NULLs written out."""
+    from headway.sources.messages import to_records
+
+    value = F.col("value").cast("string")
+    return to_records(_positions(spark, sf)).select(
+        F.col("key").cast("string").alias("key"),
+        F.get_json_object(value, "$.entity_id").alias("entity_id"),
+        F.get_json_object(value, "$.occupancy_status").alias("occupancy_status"),
+        F.size(F.json_object_keys(value)).alias("n_fields"),
+    )
+
+
+@register("dq_checks_planted")
+def q_dq_checks_planted(spark, sf):
+    """Q1-Q3 over tables that break them: NULLs, repeated keys, self pairs."""
+    from headway.operators.quality import run_checks
+
+    ev = _events(spark, sf)
+    pairs = fx.planted_pairs(ev)
+    tables = {
+        "stg_bunching_events": pairs,
+        "stg_dim_stop_current": fx.planted_stops(ev),
+        "mart_bunching_events": pairs.select("route_id", "event_time", "vehicle_id_a", "vehicle_id_b"),
+    }
+    return run_checks(tables)
+
+
+# --- tables, loaders and jobs as they run -----------------------------------------
+
+
+@register("snapshot_empty_version")
+def q_snapshot_empty_version(spark, sf):
+    """Three versions, the middle one empty; each reads back as written."""
+    from headway.sources.tables import read_snapshot, write_snapshot
+
+    path = _scratch(spark, "snapshots")
+    routes = mt.stg_dim_route_current(_dim_route(spark, sf))
+    for df in (routes, routes.where("false"), routes.where("route_type = 0")):
+        write_snapshot(df, path)
+    parts = [read_snapshot(spark, path, v).select(F.lit(v).alias("version"), "route_id") for v in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("rebuild_shrinks")
+def q_rebuild_shrinks(spark, sf):
+    """A partitioned table rewritten with fewer dates has only those."""
+    from headway.sources.tables import with_bronze_partitions, write_table
+
+    path = _scratch(spark, "rebuilt")
+    rows = with_bronze_partitions(_positions(spark, sf)).select("entity_id", "date")
+    write_table(rows, path, partition_by=["date"])
+    write_table(rows.where("date >= '2024-01-20'"), path, partition_by=["date"])
+    return spark.read.option("mergeSchema", "false").parquet(path).select("entity_id", F.col("date").cast("string").alias("date"))
+
+
+@register("write_bronze")
+def q_write_bronze(spark, sf):
+    """Bronze by row time, written in two appends and read back."""
+    from headway.sources.tables import read_bronze, write_bronze
+
+    path = _scratch(spark, "bronze")
+    pos = _positions(spark, sf)
+    first = F.col("feed_timestamp") < F.unix_timestamp(F.lit("2024-01-12 00:00:00").cast("timestamp"))
+    write_bronze(pos.where(first), path)
+    write_bronze(pos.where(~first), path)
+    return read_bronze(spark, path).drop("date", "hour")
+
+
+@register("sql_on_path")
+def q_sql_on_path(spark, sf):
+    """SQL over a path."""
+    from headway.sources.tables import sql_on_path
+
+    path = _scratch(spark, "by-path")
+    _positions(spark, sf).write.parquet(path)
+    return sql_on_path(spark, path, query="SELECT route_id, count(*) AS n, min(vehicle_timestamp) AS first_seen FROM {t} GROUP BY route_id")
+
+
+@register("full_refresh")
+def q_full_refresh(spark, sf):
+    """A table replaced with blanks as NULL."""
+    from headway.sources.tables import full_refresh
+
+    path = _scratch(spark, "refreshed")
+    supplier = table(spark, sf, "supplier")
+    full_refresh(_stops(spark, sf), path, keys=["stop_id"])
+    blank = F.when(F.col("s_suppkey") % 3 == 0, F.lit("")).otherwise(F.col("s_name"))
+    full_refresh(supplier.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("stop_id"), blank.alias("stop_name")), path, keys=["stop_id"])
+    return spark.read.parquet(path)
+
+
+@register("export_csv")
+def q_export_csv(spark, sf):
+    """The route totals as CSV, one file by choice, read back."""
+    from headway.sources.tables import export_csv
+
+    path = _scratch(spark, "export")
+    export_csv(rp.route_totals(_mart(spark, sf)), path, single_file=True)
+    schema = "route_id string, route_short_name string, route_long_name string, bunching_events long, avg_stop_gap double"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@register("build_marts")
+def q_build_marts(spark, sf):
+    """Both marts built and written twice into one folder, the second
+    time with all events; the hourly mart read back."""
+    out = _scratch(spark, "marts")
+    events = _stored(spark, sf, "bunching-events", _events_table)
+    tables = {"dim_route": _stored_routes(spark, sf), "fact_weather": _stored(spark, sf, "fact-weather", _weather)}
+    half = F.col("feed_timestamp") < F.unix_timestamp(F.lit("2024-01-12 00:00:00").cast("timestamp"))
+    for part in (events.where(half), events):
+        built = mt.build_marts(spark, {"bunching_events": part, **tables}, out_dir=out)
+    return built["mart_bunching_hourly"]
+
+
+@register("staging_views")
+def q_staging_views(spark, sf):
+    """Staging views by name, queried with SQL."""
+    mt.register_staging(spark, {"fact_weather": _stored(spark, sf, "fact-weather", _weather), "dim_route": _stored_routes(spark, sf)})
+    return spark.sql(
+        "SELECT station_id, condition, count(*) AS n, (SELECT count(*) FROM stg_dim_route_current) AS routes "
+        "FROM stg_fact_weather GROUP BY station_id, condition"
+    )
+
+
+def _gtfs_folder(spark, sf):
+    folder = _scratch(spark, "gtfs")
+    for name, rows in (
+        ("routes", fx.routes_txt_rows(_events(spark, sf), 1)),
+        ("stops", fx.stops_csv_rows(table(spark, sf, "supplier"))),
+        ("trips", fx.trips_csv_rows(table(spark, sf, "orders"))),
+    ):
+        rows.write.option("header", True).csv(f"{folder}/{name}.txt")
+    return folder
+
+
+@register("gtfs_stop_loads")
+def q_gtfs_stop_loads(spark, sf):
+    """The stop dimension after two loads of one feed (nothing changes the second time)."""
+    from headway.plans.loaders import load_gtfs_dimensions
+    from headway.sources.tables import read_snapshot
+
+    folder, out = _gtfs_folder(spark, sf), _scratch(spark, "dims")
+    for ts in ("2024-01-01 00:00:00", "2024-06-01 00:00:00"):
+        load_gtfs_dimensions(spark, folder, out, ts)
+    return read_snapshot(spark, f"{out}/dim_stop").drop("stop_key")
+
+
+@register("gtfs_trip_load")
+def q_gtfs_trip_load(spark, sf):
+    """The trip table."""
+    from headway.plans.loaders import load_gtfs_dimensions
+
+    out = _scratch(spark, "dims")
+    load_gtfs_dimensions(spark, _gtfs_folder(spark, sf), out, "2024-01-01 00:00:00")
+    return spark.read.parquet(f"{out}/dim_trip").drop("loaded_at")
+
+
+@register("restriction_snapshot")
+def q_restriction_snapshot(spark, sf):
+    """Restriction documents loaded, and the stops near the located ones."""
+    from headway.plans.loaders import load_restriction_snapshot
+
+    docs, out = _scratch(spark, "closures"), _scratch(spark, "restrictions")
+    fx.restriction_docs(table(spark, sf, "part")).write.text(docs)
+    stops = _stops(spark, sf).withColumn("is_current", F.col("stop_id").cast("int") % 7 != 0)
+    load_restriction_snapshot(spark, docs, stops, out, "2024-01-01 00:00:00", one_doc_per_file=False)
+    pairs = spark.read.parquet(f"{out}/stops_near_restrictions")
+    return pairs.select("stop_id", "restriction_id", F.round("distance_m", 6).alias("distance_m"))
+
+
+@register("observation_loads")
+def q_observation_loads(spark, sf):
+    """Two loads of weather documents; the first write of a station and time stays."""
+    from headway.plans.loaders import load_observations
+
+    target = _scratch(spark, "fact-weather-loads")
+    ev = _events(spark, sf)
+    for i, part in enumerate((ev.where("event_id % 3 = 0"), ev)):
+        docs = _scratch(spark, "weather-docs")
+        fx.weather_docs(part).write.text(docs)
+        load_observations(spark, docs, target, f"2024-01-0{i + 1} 00:00:00", multi_line=False)
+    return spark.read.parquet(target).select("station_id", "observed_at", F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded"))
+
+
+@register("replay_archive")
+def q_replay_archive(spark, sf):
+    """ST5: an archive replayed into bronze by a stream."""
+    from headway.sources.files import write_archive
+    from headway.streaming.ingest import replay
+
+    root, sink, ckpt = _scratch(spark, "archive"), _scratch(spark, "replayed"), _scratch(spark, "replay-ckpt")
+    feeds = fx.feed_messages(_events(spark, sf)).withColumn("file_time", F.timestamp_seconds(F.col("header.timestamp")))
+    write_archive(feeds, root)
+    replay(spark, root, sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("entity_id", "vehicle_id", "feed_timestamp", "ingest_timestamp", "current_status", "occupancy_status")
+
+
+@register("stream_bunching_restart")
+def q_stream_bunching_restart(spark, sf):
+    """ST8: two queries, one after the other, on one checkpoint with the default staging."""
+    from headway.streaming.bunching import read_stream_events, run_stream_bunching
+    from headway.streaming.ingest import ingest, read_position_stream
+
+    src, out, ckpt = _scratch(spark, "stream-src"), _scratch(spark, "stream-events"), _scratch(spark, "stream-restart-ckpt")
+    pos, routes = _stored(spark, sf, "positions", _positions), _stored_routes(spark, sf)
+    first = F.col("feed_timestamp") < F.unix_timestamp(F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    for part, sentinel in ((pos.where(first), None), (pos.where(~first), SENTINEL_AFTER_S)):
+        fx.write_stream_files(part, src, sentinel, files_per_range=FILES_PER_RANGE)
+        stream = ingest(read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=FILES_PER_RANGE))
+        run_stream_bunching(stream, routes, out, ckpt, delay=STREAM_DELAY).awaitTermination()
+    return read_stream_events(spark, out)

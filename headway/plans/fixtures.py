@@ -7,11 +7,10 @@ the work grows with the data.  The same expressions are written in SQL in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.columns import to_ts
-from headway.plans.inputs import table
+from headway.functions.columns import OCCUPANCY_STATUS, enum_name, to_ts
 from headway.schemas import POSITION_SCHEMA
 
 # Mapping constants of the derived inputs.
@@ -19,6 +18,9 @@ LAT0, LON0 = 43.60, -79.50
 LAT_STEP, LON_STEP = 0.0002, 0.0003
 ROUTE_TYPE_BY_EVENT = {"click": 0, "view": 3, "error": 1}
 EXCLUDED_ROUTE = "signup"
+ROUTES_PER_EVENT = 6
+SNAPSHOT_S = 8 * 3600
+STOPS = 25
 CURRENT_FROM = "2024-01-01 00:00:00"
 HISTORY_FROM = "2023-01-01 00:00:00"
 
@@ -43,6 +45,15 @@ def _status(k):
     )
 
 
+def _route_id():
+    """Six routes for each event type, so that top-k reports really cut."""
+    return F.concat(F.col("event_type"), F.lit("-"), (F.col("user_id") % ROUTES_PER_EVENT).cast("string"))
+
+
+def _snapshot(ts):
+    return (F.floor(F.unix_seconds(ts) / SNAPSHOT_S) * SNAPSHOT_S).cast("long")
+
+
 def positions_from_events(events: DataFrame) -> DataFrame:
     """Bronze positions from ``events`` plus re-delivered copies (every 10th
     event again, 5 s later, entity id suffixed 'd')."""
@@ -50,22 +61,22 @@ def positions_from_events(events: DataFrame) -> DataFrame:
     ts = to_ts("ts")
     gone_gps = eid % 19 == 0
     base = events.select(
-        F.unix_seconds(F.date_trunc("hour", ts)).alias("feed_timestamp"),
+        _snapshot(ts).alias("feed_timestamp"),
         F.unix_seconds(ts).alias("ingest_timestamp"),
         eid.cast("string").alias("entity_id"),
         _null_if(eid % 29 == 0, F.col("user_id").cast("string")).alias("vehicle_id"),
-        F.lit(None).cast("string").alias("trip_id"),
-        _null_if(eid % 17 == 0, F.col("event_type")).alias("route_id"),
-        F.lit(None).cast("int").alias("direction_id"),
+        _null_if(eid % 13 == 0, F.concat(F.lit("T"), (eid % 400).cast("string"))).alias("trip_id"),
+        _null_if(eid % 17 == 0, _route_id()).alias("route_id"),
+        _null_if(eid % 7 == 0, (eid % 2).cast("int")).alias("direction_id"),
         _null_if(gone_gps, _coord(eid, 37, LAT0, LAT_STEP)).cast("float").alias("latitude"),
         _null_if(gone_gps, _coord(eid, 91, LON0, LON_STEP)).cast("float").alias("longitude"),
-        F.lit(None).cast("float").alias("bearing"),
+        (eid % 360).cast("float").alias("bearing"),
         F.col("value").cast("float").alias("speed"),
-        _null_if(eid % 23 == 0, _k()).alias("current_stop_sequence"),
-        F.lit(None).cast("string").alias("stop_id"),
+        _null_if(eid % 23 == 0, _k() % STOPS).alias("current_stop_sequence"),
+        _null_if(eid % 11 == 0, F.concat(F.lit("P"), _k().cast("string"))).alias("stop_id"),
         _status(_k()).alias("current_status"),
-        F.lit(None).cast("long").alias("vehicle_timestamp"),
-        F.lit(None).cast("string").alias("occupancy_status"),
+        _null_if(eid % 5 == 0, F.unix_seconds(ts) - 3).alias("vehicle_timestamp"),
+        enum_name(F.when(eid % 10 < 9, eid % 10), OCCUPANCY_STATUS).alias("occupancy_status"),
         (eid % 10 == 0).alias("_copy"),
     )
     copies = base.where("_copy").select(
@@ -109,8 +120,9 @@ def positions_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def _route_type(col):
     expr = F.lit(None).cast("int")
+    kind = F.split_part(col, F.lit("-"), F.lit(1))
     for name, code in ROUTE_TYPE_BY_EVENT.items():
-        expr = F.when(col == name, F.lit(code)).otherwise(expr)
+        expr = F.when(kind == name, F.lit(code)).otherwise(expr)
     return expr
 
 
@@ -147,9 +159,7 @@ def dim_route_from(route_ids: DataFrame) -> DataFrame:
 
 
 def dim_route_from_events(events: DataFrame) -> DataFrame:
-    ids = events.select(F.col("event_type").alias("route_id")).where(
-        F.col("route_id") != EXCLUDED_ROUTE
-    ).distinct()
+    ids = events.where(F.col("event_type") != EXCLUDED_ROUTE).select(_route_id().alias("route_id")).distinct()
     return dim_route_from(ids)
 
 
@@ -242,16 +252,6 @@ def customer_incoming(customer: DataFrame) -> DataFrame:
     return kept.unionByName(new)
 
 
-def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All derived inputs for one scale-factor folder."""
-    ev = table(spark, sf_dir, "events")
-    return {
-        "positions": positions_from_events(ev),
-        "dim_route": dim_route_from_events(ev),
-        "fact_weather": weather_from_events(ev),
-    }
-
-
 SCD2_KEY = "c_custkey"
 SCD2_TRACKED = ["c_name", "c_mktsegment", "c_nationkey"]
 SCD2_LOAD_TS = "2024-06-01 00:00:00"
@@ -395,7 +395,7 @@ def feed_messages(events: DataFrame) -> DataFrame:
         F.col("stop_id").alias("stop_id"),
         status_num.alias("current_status"),
         F.col("vehicle_timestamp").alias("timestamp"),
-        F.col("occupancy_status").alias("occupancy_status"),
+        F.create_map(*[F.lit(x) for k, v in OCCUPANCY_STATUS.items() for x in (v, str(k))])[F.col("occupancy_status")].alias("occupancy_status"),
     )
     entity = F.struct(
         F.col("entity_id").alias("id"),
@@ -408,23 +408,23 @@ def feed_messages(events: DataFrame) -> DataFrame:
     ).drop("_grp", "feed_timestamp")
 
 
-# Day-of-month boundaries of the four ordered stream files.
-STREAM_FILE_DAYS = (1, 8, 16, 24, 32)
-
-
 def write_stream_files(
     positions: DataFrame, path: str, sentinel_after_s: int | None = None, files_per_range: int = 4
 ) -> None:
-    """Position records as JSON lines, written as four time ranges one after
+    """Position records as JSON lines, written as four time ranges (cut at the
+    quartiles of the snapshot times, one aggregate row) one after
     the other (one write job each, ``files_per_range`` tasks and files per
     job), so file modification order follows snapshot-time order between
     ranges; plus an optional one-row sentinel ``sentinel_after_s`` after
     the last snapshot."""
     from headway.sources.messages import to_records
 
-    day = F.dayofmonth(F.timestamp_seconds("feed_timestamp"))
-    for lo, hi in zip(STREAM_FILE_DAYS, STREAM_FILE_DAYS[1:]):
-        part = positions.where((day >= lo) & (day < hi))
+    t = F.col("feed_timestamp")
+    q = positions.agg(F.percentile_approx(t, [0.25, 0.5, 0.75]).alias("q")).first()["q"] or []
+    ends = sorted(set(q))
+    for lo, hi in zip([None, *ends], [*ends, None], strict=True):
+        inside = F.lit(True) if lo is None else t >= lo
+        part = positions.where(inside if hi is None else inside & (t < hi))
         to_records(part).select(F.col("value").cast("string").alias("value")).repartition(
             files_per_range
         ).write.mode("append").text(path)
@@ -461,3 +461,45 @@ def routes_txt_rows(events: DataFrame, version: int) -> DataFrame:
         F.upper(F.substring(r, 1, 3)).alias("route_color"),
         F.lit("FFFFFF").alias("route_text_color"),
     )
+
+
+def clustered_times(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(asked, observations) whose times crowd into 16 seconds, but for a few
+    observations of fifty years earlier."""
+    day = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    inside = lambda us: F.timestamp_micros(F.unix_micros(day) + us % 16_000_000)
+    us = F.unix_micros(to_ts("ts"))
+    asked = events.select("event_id", inside(us * 7).alias("event_time"))
+    w = weather_from_events(events)
+    old = F.lit("1974-01-01 00:00:00").cast("timestamp")
+    seen = F.when(F.col("humidity_pct") == 0, old).otherwise(inside(F.unix_micros("observed_at")))
+    return asked, w.select("station_id", seen.alias("observed_at"), "temperature_c")
+
+
+def planted_pairs(events: DataFrame) -> DataFrame:
+    """Rows shaped like the events mart, with NULL routes and times and pairs of a vehicle with itself."""
+    eid = F.col("event_id")
+    return events.select(
+        _null_if(eid % 17 == 0, _route_id()).alias("route_id"),
+        _null_if(eid % 40 == 0, to_ts("ts")).alias("event_time"),
+        _null_if(eid % 9 == 0, F.col("user_id").cast("string")).alias("vehicle_id_a"),
+        (F.col("user_id") + F.when(eid % 50 == 0, 0).otherwise(1)).cast("string").alias("vehicle_id_b"),
+    )
+
+
+def planted_stops(events: DataFrame) -> DataFrame:
+    """Stop ids with NULLs and repeats."""
+    return events.select(_null_if(F.col("event_id") % 33 == 0, (F.col("event_id") % 900).cast("string")).alias("stop_id"))
+
+
+def trips_csv_rows(orders: DataFrame) -> DataFrame:
+    """trips.txt content as text columns, with blanks."""
+    key = F.col("o_orderkey")
+    return orders.select(
+        key.cast("string").alias("trip_id"),
+        F.concat(F.lit("R"), (F.col("o_custkey") % 50).cast("string")).alias("route_id"),
+        F.col("o_orderpriority").alias("service_id"),
+        F.when(key % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("To, "), F.col("o_orderstatus"))).alias("trip_headsign"),
+        F.when(key % 5 == 0, F.lit("")).otherwise((key % 2).cast("string")).alias("direction_id"),
+        F.lit("").alias("shape_id"),
+    )
