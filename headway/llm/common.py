@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +15,28 @@ from headway.session import checkpoint_dir, ensure_utc, scratch_path
 __all__ = ["checkpoint_dir", "local_or_remote", "read_table", "scratch_path", "written", "word_table"]
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, wherever the driver found it; once for an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = Path(__file__).resolve().parent.parent
+        made = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(made)  # Spark sends it to the executors
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a table in the shared folder that every executor reads."""
+    ship_code(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
