@@ -19,16 +19,29 @@ from headway.llm.queries import TOKENIZER
 BROADCAST_IDS = 2_000_000
 
 
+#: The columns that the operators read.
+READ = ("doc_id", "text", "lang")
+
+
+def _shielded(docs: DataFrame) -> DataFrame:
+    """``docs`` with all other columns under names that no operator adds."""
+    return docs.toDF(*[c if c in READ else f"_column_{i}" for i, c in enumerate(docs.columns)])
+
+
+def _as_before(kept: DataFrame, docs: DataFrame) -> DataFrame:
+    return kept.select(*_shielded(docs).columns).toDF(*docs.columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    judged = quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
-    return judged.filter("kept").select(*docs.columns)
+    judged = quality.quality_rules(_shielded(docs), read_table(spark, sf_dir, "labels"))
+    return _as_before(judged.filter("kept"), docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below a half."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter("score < 0.5").select(*docs.columns)
+    return _as_before(toxicity.score(_shielded(docs), model).filter("score < 0.5"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +66,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    marked = decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
-    return marked.filter("not contaminated").select(*docs.columns)
+    marked = decontam.decontaminate(_shielded(docs), read_table(spark, sf_dir, "benchmark"))
+    return _as_before(marked.filter("not contaminated"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

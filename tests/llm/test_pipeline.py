@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from headway.llm import toxicity
@@ -142,10 +143,15 @@ def test_pipeline_against_plain_python(spark, tmp_dir):
 
 def test_stages_return_the_columns_of_documents(spark, tmp_dir):
     small_corpus(tmp_dir)
-    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet").withColumnRenamed("source", "score")
+    docs = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    names = ["score", "kept", "n_words", "stratum", "contaminated", "component_id", "n_hit", "_hw_gone_"]
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    given = {tuple(r) for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, tmp_dir)
         assert out.columns == docs.columns, name
+        kept = {tuple(r) for r in out.collect()}
+        assert kept < given, name
         assert stage(spark, docs.filter("false"), tmp_dir).count() == 0, name
     assert len(corpus_pipeline.STAGES) == 5
 
