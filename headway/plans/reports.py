@@ -200,16 +200,23 @@ def panels(mart: DataFrame, hourly: DataFrame, routes: DataFrame, from_=None, to
     }
 
 
-def refresh(frames: dict, parallelism: int = 4) -> dict:
+def refresh(frames: dict, parallelism: int = 4, max_rows: int = 100_000) -> dict:
     """Evaluate panels concurrently, as a dashboard refresh does (Spark runs
     jobs from several threads at once), and return their rows.
 
-    Panel results are small by construction: single aggregates, label-keyed
-    counts (modes, severities, hours, conditions), top-k lists, and the
-    hourly series of k routes over the requested range.
+    A panel is a single aggregate, a label-keyed count, a top-k list or an
+    hourly series over a time range.  One of more than ``max_rows`` rows, such as
+    the hourly series of an open range over many years, is an error: it needs a
+    narrower range, not a larger driver.
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    def rows(name, df):
+        found = df.limit(max_rows + 1).collect()
+        if len(found) > max_rows:
+            raise ValueError(f"panel {name} has more than {max_rows} rows; give it a time range")
+        return found
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        futures = {name: ex.submit(df.collect) for name, df in frames.items()}
+        futures = {name: ex.submit(rows, name, df) for name, df in frames.items()}
         return {name: f.result() for name, f in futures.items()}
