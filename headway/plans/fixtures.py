@@ -30,7 +30,10 @@ def _null_if(cond, value):
 
 
 def _coord(key, mult: int, origin: float, step: float):
-    return F.lit(origin) + ((key * mult) % 1000).cast("double") * F.lit(step)
+    """A thousand places in a tile; further keys go to further tiles, so that the
+    area grows with the table and places are not shared ever more densely."""
+    tile = (key % 300_000 / 1000).cast("long") if origin < 0 else (key / 300_000).cast("long") % 100
+    return F.lit(origin) + ((key * mult) % 1000).cast("double") * F.lit(step) + tile.cast("double") * F.lit(0.4 if origin < 0 else 0.3)
 
 
 def _k():
