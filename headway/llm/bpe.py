@@ -17,8 +17,10 @@ import re
 
 import numpy as np
 
+from headway.llm.common import worker_state
+
 #: Distinct units that one worker keeps; later ones are encoded each time they come.
-CACHE_UNITS = 800_000
+CACHE_UNITS = 400_000
 
 # Printable Latin text; everything else takes the library's own path.
 _PLAIN = re.compile("[\n -~¡-ɏ]*")
@@ -98,11 +100,6 @@ class Encoder:
             out[k] = b"".join([found[u] if ids is None else ids for u, ids in zip(units, known, strict=True)])
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(tokenizer_path: str) -> Encoder:
     """One encoder for each Python worker and vocabulary file."""
-    if tokenizer_path not in _encoders:
-        _encoders[tokenizer_path] = Encoder(tokenizer_path)
-    return _encoders[tokenizer_path]
+    return worker_state("bpe", tokenizer_path, lambda: Encoder(tokenizer_path))

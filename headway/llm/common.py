@@ -42,6 +42,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_worker: dict[str, tuple] = {}
+
+
+def worker_state(kind: str, key, make):
+    """What a Python worker keeps from task to task: one thing, of the operator that runs now.
+
+    A worker serves one operator after another; what an earlier one has kept is
+    let go, so that a worker's memory is that of its largest operator.
+    """
+    held = _worker.get(kind)
+    if held is None or held[0] != key:
+        import gc
+
+        import pyarrow as pa
+
+        _worker.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _worker[kind] = held = (key, make())
+    return held[1]
+
+
 def local_or_remote(uri: str):
     """(pyarrow file system, path) of a folder or file in the shared storage."""
     from pyarrow import fs

@@ -13,6 +13,8 @@ the first model has not seen turns it into a score.
 
 from __future__ import annotations
 
+import copy
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import NOT_ALPHANUMERIC, word_table
+from headway.llm.common import NOT_ALPHANUMERIC, word_table, worker_state, written
 
 #: Bytes of an n-gram, the last of which is predicted; at most 8.
 ORDER = 6
@@ -33,8 +35,9 @@ SHARE = 0.01
 LABELLED_ROWS = 400_000
 #: At most so many distinct n-grams make up the shared counts, the most frequent ones.
 MODEL_GRAMS = 2_000_000
-#: Distinct words whose value a worker keeps, and that are counted before they are turned into n-grams.
-CACHED_WORDS = 700_000
+#: Distinct words whose value a worker keeps, and that are counted before they are turned into n-grams, a part at a time.
+CACHED_WORDS = 400_000
+PART_WORDS = 50_000
 #: Labels are learned from the folds 1 to 4 of crc32(id) mod 5; fold 4 fits the curve of a model of folds 1 to 3.
 FOLDS, HELD_OUT, CURVE_FOLD = 5, 0, 4
 
@@ -227,10 +230,15 @@ def gram_counts(docs: DataFrame, labelled, *, id_col: str = "doc_id", text_col:
 
         def flush() -> pa.RecordBatch:
             words = list(found[0])
-            n = np.array([[c[w] for w in words] for c in found], dtype=np.int64).reshape(len(_SLOTS), len(words))
-            grams, of = word_grams(words)
-            seen, inverse = np.unique(grams, return_inverse=True)
-            sums = [np.bincount(inverse, weights=row[of], minlength=len(seen)).astype(np.int64) for row in n]
+            seen, sums = np.zeros(0, dtype=np.uint64), np.zeros((len(_SLOTS), 0), dtype=np.int64)
+            for begin in range(0, len(words), PART_WORDS):
+                part = words[begin : begin + PART_WORDS]
+                n = np.array([[c[w] for w in part] for c in found], dtype=np.int64)
+                grams, of = word_grams(part)
+                both = np.concatenate([seen, grams])
+                seen, inverse = np.unique(both, return_inverse=True)
+                counts = np.concatenate([sums, n[:, of]], axis=1)
+                sums = np.array([np.bincount(inverse, weights=row, minlength=len(seen)) for row in counts]).astype(np.int64)
             for c in found:
                 c.clear()
             return pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), *map(pa.array, sums)], names=["gram", *_SLOTS])
@@ -267,8 +275,6 @@ def train(
     Every document is counted for the shared lower orders.  Without labelled rows
     of both classes all scores are 1/2 or less than it by the curve (1, 0).
     """
-    from headway.llm.common import written
-
     labelled = labelled_rows(labels, id_col=id_col, label_col=label_col, limit=labelled_limit)
     counted = written(gram_counts(docs, labelled, id_col=id_col, text_col=text_col), "grams")
     sizes = counted.groupBy(F.floor(F.log2("everywhere")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect()
@@ -314,28 +320,21 @@ def train(
     return final
 
 
-_loaded: dict[str, Model] = {}
-
-
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` of ``docs`` (all by default) with ``score``, from 0 to 1; every whole text is read.
 
     Null, empty and wordless texts get the score of a difference of 0.  Rows are
     scored one by one.  An input column named ``score`` is replaced.
     """
-    import uuid
-
     names = [c for c in (docs.columns if carry is None else carry) if c != "score"]
     schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("score", T.DoubleType())])
     shipped, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # of bounded size: MODEL_GRAMS
     at_text = names.index(text_col) if text_col in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _loaded:
-            _loaded.clear()
-            _loaded[key] = shipped.value
+        own = worker_state("toxicity", key, lambda: copy.copy(shipped.value))  # with a cache of its own
         for batch in batches:
-            found = _loaded[key].scores(batch.column(at_text).to_pylist())
+            found = own.scores(batch.column(at_text).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.float64())], names=schema.names)
 
     sent = docs.select(*names) if text_col in names else docs.select(*names, F.col(text_col).alias("_hw_text"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
-from headway.llm.common import AtomicFile, local_or_remote, make_folder
+from headway.llm.common import AtomicFile, local_or_remote, make_folder, worker_state
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SEED = 42  # that of Spark's xxhash64, which makes the keys
@@ -123,9 +123,6 @@ class DigestArray:
         return out
 
 
-_arrays: dict[tuple, DigestArray] = {}
-
-
 def judge(pages: DataFrame, manifest: DataFrame, *, url_col: str = "url", default: str = "allow") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (null if none fits) and ``verdict`` (the rule's, else ``default``).
 
@@ -141,11 +138,7 @@ def judge(pages: DataFrame, manifest: DataFrame, *, url_col: str = "url", defaul
     schema = T.StructType([*base.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = tuple(shards)
-        if key not in _arrays:
-            _arrays.clear()
-            _arrays[key] = DigestArray(shards)
-        array = _arrays[key]
+        array = worker_state("urls", tuple(shards), lambda: DigestArray(shards))
         lengths = sorted(array.lengths)
         for batch in batches:
             hosts, paths = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
