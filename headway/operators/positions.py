@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import OCCUPANCY_STATUS, VEHICLE_STOP_STATUS, blank_to_null, enum_name
@@ -95,32 +95,23 @@ def dedup(
 ) -> DataFrame:
     """Keep one row per ``keys`` deterministically: the first by ``order_by`` (A1).
 
-    NULL keys compare equal (as in ``dropDuplicates``).  Implemented as an
-    aggregation of ``min(struct(order..., row...))`` so Spark combines copies
-    map-side before the shuffle: a key holding a huge group of copies costs one
-    partial row per map task, not one huge sorted group in one task.
+    NULL keys compare equal (as in ``dropDuplicates``).  Planned as a group limit
+    of one: each task keeps the first row of a key before the shuffle, so a key
+    holding a huge group of copies costs one row per map task, not one huge
+    sorted group in one task.  Complete ties are broken by the other columns.
     ``prefer_valid`` (finding F2) ranks rows with all listed columns non-null
     first, so a null-GPS twin never displaces a good row.
     """
-    cols = df.columns
-    order_cols = []
-    for i, o in enumerate(order_by):
-        oc = F.col(o) if isinstance(o, str) else o
-        order_cols.append(oc.alias(f"_o{i}"))
+    order = [F.col(o) if isinstance(o, str) else o for o in order_by]
     if prefer_valid:
         bad = F.lit(False)
         for c in prefer_valid:
             bad = bad | F.col(c).isNull()
-        order_cols.insert(0, bad.alias("_ov"))
-    keys = list(keys)
-    rest = [c for c in cols if c not in keys]
-    # The grouping keys are not repeated inside the packed row.
-    packed = F.struct(*order_cols, F.struct(*[F.col(c) for c in rest]).alias("_row"))
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(packed).alias("_best"))
-        .select(*[F.col(c) if c in keys else F.col(f"_best._row.{c}").alias(c) for c in cols])
-    )
+        order.insert(0, bad)
+    named = {*keys, *[o for o in order_by if isinstance(o, str)]}
+    rest = [F.col(c) for c, kind in df.dtypes if c not in named and not kind.startswith("map")]
+    first = Window.partitionBy(*keys).orderBy(*[o.asc_nulls_first() for o in [*order, *rest]])
+    return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
 def clean_positions(df: DataFrame, required: Sequence[str] = REQUIRED_FOR_BUNCHING) -> DataFrame:

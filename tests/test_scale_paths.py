@@ -15,6 +15,7 @@ from headway.operators.joins import require_unique
 from headway.operators.nearest import nearest_join
 from headway.operators.positions import dedup, enrich_routes
 from headway.operators.spatial import within_radius
+from headway.plans.silver import bunching_events
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -87,7 +88,8 @@ def test_dedup_hot_key_is_combined_map_side(spark):
     rows = [("hot", 1, i, f"e{i:04d}") for i in range(600)] + [(f"v{i}", 1, i, f"e{i}") for i in range(1200)]
     df = spark.createDataFrame(rows, "vehicle_id string, feed_timestamp long, ingest_timestamp long, entity_id string")
     d = dedup(df.repartition(8))
-    assert "partial_min" in plan(d)
+    shown = plan(d)
+    assert "WindowGroupLimit" in shown.split("Exchange hashpartitioning")[1]  # before the shuffle, too
     hot = d.where("vehicle_id = 'hot'").collect()
     assert len(hot) == 1 and hot[0]["entity_id"] == "e0000"
 
@@ -166,3 +168,21 @@ def test_split_detector_equals_window_property(spark, rows):
     a = sorted(map(tuple, detect_bunching(df, method="window").collect()))
     b = sorted(map(tuple, detect_bunching(df, method="split").collect()))
     assert a == b
+
+
+def test_one_shuffle_by_snapshot(spark, tmp_dir):
+    rows = [(f"v{i % 40}", i // 40, i, f"e{i}", "AB"[i % 2], i % 12, 1.0, 2.0) for i in range(800)]
+    bronze = spark.createDataFrame(
+        rows + rows[:200],
+        "vehicle_id string, feed_timestamp long, ingest_timestamp long, entity_id string, route_id string, current_stop_sequence int, latitude float, longitude float",
+    )
+    dim = spark.createDataFrame([("A", "A", "a", True)], "route_id string, route_short_name string, route_long_name string, is_current boolean")
+    dim.coalesce(1).write.parquet(f"{tmp_dir}/dim")  # a stored dimension has a known size
+    dim = spark.read.parquet(f"{tmp_dir}/dim")
+    plain = sorted(map(str, bunching_events(bronze, dim).collect()))
+    for method in ("split", "window"):
+        df = bunching_events(bronze, dim, method=method, by_snapshot=True)
+        shown = plan(df)
+        assert shown.count("Exchange hashpartitioning(feed_timestamp") == 1
+        assert shown.count("Exchange hashpartitioning(") == 2  # the other checks the dimension's keys
+        assert sorted(map(str, df.collect())) == plain and plain
