@@ -482,12 +482,15 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, id_col: s
 def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of nodes that share a signature, are in different components, and that the counters do not rule out.
 
-    A signature with many such nodes is cut into blocks, and each pair of blocks
-    is a task's work of its own.
+    Signatures shared by the very same nodes are one.  A signature with many such
+    nodes is cut into blocks, and each pair of blocks is a task's work of its own.
     """
     placed = groups.join(roots, "node", "left").select("sig", "node", "center", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).filter("lo != hi")
-    open_ = placed.join(mixed.select("sig", "m"), "sig").filter("node != center")  # pairs with the center are known
+    members = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"members{k}") for k in range(2)]
+    mixed = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m"), *members)
+    # pairs with the center are known, so two nodes leave none
+    mixed = mixed.filter("lo != hi and m > 2").groupBy("m", "members0", "members1").agg(F.min("sig").alias("sig"))
+    open_ = placed.join(mixed.select("sig", "m"), "sig").filter("node != center")
     info = classes.select("node", "n", "counters")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -509,16 +512,17 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
             coarse = table.reshape(len(table), -1, SUMMED).sum(axis=2, dtype=np.int16)
             first = np.flatnonzero(mine == key[1])
             second = np.flatnonzero(mine == key[2])
-            for k in first.tolist():
-                with_ = second[second > k] if key[1] == key[2] else second
-                with_ = with_[root[with_] != root[k]]
-                room = _room(n[k], n[with_])
-                for level in (coarse, table):  # the sums rule most out
-                    keep = room >= 0 if not len(with_) else _apart(level[k], level[with_]) <= room
-                    with_, room = with_[keep], room[keep]
-                if len(with_):
-                    x = np.full(len(with_), node[k])
-                    ends = np.minimum(x, node[with_]), np.maximum(x, node[with_])
+            step = max(1, BLOCK * 64 // max(1, len(second)))  # so many rows at a time that their differences stay small
+            for begin in range(0, len(first), step):
+                mine_ = first[begin : begin + step, None]
+                room = np.where(root[mine_] != root[second], _room(n[mine_], n[second]), -1)
+                if key[1] == key[2]:
+                    room[second <= mine_] = -1
+                i, j = np.nonzero(_apart(coarse[mine_], coarse[second]) <= room)  # the sums rule most out
+                i, j, room = mine_[i, 0], second[j], room[i, j]
+                near = _apart(table[i], table[j]) <= room
+                if near.any():
+                    ends = np.sort(np.stack([node[i[near]], node[j[near]]]), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
 
         for batch in batches:
