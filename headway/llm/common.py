@@ -15,11 +15,18 @@ from headway.session import checkpoint_dir, ensure_utc, scratch_path
 __all__ = ["checkpoint_dir", "local_or_remote", "read_table", "scratch_path", "written", "word_table"]
 
 
+#: Bytes of rows that a Python worker is given at a time, in a session that keeps Spark's default.
+BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Give the session's Python workers this package, wherever the driver found it; once for an application."""
+    """Give the session's Python workers this package, wherever the driver found it (once for an application), and
+    rows in batches that keep a worker's memory small however long the texts are."""
+    held = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(held) in ("67108864b", "64m", "64MB"):  # Spark's default
+        spark.conf.set(held, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)
