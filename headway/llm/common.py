@@ -16,7 +16,7 @@ __all__ = ["checkpoint_dir", "local_or_remote", "read_table", "scratch_path", "w
 
 
 #: Bytes of rows that a Python worker is given at a time, in a session that keeps Spark's default.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _shipped: set[str] = set()
 
