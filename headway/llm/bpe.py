@@ -20,7 +20,7 @@ import numpy as np
 from headway.llm.common import worker_state
 
 #: Distinct units that one worker keeps; later ones are encoded each time they come.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 200_000
 
 # Printable Latin text; everything else takes the library's own path.
 _PLAIN = re.compile("[\n -~¡-ɏ]*")

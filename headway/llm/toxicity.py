@@ -36,7 +36,7 @@ LABELLED_ROWS = 400_000
 #: At most so many distinct n-grams make up the shared counts, the most frequent ones.
 MODEL_GRAMS = 2_000_000
 #: Distinct words whose value a worker keeps, and that are counted before they are turned into n-grams, a part at a time.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 PART_WORDS = 50_000
 #: Labels are learned from the folds 1 to 4 of crc32(id) mod 5; fold 4 fits the curve of a model of folds 1 to 3.
 FOLDS, HELD_OUT, CURVE_FOLD = 5, 0, 4
