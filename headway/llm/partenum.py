@@ -43,7 +43,7 @@ SPARE = 1.1
 COUNTERS, SUMMED = 256, 8
 #: Buckets that signatures are dealt out by, and signatures that a task holds before it sends them.
 BUCKETS = 1024
-HELD = 2_000_000
+HELD = 400_000
 #: Members of a signature compared in one block with another.
 BLOCK = 2048
 #: A side of at most so many ids may be broadcast to the tasks that read texts.
