@@ -8,7 +8,7 @@ and returns a DataFrame; all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.llm import decontam, packing, partenum, quality, toxicity
@@ -47,8 +47,9 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: that with the smallest id.
 
-    Rows without an id stay, as no group can name them; of rows that repeat an id
-    the one with the smallest text hash stays.
+    Rows without an id stay, as no group can name them.  Rows that repeat an id
+    are one document, which stays if none of them is like one with a smaller id;
+    of its rows that with the smallest text hash stays.
     """
     grouped = written(partenum.jaccard_groups(docs).filter("doc_id is not null").distinct(), "groups")
     gone = grouped.groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("c < doc_id").select(F.col("doc_id").alias("_hw_gone"))
@@ -60,7 +61,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     if again.isEmpty():
         return left
     once = left.join(again, left["doc_id"] == again["_hw_again"], "left_semi")
-    first = once.withColumn("_hw_hash", F.xxhash64(F.coalesce("text", F.lit("")))).orderBy("_hw_hash").dropDuplicates(["doc_id"]).drop("_hw_hash")
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), *[F.col(c).asc_nulls_first() for c in docs.columns])
+    first = once.withColumn("_hw_place", F.row_number().over(order)).filter("_hw_place = 1").drop("_hw_place")
     return left.join(again, left["doc_id"] == again["_hw_again"], "left_anti").unionByName(first)
 
 

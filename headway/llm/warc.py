@@ -14,6 +14,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,22 @@ def _header(fields: list[tuple[str, str]]) -> bytes:
     return b"\r\n".join([_VERSION, *lines, b"", b""])
 
 
+def _record_fields(page_id: int | None, url: str | None, sha1: str, size: int, target: int | None, copy: int, date: str) -> list[tuple[str, str]]:
+    fields = [
+        ("WARC-Type", "response" if target is None else "revisit"),
+        ("WARC-Record-ID", _record_id(page_id, sha1, copy)),
+        ("WARC-Date", date),
+        ("WARC-Target-URI", url or ""),
+        ("WARC-Payload-Digest", _base32(sha1)),
+        ("X-Payload-Length", str(size)),
+    ]
+    if page_id is not None:
+        fields.append(("X-Page-ID", str(page_id)))
+    if target is not None:
+        fields += [("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", _record_id(target, sha1, 0)), ("X-Refers-To-Page-ID", str(target))]
+    return fields
+
+
 def write_archives(
     pages: DataFrame,
     folder: str,
@@ -102,40 +119,28 @@ def write_archives(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"{folder}/part-{TaskContext.get().partitionId():05d}.warc.gz"
-        file = out = None
+        out = None
         n_records = n_bytes = 0
         copies: dict[tuple, int] = {}
-        for batch in batches:
-            for k in range(batch.num_rows):
-                if file is None:
-                    file = AtomicFile(name)
-                    out = file.__enter__()
-                page_id, url, sha1, size, target = (batch.column(c)[k].as_py() for c in range(5))
-                payload = batch.column(5)[k]
-                copy = copies[page_id, sha1] = copies.get((page_id, sha1), -1) + 1
-                head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
-                fields = [
-                    ("WARC-Type", "response" if target is None else "revisit"),
-                    ("WARC-Record-ID", _record_id(page_id, sha1, copy)),
-                    ("WARC-Date", date),
-                    ("WARC-Target-URI", url or ""),
-                    ("WARC-Payload-Digest", _base32(sha1)),
-                    ("X-Payload-Length", str(size)),
-                ]
-                if page_id is not None:
-                    fields.append(("X-Page-ID", str(page_id)))
-                if target is not None:
-                    fields += [("WARC-Profile", _REVISIT_PROFILE), ("WARC-Refers-To", _record_id(target, sha1, 0)), ("X-Refers-To-Page-ID", str(target))]
-                body = b"" if target is not None or not payload.is_valid else memoryview(payload.as_buffer())
-                fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(head) + len(body)))]
-                gzip = zlib.compressobj(level, zlib.DEFLATED, 31)
-                written = out.write(gzip.compress(_header(fields) + head))
-                for at in range(0, len(body), CHUNK_BYTES):
-                    written += out.write(gzip.compress(body[at : at + CHUNK_BYTES]))
-                written += out.write(gzip.compress(b"\r\n\r\n") + gzip.flush())
-                n_records, n_bytes = n_records + 1, n_bytes + written
-        if file is not None:
-            file.__exit__(None)
+        with ExitStack() as stack:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    if out is None:
+                        out = stack.enter_context(AtomicFile(name))
+                    page_id, url, sha1, size, target = (batch.column(c)[k].as_py() for c in range(5))
+                    payload = batch.column(5)[k]
+                    copy = copies[page_id, sha1] = copies.get((page_id, sha1), -1) + 1
+                    body = b"" if target is not None or not payload.is_valid else memoryview(payload.as_buffer())
+                    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+                    fields = _record_fields(page_id, url, sha1, size, target, copy, date)
+                    fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(head) + len(body)))]
+                    gzip = zlib.compressobj(level, zlib.DEFLATED, 31)
+                    written = out.write(gzip.compress(_header(fields) + head))
+                    for at in range(0, len(body), CHUNK_BYTES):
+                        written += out.write(gzip.compress(body[at : at + CHUNK_BYTES]))
+                    written += out.write(gzip.compress(b"\r\n\r\n") + gzip.flush())
+                    n_records, n_bytes = n_records + 1, n_bytes + written
+        if n_records:
             yield pa.RecordBatch.from_pydict({"archive": [name], "n_records": [n_records], "n_bytes": [n_bytes]})
 
     joined.mapInArrow(write, _MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
