@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 
 def test_checks_report_failures(spark):
-    routes = spark.createDataFrame([("504",), ("504",), (None,)], "route_id string")
+    routes = spark.createDataFrame([("504",), ("504",), ("504",), (None,), (None,)], "route_id string")
     mart = spark.createDataFrame(
         [("504", "a", "a", 1), ("504", "a", "b", 2), (None, "c", "d", None)],
         "route_id string, vehicle_id_a string, vehicle_id_b string, event_time int",
@@ -12,8 +12,8 @@ def test_checks_report_failures(spark):
         (r["check"], r["table"], r["column"]): r["failures"]
         for r in run_checks({"stg_dim_route_current": routes, "mart_bunching_events": mart}).collect()
     }
-    assert out[("not_null", "stg_dim_route_current", "route_id")] == 1
-    assert out[("unique", "stg_dim_route_current", "route_id")] == 2
+    assert out[("not_null", "stg_dim_route_current", "route_id")] == 2
+    assert out[("unique", "stg_dim_route_current", "route_id")] == 1  # keys, not rows; NULL is no key
     assert out[("not_null", "mart_bunching_events", "route_id")] == 1
     assert out[("not_null", "mart_bunching_events", "event_time")] == 1
     assert out[("no_self_bunching", "mart_bunching_events", "vehicle_id_a,vehicle_id_b")] == 1
