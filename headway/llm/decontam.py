@@ -12,7 +12,6 @@ left is compared word for word.
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
