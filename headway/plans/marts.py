@@ -189,9 +189,10 @@ def build_marts(
     """Full-rebuild marts (S20).  With ``out_dir`` each mart is written and
     the hourly mart is built from the written events, so lineage is cut.
 
-    Events are partitioned by ``event_date`` and sorted by ``event_time`` inside
-    files: a dashboard range prunes whole partitions, then row groups by their
-    min/max.  The hourly mart is sorted by ``event_hour`` and route.  The layout
+    Events are partitioned by ``event_month`` and sorted by ``event_time`` inside
+    files: a dashboard range prunes whole partitions, then files and row groups
+    by their min/max, so days need no folders of their own (years of sparse days
+    would be thousands of tiny files).  The hourly mart is sorted by ``event_hour`` and route.  The layout
     does not depend on the data's size; a rebuild replaces both tables."""
     views = register_staging(spark, tables)
     stg = views["stg_bunching_events"]
@@ -207,14 +208,14 @@ def build_marts(
 
         ev_path = f"{out_dir.rstrip('/')}/mart_bunching_events"
         write_table(
-            events.withColumn("event_date", F.to_date("event_time")),
+            events.withColumn("event_month", F.date_format("event_time", "yyyy-MM")),
             ev_path,
             fmt=fmt,
-            partition_by=["event_date"],
+            partition_by=["event_month"],
             sort_within=["event_time"],
             clustered=True,
         )
-        events = spark.read.format(fmt).load(ev_path).drop("event_date")
+        events = spark.read.format(fmt).load(ev_path).drop("event_month")
     hourly = mart_bunching_hourly(events)
     if out_dir:
         from headway.sources.tables import write_table
