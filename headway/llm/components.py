@@ -17,7 +17,7 @@ def _stars(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over (u, v) with u > v."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     root = large.groupBy("u").agg(F.min("v").alias("m"))
     small = large.join(root, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionByName(root.select("u", F.col("m").alias("v"))).distinct()
