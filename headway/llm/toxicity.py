@@ -33,8 +33,6 @@ DISCOUNT = 0.75
 SHARE = 0.01
 #: At most so many labelled rows are learned from, those with the smallest hash of their id.
 LABELLED_ROWS = 400_000
-#: At most so many distinct n-grams make up the shared counts, the most frequent ones.
-MODEL_GRAMS = 2_000_000
 #: Distinct words whose value a worker keeps, and that are counted before they are turned into n-grams, a part at a time.
 CACHED_WORDS = 200_000
 PART_WORDS = 50_000
@@ -110,18 +108,46 @@ class Shared:
         return np.where(there > 0, own / np.maximum(there, 1), lower)
 
 
+def _shorter(grams: np.ndarray) -> np.ndarray:
+    """N-grams without their first byte."""
+    out = np.zeros_like(grams)
+    for m in range(2, ORDER + 1):
+        mine = grams >= np.uint64(1 << 8 * (m - 1))
+        out[mine] = grams[mine] & np.uint64((1 << 8 * (m - 1)) - 1)
+    return out
+
+
+def lower_orders(grams: np.ndarray, seen: np.ndarray, n: np.ndarray, total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """What ``Shared`` gives for ``grams`` without their first byte, from a table (sorted by ``seen``) of all that they
+    end with: continuation counts, and those of the context: their total and how many bytes follow it."""
+    p = np.zeros(len(seen))
+    own, back = np.maximum(n - DISCOUNT, 0), DISCOUNT * kinds
+    ends = np.searchsorted(seen, np.array([1 << 8 * m for m in range(ORDER)], dtype=np.uint64))
+    for m in range(1, ORDER):  # shorter ones come first
+        at = slice(ends[m - 1], ends[m])
+        lower = np.full(at.stop - at.start, 1 / 256) if m == 1 else p[np.searchsorted(seen, _shorter(seen[at]))]
+        p[at] = (own[at] + back[at] * lower) / total[at]
+    return p[np.searchsorted(seen, _shorter(grams))]
+
+
 class Model:
-    """log P(toxic) - log P(ordinary) of n-grams seen in a class, and of others by their context."""
+    """log P(toxic) - log P(ordinary) of n-grams seen in a class, and of others by their context.
+
+    ``everywhere`` are all n-grams, or those (sorted) whose lower-order probabilities are ``lower``.
+    """
 
-    def __init__(self, everywhere: np.ndarray, classes: list[tuple[np.ndarray, np.ndarray]]):
-        shared = Shared(everywhere)
+    def __init__(self, everywhere: np.ndarray, classes: list[tuple[np.ndarray, np.ndarray]], lower: np.ndarray | None = None):
         self.grams = np.union1d(classes[0][0], classes[1][0])
         self.contexts = np.unique(self.grams >> np.uint64(8))
-        lower = np.zeros(len(self.grams))
-        for m in range(2, ORDER + 1):
-            mine = (self.grams < np.uint64(1 << 8 * m)) if m < 8 else np.ones(len(self.grams), dtype=bool)
-            mine &= self.grams >= np.uint64(1 << 8 * (m - 1))
-            lower[mine] = shared.probability(self.grams[mine] & np.uint64((1 << 8 * (m - 1)) - 1), m - 1)
+        if lower is None:
+            shared = Shared(everywhere)
+            lower = np.zeros(len(self.grams))
+            for m in range(2, ORDER + 1):
+                mine = (self.grams < np.uint64(1 << 8 * m)) if m < 8 else np.ones(len(self.grams), dtype=bool)
+                mine &= self.grams >= np.uint64(1 << 8 * (m - 1))
+                lower[mine] = shared.probability(self.grams[mine] & np.uint64((1 << 8 * (m - 1)) - 1), m - 1)
+        else:
+            lower = lower[np.searchsorted(everywhere, self.grams)]
         own, rest = [], []
         for grams, counts in classes:
             contexts, total, kinds = _by_context(grams, counts)
@@ -260,6 +286,30 @@ def gram_counts(docs: DataFrame, labelled, *, id_col: str = "doc_id", text_col:
     return counted.groupBy("gram").agg(*[F.sum(s).alias(s) for s in _SLOTS])
 
 
+def _endings(grams: DataFrame) -> DataFrame:
+    """``longer``: all that n-grams end with, themselves too, but for single bytes; ``gram``: that without its first byte."""
+    g = F.col("gram")
+
+    def last(k: int) -> Column:
+        return g if k == 8 else g.bitwiseAND(F.lit((1 << 8 * k) - 1).cast("long"))
+
+    each = [
+        F.when(F.shiftrightunsigned(g, 8 * (k - 1)) != 0, F.struct(last(k - 1).alias("gram"), last(k).alias("longer")))
+        for k in range(2, ORDER + 1)
+    ]
+    return grams.select(F.inline(F.array_compact(F.array(*each))))
+
+
+def shared_counts(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of all that the ``wanted`` n-grams end with: ``n``, before how many bytes it is seen in the n-grams ``counted``, and
+    ``total`` and ``kinds`` of its context.  A key of any of the steps has at most 256 rows."""
+    n = written(_endings(counted).groupBy("gram").agg(F.count_distinct("longer").cast("int").alias("n")), "endings")
+    n = n.withColumn("context", F.shiftrightunsigned("gram", 8))
+    contexts = n.groupBy("context").agg(F.sum("n").cast("int").alias("total"), F.count("*").cast("int").alias("kinds"))
+    mine = n.join(_endings(wanted).select("gram").distinct(), "gram", "left_semi")
+    return mine.join(contexts, "context").select("gram", "n", "total", "kinds")
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -268,40 +318,38 @@ def train(
     text_col: str = "text",
     label_col: str = "toxic",
     labelled_limit: int = LABELLED_ROWS,
-    model_grams: int = MODEL_GRAMS,
 ) -> Model:
     """The model of all learned folds, with the curve of the model without the curve fold.
 
-    Every document is counted for the shared lower orders.  Without labelled rows
+    Every n-gram of every document counts for the shared lower orders; they are
+    counted in Spark, and only the n-grams of labelled rows, with the counts of
+    what they end with, come to the driver.  Without labelled rows
     of both classes all scores are 1/2 or less than it by the curve (1, 0).
     """
     labelled = labelled_rows(labels, id_col=id_col, label_col=label_col, limit=labelled_limit)
     counted = written(gram_counts(docs, labelled, id_col=id_col, text_col=text_col), "grams")
-    sizes = counted.groupBy(F.floor(F.log2("everywhere")).cast("int").alias("power")).count().orderBy(F.desc("power")).collect()
-    least, kept = 1, 0
-    for power, n in sizes:  # a row for each power of two
-        if kept + n > model_grams:
-            least = 2 ** (power + 1)
-            break
-        kept += n
-    sparse = counted.filter(F.col("everywhere") >= least).select("gram", *[F.col(s).cast("int") for s in _SLOTS[1:]])
-    table = sparse.toArrow()
+    sparse = counted.filter(" or ".join(f"{s} > 0" for s in _SLOTS[1:]))
+    table = sparse.select("gram", *[F.col(s).cast("int") for s in _SLOTS[1:]]).toArrow()
     grams = table.column("gram").to_numpy().view(np.uint64)
     order = np.argsort(grams)
     grams = grams[order]
     n = {s: table.column(s).to_numpy()[order] for s in _SLOTS[1:]}
-    del table, order
+    table = shared_counts(counted, sparse).toArrow()
+    seen = table.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(seen)
+    lower = lower_orders(grams, seen[order], *[table.column(c).to_numpy()[order] for c in ("n", "total", "kinds")])
+    del table, order, seen
 
     def model(slots: list[list[str]]) -> Model:
         classes = []
         for names in slots:
             total = sum(n[s].astype(np.int64) for s in names)
             classes.append((grams[total > 0], total[total > 0]))
-        return Model(grams, classes)
+        return Model(grams, classes, lower)
 
     first = model([["ordinary"], ["toxic"]])
     final = model([["ordinary", "ordinary_curve"], ["toxic", "toxic_curve"]])
-    del grams, n
+    del grams, n, lower
     ids, toxic, curve = labelled
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +376,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", carry: list[
     """
     names = [c for c in (docs.columns if carry is None else carry) if c != "score"]
     schema = T.StructType([*docs.select(*names).schema.fields, T.StructField("score", T.DoubleType())])
-    shipped, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # of bounded size: MODEL_GRAMS
+    shipped, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # n-grams of at most LABELLED_ROWS rows
     at_text = names.index(text_col) if text_col in names else len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -85,6 +85,26 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(docs.filter("false"), model).collect() == []
 
 
+def test_rare_grams_of_a_large_vocabulary_are_kept(spark):
+    rnd = np.random.default_rng(6)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", dtype=np.uint8)
+    filler = [" ".join(bytes(w).decode() for w in letters[rnd.integers(0, 36, (10_000, 8))]) for _ in range(40)]
+    marked = [(i, f"some good words {'vexgrub' if i == 7 else 'here'} é{i}", int(i % 3 == 1)) for i in range(1, 60)]
+    docs = spark.createDataFrame([*[(1000 + i, t) for i, t in enumerate(filler)], *[r[:2] for r in marked]], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in marked], "doc_id long, toxic int"))
+
+    everywhere = np.unique(np.concatenate([toxicity.word_grams(toxicity.words_of(t))[0] for t in [*filler, *[r[1] for r in marked]]]))
+    assert len(everywhere) > 2_000_000
+    classes = []
+    for toxic in (0, 1):
+        words = [w for i, t, c in marked if c == toxic and zlib.crc32(str(i).encode()) % 5 for w in toxicity.words_of(t)]
+        classes.append(np.unique(toxicity.word_grams(words)[0], return_counts=True))
+    exact = toxicity.Model(everywhere, classes)
+    assert model.grams.tolist() == exact.grams.tolist()
+    assert np.allclose(model.by_gram, exact.by_gram, atol=1e-6) and np.allclose(model.by_context, exact.by_context, atol=1e-6)
+    assert zlib.crc32(b"7") % 5 and model.values([b"vexgrub"])[0] > model.values([b"here"])[0]
+
+
 def brute_counts(text):
     import re
 
