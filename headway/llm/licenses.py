@@ -10,11 +10,72 @@ whole.
 
 from __future__ import annotations
 
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Public licence texts and the usual one-line notices.
-KNOWN_TEXTS = [
+# The entire texts in license_texts, each with the number of its title lines.
+_ENTIRE = {
+    "Apache-2.0": 3,
+    "Artistic-1.0": 1,
+    "BSD-3-Clause": 0,
+    "CC0-1.0": 2,
+    "GFDL-1.2": 2,
+    "GFDL-1.3": 2,
+    "GPL-1.0": 2,
+    "GPL-2.0": 2,
+    "GPL-3.0": 2,
+    "LGPL-2.0": 2,
+    "LGPL-2.1": 2,
+    "LGPL-3.0": 2,
+    "MPL-1.1": 2,
+    "MPL-2.0": 1,
+}
+#: What the text of a licence ends with where the file goes on with how to apply it.
+_END = "END OF TERMS AND CONDITIONS"
+#: Titles that short licences carry or not.
+_TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "The BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "The BSD 3-Clause License", "New BSD License"],
+}
+
+
+def _entire_texts() -> list[tuple[str, str]]:
+    """Each text with and without its title, and with and without what follows its terms."""
+    out = []
+    for name, n_title in _ENTIRE.items():
+        text = pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()
+        lines = text.split("\n")
+        filled = [k for k, line in enumerate(lines) if any(map(str.isalnum, line))]
+        for form in dict.fromkeys([text, "\n".join(lines[filled[n_title] :])]):
+            out.append((name, form))
+            if _END in form:
+                out.append((name, form[: form.index(_END) + len(_END)]))
+    return out
+
+
+def _bsd_texts() -> list[tuple[str, str]]:
+    """The BSD licences of any holder: two and three clauses, numbered or with marks."""
+    text = pkgutil.get_data(__package__, "license_texts/BSD-3-Clause.txt").decode()
+    text = text.replace("University", "copyright holder").replace("THE REGENTS AND", "THE COPYRIGHT HOLDERS AND")
+    three = text.replace("THE REGENTS OR", "THE COPYRIGHT HOLDER OR")
+    two = three[: three.index("3. ")] + three[three.index("\nTHIS SOFTWARE") :]
+    out = []
+    for name, numbered in (("BSD-3-Clause", three), ("BSD-2-Clause", two)):
+        marked = numbered
+        for k in "123":
+            marked = marked.replace(f"\n{k}. ", "\n* ")
+        for form in (numbered, marked):
+            for one in (form, form.replace("THE COPYRIGHT HOLDER OR", "THE COPYRIGHT OWNER OR")):
+                out.append((name, one))
+    return out
+
+
+# The usual one-line notices and public licence texts.
+_NOTICES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
@@ -27,6 +88,8 @@ KNOWN_TEXTS = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
+]
+_SHORT_TEXTS = [
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -51,6 +114,9 @@ KNOWN_TEXTS = [
         "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     ),
 ]
+KNOWN_TEXTS = [*_NOTICES, *_entire_texts(), *_bsd_texts()]
+KNOWN_TEXTS += [(a, f"{title}\n\n{b}") for a, b in [*_bsd_texts(), *_SHORT_TEXTS] for title in _TITLES[a]]
+KNOWN_TEXTS += _SHORT_TEXTS
 
 # Spellings taken as equal, after lower-casing.
 EQUIVALENT = {
@@ -66,9 +132,13 @@ EQUIVALENT = {
     "whilst": "while",
 }
 
-#: Lines that name the copyright holder, and no more than that.
+#: Lines that name the copyright holder, and no more than that: with a year, with the mark, or (without either) at the
+#: beginning of a paragraph, as a wrapped text may have a line that begins with the word.
+_BEFORE = "[^\\n\\p{L}\\p{N}]*"
 COPYRIGHT_LINE = (
-    "(?m)^[^\\n\\p{L}\\p{N}]*((copyright|[(]c[)]|©)[ \\t]*)+[0-9][^\\n]*$|^[^\\n\\p{L}\\p{N}]*all rights reserved[.]?[ \\t]*$"
+    f"(?m)^{_BEFORE}((copyright|[(]c[)]|©)[ \\t]*)+[0-9][^\\n]*$|^{_BEFORE}all rights reserved[.]?[ \\t\\r]*$"
+    f"|^[^\\n\\p{{L}}\\p{{N}}©]*(copyright[ \\t:]*([(]c[)]|©)|©)[^\\n]*$"
+    f"|(\\A[ \\t\\r\\n]*|\\n[ \\t\\r]*\\n){_BEFORE}copyright[ \\t:]+[^\\n]*(\\n{_BEFORE}copyright[ \\t:]+[^\\n]*)*$"
 )
 
 

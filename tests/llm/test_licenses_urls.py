@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import numpy as np
 
@@ -43,6 +44,42 @@ def test_canonical_spellings_are_found(spark):
     )
 
 
+def test_whole_license_files(spark):
+    common = "/usr/share/common-licenses/"
+    read = lambda name: open(common + name, encoding="utf-8").read()
+    rewrapped = lambda text, width: "\n\n".join(textwrap.fill(part, width) for part in text.split("\n\n"))
+    apache, bsd, gpl, gpl2 = read("Apache-2.0"), read("BSD"), read("GPL-3"), read("GPL-2")
+    holder = bsd.replace("University", "copyright holder").replace("REGENTS AND", "COPYRIGHT HOLDERS AND").replace("REGENTS OR", "COPYRIGHT HOLDER OR")
+    files = [
+        ("Apache-2.0", apache),
+        ("Apache-2.0", apache[apache.index("TERMS AND") :].replace("Copyright [yyyy] [name of copyright owner]", "Copyright Foo Inc.")),
+        ("Apache-2.0", apache[: apache.index("APPENDIX")]),
+        ("BSD-3-Clause", bsd),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\n" + holder.replace("The Regents of the University of California", "Foo, Inc.")),
+        ("BSD-2-Clause", holder[: holder.index("3. ")] + holder[holder.index("THIS SOFTWARE") :]),
+        ("CC0-1.0", read("CC0-1.0")),
+        ("GPL-1.0", read("GPL-1")),
+        ("GPL-2.0", read("GPL-2")),
+        ("GPL-3.0", gpl),
+        ("GPL-3.0", gpl[gpl.index("Copyright (C) 2007") :]),
+        ("GPL-3.0", rewrapped(gpl[gpl.index(" Everyone is permitted") : gpl.index("How to Apply")], 90)),
+        ("GPL-2.0", rewrapped(gpl2[: gpl2.index("How to Apply")].replace("1989, 1991 Free Software Foundation, Inc.,", "1989\n\n"), 40)),
+        ("LGPL-2.0", read("LGPL-2")),
+        ("LGPL-2.1", read("LGPL-2.1")),
+        ("LGPL-3.0", read("LGPL-3")),
+        ("MPL-2.0", read("MPL-2.0")),
+        ("MPL-2.0", read("MPL-2.0").split("\n", 2)[2]),
+    ]
+    for title in ("MIT License", "The MIT License (MIT)", ""):
+        for line in ("Copyright Foo Inc.", "Copyright (c) Foo Inc.\nCopyright Bar", "© Foo", "Copyright: (c) 2019-2020 Foo\r\nAll rights reserved.\r"):
+            files.append(("MIT", f"{title}\n\n{line}\n\n{rewrapped(MIT, 60)}\n"))
+    none = [("", apache.replace("irrevocable", "revocable")), ("", "Copyright Foo\n\nCopyright notices are kept."), ("", MIT + "\nNot for sale.")]
+    rows = [*files, *none]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["licenses"], r["whole_text"]) for r in licenses.scan(df, licenses.known_licenses(spark)).collect()}
+    assert [got[i] for i in range(len(rows))] == [(name, name != "") for name, _ in rows]
+
+
 def test_no_licences_and_no_documents(spark):
     docs = spark.createDataFrame([(1, MIT)], "doc_id long, text string")
     none = licenses.known_licenses(spark, [("X", "...")])
