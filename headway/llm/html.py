@@ -44,6 +44,14 @@ _OTHER_NAMES = frozenset(
     "sharing social related recommended recommendations newsletter subscribe subscription signup login pagination pager "
     "widget skip".split()
 )
+#: Words that may stand beside such a name in a class or id; any other word makes it the name of something else.
+_BESIDE = frozenset(
+    "site page main global left right top bottom primary secondary box bar list item items link links button buttons icon icons "
+    "wrap wrapper container inner outer area block section slot unit form post posts article articles".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that the names say nothing of.
+_UNNAMED = frozenset(["html", "body", "main", "article"]) | _HEADINGS
 _ARTICLE = frozenset(["article", "main"])
 # a start tag of these ends an open element of the same group
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -59,10 +67,7 @@ def _is_other(tag: str, attrs: list, in_article: bool) -> bool:
         if not value:
             continue
         value = value.lower()
-        if key in ("class", "id"):
-            if tag not in ("html", "body", "main") and not _OTHER_NAMES.isdisjoint(_NAME.findall(value)):
-                return True
-        elif key == "role":
+        if key == "role":
             if value in _OTHER_ROLES:
                 return True
         elif key == "style" and "display:none" in value.replace(" ", ""):
@@ -70,29 +75,44 @@ def _is_other(tag: str, attrs: list, in_article: bool) -> bool:
     return False
 
 
+def _is_named(tag: str, attrs: list) -> bool:
+    """Is a whole class or id the name of something that is not the article's?"""
+    if tag in _UNNAMED:
+        return False
+    for key, value in attrs:
+        if key in ("class", "id") and value:
+            for token in value.lower().split():
+                words = _NAME.findall(token)
+                if not _OTHER_NAMES.isdisjoint(words) and all(w in _OTHER_NAMES or w in _BESIDE for w in words):
+                    return True
+    return False
+
+
 class _Lines(HTMLParser):
-    """Collects (text, tags, region path, is it another element's) of each line."""
+    """Collects (text, tags, region, is it another element's, innermost named element) of each line."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool, int]] = []  # tag, silent, other, region
-        self.regions: list[tuple[int, bool]] = [(-1, False)]  # parent, is it an article
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.stack: list[tuple[str, bool, bool, int, int]] = []  # tag, silent, other, region, named
+        self.regions: list[tuple[int, bool, int]] = [(-1, False, -1)]  # parent, is it an article, named
+        self.named: list[int] = []  # parent among the named elements
+        self.lines: list[tuple[str, int, int, bool, int]] = []
         self.parts: list[str] = []
         self.tags = 0
         self.silent = self.other = False
         self.region = 0
+        self.name = -1
 
     def _end_line(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             self.parts = []
             if text:
-                self.lines.append((text, self.tags, self.region, self.other))
+                self.lines.append((text, self.tags, self.region, self.other, self.name))
                 self.tags = 0
 
     def _restore(self) -> None:
-        _, self.silent, self.other, self.region = self.stack[-1] if self.stack else ("", False, False, 0)
+        _, self.silent, self.other, self.region, self.name = self.stack[-1] if self.stack else ("", False, False, 0, -1)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -115,21 +135,16 @@ class _Lines(HTMLParser):
                 self._restore()
         if tag in _VOID:
             return
-        region = self.region
+        region, name = self.region, self.name
+        if _is_named(tag, attrs):
+            self.named.append(name)
+            name = len(self.named) - 1
         if tag not in _INLINE and tag != "p" and tag not in _SIBLINGS and not self.other:
-            self.regions.append((region, tag in _ARTICLE))
+            self.regions.append((region, tag in _ARTICLE, name))
             region = len(self.regions) - 1
-        other = self.other or _is_other(tag, attrs, self._in_article())
-        self.stack.append((tag, self.silent or tag in _SILENT, other, region))
-        self.silent, self.other, self.region = self.stack[-1][1:]
-
-    def _in_article(self) -> bool:
-        k = self.region
-        while k >= 0:
-            k, article = self.regions[k]
-            if article:
-                return True
-        return False
+        other = self.other or _is_other(tag, attrs, _within_article(self.regions, self.region))
+        self.stack.append((tag, self.silent or tag in _SILENT, other, region, name))
+        self.silent, self.other, self.region, self.name = self.stack[-1][1:]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -189,20 +204,18 @@ def main_text(html: str | None) -> str:
         parser.feed(html[at : at + FEED_CHARS])
     parser.close()
     lines, regions = parser.lines, parser.regions
-    own = [k for k, line in enumerate(lines) if not line[3]]
+    left_out = _left_out(parser)
+    own = [k for k, line in enumerate(lines) if not line[3] and not (line[4] >= 0 and left_out[line[4]])]
     if not own:
         return ""
-    ratios = np.array([0.0 if other else len(text) / max(1, tags) for text, tags, _, other in lines])
-    smoothed = smooth(ratios)
-    cut = threshold(smoothed[own])
-    marked = [k for k in own if smoothed[k] >= cut]
+    marked = _marked(lines, own)
     # marked characters in each region, with those of the regions inside it
     weight = [0] * len(regions)
     for k in marked:
         weight[lines[k][2]] += len(lines[k][0])
     for r in range(len(regions) - 1, 0, -1):
         weight[regions[r][0]] += weight[r]
-    articles = [r for r, (_, article) in enumerate(regions) if article and not _within_article(regions, regions[r][0])]
+    articles = [r for r, (_, article, _) in enumerate(regions) if article and not _within_article(regions, regions[r][0])]
     if sum(weight[r] for r in articles) * 2 >= weight[0]:
         chosen = {r for r in articles if weight[r]}
     else:
@@ -214,9 +227,53 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(lines[k][0] for k in own if inside[lines[k][2]])
 
 
-def _within_article(regions: list[tuple[int, bool]], r: int) -> bool:
+def _marked(lines: list[tuple], own: list[int]) -> list[int]:
+    """The lines among ``own`` whose smoothed ratio is in the upper cluster."""
+    ratios = np.zeros(len(lines))
+    for k in own:
+        ratios[k] = len(lines[k][0]) / max(1, lines[k][1])
+    smoothed = smooth(ratios)
+    cut = threshold(smoothed[own])
+    return [k for k in own if smoothed[k] >= cut]
+
+
+def _left_out(parser: _Lines) -> list[bool]:
+    """For each named element: is it, or one around it, not the article's?
+
+    It is the article's, whatever its name, if it holds an article with marked
+    text, or most of the marked text, unless the articles outside of all named
+    elements hold a tenth of it or more.
+    """
+    lines, regions, named = parser.lines, parser.regions, parser.named
+    own = [k for k, line in enumerate(lines) if not line[3]]
+    if not named or not own:
+        return [True] * len(named)
+    weight, holds, total, outside = [0] * len(named), [False] * len(named), 0, 0
+    for k in _marked(lines, own):
+        text, _, r, _, name = lines[k]
+        total += len(text)
+        if name < 0:
+            outside += len(text) * _within_article(regions, r)
+            continue
+        weight[name] += len(text)
+        while r >= 0:
+            if regions[r][1] and regions[r][2] >= 0:
+                holds[regions[r][2]] = True
+            r = regions[r][0]
+    for g in range(len(named) - 1, -1, -1):
+        if named[g] >= 0:
+            weight[named[g]] += weight[g]
+            holds[named[g]] |= holds[g]
+    out = []
+    for g, parent in enumerate(named):
+        stays = outside * 10 < total and (holds[g] or weight[g] * 2 > total)
+        out.append(not stays or parent >= 0 and out[parent])
+    return out
+
+
+def _within_article(regions: list[tuple[int, bool, int]], r: int) -> bool:
     while r >= 0:
-        r, article = regions[r]
+        r, article, _ = regions[r]
         if article:
             return True
     return False

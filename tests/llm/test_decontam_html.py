@@ -72,6 +72,26 @@ def test_article_and_plain_containers():
     assert html.main_text(PAGE.replace("ARTICLE", "<article>" + BODY).split("<aside")[0]) == WANT  # cut off
 
 
+def test_layout_classes_and_slug_ids_are_the_articles():
+    shells = [
+        "<article class='post has-sidebar'>%s</article>",
+        "<article class='post' id='related'>%s</article>",
+        "<div class='content no-comments'><div>%s</div></div>",
+        "<div id='page-with-banner'><div class='post'>%s</div></div>",
+        "<div class='widget'><article>%s</article></div>",
+        "<div class='overlay'><div>%s</div></div>",
+        "<main><div class='sidebar'>%s</div></main>",
+    ]
+    for shell in shells:
+        assert html.main_text(PAGE.replace("ARTICLE", shell % BODY)) == WANT, shell
+    parts = "<h2 id='related-work'>Work</h2><section id='menu-design'>Of menus</section><p id='share-prices'>Of prices</p><h2 id='comments'>On it</h2>"
+    for shell in ("<article>%s</article>", "<div class='content'><div>%s</div></div>"):
+        assert html.main_text(PAGE.replace("ARTICLE", shell % (BODY + parts))) == WANT + "\n\nWork\n\nOf menus\n\nOf prices\n\nOn it"
+    replies = "<section id='comments'>" + "<article><p>A reply that is as long as the text itself, or so it seems to be.</p></article>" * 3 + "</section>"
+    boxes = "<div class='site-sidebar'>Links</div><div class='ad'>Buy</div><ul class='share-buttons'><li>Send</ul><div class='related-posts'>More</div>"
+    assert html.main_text(PAGE.replace("ARTICLE", f"<article>{BODY}{boxes}</article>{replies}")) == WANT
+
+
 def test_pages_with_little_or_nothing():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p> </p>") == html.main_text("<script>x</script>") == ""
     assert html.main_text("plain text") == "plain text"
