@@ -4,8 +4,9 @@ The standard library's parser gives a stream of events; each run of text between
 block-level tags is a line, with the number of tags around and within it.  The
 lines' text-to-tag ratios are smoothed with a Gaussian, and a threshold between
 two clusters of the smoothed ratios marks the content lines.  The content region
-is the innermost element that holds nearly all of the marked text; every line in
-it counts, but for those in elements that are not the article's (menus, headers,
+is the articles that hold most of the marked text, or else the innermost element
+that holds all of it and can be an article, with the heading before it; every
+line in it counts, but for those in elements that are not the article's (menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles, comments).
 """
 
@@ -23,9 +24,10 @@ from pyspark.sql import types as T
 
 #: Characters given to the parser at a time.
 FEED_CHARS = 1 << 20
-#: Width of the smoothing, in lines, and the share of the marked text that the region must hold.
+#: Width of the smoothing, in lines.
 SIGMA = 1.5
-REGION_SHARE = 0.9
+#: Text-to-tag ratio of a paragraph of some 160 characters.
+PARAGRAPH = 80
 
 # Fixed values of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,6 +55,10 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that the names say nothing of.
 _UNNAMED = frozenset(["html", "body", "main", "article"]) | _HEADINGS
 _ARTICLE = frozenset(["article", "main"])
+#: Parts of an article, which are never all of it.
+_PARTS = _HEADINGS | frozenset(
+    "pre blockquote ul ol dl table thead tbody tfoot caption section figure figcaption details summary address fieldset hgroup header".split()
+)
 # a start tag of these ends an open element of the same group
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _NAME = re.compile("[a-z]+")
@@ -95,6 +101,7 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, bool, int, int]] = []  # tag, silent, other, region, named
         self.regions: list[tuple[int, bool, int]] = [(-1, False, -1)]  # parent, is it an article, named
+        self.tags_of: list[str] = [""]  # of the regions
         self.named: list[int] = []  # parent among the named elements
         self.lines: list[tuple[str, int, int, bool, int]] = []
         self.parts: list[str] = []
@@ -141,6 +148,7 @@ class _Lines(HTMLParser):
             name = len(self.named) - 1
         if tag not in _INLINE and tag != "p" and tag not in _SIBLINGS and not self.other:
             self.regions.append((region, tag in _ARTICLE, name))
+            self.tags_of.append(tag)
             region = len(self.regions) - 1
         other = self.other or _is_other(tag, attrs, _within_article(self.regions, self.region))
         self.stack.append((tag, self.silent or tag in _SILENT, other, region, name))
@@ -219,8 +227,7 @@ def main_text(html: str | None) -> str:
     if sum(weight[r] for r in articles) * 2 >= weight[0]:
         chosen = {r for r in articles if weight[r]}
     else:
-        # the innermost region that holds nearly all marked text; regions come after their parents
-        chosen = {max(r for r in range(len(regions)) if weight[r] >= REGION_SHARE * weight[0])}
+        chosen = _around(parser, own, marked)
     inside = [False] * len(regions)
     for r in range(len(regions)):
         inside[r] = r in chosen or r > 0 and inside[regions[r][0]]
@@ -271,6 +278,49 @@ def _left_out(parser: _Lines) -> list[bool]:
     return out
 
 
+def _around(parser: _Lines, own: list[int], marked: list[int]) -> set[int]:
+    """The smallest region that holds all marked lines and can be an article, with the heading before it.
+
+    Lines that are marked for their neighbours' sake only, with a ratio like that
+    of the unmarked ones (up to twice their mean), do not widen it.  Lines that a
+    much longer one leaves unmarked do, if they would be in the upper cluster of
+    the ratios cut at that of a paragraph.
+    Parts of an article (lists, tables, sections) and elements of a single line
+    are none: what is around them is taken.  Where no heading comes before the
+    marked text in it, the next element around it that has one is taken, or, if
+    that is the whole page, the last such heading alone.
+    """
+    lines, regions, tags = parser.lines, parser.regions, parser.tags_of
+
+    def up(r: int) -> list[int]:
+        """A region and those around it, from the outermost on."""
+        path = [r]
+        while regions[path[-1]][0] >= 0:
+            path.append(regions[path[-1]][0])
+        return path[::-1]
+
+    ratio = {k: len(lines[k][0]) / max(1, lines[k][1]) for k in own}
+    unmarked = [ratio[k] for k in sorted({*own} - {*marked})]
+    rich = {k for k in marked if not unmarked or ratio[k] > 2 * sum(unmarked) / len(unmarked)}
+    cut = threshold(np.minimum(list(ratio.values()), PARAGRAPH))
+    marked = sorted(rich | {k for k in own if min(ratio[k], PARAGRAPH) > cut}) or marked
+    path = up(lines[marked[0]][2])
+    for r in {lines[k][2] for k in marked}:
+        other = up(r)
+        path = path[: next((k for k, (a, b) in enumerate(zip(path, other, strict=False)) if a != b), min(len(path), len(other)))]
+    of = [up(lines[k][2]) for k in own]  # of each own line
+    while len(path) > 1 and (tags[path[-1]] in _PARTS or sum(path[-1] in p for p in of) < 2):
+        path.pop()
+    headings = [i for i, k in enumerate(own) if k <= marked[0] and tags[lines[k][2]] in _HEADINGS]
+    for at in range(len(path) - 1, -1, -1):
+        before = [i for i in headings if path[at] in of[i]]
+        if before:
+            if at < len(path) - 1 and tags[path[at]] in ("", "html", "body"):
+                return {path[-1], lines[own[before[-1]]][2]}
+            return {path[at]}
+    return {path[-1]}
+
+
 def _within_article(regions: list[tuple[int, bool, int]], r: int) -> bool:
     while r >= 0:
         r, article, _ = regions[r]

@@ -92,6 +92,20 @@ def test_layout_classes_and_slug_ids_are_the_articles():
     assert html.main_text(PAGE.replace("ARTICLE", f"<article>{BODY}{boxes}</article>{replies}")) == WANT
 
 
+def test_pages_without_an_article_keep_all_of_it():
+    long = "a line of the text that goes on and on. " * 60
+    blocks = ["<pre>%s</pre>", "<blockquote><p>%s</blockquote>", "<ul><li>%s<li>Item</ul>", "<table><tr><td>%s<td>Cell</table>", "<section><p>%s</section>", "<div>%s</div>"]
+    for block in blocks:
+        got = html.main_text(PAGE.replace("ARTICLE", "<div class='content'><h1>T</h1><p>Intro</p>" + block % long + "<p>End</p></div>"))
+        extra = {"<ul": ["Item"], "<ta": ["Cell"]}.get(block[:3], [])
+        assert got == "\n\n".join(["T", "Intro", long.strip(), *extra, "End"]), block
+    assert html.main_text(PAGE.replace("ARTICLE", f"<div><h1>T</h1><div class='text'><p>{long}</p><p>End</p></div></div>")) == f"T\n\n{long.strip()}\n\nEnd"
+    assert html.main_text(PAGE.replace("ARTICLE", "<h1>T</h1>" + "<div>Menu</div>" * 5 + f"<div><p>{long}</p><p>End</p></div>" + "<div>Menu</div>" * 5)) == f"T\n\n{long.strip()}\n\nEnd"
+    part = ("A shorter part of the same text. " * 5).strip()
+    two = f"<div id='post'><div class='one'><p>{long}</p><p>Between</p></div><div class='two'><p>Also</p><p>{part}</p><p>End</p></div></div>"
+    assert html.main_text(PAGE.replace("ARTICLE", two)).split("\n\n") == [long.strip(), "Between", "Also", part, "End"]
+
+
 def test_pages_with_little_or_nothing():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p> </p>") == html.main_text("<script>x</script>") == ""
     assert html.main_text("plain text") == "plain text"
