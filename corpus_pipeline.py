@@ -45,25 +45,31 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest id.
+    """One row of each group of similar texts: that with the smallest id (none comes last), then text hash.
 
-    Rows without an id stay, as no group can name them.  Rows that repeat an id
-    are one document, which stays if none of them is like one with a smaller id;
-    of its rows that with the smallest text hash stays.
+    Different texts of one id are documents of their own.  Of rows that repeat an
+    id and its text the first by all columns stays.  Texts without words are like
+    no other: of those without an id all rows stay.
     """
-    grouped = written(partenum.jaccard_groups(docs).filter("doc_id is not null").distinct(), "groups")
-    gone = grouped.groupBy("doc_id").agg(F.min("component_id").alias("c")).filter("c < doc_id").select(F.col("doc_id").alias("_hw_gone"))
+    keyed = docs.withColumn("_hw_key", F.xxhash64("doc_id", "text"))
+    grouped = partenum.jaccard_groups(keyed, id_col="_hw_key").select(F.col("doc_id").alias("_key"), "n_shingles", "component_id")
+    grouped = written(grouped.groupBy("_key").agg(F.max("n_shingles").alias("n"), F.min("component_id").alias("c"), F.count("*").alias("m")), "groups")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"), "_hw_key")
+    places = keyed.groupBy("_hw_key").agg(F.min(place).alias("place"))
+    placed = written(grouped.join(places, grouped["_key"] == places["_hw_key"]).select("_key", "n", "c", "m", "place"), "places")
+    first = placed.groupBy("c").agg(F.min("place").alias("first")).select(F.col("first._hw_key").alias("_first"))
+    gone = written(placed.join(first, placed["_key"] == first["_first"], "left_anti").select(F.col("_key").alias("_hw_gone")), "gone")
     if gone.count() <= BROADCAST_IDS:  # 8 bytes each
         gone = F.broadcast(gone)
-    left = docs.join(gone, docs["doc_id"] == gone["_hw_gone"], "left_anti")
-    again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_hw_again"))
+    left = keyed.join(gone, keyed["_hw_key"] == gone["_hw_gone"], "left_anti")
+    again = placed.filter("m > 1 and (n > 0 or not place.no_id)").select(F.col("_key").alias("_hw_again"))
     again = written(again, "again")
     if again.isEmpty():
-        return left
-    once = left.join(again, left["doc_id"] == again["_hw_again"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), *[F.col(c).asc_nulls_first() for c in docs.columns])
-    first = once.withColumn("_hw_place", F.row_number().over(order)).filter("_hw_place = 1").drop("_hw_place")
-    return left.join(again, left["doc_id"] == again["_hw_again"], "left_anti").unionByName(first)
+        return left.drop("_hw_key")
+    once = left.join(again, left["_hw_key"] == again["_hw_again"], "left_semi")
+    order = Window.partitionBy("_hw_key").orderBy(*[F.col(c).asc_nulls_first() for c in docs.columns])
+    one = once.withColumn("_hw_place", F.row_number().over(order)).filter("_hw_place = 1").drop("_hw_place")
+    return left.join(again, left["_hw_key"] == again["_hw_again"], "left_anti").unionByName(one).drop("_hw_key")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

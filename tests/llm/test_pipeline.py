@@ -156,6 +156,20 @@ def test_stages_return_the_columns_of_documents(spark, tmp_dir):
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_near_duplicates_of_shared_and_missing_ids(spark, tmp_dir):
+    rnd = random.Random(5)
+    a, b, c, d, e = (" ".join(f"{w}{rnd.randint(0, 999)}" for _ in range(60)) for w in "abcde")
+    rows = [(1, a), (2, a + " more"), (2, b), (2, c), (2, c), (3, d), (None, d), (None, e), (None, e), (None, e + " more"), (None, b), (4, None), (4, None), (None, None), (None, None), (5, " "), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    out = corpus_pipeline.near_duplicates(spark, spark.read.parquet(f"{tmp_dir}/documents.parquet"), tmp_dir)
+    got = [tuple(r) for r in out.collect()]
+    of_e = [r for r in got if r[0] is None and r[1] in (e, e + " more")]
+    assert len(of_e) == 1  # that with the smaller hash
+    want = [(1, a), (2, b), (2, c), (3, d), (4, None), (None, None), (None, None), (5, " "), (2, "")]
+    assert sorted(map(str, got)) == sorted(map(str, want + of_e))
+
+
 def test_kneser_ney_against_plain_python(spark, tmp_dir):
     docs, labels, _ = small_corpus(tmp_dir)
     learned = {i: t for i, _, t in labels}
