@@ -12,10 +12,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm import decontam, html, licenses, packing, partenum, quality, tokens, toxicity, urls, warc
+from headway.llm import automaton, decontam, html, licenses, packing, partenum, quality, ranked, spelling, tokens, toxicity, urls, warc
 from headway.llm.common import read_table, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 #: host, path, verdict
 URL_RULES = [
@@ -86,6 +87,19 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return automaton.encode_documents(docs, public_tokenizers.path(WORD_TOKENIZER), digests=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_best_fit_packing,
@@ -98,6 +112,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_html_extraction,
         op10_ngram_jaccard,
+        op11_ranked_search,
+        op12_spelling_variants,
+        op13_bpe_automaton,
     ]
     return {f.__name__: f for f in named}
 
@@ -278,6 +295,68 @@ FROM d LEFT JOIN sizes USING (doc_id)
 """
 
 
+_RANKED_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), b AS (
+  SELECT row_number() OVER () AS item, item_id, list_distinct({_WORDS.format("coalesce(text, '')")}) AS w FROM benchmark
+), sizes AS (
+  SELECT id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0
+), total AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes
+), tfs AS (
+  SELECT id, term, count(*)::BIGINT AS tf FROM (SELECT id, unnest(w) AS term FROM d) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight FROM tfs, total GROUP BY term
+), scores AS (
+  SELECT item, item_id, id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM (SELECT item, item_id, unnest(w) AS term FROM b) JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes USING (id), total
+  GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score
+FROM scores JOIN d USING (id) WHERE score > 0 QUALIFY rank <= 10
+"""
+
+# crc32 by its definition: a table of 256 entries, then a byte at a time.
+_SPELLING_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+           lambda c, _: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents
+  ) WHERE length(run) >= {spelling.LEAST_LENGTH} GROUP BY ALL
+), summed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+           lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT] ELSE [192 + (unicode(s) >> 6), 128 + (unicode(s) & 63)] END))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs, crc
+), vocabulary AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % {spelling.DELETES} = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, k FROM summed
+  ) WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(k) >= {spelling.LEAST_COUNT}
+), holes AS (
+  SELECT word, n, word[:i] || ' ' || word[i + 2:] AS hole FROM vocabulary, unnest(range(0, length(word))) r(i)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT v.word, h.word, h.n FROM vocabulary v JOIN holes h ON v.word = replace(h.hole, ' ', '')
+  UNION SELECT h.word, v.word, v.n FROM vocabulary v JOIN holes h ON v.word = replace(h.hole, ' ', '')
+), counted AS (
+  SELECT word, count(*) AS n_near, arg_min(struct_pack(other, n), struct_pack(less := -n, other)) AS best FROM near GROUP BY word
+), judged AS (
+  SELECT word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best.n >= {spelling.FORM_RATIO} * v.n THEN best END AS form
+  FROM vocabulary v LEFT JOIN counted USING (word)
+), paths AS (
+  SELECT word, word AS root FROM judged
+  UNION ALL SELECT paths.word, judged.form.other FROM paths JOIN judged ON judged.word = paths.root WHERE judged.form IS NOT NULL
+)
+SELECT judged.word, form.other AS form, root, judged.n, n_near, form.n AS form_n
+FROM judged JOIN paths USING (word) JOIN (SELECT word AS root FROM judged WHERE form IS NULL) USING (root)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc": _WARC_SQL,
@@ -286,4 +365,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_filter": _url_sql(),
         "op8_decontamination": _DECONTAM_SQL,
         "op10_ngram_jaccard": _jaccard_sql(),
+        "op11_ranked_search": _RANKED_SQL,
+        "op12_spelling_variants": _SPELLING_SQL,
     }
