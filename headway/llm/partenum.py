@@ -3,28 +3,30 @@
 Sets of word shingles whose Jaccard similarity is at least a threshold differ in
 a bounded number of elements, and their sizes are within a factor of it.  Sizes
 are cut into bands; the feature domain is partitioned by a hash for each band.
-Of the partitions in a fixed order, a set emits the first so many non-empty ones
-that the differences cannot touch them all, so two similar sets share at least
-one signature: the whole content of a partition.  In the bands of small sets
-partitions stand in threes and the subsets of two are enumerated, which allows
-one difference for each three.  A set with too few non-empty partitions also
-emits its first elements in the order of their hashes.
+Partitions stand in groups of three, of which the subsets of two are enumerated:
+a group can have one difference and still give a common subset, so of the groups
+in a fixed order a set emits the first so many that the differences cannot touch
+each twice.  Two similar sets share at least one signature, the whole content of
+two partitions, some five shingles.  A set with too few full groups also emits
+its first elements in the order of their hashes.
 
 Equal sets are one node from the start.  Within the sets of one signature, each
 is compared with the first only; what these comparisons and the links through
 other signatures leave in different components is compared pair by pair, behind
-a bound on the difference that 256 counters of each set give.  All comparisons
-are of the exact sets, recomputed from the texts.
+a bound on the difference that 256 counters of each set give; a pair is named in
+one of its common signatures, not in each.  All comparisons are of the exact sets,
+recomputed from the texts.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.common import SPACES, text_bytes, word_table, written
@@ -33,16 +35,18 @@ from headway.llm.components import components
 SHINGLE = 5
 #: Similarity of at least SHARE / OF.
 SHARE, OF = 80, 100
-#: Sizes of a band are within this factor; the bands up to this size enumerate subsets.
+#: Sizes of a band are within this factor.
 BAND = 1.5
-SMALL = 100
 #: Partitions of a band, over what its largest sets need.
 SPARE = 1.1
 #: Counters of a set, and of them summed into one for a first look.
 COUNTERS, SUMMED = 256, 8
-#: Buckets that signatures are dealt out by, and signatures that a task holds before it sends them.
-BUCKETS = 1024
+#: Signatures of a bucket that they are dealt out by, at most about, signatures for each element, and signatures that a
+#: task holds before it sends them.
+BUCKET, FOR_EACH = 500_000, 0.75
 HELD = 400_000
+#: Smaller signatures of a node that are sent with each, to see in which a pair was named before.
+EARLIER = 16
 #: Members of a signature compared in one block with another.
 BLOCK = 2048
 #: A side of at most so many ids may be broadcast to the tasks that read texts.
@@ -177,7 +181,7 @@ def most_difference(size):
 
 
 class Bands:
-    """Upper size, partitions and kind of each band, up to sizes of 2**40."""
+    """Upper size and groups of three partitions of each band, up to sizes of 2**40."""
 
     def __init__(self):
         uppers, size = [], 4
@@ -186,9 +190,7 @@ class Bands:
             size = int(size * BAND) + 1
         self.upper = np.array(uppers, dtype=np.int64)
         need = most_difference(self.upper) + 1
-        self.three = self.upper <= SMALL
-        groups = np.where(self.three, need // 2 + 1, need)
-        self.groups = np.ceil(groups * SPARE).astype(np.int64)
+        self.groups = np.ceil((need // 2 + 1) * SPARE).astype(np.int64)
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.upper, size)
@@ -221,8 +223,7 @@ def _band_signatures(sets, element, of, band, need) -> tuple[np.ndarray, np.ndar
     in_band = band[of]
     seed = _mix((in_band + 1).astype(_U) * _P)
     spread = _mix(element ^ seed)
-    three = _BANDS.three[in_band]
-    parts = (_BANDS.groups[in_band] * np.where(three, 3, 1)).astype(_U)
+    parts = (_BANDS.groups[in_band] * 3).astype(_U)
     part = ((spread >> _U(32)) * parts >> _U(32)).astype(np.int64)
     inside = _mix(element + _P * seed)
     where = of << 40 | part
@@ -231,14 +232,7 @@ def _band_signatures(sets, element, of, band, need) -> tuple[np.ndarray, np.ndar
     first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
     content = np.add.reduceat(inside, first)
     where = where[first]
-    owner, part = where >> 40, where & ((1 << 40) - 1)
-    out, of = [], []
-    single = ~_BANDS.three[band[owner]]
-    for mine, choose in ((single, _choose), (~single, _choose_threes)):
-        if mine.any():
-            found = choose(sets, owner[mine], part[mine], content[mine], need, band)
-            out += found[0]
-            of += found[1]
+    out, of = _choose(sets, where >> 40, where & ((1 << 40) - 1), content, need, band)
     return np.concatenate(out), np.concatenate(of)
 
 
@@ -268,13 +262,6 @@ def _short(sets, present, n_groups, needed, need, band) -> tuple[list[np.ndarray
 
 
 def _choose(sets, owner, part, content, need, band):
-    take = _ranks(owner) < need[owner]
-    present, n_groups = np.unique(owner), np.bincount(owner, minlength=len(sets))
-    more, short = _short(sets, present, n_groups, need, need, band)
-    return [_sign(content[take], part[take], band[owner[take]], 1), *more], [owner[take], *short]
-
-
-def _choose_threes(sets, owner, part, content, need, band):
     group, member = part // 3, part % 3
     key = owner << 40 | group
     new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -329,7 +316,7 @@ def profiles(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return sent.mapInArrow(run, "doc_id long, n long, node long, counters binary")
 
 
-def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int = SHINGLE, buckets: int = BUCKETS) -> DataFrame:
+def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int = SHINGLE, buckets: int) -> DataFrame:
     """``sig``, ``node`` and ``center`` (the smallest node of the signature) of signatures that two sets or more share.
 
     Signatures travel as packed arrays, one row for each task and bucket, and a
@@ -344,14 +331,14 @@ def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int =
         def flush() -> pa.RecordBatch:
             sig = np.concatenate([s for s, _ in held])
             node = np.concatenate([x for _, x in held])
-            bucket = (sig >> _U(40)).astype(np.int64) % buckets
+            bucket = ((sig >> _U(20)) % _U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = [k for k in range(buckets) if edges[k] < edges[k + 1]]
-            sig, node = sig[order], node[order]
-            cut = lambda x: pa.array([x[edges[k] : edges[k + 1]].tobytes() for k in rows], pa.binary())
+            bucket, sig, node = bucket[order], sig[order], node[order]
+            first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+            edges = np.append(first, len(bucket)).tolist()
+            cut = lambda x: pa.array([x[i:j].tobytes() for i, j in zip(edges, edges[1:])], pa.binary())  # noqa: B905, E731
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), cut(sig), cut(node)], names=["bucket", "sigs", "nodes"])
+            return pa.RecordBatch.from_arrays([pa.array(bucket[first]), cut(sig), cut(node)], names=["bucket", "sigs", "nodes"])
 
         for batch in batches:
             raws = batch.column(0).to_pylist()
@@ -400,7 +387,7 @@ def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int =
         if held:
             yield from groups()
 
-    sent = docs.select(text_bytes(text_col).alias("raw")).mapInArrow(emit, "bucket int, sigs binary, nodes binary")
+    sent = docs.select(text_bytes(text_col).alias("raw")).mapInArrow(emit, "bucket long, sigs binary, nodes binary")
     dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(gather, "sig long, node long, center long")
 
@@ -424,6 +411,25 @@ def _rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, COUNTERS)
 
 
+def _padded(lists: pa.Array) -> np.ndarray:
+    """Lists of at most EARLIER signatures as rows, filled up with values that no other row has."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    table = -1 - np.arange(len(lists) * EARLIER, dtype=np.int64).reshape(-1, EARLIER)
+    size = lists.value_lengths().to_numpy(zero_copy_only=False)
+    table[np.arange(EARLIER) < size[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return table
+
+
+def _meet(earlier: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Have rows i and j of ``earlier`` a value in common?"""
+    out = np.zeros(len(i), dtype=bool)
+    for first in range(0, len(i), 65536):
+        part = slice(first, first + 65536)
+        for k in range(EARLIER):
+            out[part] |= (earlier[i[part], k, None] == earlier[j[part]]).any(axis=1)
+    return out
+
+
 def _passing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) of nodes that the counters do not rule out."""
     info = classes.select("node", "n", "counters")
@@ -483,6 +489,8 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
 
     Signatures shared by the very same nodes are one.  A signature with many such
     nodes is cut into blocks, and each pair of blocks is a task's work of its own.
+    A pair is not sent where the nodes share one of the signatures that come just
+    before in the order of their values, as they meet there too.
     """
     placed = groups.join(roots, "node", "left").select("sig", "node", "center", F.coalesce("root", "node").alias("root"))
     members = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"members{k}") for k in range(2)]
@@ -490,15 +498,17 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     # pairs with the center are known, so two nodes leave none
     mixed = mixed.filter("lo != hi and m > 2").groupBy("m", "members0", "members1").agg(F.min("sig").alias("sig"))
     open_ = placed.join(mixed.select("sig", "m"), "sig").filter("node != center")
+    before = Window.partitionBy("node").orderBy("sig").rowsBetween(-EARLIER, -1)
+    open_ = open_.withColumn("earlier", F.collect_list("sig").over(before))
     info = classes.select("node", "n", "counters")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = (
         open_.join(info, "node")
-        .select("sig", "node", "root", "n", "counters", blocks.alias("blocks"), mine.alias("mine"))
+        .select("sig", "node", "root", "n", "counters", "earlier", blocks.alias("blocks"), mine.alias("mine"))
         .select("*", other)
-        .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "n", "counters")
+        .select("sig", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "n", "counters", "earlier")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -508,6 +518,7 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
             rows = pa.Table.from_batches(held).combine_chunks()
             mine, node, root, n = (rows.column(k).to_numpy() for k in ("mine", "node", "root", "n"))
             table = _rows(rows.column("counters"))
+            earlier = _padded(rows.column("earlier"))
             coarse = table.reshape(len(table), -1, SUMMED).sum(axis=2, dtype=np.int16)
             first = np.flatnonzero(mine == key[1])
             second = np.flatnonzero(mine == key[2])
@@ -520,8 +531,11 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
                 i, j = np.nonzero(_apart(coarse[mine_], coarse[second]) <= room)  # the sums rule most out
                 i, j, room = mine_[i, 0], second[j], room[i, j]
                 near = _apart(table[i], table[j]) <= room
-                if near.any():
-                    ends = np.sort(np.stack([node[i[near]], node[j[near]]]), axis=0)
+                i, j = i[near], j[near]
+                new = ~_meet(earlier, i, j)  # the others are named in the smaller signature
+                i, j = i[new], j[new]
+                if len(i):
+                    ends = np.sort(np.stack([node[i], node[j]]), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], names=["a", "b"])
 
         for batch in batches:
@@ -558,7 +572,9 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     # equal sets have equal names and sizes; one name of two different sets stays two classes
     classes = profile.filter("node is not null").groupBy("node", "n").agg(F.min("doc_id").alias("doc_id"), F.first("counters").alias("counters"))
     classes = written(classes, "classes")
-    groups = written(signature_groups(docs, text_col=text_col, shingle=shingle), "signatures")
+    elements = profile.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    buckets = max(1, math.ceil(FOR_EACH * elements / BUCKET))
+    groups = written(signature_groups(docs, text_col=text_col, shingle=shingle, buckets=buckets), "signatures")
     star = groups.filter("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     named = {"id_col": id_col, "text_col": text_col, "shingle": shingle}
     links = written(verified(written(_passing(star, classes), "pairs"), classes, docs, **named), "links")
