@@ -1,20 +1,23 @@
 """Nearest-in-time join (J3): for each left row, the one right row whose time
 is closest, in the past or the future.
 
-Spark cannot decorrelate ``LATERAL (... ORDER BY abs(dt) LIMIT 1)``.  Here both
-sides become one time line: one row for each (key, time) of either side, with
-the right row of that time where there is one (copies of a time are combined
-map-side).  The line is cut at quantiles of the times, so a slice holds about
-as many points whether the times are even or crowd into a minute, and inside a
-slice the last right row before and the first after each point are running
-values of two windows.  What a slice does not know, the last and first right
-row of the slices around it, comes from one row for each key and slice.  The
-nearer of the two neighbours is joined back to the left rows by (key, time).
-
-No bucket width has to be guessed, nothing is exploded, and no side is
-broadcast by assumption.  The quantiles are the only statistic taken while the
-plan is built (one aggregate row); all points of a time are one row, so a
-repeated time does not fill a slice.
+Spark cannot decorrelate ``LATERAL (... ORDER BY abs(dt) LIMIT 1)``.  There are two
+ways, chosen by the counted size of the right side:
+
+- A right side of at most ``broadcast_rows`` times and ``BROADCAST_BYTES`` (weather
+  beside events) becomes one row for each key, a sorted array of its times and one
+  of its rows, which is broadcast; a left row finds its neighbours by a binary
+  search in the array.  The left side is read once and never shuffled.
+- A larger one makes a time line of both sides: a row for each (key, time), with
+  the right row of that time where there is one.  The line is written once, dealt
+  by range of time into slices that are about equally full, however the times
+  crowd.  Inside a slice the last right row before and the first after each point
+  are running values of two windows; what a slice does not know, the nearest right
+  rows of the slices around it, comes from one row for each key and slice.  The
+  nearer neighbour is joined back to the left rows by (key, time).  A slice is the
+  number of the partition that a row was written in, so the plan has one size for
+  any number of slices, and all points of a time are one row, so a repeated time
+  does not fill a slice.
 """
 
 from __future__ import annotations
@@ -25,9 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.columns import micros
+from headway.session import scratch_path
 
-#: Relative accuracy of the quantiles; it moves the cuts, not the result.
-_ACCURACY = 2000
+#: A right side of at most so many rows, and bytes as JSON, is searched in broadcast arrays.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 
 
 def nearest_join(
@@ -42,6 +46,7 @@ def nearest_join(
     tolerance_seconds: float | None = None,
     prefix: str = "",
     slices: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Left-outer nearest-in-time join; returns all left columns plus
     ``right_cols`` (default: every right column except keys), optionally
@@ -49,7 +54,8 @@ def nearest_join(
     of one time that with the smallest ``tie_cols``, then payload.  A left row
     gets NULLs when the right side (for its key) is empty, its time is NULL or,
     with ``tolerance_seconds``, the nearest row is farther.  ``slices`` (default:
-    the shuffle partitions) is the number of parts of the time line.
+    the shuffle partitions) is the number of parts of the time line of a large
+    right side; ``broadcast_rows=0`` always takes that way.
     """
     by = list(by or [])
     right_by = list(right_by or by)
@@ -59,24 +65,68 @@ def nearest_join(
     keys = [f"_k{i}" for i in range(len(by))]
 
     ties = F.struct(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_cols)], F.struct(*right_cols).alias("_p"))
-    seen = right.select(
-        *[F.col(c).alias(k) for c, k in zip(right_by, keys, strict=True)], micros(right_time).alias("_t"), ties.alias("_row")
-    )
-    asked = left.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], micros(left_time).alias("_t"))
-    cuts = _cuts(seen.select("_t"), asked.select("_t"), slices or _shuffle_partitions(left))
+    named = [F.col(c).alias(k) for c, k in zip(right_by, keys, strict=True)]
+    seen = right.select(*named, micros(right_time).alias("_t"), ties.alias("_row")).where(F.col("_t").isNotNull())
+    if broadcast_rows and _is_small(seen, broadcast_rows):
+        joined = _search(left, seen, left_time, by, keys)
+    else:
+        joined = _merge(left, seen, left_time, by, keys, slices or _shuffle_partitions(left))
+    payload = [F.col(f"_near.p.{c}") for c in right_cols]
+    if tolerance_seconds is not None:
+        near = F.abs(micros(left_time) - F.col("_near.t")) <= F.lit(int(tolerance_seconds * 1_000_000))
+        payload = [F.when(near, c) for c in payload]
+    return joined.select(*[F.col(c) for c in left.columns], *[p.alias(f"{prefix}{c}") for p, c in zip(payload, right_cols, strict=True)])
+
+
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _is_small(seen: DataFrame, rows: int) -> bool:
+    """Are there at most ``rows`` rows and BROADCAST_BYTES?  Reads no more than one row beyond."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(F.col("_row")))) + 8)
+    n, held = seen.limit(rows + 1).agg(F.count(F.lit(1)), size).first()
+    return n <= rows and (held or 0) <= BROADCAST_BYTES
+
+
+def _nearer(t: Column, before: Column, after: Column) -> Column:
+    """Of the two neighbours (structs with ``t``), either of which may be missing."""
+    return F.when(after.isNull() | (t - before.getField("t") <= after.getField("t") - t), before).otherwise(after)
+
+
+def _search(left: DataFrame, seen: DataFrame, left_time: str, by: list[str], keys: list[str]) -> DataFrame:
+    """``left`` with ``_near``, by binary search in each key's sorted times."""
+    here = F.struct(F.col("_t").alias("t"), F.col("_row._p").alias("p"))
+    first = seen.groupBy(*keys, "_t").agg(F.min("_row").alias("_row")).select(*keys, here.alias("_here"))
+    sides = first.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col("_here.t").alias("t"), F.col("_here").alias("h")))).alias("_s"))
+    times = F.transform("_s", lambda s: s["t"])
+    sides = sides.select(*[F.col(k).alias(f"_f{k}") for k in keys], times.alias("_times"), F.transform("_s", lambda s: s["h"]).alias("_rows"))
+    condition = F.lit(True)
+    for c, k in zip(by, keys, strict=True):
+        condition = condition & (F.col(c) == F.col(f"_f{k}"))
+    t = micros(left_time)
+    both = left.join(F.broadcast(sides), condition, "left").withColumn("_at", t)
+    # How many times are at or before t: the steps are the powers of two below the arrays' size, the largest first.
+    steps = F.array(*[F.lit(1 << k) for k in range(BROADCAST_ROWS.bit_length() + 1, -1, -1)])
 
-    # The time line: one row for each (key, time); _row is NULL where only the left side has the time.
+    def step(found: Column, width: Column) -> Column:
+        on = found + width
+        return F.when((on <= F.size("_times")) & (F.get("_times", on - 1) <= F.col("_at")), on).otherwise(found)
+
+    at = F.aggregate(steps, F.lit(0), step)
+    # An unknown time has no neighbours; the row that is not there, before the first or after the last, is null.
+    both = both.withColumn("_n", F.when(F.col("_at").isNotNull(), at))
+    return both.withColumn("_near", _nearer(F.col("_at"), F.get("_rows", F.col("_n") - 1), F.get("_rows", F.col("_n"))))
+
+
+def _merge(left: DataFrame, seen: DataFrame, left_time: str, by: list[str], keys: list[str], slices: int) -> DataFrame:
+    """``left`` with ``_near``, over a time line in slices."""
+    asked = left.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], micros(left_time).alias("_t"))
     nothing = F.lit(None).cast(seen.schema["_row"].dataType)
-    line = (
-        seen.unionByName(asked.distinct().withColumn("_row", nothing))
-        .where(F.col("_t").isNotNull())
-        .groupBy(*keys, "_t")
-        .agg(F.min("_row").alias("_row"))
-        .withColumn("_s", _slice(F.col("_t"), cuts))
-    )
+    points = seen.unionByName(asked.where(F.col("_t").isNotNull()).distinct().withColumn("_row", nothing))
     here = F.when(F.col("_row").isNotNull(), F.struct(F.col("_t").alias("t"), F.col("_row._p").alias("p")))
-    line = line.select(*keys, "_s", "_t", here.alias("_here"))
-
+    line = points.groupBy(*keys, "_t").agg(F.min("_row").alias("_row")).select(*keys, "_t", here.alias("_here"))
+    line = _in_slices(line, keys, slices)
     up = Window.partitionBy(*keys, "_s").orderBy("_t")
     down = Window.partitionBy(*keys, "_s").orderBy(F.desc("_t"))
     known = line.select(
@@ -98,47 +148,19 @@ def nearest_join(
     same = F.col("_s") == F.col("_es")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_e{k}"))
-    both = known.join(around, same).select(
-        *keys,
-        "_t",
-        F.coalesce("_before", "_far_before").alias("_before"),
-        F.coalesce("_after", "_far_after").alias("_after"),
-    )
-    to_before, to_after = F.col("_t") - F.col("_before.t"), F.col("_after.t") - F.col("_t")
-    nearest = F.when(F.col("_after").isNull() | (to_before <= to_after), F.col("_before")).otherwise(F.col("_after"))
-    found = both.select(*[F.col(k).alias(f"_f{k}") for k in keys], F.col("_t").alias("_ft"), nearest.alias("_near"))
+    nearest = _nearer(F.col("_t"), F.coalesce("_before", "_far_before"), F.coalesce("_after", "_far_after"))
+    found = known.join(around, same).select(*[F.col(k).alias(f"_f{k}") for k in keys], F.col("_t").alias("_ft"), nearest.alias("_near"))
 
     condition = micros(left_time) == F.col("_ft")
     for c, k in zip(by, keys, strict=True):
         condition = condition & (F.col(c) == F.col(f"_f{k}"))
-    joined = left.join(found.where("_near is not null"), condition, "left")
-    payload = [F.col(f"_near.p.{c}") for c in right_cols]
-    if tolerance_seconds is not None:
-        near = F.abs(F.col("_ft") - F.col("_near.t")) <= F.lit(int(tolerance_seconds * 1_000_000))
-        payload = [F.when(near, c) for c in payload]
-    return joined.select(*[F.col(c) for c in left.columns], *[p.alias(f"{prefix}{c}") for p, c in zip(payload, right_cols, strict=True)])
-
-
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _cuts(seen: DataFrame, asked: DataFrame, slices: int) -> list[int]:
-    """Times that cut the line into about equally full slices."""
-    if slices < 2:
-        return []
-    shares = [i / slices for i in range(1, slices)]
-    row = seen.unionByName(asked).agg(F.percentile_approx("_t", shares, _ACCURACY).alias("q")).first()
-    return sorted(set(row["q"] or []))
-
+    return left.join(found.where("_near is not null"), condition, "left")
 
-def _slice(t: Column, cuts: list[int]) -> Column:
-    """How many cuts are at or before ``t``, by halving."""
 
-    def halve(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(t >= F.lit(cuts[mid]), halve(mid + 1, hi)).otherwise(halve(lo, mid))
+def _in_slices(line: DataFrame, keys: list[str], slices: int) -> DataFrame:
+    """The line, written once, with the slice ``_s`` of each row.
 
-    return halve(0, len(cuts))
+    Dealt by time, of one time by key: for each key, slices rise with time."""
+    path = scratch_path(line.sparkSession, "time-line")
+    line.repartitionByRange(slices, "_t", *keys).withColumn("_s", F.spark_partition_id()).write.parquet(path)
+    return line.sparkSession.read.schema(line.withColumn("_s", F.lit(0)).schema).parquet(path)

@@ -66,13 +66,19 @@ _STORED: dict[tuple[str, str, str], str] = {}
 
 def _stored(spark, sf, name, make) -> DataFrame:
     """A table derived from ``sf``, written once in a session and read from then on,
-    as the jobs do between their steps."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    as the jobs do between their steps, until the files under ``sf`` change."""
+    return spark.read.parquet(_stored_path(spark, sf, name, lambda path: make(spark, sf).write.parquet(path)))
+
+
+def _stored_path(spark, sf, name, write) -> str:
+    from headway.sources.paths import fingerprint
+
+    key = (spark.sparkContext.applicationId, f"{sf} {fingerprint(spark, sf)}", name)
     if key not in _STORED:
         path = _scratch(spark, name)
-        make(spark, sf).write.parquet(path)
+        write(path)
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+    return _STORED[key]
 
 
 def _positions(spark, sf):
@@ -107,12 +113,22 @@ def _built_mart(spark, sf):
     )
 
 
+def _marts(spark, sf):
+    """Both marts as the job builds and writes them."""
+
+    def build(path):
+        sources = {"bunching_events": _stored(spark, sf, "bunching-events", _events_table), "dim_route": _stored_routes(spark, sf)}
+        mt.build_marts(spark, {**sources, "fact_weather": _stored(spark, sf, "fact-weather", _weather)}, out_dir=path)
+
+    return mt.read_marts(spark, _stored_path(spark, sf, "marts", build))
+
+
 def _mart(spark, sf):
-    return _stored(spark, sf, "mart-events", _built_mart)
+    return _marts(spark, sf)["mart_bunching_events"]
 
 
 def _hourly(spark, sf):
-    return mt.mart_bunching_hourly(_mart(spark, sf))
+    return _marts(spark, sf)["mart_bunching_hourly"]
 
 
 # --- positions, silver, bunching ------------------------------------------
@@ -174,7 +190,7 @@ def q_mart_events(spark, sf):
 
 @register("mart_bunching_hourly")
 def q_mart_hourly(spark, sf):
-    return _hourly(spark, sf)
+    return _hourly(spark, sf).drop(mt.MONTH)
 
 
 @register("report_total")
@@ -247,7 +263,7 @@ def q_self_bunching(spark, sf):
     """Q3: rows returned are failures."""
     from headway.operators.quality import no_self_pairs
 
-    return no_self_pairs(_mart(spark, sf).drop("detected_at"))
+    return no_self_pairs(_mart(spark, sf).drop("detected_at", mt.MONTH))
 
 
 # --- nearest-in-time join ----------------------------------------------------
@@ -712,6 +728,55 @@ def q_snapshot_empty_version(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _failing(df, column):
+    """``df`` with a row that raises while it is written."""
+    broken = F.raise_error(F.lit("planted failure")).cast(df.schema[column].dataType)
+    return df.withColumn(column, F.when(F.pmod(F.xxhash64(column), F.lit(2)) == 0, broken).otherwise(F.col(column)))
+
+
+def _fails(write) -> None:
+    try:
+        write()
+    except Exception as e:
+        if "planted failure" in str(e):
+            return
+        raise
+    raise RuntimeError("a write that had to fail did not")
+
+
+@register("snapshot_failed_write")
+def q_snapshot_failed_write(spark, sf):
+    """A write that raises half-way leaves no version; the current one is still read, and the next write is version 1."""
+    from headway.sources.tables import latest_version, read_snapshot, write_snapshot
+
+    path = _scratch(spark, "snapshots")
+    routes = mt.stg_dim_route_current(_dim_route(spark, sf))
+    write_snapshot(routes, path)
+    _fails(lambda: write_snapshot(_failing(routes, "route_id"), path))
+    after = read_snapshot(spark, path).select(F.lit(latest_version(spark, path)).alias("version"), "route_id", "route_short_name")
+    n = write_snapshot(routes.withColumn("route_short_name", F.lit("RENAMED")), path)
+    now = read_snapshot(spark, path).select(F.lit(n).alias("version"), "route_id", "route_short_name")
+    return after.unionByName(now)
+
+
+@register("full_refresh_failed")
+def q_full_refresh_failed(spark, sf):
+    """Refreshes that fail, by an error while writing, repeated keys or no rows, leave the old rows."""
+    from headway.sources.tables import full_refresh, read_snapshot
+
+    path = _scratch(spark, "refreshed")
+    stops = _stops(spark, sf)
+    full_refresh(stops, path, keys=["stop_id"])
+    _fails(lambda: full_refresh(_failing(stops, "stop_name"), path, keys=["stop_id"]))
+    for bad in (stops.unionByName(stops.where("stop_id = '1'")), stops.where("false")):
+        try:
+            full_refresh(bad, path, keys=["stop_id"])
+        except ValueError:
+            continue
+        raise RuntimeError("a refresh that had to fail did not")
+    return read_snapshot(spark, path)
+
+
 @register("rebuild_shrinks")
 def q_rebuild_shrinks(spark, sf):
     """A partitioned table rewritten with fewer dates has only those."""
@@ -750,14 +815,14 @@ def q_sql_on_path(spark, sf):
 @register("full_refresh")
 def q_full_refresh(spark, sf):
     """A table replaced with blanks as NULL."""
-    from headway.sources.tables import full_refresh
+    from headway.sources.tables import full_refresh, read_snapshot
 
     path = _scratch(spark, "refreshed")
     supplier = table(spark, sf, "supplier")
     full_refresh(_stops(spark, sf), path, keys=["stop_id"])
     blank = F.when(F.col("s_suppkey") % 3 == 0, F.lit("")).otherwise(F.col("s_name"))
     full_refresh(supplier.where("s_suppkey % 2 = 0").select(F.col("s_suppkey").cast("string").alias("stop_id"), blank.alias("stop_name")), path, keys=["stop_id"])
-    return spark.read.parquet(path)
+    return read_snapshot(spark, path)
 
 
 @register("export_csv")
@@ -781,7 +846,7 @@ def q_build_marts(spark, sf):
     half = F.col("feed_timestamp") < F.unix_timestamp(F.lit("2024-01-12 00:00:00").cast("timestamp"))
     for part in (events.where(half), events):
         built = mt.build_marts(spark, {"bunching_events": part, **tables}, out_dir=out)
-    return built["mart_bunching_hourly"]
+    return built["mart_bunching_hourly"].drop(mt.MONTH)
 
 
 @register("staging_views")
@@ -821,22 +886,24 @@ def q_gtfs_stop_loads(spark, sf):
 def q_gtfs_trip_load(spark, sf):
     """The trip table."""
     from headway.plans.loaders import load_gtfs_dimensions
+    from headway.sources.tables import read_snapshot
 
     out = _scratch(spark, "dims")
     load_gtfs_dimensions(spark, _gtfs_folder(spark, sf), out, "2024-01-01 00:00:00")
-    return spark.read.parquet(f"{out}/dim_trip").drop("loaded_at")
+    return read_snapshot(spark, f"{out}/dim_trip").drop("loaded_at")
 
 
 @register("restriction_snapshot")
 def q_restriction_snapshot(spark, sf):
     """Restriction documents loaded, and the stops near the located ones."""
     from headway.plans.loaders import load_restriction_snapshot
+    from headway.sources.tables import read_snapshot
 
     docs, out = _scratch(spark, "closures"), _scratch(spark, "restrictions")
     fx.restriction_docs(table(spark, sf, "part")).write.text(docs)
     stops = _stops(spark, sf).withColumn("is_current", F.col("stop_id").cast("int") % 7 != 0)
     load_restriction_snapshot(spark, docs, stops, out, "2024-01-01 00:00:00", one_doc_per_file=False)
-    pairs = spark.read.parquet(f"{out}/stops_near_restrictions")
+    pairs = read_snapshot(spark, f"{out}/stops_near_restrictions")
     return pairs.select("stop_id", "restriction_id", F.round("distance_m", 6).alias("distance_m"))
 
 

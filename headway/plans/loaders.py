@@ -1,10 +1,10 @@
 """The small loaders as Spark jobs: GTFS dimensions with SCD2,
 road restrictions with their stop pairs, and insert-once weather.
 
-The SCD2 dimensions are versioned snapshots (``write_snapshot``): the previous
-version stays readable and a failed run leaves it untouched.  ``dim_trip`` and
-the restriction tables are replaced in place once the new rows are staged and
-checked.  Weather is appended.
+All but weather are versioned tables, read with ``read_snapshot``: the new rows
+are staged and checked, then the table's pointer is swapped, so a failed run leaves
+what was there.  The two restriction tables are staged both before either changes.
+Weather is appended.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.operators.positions import current, located
-from headway.operators.quality import unique, with_metrics
+from headway.operators.quality import with_metrics
 from headway.operators.scd2 import last_row_wins, scd2_apply, scd2_counts_of
 from headway.operators.spatial import within_radius
 from headway.schemas import (
@@ -28,9 +28,9 @@ from headway.schemas import (
     TRIP_TYPES,
 )
 from headway.sources.files import read_gtfs_csv, read_restrictions, read_weather, type_gtfs
-from headway.session import scratch_path
 from headway.sources.paths import exists, remove_folder
-from headway.sources.tables import full_refresh, insert_if_absent, latest_version, read_snapshot, write_snapshot
+from headway.sources.tables import full_refresh, insert_if_absent, latest_version, read_snapshot, stage_refresh, write_snapshot
+from headway.sources.versions import commit, drop_versions, staged
 
 # Radius of the stop / restriction pairing, metres.
 NEARBY_RADIUS_M = 150.0
@@ -105,23 +105,25 @@ def load_restriction_snapshot(
     """Restrictions snapshot (full refresh, key checked) and the stops within
     ``radius_m`` of each located restriction.  ``active_only`` restricts the
     pairing to non-expired restrictions (finding F5; off = reference).  Both
-    tables are computed and checked before the first of them is replaced."""
+    tables are computed, staged and checked before either changes."""
     o = out_dir.rstrip("/")
-    stage = scratch_path(spark, "restrictions")
-    read_restrictions(spark, restrictions_path, one_doc_per_file, loaded_at=load_ts).write.parquet(f"{stage}/r")
-    rows = spark.read.parquet(f"{stage}/r")
-    active = rows.where(~F.col("expired")) if active_only else rows
-    stops = located(current(dim_stop), "stop_lat", None)
-    pairs = within_radius(stops, located(active), radius_m=radius_m).withColumn(
-        "loaded_at", F.lit(load_ts).cast("timestamp")
-    )
-    pairs.write.parquet(f"{stage}/p")
-    staged = spark.read.parquet(f"{stage}/p")
-    if not unique(staged, ["stop_id", "restriction_id"]).isEmpty():
-        raise ValueError("a stop and a restriction are paired twice")
-    full_refresh(rows, f"{o}/road_restrictions", keys=["restriction_id"])
-    full_refresh(staged, f"{o}/stops_near_restrictions", allow_empty=True)
-    remove_folder(spark, stage)
+    tables = [f"{o}/road_restrictions", f"{o}/stops_near_restrictions"]
+    folders = [stage_refresh(read_restrictions(spark, restrictions_path, one_doc_per_file, loaded_at=load_ts), tables[0], ["restriction_id"])]
+    try:
+        rows = staged(spark, folders[0])
+        active = rows.where(~F.col("expired")) if active_only else rows
+        stops = located(current(dim_stop), "stop_lat", None)
+        pairs = within_radius(stops, located(active), radius_m=radius_m).withColumn(
+            "loaded_at", F.lit(load_ts).cast("timestamp")
+        )
+        folders.append(stage_refresh(pairs, tables[1], ["stop_id", "restriction_id"], allow_empty=True))
+    except BaseException:
+        for folder in folders:
+            remove_folder(spark, folder)
+        raise
+    commit(spark, list(zip(folders, tables, strict=True)))
+    for table in tables:
+        drop_versions(spark, table, keep=1)
 
 
 def load_observations(spark: SparkSession, docs_path: str, table_path: str, load_ts: str, multi_line: bool = True) -> int:

@@ -12,6 +12,7 @@ from headway.functions.columns import epoch_to_ts
 from headway.operators.joins import join_dimension
 from headway.operators.nearest import nearest_join
 from headway.operators.positions import current
+from headway.sources.tables import read_snapshot, replace_table
 
 # The mart's columns.
 MART_EVENT_COLUMNS = [
@@ -151,13 +152,30 @@ def mart_bunching_hourly(mart_events: DataFrame) -> DataFrame:
     )
 
 
+# The partition column of both marts, the month of their time column (event_time, event_hour).
+MONTH = "event_month"
+
+
+def month_of(time: Column) -> Column:
+    return F.date_format(time, "yyyy-MM")
+
+
 def time_filter(df: DataFrame, column: str, from_=None, to=None) -> DataFrame:
-    """Dashboard time range, inclusive on both ends (P9); ``None`` = open."""
+    """Dashboard time range, inclusive on both ends (P9); ``None`` = open.
+
+    Of a mart as it is stored, with its ``event_month``, the range's months are
+    bounds too: constants that Catalyst turns into partition filters, so other
+    months are never listed or read."""
     c: Column = F.col(column)
+    stored = MONTH in df.columns and column in ("event_time", "event_hour")
     if from_ is not None:
-        df = df.where(c >= F.lit(from_).cast("timestamp"))
+        first = F.lit(from_).cast("timestamp")
+        df = df.where(c >= first)
+        df = df.where(F.col(MONTH) >= month_of(first)) if stored else df
     if to is not None:
-        df = df.where(c <= F.lit(to).cast("timestamp"))
+        last = F.lit(to).cast("timestamp")
+        df = df.where(c <= last)
+        df = df.where(F.col(MONTH) <= month_of(last)) if stored else df
     return df
 
 
@@ -186,42 +204,45 @@ def build_marts(
     out_dir: str | None = None,
     fmt: str = "parquet",
 ) -> dict[str, DataFrame]:
-    """Full-rebuild marts (S20).  With ``out_dir`` each mart is written and
-    the hourly mart is built from the written events, so lineage is cut.
-
-    Events are partitioned by ``event_month`` and sorted by ``event_time`` inside
-    files: a dashboard range prunes whole partitions, then files and row groups
-    by their min/max, so days need no folders of their own (years of sparse days
-    would be thousands of tiny files).  The hourly mart is sorted by ``event_hour`` and route.  The layout
-    does not depend on the data's size; a rebuild replaces both tables."""
+    """Full-rebuild marts (S20).  With ``out_dir`` each mart is written as a new
+    committed version (the old one is read until then, and stays if the rebuild
+    fails), and the hourly mart is built from the written events, so lineage is cut.
+
+    Both are partitioned by ``event_month``, and rows are rebalanced on it after the
+    joins: files follow the months and, in a large month, its bytes, whatever the
+    joins did to the partitioning.  Inside files events are sorted by ``event_time``,
+    hours by ``event_hour`` and route, so that a range prunes whole partitions, then
+    files and row groups by their min/max.  Days need no folders of their own (years
+    of sparse days would be thousands of tiny files).  The layout does not depend on
+    the data's size."""
     views = register_staging(spark, tables)
-    stg = views["stg_bunching_events"]
-    if out_dir:
-        # Range-partition the events by time *before* the route and weather
-        # joins: they are broadcast joins, which keep the partitioning, so the
-        # write needs only a local sort, and the range sampling re-reads the
-        # events table instead of recomputing the whole mart.
-        stg = stg.repartitionByRange("event_time")
-    events = mart_bunching_events(stg, views["stg_dim_route_current"], views["stg_fact_weather"])
-    if out_dir:
-        from headway.sources.tables import write_table
-
-        ev_path = f"{out_dir.rstrip('/')}/mart_bunching_events"
-        write_table(
-            events.withColumn("event_month", F.date_format("event_time", "yyyy-MM")),
-            ev_path,
-            fmt=fmt,
-            partition_by=["event_month"],
-            sort_within=["event_time"],
-            clustered=True,
-        )
-        events = spark.read.format(fmt).load(ev_path).drop("event_month")
-    hourly = mart_bunching_hourly(events)
-    if out_dir:
-        from headway.sources.tables import write_table
-
-        h_path = f"{out_dir.rstrip('/')}/mart_bunching_hourly"
-        ordered = ["event_hour", "route_short_name", "route_id"]
-        write_table(hourly.repartitionByRange(*ordered), h_path, fmt=fmt, sort_within=ordered)
-        hourly = spark.read.format(fmt).load(h_path)
-    return {"mart_bunching_events": events, "mart_bunching_hourly": hourly}
+    events = mart_bunching_events(views["stg_bunching_events"], views["stg_dim_route_current"], views["stg_fact_weather"])
+    if not out_dir:
+        return {"mart_bunching_events": events, "mart_bunching_hourly": mart_bunching_hourly(events)}
+    paths = _mart_paths(out_dir)
+    replace_table(
+        events.withColumn(MONTH, month_of(F.col("event_time"))), paths[EVENTS], fmt, partition_by=[MONTH], sort_within=["event_time"], keep=1
+    )
+    hourly = mart_bunching_hourly(read_snapshot(spark, paths[EVENTS], fmt=fmt))
+    replace_table(
+        hourly.withColumn(MONTH, month_of(F.col("event_hour"))),
+        paths[HOURLY],
+        fmt,
+        partition_by=[MONTH],
+        sort_within=["event_hour", "route_short_name", "route_id"],
+        keep=1,
+    )
+    return read_marts(spark, out_dir, fmt)
+
+
+EVENTS, HOURLY = "mart_bunching_events", "mart_bunching_hourly"
+
+
+def _mart_paths(out_dir: str) -> dict[str, str]:
+    return {name: f"{out_dir.rstrip('/')}/{name}" for name in (EVENTS, HOURLY)}
+
+
+def read_marts(spark: SparkSession, out_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The current versions of the written marts, with ``event_month`` as their last column, by which ``time_filter``
+    (and so every report's range) prunes partitions."""
+    return {name: read_snapshot(spark, path, fmt=fmt) for name, path in _mart_paths(out_dir).items()}

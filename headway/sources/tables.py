@@ -12,8 +12,8 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from headway.operators.joins import anti_join
 from headway.operators.quality import unique
 from headway.schemas import POSITION_SCHEMA
-from headway.session import scratch_path
-from headway.sources.paths import folders, remove_folder
+from headway.sources.paths import remove_folder
+from headway.sources.versions import commit, current_version, drop_versions, read_version, stage, staged
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
@@ -84,29 +84,41 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Overwrite as a new version (S9): version n+1 is written next to the
-    older ones, which stay readable.  With Delta on the classpath use
-    ``fmt="delta"`` and its own ``versionAsOf`` instead.  Returns the version."""
-    latest = latest_version(df.sparkSession, path, fmt)
-    version = 0 if latest is None else latest + 1
-    df.write.format(fmt).mode("errorifexists").save(f"{path.rstrip('/')}/version={version}")
+    """Overwrite as a new version (S9): version n+1 is committed next to the
+    older ones, which stay readable; a write that fails leaves no version.  With
+    Delta on the classpath use ``fmt="delta"`` and its own ``versionAsOf``
+    instead.  Returns the version."""
+    return replace_table(df, path, fmt)
+
+
+def replace_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] | None = None,
+    sort_within: Sequence[str] | None = None,
+    keep: int | None = None,
+) -> int:
+    """Write all of ``df`` as the next version of the table, laid out as by
+    ``write_table``, and make it the current one.  Of the versions before it,
+    ``keep`` stay (None: all).  Returns its number."""
+    spark = df.sparkSession
+    folder = stage(df, path, lambda rows, to: write_table(rows, to, fmt, "errorifexists", partition_by, sort_within))
+    version = commit(spark, [(folder, path)])[0]
+    if keep is not None:
+        drop_versions(spark, path, keep)
     return version
 
 
 def latest_version(spark: SparkSession, path: str, fmt: str = "parquet") -> int | None:
-    """Largest written version, from the folder names (no data is read, so an
-    empty version counts); None only where no version exists."""
-    names = [n for n in folders(spark, path) if n.startswith("version=")]
-    return max((int(n.partition("=")[2]) for n in names), default=None)
+    """The current version, from the pointer and the commit markers (no data is
+    read, so an empty version counts); None only where nothing was committed."""
+    return current_version(spark, path)
 
 
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read one version (default: latest) from its own folder."""
-    if version is None:
-        version = latest_version(spark, path, fmt)
-        if version is None:
-            raise FileNotFoundError(f"no version of {path}")
-    return spark.read.format(fmt).load(f"{path.rstrip('/')}/version={version}")
+    """Read one committed version (default: the current one) from its own folder."""
+    return read_version(spark, path, version, fmt)
 
 
 def sql_on_path(spark: SparkSession, path: str, fmt: str = "parquet", query: str = "SELECT * FROM {t}") -> DataFrame:
@@ -114,27 +126,49 @@ def sql_on_path(spark: SparkSession, path: str, fmt: str = "parquet", query: str
     return spark.sql(query.format(t=f"{fmt}.`{path}`"))
 
 
-def full_refresh(
+def stage_refresh(
     df: DataFrame, path: str, keys: Sequence[str] | None = None, fmt: str = "parquet", allow_empty: bool = False
-) -> None:
-    """Truncate-and-insert (S21): blank text -> NULL; the new rows are staged
-    once in the shared folder and checked there (keys unique, not empty unless
-    ``allow_empty``) before anything is replaced."""
+) -> str:
+    """The first half of a full refresh: the new rows, blank text as NULL, staged
+    beside the table and checked there (keys unique, not empty unless
+    ``allow_empty``).  Nothing of the table changes; returns the staged folder,
+    which ``versions.commit`` makes current."""
+    spark = df.sparkSession
     out = df.select(
         *[
             F.nullif(F.col(f.name), F.lit("")).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name)
             for f in df.schema.fields
         ]
     )
-    stage = scratch_path(df.sparkSession, "refresh")
-    out.write.parquet(stage)
-    staged = df.sparkSession.read.schema(out.schema).parquet(stage)
-    if not allow_empty and staged.isEmpty():
-        raise ValueError(f"no rows for a full refresh of {path}")
-    if keys and not unique(staged, keys).isEmpty():
-        raise ValueError(f"duplicate key {list(keys)} in full refresh of {path}")
-    write_table(staged, path, fmt=fmt)
-    remove_folder(df.sparkSession, stage)
+    folder = stage(out, path, lambda rows, to: write_table(rows, to, fmt, "errorifexists"))
+    rows = staged(spark, folder, fmt)
+    try:
+        if not allow_empty and rows.isEmpty():
+            raise ValueError(f"no rows for a full refresh of {path}")
+        if keys and not unique(rows, keys).isEmpty():
+            raise ValueError(f"duplicate key {list(keys)} in full refresh of {path}")
+    except BaseException:
+        remove_folder(spark, folder)
+        raise
+    return folder
+
+
+def full_refresh(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str] | None = None,
+    fmt: str = "parquet",
+    allow_empty: bool = False,
+    keep: int = 1,
+) -> int:
+    """Truncate-and-insert as one step (S21): the new rows are staged and checked,
+    then the table's pointer is swapped to them; a refresh that fails, at whatever
+    point, leaves the old rows.  Read the table with ``read_snapshot``.  ``keep``
+    older versions stay for readers that are still on them."""
+    spark = df.sparkSession
+    version = commit(spark, [(stage_refresh(df, path, keys, fmt, allow_empty), path)])[0]
+    drop_versions(spark, path, keep)
+    return version
 
 
 def insert_if_absent(

@@ -133,7 +133,7 @@ def test_insert_if_absent_first_write_wins(spark):
 def test_full_refresh_blank_to_null_and_key_check(spark, tmp_dir):
     df = spark.createDataFrame([("t1", ""), ("t2", "x")], "trip_id string, shape_id string")
     full_refresh(df, os.path.join(tmp_dir, "trips"), keys=["trip_id"])
-    back = spark.read.parquet(os.path.join(tmp_dir, "trips"))
+    back = read_snapshot(spark, os.path.join(tmp_dir, "trips"))
     assert back.where("shape_id IS NULL").count() == 1
     dup = spark.createDataFrame([("t1", "a"), ("t1", "b")], "trip_id string, shape_id string")
     try:
@@ -195,9 +195,9 @@ def test_full_refresh_checks_before_it_replaces(spark, tmp_dir):
     for bad in (good.unionByName(good), good.where("false")):
         with pytest.raises(ValueError):
             full_refresh(bad, t, keys=["k"])
-    assert sorted((r["k"], r["v"]) for r in spark.read.parquet(t).collect()) == [("a", None), ("b", "x")]
+    assert sorted((r["k"], r["v"]) for r in read_snapshot(spark, t).collect()) == [("a", None), ("b", "x")]
     full_refresh(good.where("false"), t, keys=["k"], allow_empty=True)
-    assert spark.read.parquet(t).count() == 0
+    assert read_snapshot(spark, t).count() == 0
 
 
 def test_gzip_content_is_unpacked(spark):
@@ -206,3 +206,46 @@ def test_gzip_content_is_unpacked(spark):
     df = spark.createDataFrame([(gz.compress(b"abc"),), (b"abc",), (None,), (b"",)], "c binary")
     got = [r["x"] if r["x"] is None else bytes(r["x"]) for r in df.select(gunzipped("c").alias("x")).collect()]
     assert got == [b"abc", b"abc", None, b""]
+
+
+def test_only_committed_versions_exist(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "t")
+    rows = spark.range(6)
+    bad = rows.select(F.when(F.col("id") == 4, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_snapshot(bad, t)
+    assert latest_version(spark, t) is None and not [n for n in os.listdir(t) if not n.startswith(".")]
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, t)
+    assert write_snapshot(rows, t) == 0
+    # a folder that a dead writer left half renamed: no version, not the next number either
+    os.makedirs(os.path.join(t, "version=1"))
+    assert latest_version(spark, t) == 0 and read_snapshot(spark, t).count() == 6
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, t, 1)
+    assert write_snapshot(rows.where("id > 2"), t) == 2
+    assert read_snapshot(spark, t).count() == 3 and read_snapshot(spark, t, 0).count() == 6
+    # complete, but its pointer was never set: still the version before
+    write_table(rows.where("id = 0"), os.path.join(t, "version=3"))
+    assert latest_version(spark, t) == 2
+
+
+def test_two_writers_cannot_take_one_version(spark, tmp_dir):
+    from headway.sources import versions
+
+    t = os.path.join(tmp_dir, "t")
+    folder = versions.stage(spark.range(2), t, lambda df, to: df.write.parquet(to))
+    write_snapshot(spark.range(9), t)
+    with pytest.raises(Exception, match="exist"):
+        versions.rename_new(spark, folder, versions.version_path(t, 0))
+    assert read_snapshot(spark, t).count() == 9
+
+
+def test_readers_keep_their_version_through_a_refresh(spark, tmp_dir):
+    t = os.path.join(tmp_dir, "t")
+    full_refresh(spark.range(5), t)
+    open_reader = read_snapshot(spark, t)
+    full_refresh(spark.range(7), t)
+    assert open_reader.count() == 5 and read_snapshot(spark, t).count() == 7
+    full_refresh(spark.range(8), t)
+    assert sorted(n for n in os.listdir(t) if n.startswith("version=")) == ["version=1", "version=2"]

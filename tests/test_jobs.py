@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from headway.operators.bunching import detect_bunching
@@ -59,7 +60,7 @@ def test_build_marts_written_and_reports(spark, tmp_dir):
     )
     me, mh = out["mart_bunching_events"], out["mart_bunching_hourly"]
     assert me.count() == 6 and me.where("weather_condition = 'Rain'").count() == 6
-    assert any(d.startswith("event_month=") for d in os.listdir(os.path.join(tmp_dir, "mart_bunching_events")))
+    assert any(d.startswith("event_month=") for d in os.listdir(os.path.join(tmp_dir, "mart_bunching_events", "version=0")))
     assert mh.count() == 3 and mh.agg(F.sum("bunching_event_count")).first()[0] == 6
     assert rp.report_total(me).first()["value"] == 6
     assert rp.report_network_share(me, 4).first()["value"] == 25.0
@@ -118,3 +119,54 @@ def test_paced_replay_releases_one_snapshot_per_trigger(spark, tmp_dir):
         q.stop()
     assert spark.read.parquet(os.path.join(tmp_dir, "bronze")).count() == 3
     assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 3
+
+
+def test_marts_prune_months_and_bound_their_files(spark, tmp_dir):
+    import io
+    from contextlib import redirect_stdout
+
+    routes = spark.createDataFrame([("504", "504", "King", True)], "route_id string, route_short_name string, route_long_name string, is_current boolean")
+    dim = routes.select("*", F.lit(0).alias("route_type"), F.lit("F").alias("route_color"), F.lit("0").alias("route_text_color"))
+    hours = spark.range(0, 24 * 365, 1, 8)
+    events = hours.select(
+        F.lit("504").alias("route_id"), F.lit("504").alias("route_short_name"), (F.col("id") * 3600 + 1704067200).alias("feed_timestamp"),
+        F.lit("a").alias("vehicle_id_a"), F.lit("b").alias("vehicle_id_b"), (F.col("id") % 2).cast("int").alias("stop_sequence_gap"),
+    )
+    weather = hours.where("id % 50 = 0").select(
+        F.lit("S").alias("station_id"), F.lit("S").alias("station_name"), F.timestamp_seconds(F.col("id") * 3600 + 1704067200).alias("observed_at"),
+        F.lit(1.0).alias("temperature_c"), F.lit("Rain").alias("condition"), F.lit(1).alias("humidity_pct"), F.lit(1.0).alias("wind_kmh"), F.lit(1.0).alias("pressure_kpa"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marts = mt.build_marts(spark, {"bunching_events": events, "dim_route": dim, "fact_weather": weather}, out_dir=tmp_dir)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name in ("mart_bunching_events", "mart_bunching_hourly"):
+        files = [f for _, _, names in os.walk(os.path.join(tmp_dir, name)) for f in names if f.endswith(".parquet")]
+        assert len(files) == 12, (name, len(files))
+    me, mh = marts["mart_bunching_events"], marts["mart_bunching_hourly"]
+    span = ("2024-02-20 00:00:00", "2024-03-02 00:00:00")
+    for df in (
+        rp.report_total(me, *span), rp.report_network_share(me, dim, *span), rp.report_top_routes(mh, 10, *span), rp.report_hourly_top8(mh, 8, *span),
+        rp.report_by_condition(me, *span), rp.report_by_hour(me, *span), rp.report_by_mode(me, dim, *span), rp.report_severity(me, *span),
+        rp.report_top_detail(mh, 15, *span), rp.report_recent(me, 200, *span),
+    ):
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain("formatted")
+        filters = [line for line in buf.getvalue().splitlines() if line.startswith("PartitionFilters") and "event_month" in line]
+        assert filters and all(">= 2024-02" in f and "<= 2024-03" in f for f in filters)
+    assert rp.report_total(me, *span).first()["value"] == 11 * 24 + 1
+
+
+def test_a_failed_rebuild_leaves_the_marts(spark, tmp_dir):
+    dim = spark.createDataFrame([("504", "504", "King", 0, "F", "0", True)], "route_id string, route_short_name string, route_long_name string, route_type int, route_color string, route_text_color string, is_current boolean")
+    weather = spark.createDataFrame([], "station_id string, station_name string, observed_at timestamp, temperature_c double, condition string, humidity_pct int, wind_kmh double, pressure_kpa double")
+    events = spark.createDataFrame([("504", "504", 1704067200, "a", "b", 0)], "route_id string, route_short_name string, feed_timestamp long, vehicle_id_a string, vehicle_id_b string, stop_sequence_gap int")
+    tables = {"bunching_events": events, "dim_route": dim, "fact_weather": weather}
+    mt.build_marts(spark, tables, out_dir=tmp_dir)
+    with pytest.raises(Exception, match="repeated key"):
+        mt.build_marts(spark, tables | {"dim_route": dim.unionByName(dim)}, out_dir=tmp_dir)
+    marts = mt.read_marts(spark, tmp_dir)
+    assert marts["mart_bunching_events"].count() == 1 and marts["mart_bunching_hourly"].count() == 1

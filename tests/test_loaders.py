@@ -32,7 +32,7 @@ def test_gtfs_loads_are_scd2_and_versioned(spark, tmp_dir):
     assert routes.count() == 3 and routes.where("is_current").count() == 1
     assert routes.where("is_current").first()["route_long_name"] == "King Streetcar"  # last row wins
     assert read_snapshot(spark, os.path.join(out, "dim_route"), version=0).count() == 2
-    assert [r["trip_id"] for r in spark.read.parquet(os.path.join(out, "dim_trip")).collect()] == ["t2"]
+    assert [r["trip_id"] for r in read_snapshot(spark, os.path.join(out, "dim_trip")).collect()] == ["t2"]
 
 
 def test_restrictions_and_pairs(spark, tmp_dir):
@@ -45,11 +45,11 @@ def test_restrictions_and_pairs(spark, tmp_dir):
         f.write('{"Closure":[{"id":"R1","latitude":"43.65","longitude":"-79.38","expired":true,'
                 '"description":"Water \\ Sewer"},{"id":"R2","latitude":"","longitude":""}]}')
     load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-01 00:00:00")
-    assert spark.read.parquet(os.path.join(tmp_dir, "road_restrictions")).count() == 2
-    pairs = spark.read.parquet(os.path.join(tmp_dir, "stops_near_restrictions")).collect()
+    assert read_snapshot(spark, os.path.join(tmp_dir, "road_restrictions")).count() == 2
+    pairs = read_snapshot(spark, os.path.join(tmp_dir, "stops_near_restrictions")).collect()
     assert [(r["stop_id"], r["restriction_id"]) for r in pairs] == [("s1", "R1")]
     load_restriction_snapshot(spark, p, stops, os.path.join(tmp_dir, "b"), "2024-01-01", active_only=True)
-    assert spark.read.parquet(os.path.join(tmp_dir, "b", "stops_near_restrictions")).count() == 0
+    assert read_snapshot(spark, os.path.join(tmp_dir, "b", "stops_near_restrictions")).count() == 0
 
 
 def test_weather_insert_once(spark, tmp_dir):
@@ -79,10 +79,10 @@ def test_a_bad_restriction_document_leaves_the_tables_alone(spark, tmp_dir):
             f.write(bad)
         with pytest.raises(Exception, match="not a restriction document"):
             load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-02 00:00:00")
-    rows = spark.read.parquet(os.path.join(tmp_dir, "road_restrictions")).collect()
+    rows = read_snapshot(spark, os.path.join(tmp_dir, "road_restrictions")).collect()
     assert [(r["restriction_id"], r["description"]) for r in rows] == [("R1", "C:\\users and \u00e9")]
     with open(p, "w") as f:
         f.write('{"Closure":[]}')
     with pytest.raises(ValueError, match="no rows"):
         load_restriction_snapshot(spark, p, stops, tmp_dir, "2024-01-03 00:00:00")
-    assert spark.read.parquet(os.path.join(tmp_dir, "stops_near_restrictions")).count() == 1
+    assert read_snapshot(spark, os.path.join(tmp_dir, "stops_near_restrictions")).count() == 1

@@ -4,11 +4,13 @@ hot keys, and property checks against brute force (hypothesis)."""
 import datetime as dt
 import io
 import math
+import time
 from contextlib import redirect_stdout
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from headway.operators.bunching import detect_bunching
 from headway.operators.joins import require_unique
@@ -52,7 +54,7 @@ def test_nearest_shuffled_path_equals_broadcast_path(spark):
     for by in (None, ["k"]):
         a = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"]).collect()
         with shuffled(spark):
-            b = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"])
+            b = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"], broadcast_rows=39)  # one fewer than there are
             assert "BroadcastHashJoin" not in plan(b) and "explode" not in plan(b)
             assert sorted(map(tuple, a)) == sorted(map(tuple, b.collect()))
 
@@ -111,10 +113,24 @@ times = st.lists(st.integers(min_value=0, max_value=20_000), min_size=0, max_siz
 def test_nearest_property(spark, lefts, rights):
     left = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=t)) for i, t in enumerate(lefts)], "lid int, lt timestamp")
     right = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=t)) for i, t in enumerate(rights)], "rid int, rt timestamp")
-    got = {r["lid"]: r["rid"] for r in nearest_join(left, right, "lt", "rt", right_cols=["rid"], tie_cols=["rt", "rid"]).collect()}
-    for i, t in enumerate(lefts):
-        cands = sorted((abs(t - rt), rt, j) for j, rt in enumerate(rights))
-        assert got[i] == (cands[0][2] if cands else None)
+    for bound in (0, 1000):
+        found = nearest_join(left, right, "lt", "rt", right_cols=["rid"], tie_cols=["rt", "rid"], broadcast_rows=bound)
+        got = {r["lid"]: r["rid"] for r in found.collect()}
+        for i, t in enumerate(lefts):
+            cands = sorted((abs(t - rt), rt, j) for j, rt in enumerate(rights))
+            assert got[i] == (cands[0][2] if cands else None)
+
+
+def test_nearest_plans_of_many_slices_and_of_a_small_side(spark):
+    left = spark.range(5000).select(F.col("id").alias("lid"), F.timestamp_seconds(F.col("id") * 7).alias("lt"))
+    right = spark.range(900).select(F.col("id").alias("rid"), F.timestamp_seconds(F.col("id") * 31).alias("rt"))
+    began = time.monotonic()
+    many = nearest_join(left, right, "lt", "rt", right_cols=["rid"], slices=150, broadcast_rows=0)
+    assert len(plan(many)) < 20_000 and time.monotonic() - began < 60
+    few = nearest_join(left, right, "lt", "rt", right_cols=["rid"])
+    shown = plan(few)  # the left side is read once and moves nowhere
+    assert "SortMergeJoin" not in shown and shown.count("Range (0, 5000") == 1
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
 
 
 def _hav(a, b, c, d):
