@@ -581,6 +581,26 @@ def q_stream_bunching(spark, sf):
     return read_stream_events(spark, out)
 
 
+@register("closed_snapshots")
+def q_closed_snapshots(spark, sf):
+    """ST8: the rows of snapshots that the watermark has passed, once each, without late rows: a stream that is stopped
+    and started again, whose second part brings copies of rows long closed."""
+    from headway.streaming.bunching import closed_snapshots
+    from headway.streaming.ingest import ingest, read_position_stream
+
+    src, out, ckpt = _scratch(spark, "closing-src"), _scratch(spark, "closed"), _scratch(spark, "closing-ckpt")
+    pos = _stored(spark, sf, "positions", _positions)
+    cut = F.unix_timestamp(F.lit("2024-01-24 00:00:00").cast("timestamp"))
+    late = pos.where(F.col("feed_timestamp") < cut - 20 * 86_400).withColumn("ingest_timestamp", F.lit(0).cast("long"))
+    first, rest = pos.where(F.col("feed_timestamp") < cut), pos.where(F.col("feed_timestamp") >= cut)
+    for part, sentinel in ((first, None), (rest, SENTINEL_AFTER_S), (late, None)):
+        fx.write_stream_files(part, src, sentinel, files_per_range=FILES_PER_RANGE)
+        stream = ingest(read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=FILES_PER_RANGE))
+        rows = closed_snapshots(stream, STREAM_DELAY)
+        rows.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out).where("vehicle_id is null or vehicle_id != 'sentinel'").select("vehicle_id", "feed_timestamp", "ingest_timestamp", "entity_id", "route_id")
+
+
 @register("rebuild_bronze")
 def q_rebuild_bronze(spark, sf):
     """Feed snapshots archived as gzip JSON by snapshot time, scanned
@@ -936,7 +956,7 @@ def q_replay_archive(spark, sf):
 
 @register("stream_bunching_restart")
 def q_stream_bunching_restart(spark, sf):
-    """ST8: two queries, one after the other, on one checkpoint with the default staging."""
+    """ST8: two queries, one after the other, on one checkpoint and its state."""
     from headway.streaming.bunching import read_stream_events, run_stream_bunching
     from headway.streaming.ingest import ingest, read_position_stream
 

@@ -1,33 +1,50 @@
 """Bunching on a stream (ST8).
 
 ``lag`` is not allowed on streams, and a snapshot is only complete once no
-more of its rows can arrive.  Rows are appended to a staging table as they
-come; after each micro-batch the snapshots older than the high-water mark
-minus ``delay`` are *closed*: they are read back from staging (partition
-pruned by date) and run through the batch silver + detector functions, and
-their events are written under the micro-batch id, so a retried batch
-overwrites its own output.  Staging lies beside the checkpoint by default, so a
-restarted query finds what it had staged.  Rows arriving for an already closed snapshot are
-late and are dropped by the watermark, the same rule as the dedup operator.
-The result equals the batch job over the same non-late rows.
+more of its rows can arrive.  ``closed_snapshots`` keeps each open snapshot's rows
+as state, one for each vehicle, and gives them out when the watermark passes the
+snapshot: an append-mode aggregation, so Spark's own checkpoint holds what is open,
+a restarted query goes on with it, and state leaves the store with its snapshot.
+Rows for a snapshot that is already closed are late and dropped by the watermark.
+
+``run_stream_bunching`` runs the batch silver and detector functions on the
+snapshots that closed in a micro-batch and writes their events under the batch's
+id, so that a batch that is run again overwrites its own output.  A micro-batch
+reads its new rows and the state of what it closes; nothing is staged, listed or
+read back, however long the stream has been running.  The result equals the batch
+job over the same non-late rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from headway.operators.bunching import detect_bunching
 from headway.plans.silver import silver_positions
-from headway.sources.paths import exists, remove_folder
 
 
-def _parse_delay_seconds(delay: str) -> int:
-    n, unit = delay.split()
-    mult = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(n) * mult
+def closed_snapshots(positions: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """The rows of snapshots that the watermark (``delay`` behind the newest
+    ``feed_timestamp``) has passed, de-duplicated as the batch job does (A1).
+
+    State holds one row for each (vehicle, snapshot) that is open: the first by
+    ingest time, entity id and then the other columns.  Re-delivered copies are
+    combined in each task before the shuffle, so a crash loop's copies of one key
+    cost a row each task.  A row without a ``feed_timestamp`` belongs to no
+    snapshot and is left out, as the batch job's cleaning does.  All rows of a
+    snapshot are given out in the same micro-batch.
+    """
+    first = ["ingest_timestamp", "entity_id"]
+    rest = [c for c in positions.columns if c not in (*first, "vehicle_id", "feed_timestamp")]
+    timed = positions.where("feed_timestamp is not null").withColumn("_snapshot", F.timestamp_seconds("feed_timestamp"))
+    kept = (
+        timed.withWatermark("_snapshot", delay)
+        .groupBy("_snapshot", "feed_timestamp", "vehicle_id")
+        .agg(F.min(F.struct(*first, *rest)).alias("_row"))
+    )
+    return kept.select(*[F.col(c) if c in ("vehicle_id", "feed_timestamp") else F.col(f"_row.{c}") for c in positions.columns])
 
 
 def run_stream_bunching(
@@ -35,55 +52,24 @@ def run_stream_bunching(
     dim_route: DataFrame,
     events_path: str,
     checkpoint: str,
-    staging_path: str | None = None,
     delay: str = "10 minutes",
     trigger: str | None = "availableNow",
     method: str = "split",
 ) -> StreamingQuery:
-    """Start the stream; events land in ``events_path`` (parquet, column
-    ``batch_id`` identifies the closing micro-batch)."""
-    base = checkpoint.rstrip("/")
-    staging = (staging_path or f"{base}/_staging").rstrip("/")
-    progress = f"{base}/_closed"
-    delay_s = _parse_delay_seconds(delay)
-    ts = F.timestamp_seconds("feed_timestamp")
+    """Start the stream; events land in ``events_path`` (parquet, a folder
+    ``batch_id=`` for each micro-batch that closed snapshots)."""
 
     def close(batch: DataFrame, batch_id: int) -> None:
-        s: SparkSession = batch.sparkSession
-        done = _read_progress(s, progress, batch_id)
-        if done["seen"]:
-            return  # retried batch: already staged and closed
-        lo = done["until"]
-        # Rows of snapshots closed earlier are late: dropped, as a watermark would.
-        fresh = batch if lo is None else batch.where(F.col("feed_timestamp") >= F.lit(lo))
-        # The high-water mark is observed while staging: the batch is read once.
-        # A batch that is run again replaces what it had staged.
-        seen = Observation(f"hw-{batch_id}")
-        fresh = fresh.observe(seen, F.max("feed_timestamp").alias("m"))
-        mine = f"{staging}/batch_id={batch_id}"
-        fresh.withColumn("date", F.to_date(ts)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("date").parquet(mine)
-        m = seen.get.get("m")
-        if m is None:
-            remove_folder(s, mine)
-            return  # nothing new: nothing to close, no progress to record
-        hw = max(x for x in (m, done["hw"]) if x is not None)
-        until = hw - delay_s  # snapshots strictly older than this are closed
-        win = F.col("feed_timestamp") < F.lit(until)
-        dates = F.col("date") <= F.to_date(F.timestamp_seconds(F.lit(until)))
-        if lo is not None:
-            win = win & (F.col("feed_timestamp") >= F.lit(lo))
-            dates = dates & (F.col("date") >= F.to_date(F.timestamp_seconds(F.lit(lo))))
-        rows = s.read.schema(_staged_schema(batch)).parquet(staging).where(dates).where(win).drop("date", "batch_id")
-        events = detect_bunching(silver_positions(rows, dim_route), method=method)
-        events.write.mode("overwrite").parquet(f"{events_path.rstrip('/')}/batch_id={batch_id}")
-        s.createDataFrame([(batch_id, hw, until, m)], _PROGRESS).coalesce(1).write.mode("append").parquet(progress)
-        if lo is not None:  # batches that hold only snapshots closed before this one
-            for old in _all_closed(s, progress, lo):
-                remove_folder(s, f"{staging}/batch_id={old}")
-
-    w = positions.writeStream.foreachBatch(close).option("checkpointLocation", checkpoint)
+        rows = batch.persist()  # the state store must not be asked twice in one batch
+        try:
+            if not rows.isEmpty():
+                events = detect_bunching(silver_positions(rows, dim_route), method=method)
+                events.write.mode("overwrite").parquet(f"{events_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
+
+    w = closed_snapshots(positions, delay).writeStream.outputMode("append").foreachBatch(close)
+    w = w.option("checkpointLocation", checkpoint)
     if trigger == "availableNow":
         w = w.trigger(availableNow=True)
     elif trigger:
@@ -91,37 +77,5 @@ def run_stream_bunching(
     return w.start()
 
 
-_PROGRESS = "batch_id long, hw long, until long, newest long"
-
-
-def _staged_schema(batch: DataFrame) -> StructType:
-    return StructType([*batch.schema.fields, StructField("date", DateType()), StructField("batch_id", LongType())])
-
-
-def _read_progress(spark: SparkSession, path: str, batch_id: int) -> dict:
-    """Closed-until point, high-water mark and whether ``batch_id`` is done;
-    one aggregate row reaches the driver.  Only a missing table means that
-    nothing is closed yet; any other failure is raised."""
-    if not exists(spark, path):
-        return {"until": None, "hw": None, "seen": False}
-    row = (
-        spark.read.schema(_PROGRESS)
-        .parquet(path)
-        .agg(
-            F.max("until").alias("u"),
-            F.max("hw").alias("h"),
-            F.max(F.when(F.col("batch_id") == batch_id, 1).otherwise(0)).alias("seen"),
-        )
-        .first()
-    )
-    return {"until": row["u"], "hw": row["h"], "seen": bool(row["seen"])}
-
-
-def _all_closed(spark: SparkSession, path: str, until: int) -> list[int]:
-    """Still staged batches whose newest row was closed by an earlier, recorded batch."""
-    rows = spark.read.schema(_PROGRESS).parquet(path).where(F.col("newest") < F.lit(until)).select("batch_id")
-    return [r[0] for r in rows.orderBy(F.desc("batch_id")).limit(64).collect()]
-
-
 def read_stream_events(spark: SparkSession, events_path: str) -> DataFrame:
     return spark.read.parquet(events_path).drop("batch_id")

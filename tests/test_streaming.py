@@ -74,7 +74,7 @@ def test_stream_bunching_equals_batch(spark, tmp_dir):
     out = os.path.join(tmp_dir, "events")
     q = run_stream_bunching(
         ingest(read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=1)),
-        dim, out, os.path.join(tmp_dir, "ckpt"), staging_path=os.path.join(tmp_dir, "staging"), delay="30 seconds",
+        dim, out, os.path.join(tmp_dir, "ckpt"), delay="30 seconds",
     )
     q.awaitTermination()
     got = read_stream_events(spark, out)
@@ -97,7 +97,7 @@ def test_parquet_position_stream_with_schema(spark, tmp_dir):
 
 
 def test_stream_bunching_survives_a_restart(spark, tmp_dir):
-    """Two queries, one after the other, on one checkpoint with the default staging: no event is lost."""
+    """Two queries, one after the other, on one checkpoint and its state: no event is lost."""
     rows = _rows()
     cut = sorted({r[0] for r in rows})[3]
     dim = spark.createDataFrame([("504", "504", "King", True)], "route_id string, route_short_name string, route_long_name string, is_current boolean")
@@ -112,8 +112,31 @@ def test_stream_bunching_survives_a_restart(spark, tmp_dir):
     got, want = read_stream_events(spark, out), detect_bunching(silver_positions(_positions(spark, rows), dim))
     assert got.count() == 12
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # a run without new rows changes nothing; staging of closed batches is dropped in time
+    # a run without new rows changes nothing, and nothing is kept beside the events and Spark's own checkpoint
     q = run_stream_bunching(stream, dim, out, ckpt, delay="30 seconds")
     q.awaitTermination()
     assert read_stream_events(spark, out).count() == 12
-    assert len([d for d in os.listdir(os.path.join(ckpt, "_staging")) if d.startswith("batch_id=")]) < 3
+    assert sorted(d for d in os.listdir(ckpt) if not d.startswith(".")) == ["commits", "metadata", "offsets", "sources", "state"]
+
+
+def test_closed_snapshots_close_once_and_drop_late_rows(spark, tmp_dir):
+    """Each batch: new rows, what closes; a late row of a closed snapshot changes nothing, state does not grow."""
+    from headway.operators.positions import dedup
+    from headway.streaming.bunching import closed_snapshots
+
+    t0 = 1_700_000_000
+    src, out, ckpt = (os.path.join(tmp_dir, x) for x in ("src", "closed", "ckpt"))
+    batches = [[(t0 + 20 * s, t0 + 20 * s + k, f"e{k}", v, "504", 3) for v in "ab" for k in (2, 1)] for s in range(12)]
+    late = [(t0, t0, "late", "a", "504", 9), (t0, t0, "late", "z", "504", 9)]
+    batches[8] += late
+    state = []
+    for rows in [*batches, [(t0 + 10_000, t0 + 10_000, "sentinel", "s", None, None)]]:
+        to_records(_positions(spark, rows)).select(F.col("value").cast("string").alias("value")).coalesce(1).write.mode("append").text(src)
+        s = closed_snapshots(ingest(read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=1)), "40 seconds")
+        q = s.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out)
+        q.awaitTermination()
+        state.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    got = spark.read.parquet(out)
+    want = dedup(_positions(spark, [r for b in batches for r in b if r not in late]))
+    assert got.count() == 24 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert max(state) <= 8 and state[-1] == 1, state  # snapshots within the delay, two vehicles each; then the sentinel
