@@ -4,10 +4,12 @@ is closest, in the past or the future.
 Spark cannot decorrelate ``LATERAL (... ORDER BY abs(dt) LIMIT 1)``.  There are two
 ways, chosen by the counted size of the right side:
 
-- A right side of at most ``broadcast_rows`` times and ``BROADCAST_BYTES`` (weather
-  beside events) becomes one row for each key, a sorted array of its times and one
-  of its rows, which is broadcast; a left row finds its neighbours by a binary
-  search in the array.  The left side is read once and never shuffled.
+- Each row of a right side of at most ``small_rows`` rows (weather beside events)
+  becomes the cell of times that it is nearest to.  Time is cut at quantiles of the
+  right rows, however they crowd, a cell stands in each slice that it touches, and
+  a left row, whose slice is found by binary search in the cuts, is joined with the
+  cells of its slice, PER_SLICE of them or SMALL_ROWS / MOST_SLICES.  The left side
+  is read once, and Spark may broadcast the cells, whose number the count bounds.
 - A larger one makes a time line of both sides: a row for each (key, time), with
   the right row of that time where there is one.  The line is written once, dealt
   by range of time into slices that are about equally full, however the times
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from headway.functions.columns import micros
 from headway.session import scratch_path
 
-#: A right side of at most so many rows, and bytes as JSON, is searched in broadcast arrays.
-BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
+#: A right side of at most so many rows is made into cells; right rows of a slice of them, and slices, at most.
+SMALL_ROWS, PER_SLICE, MOST_SLICES = 200_000, 16, 1024
 
 
 def nearest_join(
@@ -46,7 +48,7 @@ def nearest_join(
     tolerance_seconds: float | None = None,
     prefix: str = "",
     slices: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Left-outer nearest-in-time join; returns all left columns plus
     ``right_cols`` (default: every right column except keys), optionally
@@ -55,7 +57,7 @@ def nearest_join(
     gets NULLs when the right side (for its key) is empty, its time is NULL or,
     with ``tolerance_seconds``, the nearest row is farther.  ``slices`` (default:
     the shuffle partitions) is the number of parts of the time line of a large
-    right side; ``broadcast_rows=0`` always takes that way.
+    right side; ``small_rows=0`` always takes that way.
     """
     by = list(by or [])
     right_by = list(right_by or by)
@@ -67,8 +69,9 @@ def nearest_join(
     ties = F.struct(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_cols)], F.struct(*right_cols).alias("_p"))
     named = [F.col(c).alias(k) for c, k in zip(right_by, keys, strict=True)]
     seen = right.select(*named, micros(right_time).alias("_t"), ties.alias("_row")).where(F.col("_t").isNotNull())
-    if broadcast_rows and _is_small(seen, broadcast_rows):
-        joined = _search(left, seen, left_time, by, keys)
+    cuts = _cuts(seen, keys, small_rows) if small_rows else None
+    if cuts is not None:
+        joined = _join_cells(left, seen, left_time, by, keys, cuts)
     else:
         joined = _merge(left, seen, left_time, by, keys, slices or _shuffle_partitions(left))
     payload = [F.col(f"_near.p.{c}") for c in right_cols]
@@ -82,41 +85,55 @@ def _shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _is_small(seen: DataFrame, rows: int) -> bool:
-    """Are there at most ``rows`` rows and BROADCAST_BYTES?  Reads no more than one row beyond."""
-    size = F.sum(F.octet_length(F.to_json(F.struct(F.col("_row")))) + 8)
-    n, held = seen.limit(rows + 1).agg(F.count(F.lit(1)), size).first()
-    return n <= rows and (held or 0) <= BROADCAST_BYTES
-
-
 def _nearer(t: Column, before: Column, after: Column) -> Column:
     """Of the two neighbours (structs with ``t``), either of which may be missing."""
     return F.when(after.isNull() | (t - before.getField("t") <= after.getField("t") - t), before).otherwise(after)
 
 
-def _search(left: DataFrame, seen: DataFrame, left_time: str, by: list[str], keys: list[str]) -> DataFrame:
-    """``left`` with ``_near``, by binary search in each key's sorted times."""
+def _cuts(seen: DataFrame, keys: list[str], small_rows: int) -> list[int] | None:
+    """Quantiles of the right times; None if there are more rows than ``small_rows``.  One aggregate row reaches the driver."""
+    n_keys = F.approx_count_distinct(F.struct(*keys)) if keys else F.lit(1)
+    shares = ", ".join(f"{i / MOST_SLICES}D" for i in range(1, MOST_SLICES))
+    quantiles = F.expr(f"percentile_approx(_t, array({shares}), 10000)")
+    n, n_keys, found = seen.agg(F.count(F.lit(1)), n_keys, quantiles).first()
+    if n > small_rows:
+        return None
+    # A cell of a key with few rows touches many slices: no more of them than leave as many copies as rows.
+    slices = min(MOST_SLICES, n // (PER_SLICE * max(1, n_keys)))
+    return sorted(set((found or [])[MOST_SLICES // slices - 1 :: MOST_SLICES // slices])) if slices > 1 else []
+
+
+def _join_cells(left: DataFrame, seen: DataFrame, left_time: str, by: list[str], keys: list[str], cuts: list[int]) -> DataFrame:
+    """``left`` with ``_near``: the right row in whose cell a left row's time lies.
+
+    ``seen`` is small, so windows over all of it are too."""
     here = F.struct(F.col("_t").alias("t"), F.col("_row._p").alias("p"))
-    first = seen.groupBy(*keys, "_t").agg(F.min("_row").alias("_row")).select(*keys, here.alias("_here"))
-    sides = first.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col("_here.t").alias("t"), F.col("_here").alias("h")))).alias("_s"))
-    times = F.transform("_s", lambda s: s["t"])
-    sides = sides.select(*[F.col(k).alias(f"_f{k}") for k in keys], times.alias("_times"), F.transform("_s", lambda s: s["h"]).alias("_rows"))
-    condition = F.lit(True)
+    first = seen.groupBy(*keys, "_t").agg(F.min("_row").alias("_row")).select(*keys, "_t", here.alias("_near"))
+    # Of two equally near rows the earlier: a cell ends with the middle between its row and the next.
+    order = Window.partitionBy(*keys).orderBy("_t")
+    middle = lambda other: F.shiftright(F.col("_t") + other, 1)
+    begin = F.coalesce(middle(F.lag("_t").over(order)) + 1, F.lit(-(1 << 62)))
+    end = F.coalesce(middle(F.lead("_t").over(order)), F.lit(1 << 62))
+    cells = first.select(*[F.col(k).alias(f"_f{k}") for k in keys], "_near", begin.alias("_begin"), end.alias("_end"))
+    touched = F.sequence(_slice(F.col("_begin"), cuts), _slice(F.col("_end"), cuts))
+    cells = cells.withColumn("_s", F.explode(touched))
+    asked = left.withColumn("_at", micros(left_time)).withColumn("_slice", _slice(F.col("_at"), cuts))
+    condition = (F.col("_slice") == F.col("_s")) & F.col("_at").between(F.col("_begin"), F.col("_end"))
     for c, k in zip(by, keys, strict=True):
-        condition = condition & (F.col(c) == F.col(f"_f{k}"))
-    t = micros(left_time)
-    both = left.join(F.broadcast(sides), condition, "left").withColumn("_at", t)
-    # How many times are at or before t: the steps are the powers of two below the arrays' size, the largest first.
-    steps = F.array(*[F.lit(1 << k) for k in range(BROADCAST_ROWS.bit_length() + 1, -1, -1)])
+        condition = condition & (asked[c] == F.col(f"_f{k}"))
+    return asked.join(cells, condition, "left")
+
+
+def _slice(t: Column, cuts: list[int]) -> Column:
+    """How many cuts are at or before ``t`` (null for null): a binary search in one array literal."""
+    table = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    widths = F.array(*[F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)])
 
     def step(found: Column, width: Column) -> Column:
         on = found + width
-        return F.when((on <= F.size("_times")) & (F.get("_times", on - 1) <= F.col("_at")), on).otherwise(found)
+        return F.when((on <= len(cuts)) & (F.get(table, on - 1) <= t), on).otherwise(found)
 
-    at = F.aggregate(steps, F.lit(0), step)
-    # An unknown time has no neighbours; the row that is not there, before the first or after the last, is null.
-    both = both.withColumn("_n", F.when(F.col("_at").isNotNull(), at))
-    return both.withColumn("_near", _nearer(F.col("_at"), F.get("_rows", F.col("_n") - 1), F.get("_rows", F.col("_n"))))
+    return F.when(t.isNotNull(), F.aggregate(widths, F.lit(0), step) if cuts else F.lit(0))
 
 
 def _merge(left: DataFrame, seen: DataFrame, left_time: str, by: list[str], keys: list[str], slices: int) -> DataFrame:

@@ -34,10 +34,10 @@ def test_matches_brute_force_random(spark):
     assert run(spark, left, right) == brute(left, right)
     assert run(spark, left, right, keyed=True) == brute(left, right, keyed=True)
     assert run(spark, left, right, tolerance_seconds=3600) == brute(left, right, tol=3600)
-    assert run(spark, left, right, tolerance_seconds=3600, broadcast_rows=0) == brute(left, right, tol=3600)
+    assert run(spark, left, right, tolerance_seconds=3600, small_rows=0) == brute(left, right, tol=3600)
     for slices in (1, 2, 50):
-        assert run(spark, left, right, keyed=True, slices=slices, broadcast_rows=0) == brute(left, right, keyed=True)
-        assert run(spark, left, right, slices=slices, broadcast_rows=0) == brute(left, right)
+        assert run(spark, left, right, keyed=True, slices=slices, small_rows=0) == brute(left, right, keyed=True)
+        assert run(spark, left, right, slices=slices, small_rows=0) == brute(left, right)
 
 
 def test_exact_tie_goes_to_earlier_and_duplicate_times(spark):
@@ -60,7 +60,7 @@ def test_crowded_times_are_exact(spark):
     left = [(i, T0 + dt.timedelta(seconds=3550 + rnd.random() * 160), rnd.choice("ab")) for i in range(150)]
     left += [(1000 + i, T0 + dt.timedelta(seconds=rnd.randint(-3600, 5 * 86400)), rnd.choice("ab")) for i in range(150)]
     want, want_k = brute(left, right), brute(left, right, keyed=True)
-    for kw in ({}, {"slices": 1, "broadcast_rows": 0}, {"slices": 9, "broadcast_rows": 0}, {"broadcast_rows": 0}):
+    for kw in ({}, {"slices": 1, "small_rows": 0}, {"slices": 9, "small_rows": 0}, {"small_rows": 0}):
         assert run(spark, left, right, **kw) == want
         assert run(spark, left, right, keyed=True, **kw) == want_k
 
@@ -69,8 +69,8 @@ def test_null_times_and_keys_and_repeated_rows(spark):
     right = [(1, T0, "a"), (2, None, "a"), (3, T0, None), (4, T0, "a"), (5, T0 + dt.timedelta(days=9), "b")]
     left = [(1, T0, "a"), (2, None, "a"), (3, T0, None), (4, T0 + dt.timedelta(days=2), "b"), (5, T0, "z")]
     for bound in (0, 100):
-        assert run(spark, left, right, keyed=True, broadcast_rows=bound) == {1: 1, 2: None, 3: None, 4: 5, 5: None}
-        assert run(spark, left, right, broadcast_rows=bound)[2] is None
+        assert run(spark, left, right, keyed=True, small_rows=bound) == {1: 1, 2: None, 3: None, 4: 5, 5: None}
+        assert run(spark, left, right, small_rows=bound)[2] is None
 
 
 def test_a_burst_with_an_old_outlier_is_cut_evenly(spark):

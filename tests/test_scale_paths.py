@@ -54,7 +54,7 @@ def test_nearest_shuffled_path_equals_broadcast_path(spark):
     for by in (None, ["k"]):
         a = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"]).collect()
         with shuffled(spark):
-            b = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"], broadcast_rows=39)  # one fewer than there are
+            b = nearest_join(left, right, "lt", "rt", by=by, right_cols=["rid"], small_rows=39)  # one fewer than there are
             assert "BroadcastHashJoin" not in plan(b) and "explode" not in plan(b)
             assert sorted(map(tuple, a)) == sorted(map(tuple, b.collect()))
 
@@ -114,7 +114,7 @@ def test_nearest_property(spark, lefts, rights):
     left = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=t)) for i, t in enumerate(lefts)], "lid int, lt timestamp")
     right = spark.createDataFrame([(i, T0 + dt.timedelta(seconds=t)) for i, t in enumerate(rights)], "rid int, rt timestamp")
     for bound in (0, 1000):
-        found = nearest_join(left, right, "lt", "rt", right_cols=["rid"], tie_cols=["rt", "rid"], broadcast_rows=bound)
+        found = nearest_join(left, right, "lt", "rt", right_cols=["rid"], tie_cols=["rt", "rid"], small_rows=bound)
         got = {r["lid"]: r["rid"] for r in found.collect()}
         for i, t in enumerate(lefts):
             cands = sorted((abs(t - rt), rt, j) for j, rt in enumerate(rights))
@@ -125,7 +125,7 @@ def test_nearest_plans_of_many_slices_and_of_a_small_side(spark):
     left = spark.range(5000).select(F.col("id").alias("lid"), F.timestamp_seconds(F.col("id") * 7).alias("lt"))
     right = spark.range(900).select(F.col("id").alias("rid"), F.timestamp_seconds(F.col("id") * 31).alias("rt"))
     began = time.monotonic()
-    many = nearest_join(left, right, "lt", "rt", right_cols=["rid"], slices=150, broadcast_rows=0)
+    many = nearest_join(left, right, "lt", "rt", right_cols=["rid"], slices=150, small_rows=0)
     assert len(plan(many)) < 20_000 and time.monotonic() - began < 60
     few = nearest_join(left, right, "lt", "rt", right_cols=["rid"])
     shown = plan(few)  # the left side is read once and moves nowhere
