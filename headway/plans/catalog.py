@@ -869,6 +869,21 @@ def q_build_marts(spark, sf):
     return built["mart_bunching_hourly"].drop(mt.MONTH)
 
 
+@register("hourly_increments")
+def q_hourly_increments(spark, sf):
+    """The hourly mart from three increments, the last with late events of
+    old hours; one of them is sent twice."""
+    from headway.plans.rollup import add_increment, read_rollup
+
+    out = _scratch(spark, "rollup")
+    mart = _mart(spark, sf).drop(mt.MONTH)
+    same_stop, first = F.col("stop_sequence_gap") == 0, F.col("event_time") < F.lit("2024-01-12 00:00:00").cast("timestamp")
+    increments = [mart.where(same_stop & first), mart.where(same_stop & ~first), mart.where(~same_stop | same_stop.isNull())]
+    for n, rows in ((0, increments[0]), (1, increments[1]), (1, increments[1]), (2, increments[2])):
+        add_increment(rows, out, n)
+    return read_rollup(spark, out).drop(mt.MONTH)
+
+
 @register("staging_views")
 def q_staging_views(spark, sf):
     """Staging views by name, queried with SQL."""
