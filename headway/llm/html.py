@@ -335,7 +335,8 @@ def main_text(html: str | None) -> str:
     weight = _totals(regions, ((lines[k].region, len(lines[k].text)) for k in marked))
     articles = [r for r, region in enumerate(regions) if region.article and not regions[region.parent].within]
     if sum(weight[r] for r in articles) * 2 >= weight[0]:
-        chosen = {r for r in articles if weight[r]}
+        held = _totals(regions, ((lines[k].region, 1) for k in {*marked, *_paragraphs(lines, own)}))
+        chosen = {r for r in articles if held[r]}
     else:
         chosen = _around(parser, own, marked)
     inside = _below(regions, chosen)
@@ -370,6 +371,13 @@ def _marked(lines: list[_Line], own: list[int]) -> list[int]:
     return [k for k in own if smoothed[k] >= cut]
 
 
+def _paragraphs(lines: list[_Line], own: list[int]) -> list[int]:
+    """The lines in the upper cluster of the ratios cut at that of a paragraph, which no very long line hides."""
+    ratios = np.minimum([_ratio(lines[k]) for k in own], PARAGRAPH)
+    cut = threshold(ratios)
+    return [k for k, ratio in zip(own, ratios, strict=True) if ratio > cut]
+
+
 def _ratio(line: _Line) -> float:
     return len(line.text) / max(1, line.tags)
 
@@ -470,8 +478,7 @@ def _around(parser: _Lines, own: list[int], marked: list[int]) -> set[int]:
     unmarked = [ratio[k] for k in sorted({*own} - {*marked})]
     least = 2 * sum(unmarked) / len(unmarked) if unmarked else -1
     rich = {k for k in marked if ratio[k] > least}
-    cut = threshold(np.minimum(list(ratio.values()), PARAGRAPH))
-    marked = sorted(rich | {k for k in own if min(ratio[k], PARAGRAPH) > cut}) or marked
+    marked = sorted(rich.union(_paragraphs(lines, own))) or marked
     # the regions around the first marked line, from the outermost on, that hold all marked lines
     held = _totals(regions, ((lines[k].region, 1) for k in marked))
     path, r = [], lines[marked[0]].region
