@@ -343,6 +343,33 @@ def q_scd2_as_of(spark, sf):
     return scd2_as_of(_scd2_applied(spark, sf), "2024-03-01 00:00:00")
 
 
+def _history_loaded(spark, sf):
+    """Two loads of one feed, the second without a change and sent twice."""
+    from headway.plans.history import load_history, store_history
+
+    c, out = _customer(spark, sf), _scratch(spark, "history")
+    store_history(fx.customer_history(c), out, fx.SCD2_KEY)
+    for step, ts in ((1, fx.SCD2_LOAD_TS), (2, "2024-07-01 00:00:00"), (2, "2024-08-01 00:00:00")):
+        load_history(fx.customer_incoming(c), out, fx.SCD2_KEY, fx.SCD2_TRACKED, ts, step)
+    return out
+
+
+@register("history_loads")
+def q_history_loads(spark, sf):
+    """M2: the history of a table whose loads rewrite open rows only."""
+    from headway.plans.history import read_history
+
+    return read_history(spark, _history_loaded(spark, sf))
+
+
+@register("history_as_of")
+def q_history_as_of(spark, sf):
+    """M3: the versions valid at 2024-03-01, of a history kept in parts."""
+    from headway.plans.history import read_as_of
+
+    return read_as_of(spark, _history_loaded(spark, sf), "2024-03-01 00:00:00")
+
+
 @register("scd2_join_as_of")
 def q_scd2_join_as_of(spark, sf):
     """M3: each order joined to the customer version valid at its date."""
@@ -956,6 +983,21 @@ def q_observation_loads(spark, sf):
     return spark.read.parquet(target).select("station_id", "observed_at", F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded"))
 
 
+@register("observation_loads_by_month")
+def q_observation_loads_by_month(spark, sf):
+    """As observation_loads, into a table kept by month; the second load is sent twice."""
+    from headway.plans.loaders import load_observations_by_month
+    from headway.sources.parts import read_parts
+
+    target = _scratch(spark, "fact-weather-months")
+    ev = _events(spark, sf)
+    for step, part in ((0, ev.where("event_id % 3 = 0")), (1, ev), (1, ev)):
+        docs = _scratch(spark, "weather-docs")
+        fx.weather_docs(part).write.text(docs)
+        load_observations_by_month(spark, docs, target, f"2024-01-0{step + 1} 00:00:00", step, multi_line=False)
+    return read_parts(spark, target).select("station_id", "observed_at", F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded"))
+
+
 @register("replay_archive")
 def q_replay_archive(spark, sf):
     """ST5: an archive replayed into bronze by a stream."""

@@ -28,6 +28,7 @@ from headway.schemas import (
     TRIP_TYPES,
 )
 from headway.sources.files import read_gtfs_csv, read_restrictions, read_weather, type_gtfs
+from headway.sources.inserts import insert_batch
 from headway.sources.paths import exists, remove_folder
 from headway.sources.tables import full_refresh, insert_if_absent, latest_version, read_snapshot, stage_refresh, write_snapshot
 from headway.sources.versions import commit, drop_versions, staged
@@ -138,3 +139,12 @@ def load_observations(spark: SparkSession, docs_path: str, table_path: str, load
     added, seen = with_metrics(added.select(*FACT_WEATHER_SCHEMA.names), "observations")
     added.write.mode("append").parquet(table_path)
     return seen.get["rows"]
+
+
+def load_observations_by_month(
+    spark: SparkSession, docs_path: str, table_path: str, load_ts: str, step: int, multi_line: bool = True
+) -> int:
+    """``load_observations`` into a table kept by month, read with ``parts.read_parts``: a load reads only the months
+    and the span of time of its own observations.  ``step`` numbers the loads; one given again changes nothing."""
+    incoming = read_weather(spark, docs_path, multi_line, loaded_at=load_ts).select(*FACT_WEATHER_SCHEMA.names)
+    return insert_batch(incoming, table_path, ["station_id", "observed_at"], "observed_at", step, "observed_month")
