@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import TimestampType
 
 from headway.operators.bunching import detect_bunching
@@ -998,6 +999,66 @@ def q_observation_loads_by_month(spark, sf):
     return read_parts(spark, target).select("station_id", "observed_at", F.date_format("loaded_at", "yyyy-MM-dd").alias("loaded"))
 
 
+def _checked_orders(spark, sf):
+    """Orders as text, with planted blanks, bad numbers, copies and repeated keys, loaded under declared constraints."""
+    from headway.plans.loaders import load_checked
+
+    k = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        k.cast("string").alias("o_orderkey"),
+        F.when(k % 17 == 0, F.lit(" ")).otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.when(k % 19 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(k % 23 != 0, F.col("o_orderstatus")).alias("o_orderstatus"),
+    )
+    copies = orders.where("o_orderkey % 29 = 0").withColumn("o_orderstatus", F.explode(F.array(F.col("o_orderstatus"), F.lit("A"))))
+    out = _scratch(spark, "checked-orders")
+    schema = T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType(), False),
+            T.StructField("o_custkey", T.LongType(), False),
+            T.StructField("o_totalprice", T.DoubleType()),
+            T.StructField("o_orderstatus", T.StringType(), False),
+        ]
+    )
+    load_checked(orders.unionByName(copies), f"{out}/orders", f"{out}/rejects", schema, ["o_orderkey"], ["o_orderstatus"], {"o_orderstatus": "U"})
+    return out
+
+
+@register("checked_load")
+def q_checked_load(spark, sf):
+    """The orders that keep to the declared types, NOT NULL columns and key."""
+    from headway.sources.tables import read_snapshot
+
+    return read_snapshot(spark, f"{_checked_orders(spark, sf)}/orders")
+
+
+@register("checked_load_rejects")
+def q_checked_load_rejects(spark, sf):
+    """The orders refused, with their reasons and the number of equal rows."""
+    from headway.sources.tables import read_snapshot
+
+    rejects = read_snapshot(spark, f"{_checked_orders(spark, sf)}/rejects")
+    return rejects.select("o_orderkey", "o_orderstatus", F.concat_ws(", ", "reject_reasons").alias("reasons"), "copies")
+
+
+@register("stream_compacted")
+def q_stream_compacted(spark, sf):
+    """S8/ST3: a stream in many micro-batches, resumed once and then another one from a
+    new checkpoint over the same files, into compacted days."""
+    from headway.sources.parts import read_parts
+    from headway.streaming.ingest import ingest, read_position_stream, run_compacted_ingest
+
+    src, out, pos = _scratch(spark, "stream-src"), _scratch(spark, "stream-days"), _stored(spark, sf, "positions", _positions)
+    first = F.col("feed_timestamp") < F.unix_timestamp(F.lit("2024-01-16 00:00:00").cast("timestamp"))
+    ckpt = _scratch(spark, "days-ckpt")
+    for part in (pos.where(first), pos.where(~first)):
+        fx.write_stream_files(part, src, None, files_per_range=FILES_PER_RANGE)
+        stream = ingest(read_position_stream(spark, fmt="text", path=src, max_files_per_trigger=FILES_PER_RANGE))
+        run_compacted_ingest(stream, out, ckpt, "availableNow", 1, "day").awaitTermination()
+    run_compacted_ingest(stream, out, _scratch(spark, "days-ckpt"), "availableNow", 1, "day").awaitTermination()
+    return read_parts(spark, out).groupBy("route_id", "feed_timestamp").agg(F.count(F.lit(1)).alias("n"), F.count("vehicle_id").alias("vehicles"))
+
+
 @register("replay_archive")
 def q_replay_archive(spark, sf):
     """ST5: an archive replayed into bronze by a stream."""

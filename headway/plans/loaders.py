@@ -9,9 +9,13 @@ Weather is appended.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from headway.operators.constraints import check_rows, split_rows
 from headway.operators.positions import current, located
 from headway.operators.quality import with_metrics
 from headway.operators.scd2 import last_row_wins, scd2_apply, scd2_counts_of
@@ -30,8 +34,8 @@ from headway.schemas import (
 from headway.sources.files import read_gtfs_csv, read_restrictions, read_weather, type_gtfs
 from headway.sources.inserts import insert_batch
 from headway.sources.paths import exists, remove_folder
-from headway.sources.tables import full_refresh, insert_if_absent, latest_version, read_snapshot, stage_refresh, write_snapshot
-from headway.sources.versions import commit, drop_versions, staged
+from headway.sources.tables import full_refresh, insert_if_absent, latest_version, read_snapshot, stage_refresh, write_snapshot, write_table
+from headway.sources.versions import commit, drop_versions, stage, staged
 
 # Radius of the stop / restriction pairing, metres.
 NEARBY_RADIUS_M = 150.0
@@ -148,3 +152,32 @@ def load_observations_by_month(
     and the span of time of its own observations.  ``step`` numbers the loads; one given again changes nothing."""
     incoming = read_weather(spark, docs_path, multi_line, loaded_at=load_ts).select(*FACT_WEATHER_SCHEMA.names)
     return insert_batch(incoming, table_path, ["station_id", "observed_at"], "observed_at", step, "observed_month")
+
+
+def load_checked(
+    rows: DataFrame,
+    table_path: str,
+    rejects_path: str,
+    schema: StructType,
+    keys: list[str] | None = None,
+    order_by: list[str] | None = None,
+    defaults: dict | None = None,
+) -> tuple[int, int]:
+    """Full refresh with the table's declared types, NOT NULL columns, defaults and key enforced: the rows refused, with
+    their reasons, become the reject table.  Both are committed together; their versions."""
+    spark = rows.sparkSession
+    aside = f"{table_path.rstrip('/')}/_checked-{uuid.uuid4().hex}"
+    folders: list[str] = []
+    try:
+        write_table(check_rows(rows, schema, defaults), aside)
+        accepted, rejected = split_rows(spark.read.parquet(aside), keys, order_by)
+        for part, path in ((accepted, table_path), (rejected, rejects_path)):
+            folders.append(stage(part, path, lambda df, to: write_table(df, to, mode="errorifexists")))
+        first, second = commit(spark, [(folders[0], table_path), (folders[1], rejects_path)])
+    except BaseException:
+        for folder in folders:
+            remove_folder(spark, folder)
+        raise
+    finally:
+        remove_folder(spark, aside)
+    return first, second

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from headway.operators.positions import flatten_feed, parse_positions
 from headway.schemas import FEED_SCHEMA
 from headway.sources.files import archive_time
+from headway.sources.parts import compact_parts, put_parts
 from headway.sources.tables import with_bronze_partitions
 
 # Processing-time trigger of the live ingest.
@@ -88,6 +89,47 @@ def run_ingest(
     return w.start(path)
 
 
+PERIOD = "ingest_period"
+# Partition values of the periods.
+PERIODS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
+
+
+def run_compacted_ingest(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = DEFAULT_TRIGGER,
+    compact_over: int = 4,
+    every: str = "hour",
+) -> StreamingQuery:
+    """Append sink whose files follow its volume, not its triggers (S8, ST3); read it with ``parts.read_parts``.
+
+    A micro-batch is rebalanced by the period (``every``, an hour or a day) of its ingest
+    time, so it adds a file for each period (more only for large ones), committed at once
+    under the batch's number and the query's id: a retried batch is not added twice, and a
+    query on another checkpoint adds to the table.  Periods with more than
+    ``compact_over`` batches are rewritten into large files as soon as a batch comes
+    that has no rows of them, so a period is rewritten about once.  Rows without an
+    ingest time are a period of their own.  The manifest, some 100 bytes a period, is
+    read and written by each batch.
+    """
+    written_as = PERIODS[every]
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        writer = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = batch.withColumn(PERIOD, F.date_format(F.timestamp_seconds(F.col("ingest_timestamp")), written_as))
+        still_open = put_parts(rows, path, PERIOD, batch_id, replaces=lambda value: False, sort_within=["feed_timestamp"], writer=writer)
+        compact_parts(spark, path, PERIOD, sort_within=["feed_timestamp"], folders_over=compact_over, but=still_open)
+
+    w = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    if trigger == "availableNow":
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
+
+
 def archive_stream(spark: SparkSession, root: str, pattern: str = "*.json.gz", files_per_trigger: int | None = None):
     """Archive files as a stream of snapshots with their file time (ST5, ST6)."""
     r = (

@@ -74,9 +74,12 @@ def test_parts_are_added_to_compacted_and_read_by_old_readers(spark, tmp_dir):
         put_parts(rows, path, "p", step, replaces=lambda value: value == "p=b")
     assert sorted(r["n"] for r in read_parts(spark, path).collect()) == [0, 1, 2, 3, 13]
     old = read_parts(spark, path)
-    assert compact_parts(spark, path, "p", 4) == ["p=a"]
+    assert compact_parts(spark, path, "p") == ["p=a"]
     assert len(part_folders(spark, path)["p=a"]) == 1
     assert sorted(r["n"] for r in read_parts(spark, path).collect()) == sorted(r["n"] for r in old.collect()) == [0, 1, 2, 3, 13]
-    assert compact_parts(spark, path, "p", 5) == []
+    assert compact_parts(spark, path, "p") == []
+    put_parts(spark.createDataFrame([(7, "a")], "n int, p string"), path, "p", 0, replaces=lambda value: False, writer="other")
+    assert read_parts(spark, path).where("n = 7").count() == 1 and last_step(spark, path) == 3 and last_step(spark, path, "other") == 0
+    put_parts(spark.createDataFrame([(0, "a"), (1, "a"), (2, "a"), (3, "a")], "n int, p string"), path, "p", 1, writer="other")
     put_parts(spark.createDataFrame([], "n int, p string"), path, "p", 6, clear=["p=b"])
     assert sorted(r["n"] for r in read_parts(spark, path).collect()) == [0, 1, 2, 3]
