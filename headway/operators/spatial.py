@@ -31,6 +31,7 @@ def within_radius(
     max_abs_lat: float | None = None,
     compat_grid: bool = False,
     replicate: str = "centers",
+    dense_rows: int | None = None,
 ) -> DataFrame:
     """``(point_id, center_id, distance_m)`` for every pair within the radius.
 
@@ -43,6 +44,12 @@ def within_radius(
     ``"centers"`` or ``"points"``: the smaller one, by choice of the caller.
     Without ``max_abs_lat`` the largest latitude is read while the plan is
     built (one aggregate row).
+
+    ``dense_rows`` splits cells in which the other side, the one that is not
+    copied, has more rows: its rows are dealt by their id over as many shares as it takes
+    (shares are even, so that one holds about ``dense_rows``), and the copied side's rows
+    of such a cell, and of no other, go to each share.  The cells are counted first, which reads
+    that side once more; the pairs are the same.
     """
     pid, plat, plon = point_cols
     cid, clat, clon = center_cols
@@ -78,15 +85,36 @@ def within_radius(
             *keep, F.col("_n.cy").alias("_cy"), F.col("_n.cx").alias("_cx")
         )
 
+    cell = ["_cy", "_cx"]
     if replicate == "points":
         p = spread(p, ["_pid", "_plat", "_plon"])
-        c = c.select("_cid", "_clat", "_clon", "_cy", "_cx")
+        c = c.select("_cid", "_clat", "_clon", *cell)
+        if dense_rows:
+            c, p = split_dense(c, p, cell, "_cid", dense_rows)
     elif replicate == "centers":
         c = spread(c, ["_cid", "_clat", "_clon"])
+        if dense_rows:
+            p, c = split_dense(p, c, cell, "_pid", dense_rows)
     else:
         raise ValueError("replicate must be centers or points")
-    j = p.join(c, on=["_cy", "_cx"], how="inner")
+    j = p.join(c, on=[*cell, "_share"] if dense_rows else cell, how="inner")
     d = haversine_m("_plat", "_plon", "_clat", "_clon")
     return j.select(F.col("_pid").alias(pid), F.col("_cid").alias(cid), d.alias("distance_m")).where(
         F.col("distance_m") <= F.lit(radius_m)
     )
+
+
+def split_dense(
+    rows: DataFrame, copied: DataFrame, key: Sequence[str], spread_by: str, most: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an equi-join on ``key`` with a column ``_share``, by which keys with more than ``most`` of ``rows``
+    are split: a row has one share, by the hash of ``spread_by``; a copied row has all shares of its key.
+
+    Only dense keys leave the count (at most one for each ``most`` rows); Spark broadcasts them while they are small.
+    """
+    count = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    dense = count.select(*key, F.ceil(F.col("_n") / most).cast("int").alias("_shares"))
+    shares = F.coalesce("_shares", F.lit(1))
+    dealt = rows.join(dense, list(key), "left").withColumn("_share", F.pmod(F.xxhash64(spread_by), shares).cast("int"))
+    everywhere = copied.join(dense, list(key), "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return dealt.drop("_shares"), everywhere.drop("_shares")

@@ -435,6 +435,15 @@ def q_stops_near_500(spark, sf):
     return _near(spark, sf, 500.0)
 
 
+@register("stops_near_restrictions_dense")
+def q_stops_near_dense(spark, sf):
+    """J4 at 500 m with the restrictions of dense cells dealt over shares."""
+    from headway.operators.spatial import within_radius
+
+    pairs = within_radius(_stops(spark, sf), _restrictions(spark, sf), 500.0, replicate="points", dense_rows=3)
+    return pairs.withColumn("distance_m", F.round("distance_m", 6))
+
+
 @register("stg_road_restrictions")
 def q_stg_road_restrictions(spark, sf):
     """P5: active restrictions only."""

@@ -66,3 +66,24 @@ def test_equals_all_pairs_at_random(spark):
             assert pairs(spark, stops, restr, radius, replicate=side) == want
     with pytest.raises(ValueError):
         pairs(spark, stops, restr, replicate="auto")
+
+
+def test_dense_cells_are_split_and_lose_no_pair(spark):
+    from headway.operators.spatial import split_dense
+
+    rnd = random.Random(5)
+    # one corner holds most stops; the rest is spread thin
+    stops = [(f"s{i}", 10.0 + rnd.random() * 1e-4, 20.0 + rnd.random() * 1e-4) for i in range(1500)]
+    stops += [(f"t{i}", 10.0 + rnd.random() * 0.05, 20.0 + rnd.random() * 0.05) for i in range(300)]
+    restr = [(f"r{i}", 10.0 + rnd.random() * 0.01, 20.0 + rnd.random() * 0.01) for i in range(60)] + [("near", 10.0005, 20.0005), ("edge", 9.9992, 20.0)]
+    plain = pairs(spark, stops, restr)
+    assert len(plain) > 1500
+    for side in ("centers", "points"):
+        for most in (1, 100, 10_000):
+            assert pairs(spark, stops, restr, replicate=side, dense_rows=most) == plain
+    rows = spark.range(10_000).selectExpr("id", "if(id < 9000, 0, id) AS k")
+    copied = spark.range(100).selectExpr("if(id < 50, 0, id + 9000) AS k", "id AS c")
+    dealt, everywhere = split_dense(rows, copied, ["k"], "id", 500)
+    sizes = [r["count"] for r in dealt.groupBy("k", "_share").count().collect()]
+    assert sum(sizes) == 10_000 and 300 < max(sizes) < 700
+    assert everywhere.where("k = 0").count() == 50 * 18 and everywhere.where("k > 0").count() == 50
