@@ -4,7 +4,7 @@ A folder has, for each shard,
 
 * ``tokens-NNNNN.arrow``: an Arrow file of record batches with the columns
   ``tokens`` (fixed-size list of uint16, or uint32 for large vocabularies) and
-  ``mask`` (fixed-size list of bytes, 1, or 0 for the padding of the last
+  ``mask`` (fixed-size list of booleans, false for the padding of the last
   sequence), uncompressed, so that any sequence is a view of the mapped file;
 * ``index-NNNNN.arrow``: the documents in it, ``doc_id``, ``start`` and
   ``n_tokens``, counted from the shard's first token.
@@ -38,7 +38,7 @@ def _sequence_batch(ids: np.ndarray, seq_len: int, schema: pa.Schema) -> pa.Reco
     n = -(-len(ids) // seq_len)
     flat = np.zeros(n * seq_len, dtype=ids.dtype)
     flat[: len(ids)] = ids
-    mask = (np.arange(n * seq_len) < len(ids)).astype(np.uint8)
+    mask = np.arange(n * seq_len) < len(ids)
     return pa.RecordBatch.from_arrays(
         [pa.FixedSizeListArray.from_arrays(pa.array(flat), seq_len), pa.FixedSizeListArray.from_arrays(pa.array(mask), seq_len)],
         schema=schema,
@@ -75,7 +75,7 @@ def write_token_files(
         encode = encoder(tokenizer_path)
         kind = np.uint16 if len(encode.opens) <= 1 << 16 else np.uint32
         item = pa.from_numpy_dtype(kind)
-        schema = pa.schema([("tokens", pa.list_(item, seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+        schema = pa.schema([("tokens", pa.list_(item, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
         index = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
         end = np.array([end_id], dtype=kind)
         n_docs = n_tokens = n_sequences = 0
@@ -147,7 +147,7 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
 class TokenFile:
     """Random access to one shard; sequences and masks are views of the mapped file.
 
-    Masks are a byte, 0 or 1, for each id; packed bits would have to be copied to be read as an array.
+    Masks are packed, an eighth of a byte for each id, as Arrow boolean arrays, which can begin at any bit.
     """
 
     def __init__(self, tokens_path: str, index_path: str | None = None):
@@ -160,19 +160,24 @@ class TokenFile:
         # all batches but the last have the same number of sequences
         self.rows = self.file.get_batch(0).num_rows if self.file.num_record_batches else 0
 
-    def _values(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _values(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if k != self.at:
             batch = self.file.get_batch(k)
             self.at = k
             self.ids = batch.column(0).flatten().to_numpy(zero_copy_only=True)
-            self.mask = batch.column(1).flatten().to_numpy(zero_copy_only=True)
+            self.mask = batch.column(1).flatten()
         return self.ids, self.mask
 
-    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def views(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """Ids and mask of sequence ``i``, without a copy of either (on a local file system)."""
         ids, mask = self._values(i // self.rows)
         at = i % self.rows * self.seq_len
-        return ids[at : at + self.seq_len], mask[at : at + self.seq_len]
+        return ids[at : at + self.seq_len], mask.slice(at, self.seq_len)
+
+    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """``views`` with the mask as a numpy array, which is a copy of its bits."""
+        ids, mask = self.views(i)
+        return ids, mask.to_numpy(zero_copy_only=False)
 
     def slices(self, starts: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
         """Ids of runs in ascending order."""
