@@ -6,8 +6,12 @@ has all its words in a row, which is containment 1: of the window's words,
 ordered from the rarest in the corpus, the first alone is a sufficient prefix.
 Documents are joined with the windows on that word; its place in the window and
 in the document give the only place where the window can stand (the positional
-bound), places that leave the document are out (the length bound), and what is
-left is compared word for word.
+bound), places that leave the document are out (the length bound), and the words
+there are looked up among the windows.
+
+Windows are stored in blocks of a bounded size, each with the document counts of
+its own words, which Spark joins to it: a worker holds one block, whatever the
+size of the benchmark.
 """
 
 from __future__ import annotations
@@ -21,13 +25,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import NOT_ALPHANUMERIC, local_or_remote, scratch_path, text_bytes, word_table
+from headway.llm.common import NOT_ALPHANUMERIC, local_or_remote, scratch_path, text_bytes, word_table, worker_state
 
 _WORDS = word_table(NOT_ALPHANUMERIC, lower=True)
 
-#: Windows in one block; a task holds one block at a time.
+#: Windows (each with an item) in one block; a worker holds one block at a time.
 BLOCK_WINDOWS = 400_000
 
+#: Distinct words that a task counts before it hands on what it has.
+COUNTED_WORDS = 500_000
+
+#: Bytes of rows for which a worker goes through all blocks, where there are several.
+HELD_BYTES = 64 << 20
+
 
 def words_of(raw: bytes) -> list[bytes]:
     """Lower-cased (A-Z) runs of ASCII letters, digits and all characters beyond ASCII."""
@@ -55,96 +65,114 @@ def item_windows(benchmark: DataFrame, window: int, *, id_col: str = "item_id",
 
 
 def write_blocks(windows: DataFrame, folder: str, block_windows: int = BLOCK_WINDOWS) -> list[str]:
-    """Store the windows in blocks of about ``block_windows``; returns the blocks' folders."""
-    n = windows.select("words").distinct().count()
+    """Store the (window, item) rows in blocks of about ``block_windows``; returns the blocks' folders.
+
+    A window that very many items share stands in several blocks, with some of
+    its items in each: marks and items of all blocks are united.
+    """
+    n = windows.count()
     blocks = max(1, -(-n // block_windows))
-    kept = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)).cast("int"))
+    kept = windows.withColumn("block", F.pmod(F.xxhash64("words", "item_id"), F.lit(blocks)).cast("int"))
     kept.repartition(blocks, "block").write.partitionBy("block").parquet(folder)
     return [f"{folder}/block={k}" for k in range(blocks)]
 
 
+def _rows(folder: str, columns: list[str]) -> Iterator[tuple]:
+    """The rows of a block's files; none where no row fell into the block."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    fs, path = local_or_remote(folder)
+    if fs.get_file_info(path).type == pafs.FileType.NotFound:
+        return
+    for file in fs.get_file_info(pafs.FileSelector(path)):
+        if file.path.endswith(".parquet"):
+            table = pq.read_table(file.path, filesystem=fs, columns=columns, partitioning=None)
+            yield from zip(*(table.column(c).to_pylist() for c in columns), strict=True)
+
+
 class _Block:
     """The windows of one block, by their words and by their rarest word."""
 
     def __init__(self, folder: str):
-        import pyarrow.parquet as pq
-        from pyarrow import fs as pafs
-
-        fs, path = local_or_remote(folder)
-        self.items: dict[bytes, set] = {}
-        if fs.get_file_info(path).type == pafs.FileType.NotFound:  # no window fell into the block
-            return
-        for file in fs.get_file_info(pafs.FileSelector(path)):
-            if file.path.endswith(".parquet"):
-                table = pq.read_table(file.path, filesystem=fs, columns=["words", "item_id"], partitioning=None)
-                for words, item in zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True):
-                    self.items.setdefault(words, set()).add(item)
+        self.items: dict[bytes, list] = {}
+        for words, item in _rows(folder, ["words", "item_id"]):
+            self.items.setdefault(words, []).append(item)
 
     def order(self, rarity: dict[bytes, int]) -> None:
-        """word -> [(place in the window, window's words)] for the rarest word of each window."""
-        self.by_word: dict[bytes, list[tuple[int, list[bytes]]]] = {}
+        """word -> {(its place in a window, the window's length)} of the windows whose rarest word it is.
+
+        A window with a word that no document has is in no document.
+        """
+        self.by_word: dict[bytes, set[tuple[int, int]]] = {}
         for joined in self.items:
             words = joined.split(b" ")
             at = min(range(len(words)), key=lambda i: (rarity.get(words[i], 0), words[i]))
-            self.by_word.setdefault(words[at], []).append((at, words))
+            if rarity.get(words[at], 0):
+                self.by_word.setdefault(words[at], set()).add((at, len(words)))
         self.prefix = frozenset(self.by_word)
 
 
-_kept: dict[str, object] = {}
+def block_words(windows: DataFrame) -> DataFrame:
+    """The distinct (``block``, ``word``) of stored windows."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = {(b, w) for b, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for w in x.split(b" ")}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in pairs], pa.int32()), pa.array([w for _, w in pairs], pa.binary())], names=["block", "word"]
+            )
+
+    return windows.select("block", "words").mapInArrow(cut, "block int, word binary").distinct()
 
-def _once(key: str, make):
-    """What a worker keeps for one run: the last few things that it has loaded."""
-    if key not in _kept:
-        while len(_kept) >= 4:
-            _kept.pop(next(iter(_kept)))
-        _kept[key] = make()
-    return _kept[key]
 
+def word_rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word`` and ``n``, parts of the number of documents with the word (to be summed); all documents are counted."""
 
-def word_rarity(docs: DataFrame, blocks: list[str], folder: str, text_col: str = "text") -> None:
-    """Store, for each word of the windows, in how many documents it is (all documents are counted)."""
+    def parts(found: Counter[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = _once(f"words {blocks}", lambda: frozenset(w for b in blocks for x in _Block(b).items for w in x.split(b" ")))
         found: Counter[bytes] = Counter()
         for batch in batches:
             for raw in batch.column(0).to_pylist():
-                found.update(wanted.intersection(words_of(raw)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"]
-        )
+                found.update(set(words_of(raw)))
+                if len(found) > COUNTED_WORDS:  # so much is held, the rest is summed in Spark
+                    yield parts(found)
+                    found = Counter()
+        yield parts(found)
 
-    counted = docs.select(text_bytes(text_col).alias("_raw")).mapInArrow(count, "word binary, n long")
-    counted.groupBy("word").agg(F.sum("n").alias("n")).coalesce(1).write.parquet(folder)
+    return docs.select(text_bytes(text_col).alias("_raw")).mapInArrow(count, "word binary, n long")
 
 
-def _rarity(folder: str) -> dict[bytes, int]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
-
-    fs, path = local_or_remote(folder)
-    out: dict[bytes, int] = {}
-    for file in fs.get_file_info(pafs.FileSelector(path)):
-        if file.path.endswith(".parquet"):
-            table = pq.read_table(file.path, filesystem=fs, partitioning=None)
-            out.update(zip(table.column("word").to_pylist(), table.column("n").to_pylist(), strict=True))
-    return out
+def write_rarity(docs: DataFrame, windows_folder: str, folder: str, blocks: int, text_col: str = "text") -> None:
+    """Store, for each block, its words and in how many documents each of them is."""
+    spark = docs.sparkSession
+    block_words(spark.read.schema("words binary, block int").parquet(windows_folder)).write.parquet(f"{folder}-words")
+    words = spark.read.schema("block int, word binary").parquet(f"{folder}-words")
+    counted = word_rarity(docs, text_col).join(words.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.sum("n").alias("n"))
+    words.join(counted, "word").select("word", "n", "block").repartition(blocks, "block").write.partitionBy("block").parquet(folder)
 
 
 def find_windows(words: list[bytes], block: _Block, hit: np.ndarray, items: set) -> None:
-    """Mark in ``hit`` the words of ``words`` inside an occurrence of a window of ``block``."""
+    """Mark in ``hit`` the words of ``words`` inside an occurrence of a window of ``block``.
+
+    At each prefix word there are as many places to look at as there are places
+    and lengths of windows with this rarest word, however many windows that is.
+    """
     here = block.prefix.intersection(words)
     if not here:
         return
-    n = len(words)
+    total = len(words)
     for i, word in enumerate(words):
         if word in here:
-            for at, window in block.by_word[word]:
+            for at, n in block.by_word[word]:
                 begin = i - at
-                if begin >= 0 and begin + len(window) <= n and words[begin : begin + len(window)] == window:
-                    hit[begin : begin + len(window)] = True
-                    items.update(block.items[b" ".join(window)])
+                if begin >= 0 and begin + n <= total:
+                    found = block.items.get(b" ".join(words[begin : begin + n]))
+                    if found is not None:
+                        hit[begin : begin + n] = True
+                        items.update(found)
 
 
 def decontaminate(
@@ -170,7 +198,7 @@ def decontaminate(
     spark = docs.sparkSession
     at = scratch_path(spark, "decontam")
     blocks = write_blocks(item_windows(benchmark, window, id_col=item_id_col, text_col=item_text_col), f"{at}/windows", block_windows)
-    word_rarity(docs, blocks, f"{at}/rarity", text_col)
+    write_rarity(docs, f"{at}/windows", f"{at}/rarity", len(blocks), text_col)
     added = T.StructType(
         [
             T.StructField("n_words", T.LongType()),
@@ -183,33 +211,47 @@ def decontaminate(
     kept = docs.select(*names)
     schema = T.StructType([*kept.schema.fields, *added.fields])
 
-    def load(folder: str) -> _Block:
-        block = _Block(folder)
-        block.order(_once(f"{at}/rarity", lambda: _rarity(f"{at}/rarity")))
+    def load(k: int) -> _Block:
+        block = _Block(blocks[k])
+        block.order(dict(_rows(f"{at}/rarity/block={k}", ["word", "n"])))
         return block
 
+    def marked(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raws = [raw for batch in held for raw in batch.column(at_text).cast(pa.binary())]
+        n_words = [0] * len(raws)
+        hits: list[np.ndarray | None] = [None] * len(raws)
+        items: list[set] = [set() for _ in raws]
+        for k in range(len(blocks)):
+            block = worker_state("decontam", blocks[k], lambda k=k: load(k))
+            for row, raw in enumerate(raws):
+                words = words_of(raw.as_py()) if raw.is_valid else []
+                if hits[row] is None:
+                    n_words[row], hits[row] = len(words), np.zeros(len(words), dtype=bool)
+                find_windows(words, block, hits[row], items[row])
+        n_hit = [int(h.sum()) for h in hits]
+        columns = [
+            pa.array(n_words, pa.int64()),
+            pa.array(n_hit, pa.int64()),
+            pa.array([sorted(str(i) for i in x if i is not None) for x in items], pa.list_(pa.string())),
+            pa.array([n > 0 for n in n_hit], pa.bool_()),
+        ]
+        begin = 0
+        for batch in held:
+            added_here = [c.slice(begin, batch.num_rows) for c in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *added_here], names=schema.names)
+            begin += batch.num_rows
+
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # with several blocks, texts are gathered so that a block is not loaded for a few of them
+        held, size = [], 0
         for batch in batches:
-            raws = batch.column(at_text).cast(pa.binary())
-            n_words, n_hit, listed = [], [], []
-            for begin in range(0, len(raws), 256):  # few texts at a time are cut into words
-                texts = [words_of(raw) if raw else [] for raw in raws[begin : begin + 256].to_pylist()]
-                hits = [np.zeros(len(words), dtype=bool) for words in texts]
-                items: list[set] = [set() for _ in texts]
-                for folder in blocks:
-                    block = _once(folder, lambda folder=folder: load(folder))
-                    for words, hit, found in zip(texts, hits, items, strict=True):
-                        find_windows(words, block, hit, found)
-                n_words += map(len, texts)
-                n_hit += [int(h.sum()) for h in hits]
-                listed += [sorted(str(i) for i in x if i is not None) for x in items]
-            columns = [
-                pa.array(n_words, pa.int64()),
-                pa.array(n_hit, pa.int64()),
-                pa.array(listed, pa.list_(pa.string())),
-                pa.array([n > 0 for n in n_hit]),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *columns], names=schema.names)
+            held.append(batch)
+            size += batch.nbytes
+            if len(blocks) == 1 or size >= HELD_BYTES:
+                yield from marked(held)
+                held, size = [], 0
+        if held:
+            yield from marked(held)
 
     # a carried text is sent to the tasks once
     at_text = names.index(text_col) if text_col in names else len(names)

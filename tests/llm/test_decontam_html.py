@@ -51,7 +51,58 @@ def test_the_rarest_word_of_a_window_is_its_prefix(tmp_path):
     pq.write_table(pa.table({"words": pa.array([b"the the rare of"], pa.binary()), "item_id": [1]}), tmp_path / "part.parquet")
     block = decontam._Block(str(tmp_path))
     block.order({b"the": 900, b"of": 500, b"rare": 2})
-    assert block.by_word == {b"rare": [(2, [b"the", b"the", b"rare", b"of"])]}
+    assert block.by_word == {b"rare": {(2, 4)}}
+    block.order({b"the": 900, b"of": 500})  # no document has "rare"
+    assert block.by_word == {}
+
+
+def test_many_windows_of_one_rarest_word_are_no_scan(tmp_path):
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    windows = [b"rare " + b" ".join(b"w%d" % ((k + j) % 50_000) for j in range(9)) for k in range(50_000)]
+    pq.write_table(pa.table({"words": pa.array(windows, pa.binary()), "item_id": range(50_000)}), tmp_path / "part.parquet")
+    block = decontam._Block(str(tmp_path))
+    block.order({b"rare": 1} | {b"w%d" % k: 2 for k in range(50_000)})
+    doc = b" ".join(windows[7] if k % 50 == 0 else b"rare x y" for k in range(5_000)).split(b" ")
+    hit, items, begin = np.zeros(len(doc), dtype=bool), set(), time.perf_counter()
+    decontam.find_windows(doc, block, hit, items)
+    assert time.perf_counter() - begin < 2 and items == {7} and hit.sum() == 1_000
+
+
+def test_a_window_of_many_items_and_a_block_for_each_worker(spark):
+    items = [(k, "one two three four") for k in range(300)] + [(k, f"one two w{k} four") for k in range(300, 600)]
+    docs = [(1, "zero one two three four five"), (2, "one two w301 four"), (3, "one two three")]
+    marked = decontam.decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=4, block_windows=50
+    )
+    rows = {r["doc_id"]: r for r in marked.collect()}
+    assert rows[1]["n_hit"] == 4 and rows[1]["item_ids"] == sorted(map(str, range(300)))
+    assert rows[2]["n_hit"] == 4 and rows[2]["item_ids"] == ["301"] and not rows[3]["contaminated"]
+
+
+def test_blocks_hold_only_their_own_words(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from headway.session import scratch_path
+
+    folder = scratch_path(spark, "blocks")
+    items = spark.createDataFrame([(k, f"a{k} b{k} common") for k in range(400)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"a{k} common other{k}") for k in range(0, 400, 2)] * 2, "doc_id long, text string")
+    blocks = decontam.write_blocks(decontam.item_windows(items, 3), f"{folder}/windows", 40)
+    decontam.write_rarity(docs, f"{folder}/windows", f"{folder}/rarity", len(blocks))
+    for k, block in enumerate(blocks):
+        held = decontam._Block(block)
+        words = {w for x in held.items for w in x.split(b" ")}
+        counted = dict(decontam._rows(f"{folder}/rarity/block={k}", ["word", "n"]))
+        assert set(counted) <= words and len(held.items) < 100
+        assert all(n == (400 if w == b"common" else 2) for w, n in counted.items())
+    assert sum(pq.read_metadata(f).num_rows for f in glob.glob(f"{folder.removeprefix('file:')}/windows/*/*.parquet")) == 400
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home widgets">
