@@ -3,10 +3,13 @@
 A rule is a host and the beginning of a path; it fits its host and all its
 subdomains where the url's path starts with the rule's, and the longest fitting
 rule gives the verdict.  The rules are stored in the shared folder as shards of
-sorted 64-bit xxhash keys with the full rule strings beside them.  Tasks map the
-shards, probe all keys of a batch of urls with a vectorised binary search, and
-compare the full strings of what was found, so a collision cannot give a
-verdict.
+sorted 64-bit xxhash keys with the full rule strings beside them, in batches that
+can be read by row.  Tasks map the shards, probe all keys of a batch of urls with
+a vectorised binary search, and compare the full strings of what was found, so a
+collision cannot give a verdict.  No task reads the strings of other rules.
+
+On a storage that cannot be mapped the keys (8 bytes a rule) are read into each
+worker; the strings are still read by row.
 """
 
 from __future__ import annotations
@@ -26,7 +29,10 @@ from headway.llm.common import AtomicFile, local_or_remote, make_folder, worker_
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SEED = 42  # that of Spark's xxhash64, which makes the keys
-_MANIFEST = "shard int, n_rules long, keys string, rules string"
+_MANIFEST = "shard int, n_rules long, keys string, rules string, path_lengths array<int>"
+
+#: Rules in one batch of a shard's strings, which is what a look at a string reads.
+BATCH_RULES = 4096
 
 
 def url_host(url: Column) -> Column:
@@ -74,9 +80,12 @@ def write_rules(rules: DataFrame, folder: str, shards: int | None = None) -> Dat
         np.save(raw, table.column(0).to_numpy())
         with AtomicFile(names[0]) as out:
             out.write(raw.getvalue())
-        with AtomicFile(names[1]) as out, pa.ipc.new_file(out, table.select([1, 2]).schema) as file:
-            file.write_table(table.select([1, 2]).combine_chunks())
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_rules": [table.num_rows], "keys": [names[0]], "rules": [names[1]]})
+        strings = table.select([1, 2]).combine_chunks()
+        with AtomicFile(names[1]) as out, pa.ipc.new_file(out, strings.schema) as file:
+            file.write_table(strings, max_chunksize=BATCH_RULES)
+        lengths = sorted({len(r) - r.index("\0") - 1 for r in strings.column(0).to_pylist()})
+        row = {"shard": pa.array([shard], pa.int32()), "n_rules": pa.array([table.num_rows], pa.int64()), "keys": [names[0]], "rules": [names[1]]}
+        yield pa.RecordBatch.from_pydict({**row, "path_lengths": pa.array([lengths], pa.list_(pa.int32()))})
 
     dealt.sortWithinPartitions("key", "rule").mapInArrow(write, _MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
     return rules.sparkSession.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
@@ -86,7 +95,7 @@ class DigestArray:
     """The mapped shards, in order of their keys."""
 
     def __init__(self, shards: list[tuple[str, str]]):
-        self.keys, self.tables, self.lengths = [], [], set()
+        self.keys, self.files = [], []
         for keys, rules in shards:
             fs, path = local_or_remote(keys)
             if fs.type_name == "local":
@@ -96,10 +105,20 @@ class DigestArray:
                 with fs.open_input_stream(path, compression=None) as stream:
                     self.keys.append(np.load(io.BytesIO(stream.read())))
                 source = fs.open_input_file(local_or_remote(rules)[1])
-            table = pa.ipc.open_file(source).read_all()
-            self.tables.append(table)
-            self.lengths.update(len(r) - r.index("\0") - 1 for r in table.column(0).to_pylist())
+            self.files.append(pa.ipc.open_file(source))
         self.first = np.array([k[0] for k in self.keys], dtype=np.int64)
+        self.held: dict[tuple[int, int], pa.RecordBatch] = {}
+
+    def rule(self, shard: int, row: int) -> tuple[str, str]:
+        """The string and the verdict of a rule; the last few batches that were read are kept."""
+        batch, at = divmod(row, BATCH_RULES)
+        held = self.held.pop((shard, batch), None)
+        if held is None:
+            while len(self.held) >= 64:
+                self.held.pop(next(iter(self.held)))
+            held = self.files[shard].get_batch(batch)
+        self.held[shard, batch] = held
+        return held.column(0)[at].as_py(), held.column(1)[at].as_py()
 
     def find(self, texts: list[str]) -> list[tuple[int, int] | None]:
         """(shard, row) of each text that is a rule."""
@@ -110,16 +129,15 @@ class DigestArray:
         # equal keys may go on from one shard into the next, so a key is looked for from the first shard that may have it
         begin = np.maximum(np.searchsorted(self.first, hashes, side="left") - 1, 0)
         stop = np.searchsorted(self.first, hashes, side="right")
-        for s in range(len(self.keys)):
+        for s, keys in enumerate(self.keys):
             mine = np.flatnonzero((begin <= s) & (s < stop))
-            at = np.searchsorted(self.keys[s], hashes[mine], side="left")
-            rules = self.tables[s].column(0)
-            for i, k in zip(mine.tolist(), at.tolist(), strict=True):
-                while k < len(self.keys[s]) and self.keys[s][k] == hashes[i]:
-                    if rules[k].as_py() == texts[i]:
-                        out[i] = (s, k)
-                        break
+            low, high = np.searchsorted(keys, hashes[mine], side="left"), np.searchsorted(keys, hashes[mine], side="right")
+            found = np.flatnonzero(low < high)  # only where a key is equal
+            for i, k, end in zip(mine[found].tolist(), low[found].tolist(), high[found].tolist(), strict=True):
+                while k < end and self.rule(s, k)[0] != texts[i]:
                     k += 1
+                if k < end:
+                    out[i] = (s, k)
         return out
 
 
@@ -129,9 +147,14 @@ def judge(pages: DataFrame, manifest: DataFrame, *, url_col: str = "url", defaul
     A null url, or one without ``://``, has an empty host and path and fits no
     rule.  Rows are judged one by one, so repeated rows and nulls elsewhere do
     not matter; input columns named like the four results are replaced.  The
-    manifest has a row for each shard of rules.
+    manifest has a row for each shard of rules, with its lengths of paths.  Two
+    fitting rules of one url differ in their strings; of those with equally long
+    strings (``a.b.com`` with ``/``, ``b.com`` with a longer path) the one with the
+    longer host stands.
     """
-    shards = [(r["keys"], r["rules"]) for r in manifest.orderBy("shard").collect()]
+    listed = manifest.orderBy("shard").collect()
+    shards = [(r["keys"], r["rules"]) for r in listed]
+    lengths = sorted({n for r in listed for n in r["path_lengths"]})
     added = ["host", "path", "rule", "verdict"]
     base = pages.select(*[c for c in pages.columns if c not in added], url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
 
@@ -139,7 +162,6 @@ def judge(pages: DataFrame, manifest: DataFrame, *, url_col: str = "url", defaul
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = worker_state("urls", tuple(shards), lambda: DigestArray(shards))
-        lengths = sorted(array.lengths)
         for batch in batches:
             hosts, paths = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
             of, text, size = [], [], []
@@ -162,8 +184,8 @@ def judge(pages: DataFrame, manifest: DataFrame, *, url_col: str = "url", defaul
             rule: list[str | None] = [None] * len(hosts)
             verdict = [default] * len(hosts)
             for i, (_, (s, k)) in best.items():
-                rule[i] = array.tables[s].column(0)[k].as_py().replace("\0", "")
-                verdict[i] = array.tables[s].column(1)[k].as_py()
+                text_of, verdict[i] = array.rule(s, k)
+                rule[i] = text_of.replace("\0", "")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names=schema.names)
 
     return base.mapInArrow(fit, schema)

@@ -143,12 +143,33 @@ def test_a_collision_gives_no_verdict(spark, monkeypatch):
     array = urls.DigestArray([(r["keys"], r["rules"]) for r in manifest.orderBy("shard").collect()])
     key = int(array.keys[0][0])
     monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda raw, seed: key % 2**64)
-    stored = [t for table in array.tables for t in table.column(0).to_pylist()]
+    stored = [array.rule(0, 0)[0]]
     found = array.find(["other\0/", "com\0", stored[0]])
     assert found[:2] == [None, None] and found[2] is not None
     assert isinstance(array.keys[0], np.memmap)
 
 
+def test_only_strings_with_an_equal_key_are_read(spark):
+    from pyspark.sql import functions as F
+
+    hosts = F.format_string("h%d.com", "id")
+    rules = spark.range(40_000).select(hosts.alias("host"), F.lit("/").alias("path"), F.lit("block").alias("verdict"))
+    manifest = urls.write_rules(rules, scratch_path(spark, "r"), shards=2).orderBy("shard").collect()
+    assert sum(r["n_rules"] for r in manifest) == 40_000 and {tuple(r["path_lengths"]) for r in manifest} == {(1,)}
+    array = urls.DigestArray([(r["keys"], r["rules"]) for r in manifest])
+    assert array.find([f"x{k}.com\0/" for k in range(10_000)]) == [None] * 10_000 and not array.held
+    found = array.find(["h7.com\0/", "h39999.com\0/"])
+    assert [array.rule(*at) for at in found] == [("h7.com\0/", "block"), ("h39999.com\0/", "block")]
+    assert 1 <= len(array.held) <= 2 and all(b.num_rows <= urls.BATCH_RULES for b in array.held.values())
+
+
+def test_of_two_equally_long_rules_the_longer_host_stands(spark):
+    rules = spark.createDataFrame([("a.b.com", "/", "allow"), ("b.com", "/xx", "block")], "host string, path string, verdict string")
+    page = spark.createDataFrame([(1, "http://a.b.com/xx")], "page_id long, url string")
+    got = urls.judge(page, urls.write_rules(rules, scratch_path(spark, "r"))).collect()
+    assert [(r["rule"], r["verdict"]) for r in got] == [("a.b.com/", "allow")]
+
+
 def test_no_rules_no_pages(spark):
     rules = spark.createDataFrame([], "host string, path string, verdict string")
     manifest = urls.write_rules(rules, scratch_path(spark, "r"))
