@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,20 +61,53 @@ def ensure_utc(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a private folder is made;
-    on a cluster the configured shared folder is always used.
+    Only a local master (tests, one machine) may leave it unset; a private folder
+    is made there.  On a cluster executors would not see such a folder, so an
+    unset option is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="headway-ckpt-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not _one_machine(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="headway-ckpt-"))
         current = sc.getCheckpointDir()
     return current
 
 
+def _one_machine(master: str) -> bool:
+    """``local``, ``local[8]``, but not ``local-cluster[...]``, whose executors are processes of their own."""
+    return master == "local" or master.startswith("local[")
+
+
+_scopes: dict[str, list[str]] = {}
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables made inside the block lie in one folder, which is removed at its end, also after an error.
+
+    Whatever is to last is written inside the block to a path of its own: a
+    frame that still reads a scratch table cannot be read after it.  Scopes may
+    be nested; threads of one application share the innermost.
+    """
+    from headway.sources.paths import remove_folder
+
+    folder = scratch_path(spark, "scope")
+    scopes = _scopes.setdefault(spark.sparkContext.applicationId, [])
+    scopes.append(folder)
+    try:
+        yield folder
+    finally:
+        scopes.remove(folder)
+        remove_folder(spark, folder)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
+    """A fresh sub-folder of the shared checkpoint folder, or of the current scope, for a written table."""
+    scopes = _scopes.get(spark.sparkContext.applicationId)
+    base = (scopes[-1] if scopes else checkpoint_dir(spark)).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
