@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from headway.llm import decontam, packing, partenum, quality, toxicity
 from headway.llm.common import read_table, written
 from headway.llm.queries import TOKENIZER
+from headway.session import scratch_path, scratch_scope
 
 #: A side of at most so many ids may be broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
@@ -98,5 +99,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):  # what the stage writes for itself goes when its result is written
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
     return docs
