@@ -213,15 +213,24 @@ def build_marts(
     joins did to the partitioning.  Inside files events are sorted by ``event_time``,
     hours by ``event_hour`` and route, so that a range prunes whole partitions, then
     files and row groups by their min/max.  Days need no folders of their own (years
-    of sparse days would be thousands of tiny files).  The layout does not depend on
-    the data's size."""
+    of sparse days would be thousands of tiny files).
+
+    The events are counted (of a stored table its footers are read), as the mart has a
+    row for each: beyond ``tables.SORTED_ROWS`` it is dealt by ranges of time, so that no
+    task sorts a whole month."""
     views = register_staging(spark, tables)
     events = mart_bunching_events(views["stg_bunching_events"], views["stg_dim_route_current"], views["stg_fact_weather"])
     if not out_dir:
         return {"mart_bunching_events": events, "mart_bunching_hourly": mart_bunching_hourly(events)}
     paths = _mart_paths(out_dir)
     replace_table(
-        events.withColumn(MONTH, month_of(F.col("event_time"))), paths[EVENTS], fmt, partition_by=[MONTH], sort_within=["event_time"], keep=1
+        events.withColumn(MONTH, month_of(F.col("event_time"))),
+        paths[EVENTS],
+        fmt,
+        partition_by=[MONTH],
+        sort_within=["event_time"],
+        keep=1,
+        rows=tables["bunching_events"].count(),
     )
     hourly = mart_bunching_hourly(read_snapshot(spark, paths[EVENTS], fmt=fmt))
     replace_table(

@@ -15,6 +15,9 @@ from headway.schemas import POSITION_SCHEMA
 from headway.sources.paths import remove_folder
 from headway.sources.versions import commit, current_version, drop_versions, read_version, stage, staged
 
+#: Rows that one task of a partitioned write sorts, where the number of rows is known.
+SORTED_ROWS = 1_000_000
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
     """Scan a table (S5); filters and projections applied later are pushed
@@ -35,6 +38,7 @@ def write_table(
     compression: str | None = "snappy",
     clustered: bool = False,
     keep_other_partitions: bool = False,
+    rows: int | None = None,
 ) -> None:
     """Batch write.
 
@@ -42,7 +46,11 @@ def write_table(
     partition value meet in one task, AQE splits a value whose bytes exceed the
     advisory partition size over several, and packs small ones together.  There
     are about as many files as values, plus one for each such split, not tasks
-    times values; min/max statistics of ``sort_within`` prune row groups.
+    times values; min/max statistics of ``sort_within`` prune row groups.  Those are
+    shuffled, compressed bytes: rows that repeat themselves may be twenty times
+    larger where they are sorted.  With ``rows``, the number of rows of ``df``, a
+    table of more than ``SORTED_ROWS`` is dealt by ranges of its order instead, a task
+    and a file for each so many rows (and a file for each value that ends inside one).
     ``clustered`` says the input is already partitioned upstream (only the local
     sort runs).  An overwrite replaces the whole table;
     ``keep_other_partitions`` replaces only the partition values in ``df``.
@@ -51,7 +59,12 @@ def write_table(
     if clustered:
         out = out.sortWithinPartitions(*(partition_by or []), *(sort_within or []))
     elif partition_by:
-        out = out.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *(sort_within or []))
+        if rows is not None and rows > SORTED_ROWS:
+            ties = F.xxhash64(*[c for c, kind in out.dtypes if "map<" not in kind])  # many rows of one time are split too
+            out = out.repartitionByRange(-(-rows // SORTED_ROWS), *partition_by, *(sort_within or []), ties)
+        else:
+            out = out.hint("rebalance", *partition_by)
+        out = out.sortWithinPartitions(*partition_by, *(sort_within or []))
     elif sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.format(fmt).mode(mode)
@@ -98,12 +111,13 @@ def replace_table(
     partition_by: Sequence[str] | None = None,
     sort_within: Sequence[str] | None = None,
     keep: int | None = None,
+    rows: int | None = None,
 ) -> int:
     """Write all of ``df`` as the next version of the table, laid out as by
     ``write_table``, and make it the current one.  Of the versions before it,
     ``keep`` stay (None: all).  Returns its number."""
     spark = df.sparkSession
-    folder = stage(df, path, lambda rows, to: write_table(rows, to, fmt, "errorifexists", partition_by, sort_within))
+    folder = stage(df, path, lambda df, to: write_table(df, to, fmt, "errorifexists", partition_by, sort_within, rows=rows))
     version = commit(spark, [(folder, path)])[0]
     if keep is not None:
         drop_versions(spark, path, keep)

@@ -170,3 +170,23 @@ def test_a_failed_rebuild_leaves_the_marts(spark, tmp_dir):
         mt.build_marts(spark, tables | {"dim_route": dim.unionByName(dim)}, out_dir=tmp_dir)
     marts = mt.read_marts(spark, tmp_dir)
     assert marts["mart_bunching_events"].count() == 1 and marts["mart_bunching_hourly"].count() == 1
+
+
+def test_a_month_of_many_events_is_sorted_by_many_tasks(spark, tmp_dir, monkeypatch):
+    """A single task used to sort a whole month, however many rows it had; many events of one time are dealt too."""
+    import pyarrow.parquet as pq
+
+    from headway.sources import tables as tb
+
+    monkeypatch.setattr(tb, "SORTED_ROWS", 500)
+    dim = spark.createDataFrame([("504", "504", "King", 0, "F", "0", True)], "route_id string, route_short_name string, route_long_name string, route_type int, route_color string, route_text_color string, is_current boolean")
+    weather = spark.createDataFrame([], "station_id string, station_name string, observed_at timestamp, temperature_c double, condition string, humidity_pct int, wind_kmh double, pressure_kpa double")
+    events = spark.range(4000).select(
+        F.lit("504").alias("route_id"), F.lit("504").alias("route_short_name"), (F.lit(1704067200) + (F.col("id") / 1000).cast("long") * 86400).alias("feed_timestamp"),
+        F.col("id").cast("string").alias("vehicle_id_a"), F.lit("b").alias("vehicle_id_b"), F.lit(0).alias("stop_sequence_gap"),
+    )
+    marts = mt.build_marts(spark, {"bunching_events": events, "dim_route": dim, "fact_weather": weather}, out_dir=tmp_dir)
+    files = [os.path.join(d, f) for d, _, names in os.walk(os.path.join(tmp_dir, "mart_bunching_events")) for f in names if f.endswith(".parquet")]
+    rows = [pq.read_metadata(f).num_rows for f in files]
+    assert sum(rows) == 4000 and len(rows) >= 7 and max(rows) <= 1000, rows
+    assert marts["mart_bunching_events"].select("vehicle_id_a").distinct().count() == 4000
