@@ -60,6 +60,14 @@ def worker_state(kind: str, key, make):
     """
     held = _worker.get(kind)
     if held is None or held[0] != key:
+        release_worker()
+        _worker[kind] = held = (key, make())
+    return held[1]
+
+
+def release_worker() -> None:
+    """Let go what a Python worker has kept of an operator before this one, which keeps nothing itself."""
+    if _worker:
         import gc
 
         import pyarrow as pa
@@ -67,8 +75,6 @@ def worker_state(kind: str, key, make):
         _worker.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
-        _worker[kind] = held = (key, make())
-    return held[1]
 
 
 def local_or_remote(uri: str):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import NOT_ALPHANUMERIC, local_or_remote, scratch_path, text_bytes, word_table, worker_state
+from headway.llm.common import NOT_ALPHANUMERIC, local_or_remote, release_worker, scratch_path, text_bytes, word_table, worker_state
 
 _WORDS = word_table(NOT_ALPHANUMERIC, lower=True)
 
@@ -49,6 +49,7 @@ def item_windows(benchmark: DataFrame, window: int, *, id_col: str = "item_id",
     id_type = benchmark.schema[id_col].dataType
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             out, of = [], []
             for row, raw in enumerate(batch.column(1).to_pylist()):
@@ -117,6 +118,7 @@ def block_words(windows: DataFrame) -> DataFrame:
     """The distinct (``block``, ``word``) of stored windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             pairs = {(b, w) for b, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for w in x.split(b" ")}
             yield pa.RecordBatch.from_arrays(
@@ -133,6 +135,7 @@ def word_rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         found: Counter[bytes] = Counter()
         for batch in batches:
             for raw in batch.column(0).to_pylist():

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headway.llm.bpe import encoder
-from headway.llm.common import written
+from headway.llm.common import release_worker, written
 
 #: Groups that the pieces of one length are ranked in, and the pieces above which there are more of them.
 SALTS = 64
@@ -189,6 +189,7 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") ->
     starts = where["length"] * shift + where["rank"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             length = batch.column(batch.schema.get_field_index(length_col)).to_numpy(zero_copy_only=False).astype(np.int64)
             rank = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)

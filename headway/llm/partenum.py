@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.llm.common import SPACES, text_bytes, word_table, written
+from headway.llm.common import SPACES, release_worker, text_bytes, word_table, written
 from headway.llm.components import components
 
 SHINGLE = 5
@@ -302,6 +302,7 @@ def profiles(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id``, ``n`` (elements), ``node`` (the set's name; null if empty) and its ``counters``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             sets = shingle_sets(batch.column(1).to_pylist(), shingle)
             columns = [
@@ -324,6 +325,7 @@ def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int =
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         done: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
@@ -359,6 +361,7 @@ def signature_groups(docs: DataFrame, *, text_col: str = "text", shingle: int =
             yield flush()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         at, held = None, []
 
         def groups() -> Iterator[pa.RecordBatch]:
@@ -435,6 +438,7 @@ def _passing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     info = classes.select("node", "n", "counters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             n_a, n_b = (batch.column(k).to_numpy() for k in (2, 4))
             keep = pa.array(_near(n_a, n_b, _rows(batch.column(3)), _rows(batch.column(5))))
@@ -457,6 +461,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, id_col: s
     texts = texts.join(known, F.col("_id").eqNullSafe(F.col("_of")), "left_semi")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             nodes = [node_of(s) if len(s) else None for s in shingle_sets(batch.column(0).to_pylist(), shingle)]
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0)], names=["node", "raw"])
@@ -465,6 +470,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, id_col: s
     stored = written(named.dropDuplicates(["node"]), "texts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         last, center = None, None
         for batch in batches:
             keep = []
@@ -512,6 +518,7 @@ def _rest(groups: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         key, held = None, []
 
         def pairs() -> Iterator[pa.RecordBatch]:

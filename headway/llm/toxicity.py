@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.llm.common import NOT_ALPHANUMERIC, word_table, worker_state, written
+from headway.llm.common import NOT_ALPHANUMERIC, release_worker, word_table, worker_state, written
 
 #: Bytes of an n-gram, the last of which is predicted; at most 8.
 ORDER = 6
@@ -252,6 +252,7 @@ def gram_counts(docs: DataFrame, labelled, *, id_col: str = "doc_id", text_col:
     slot = 1 + toxic + 2 * curve
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         found = [Counter() for _ in _SLOTS]
 
         def flush() -> pa.RecordBatch:
@@ -353,6 +354,7 @@ def train(
     ids, toxic, curve = labelled
 
     def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker()
         for batch in batches:
             doc_ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
             if not len(ids):

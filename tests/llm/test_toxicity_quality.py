@@ -172,3 +172,15 @@ def test_cutoffs_hold_the_risk_and_reject_the_bad(spark):
     assert got[9001]["base_failed"] and not got[9001]["kept"] and got[9002]["base_failed"]
     assert quality.quality_rules(docs.filter("false"), table).collect() == []
     assert quality.quality_rules(docs, table.filter("false")).filter("not base_failed and not kept").count() == 0
+
+
+def test_counting_lets_go_of_what_an_earlier_operator_kept(spark, monkeypatch):
+    from headway.llm import common
+
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    sent, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **b: sent.append(f) or plain(self, f, *a, **b))
+    nothing = np.zeros(0, dtype=np.int64)
+    toxicity.gram_counts(docs, (nothing, nothing, nothing))
+    kept = common.worker_state("an earlier operator", 1, lambda: {"large": True})
+    assert kept and list(sent[0](iter([]))) == [] and not common._worker
