@@ -3,9 +3,11 @@
 The ids are the ``tokenizers`` library's own.  Its pre-tokenizer never lets a
 token cross from a non-space character into a following space or line feed, so
 a text may be cut before each single space and around each single line feed,
-the pieces encoded once each, and their ids joined.  Corpora repeat most of
-their words, which makes this several times faster than encoding every text
-from scratch.  A text where those cuts could change the result (runs of white
+the pieces encoded once each, and their ids joined.  Nor does a token cross from
+a letter or digit into a punctuation mark other than the apostrophe, so a word
+that is not known with the marks at its end is looked up without them.  Corpora
+repeat most of their words, which makes this several times faster than encoding
+every text from scratch.  A text where those cuts could change the result (runs of white
 space, control characters, characters beyond Latin) is given to the library
 whole.
 """
@@ -25,6 +27,9 @@ CACHE_UNITS = 200_000
 # Printable Latin text; everything else takes the library's own path.
 _PLAIN = re.compile("[\n -~¡-ɏ]*")
 
+# Marks before which a word may be cut; an apostrophe may begin a token of letters.
+_MARKS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+
 
 class Encoder:
     """``encode(texts)`` gives one little-endian uint32 id buffer per text."""
@@ -41,6 +46,7 @@ class Encoder:
             self.opens[i] = token.startswith("Ġ")
         self.cache_units = cache_units
         self.cache: dict[str, bytes] = {}
+        self.marked_units = 0  # of the cache, words with marks
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -68,6 +74,7 @@ class Encoder:
         out: list[bytes] = [b""] * len(texts)
         waiting: list[tuple[int, list[str], list[bytes | None]]] = []
         missing: set[str] = set()
+        marked: dict[str, tuple[str, str]] = {}
         held = 0
         get = self.cache.get
         for k, text in enumerate(texts):
@@ -81,21 +88,35 @@ class Encoder:
             if None not in known:
                 out[k] = b"".join(known)
                 continue
-            missing.update([u for u, ids in zip(units, known, strict=True) if ids is None])
+            for u in [u for u, ids in zip(units, known, strict=True) if ids is None]:
+                if u in missing or u in marked:
+                    continue
+                word = u.rstrip(_MARKS)
+                if word != u and word[-1:].isalnum():
+                    marked[u] = parts = (word, u[len(word) :])
+                    missing.update([x for x in parts if x not in self.cache])
+                else:
+                    missing.add(u)
             waiting.append((k, units, known))
             held += len(units)
             if len(missing) > 20_000 or held > 500_000:
-                self._fill(waiting, missing, out)
-                waiting, missing, held = [], set(), 0
-        self._fill(waiting, missing, out)
+                self._fill(waiting, missing, marked, out)
+                waiting, missing, marked, held = [], set(), {}, 0
+        self._fill(waiting, missing, marked, out)
         return out
 
-    def _fill(self, waiting: list, missing: set[str], out: list[bytes]) -> None:
+    def _fill(self, waiting: list, missing: set[str], marked: dict[str, tuple[str, str]], out: list[bytes]) -> None:
         if not waiting:
             return
         found = self._learn(list(missing))
+        known_before = self.cache.get
+        joined = {u: b"".join([known_before(x) or found[x] for x in parts]) for u, parts in marked.items()}
         if len(self.cache) < self.cache_units:  # a full cache stays: what comes first is what comes often
             self.cache.update(found)
+        if self.marked_units < self.cache_units // 4:
+            self.cache.update(joined)
+            self.marked_units += len(joined)
+        found.update(joined)
         for k, units, known in waiting:
             out[k] = b"".join([found[u] if ids is None else ids for u, ids in zip(units, known, strict=True)])
 

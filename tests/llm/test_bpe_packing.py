@@ -115,3 +115,14 @@ def test_pack_many_ties_and_an_empty_table(spark):
     assert empty.collect() == [] and empty.columns == ["k", "length", "sequence_id", "offset"]
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, None)], "k long, length long"), 24)
+
+
+def test_marked_words_are_known_by_their_words():
+    texts = ["a word, Word; (word) word's, word'll. 3rd, 1,000.00! naïve?! x... 'tis', ²³; \"word\" <|endoftext|>, a.b.c. --word--", "word. a! 3rd? naïve, x;"]
+    encode = Encoder(PATH)
+    expected = [np.array(e.ids, dtype="<u4").tobytes() for e in Encoder(PATH).tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encode.encode(texts) == expected and encode.encode(texts[::-1]) == expected[::-1]
+    asked, learn = [], encode._learn
+    encode._learn = lambda units: asked.extend(units) or learn(units)
+    encode.encode(["a word! naïve;"])  # words and marks known, but not together
+    assert not asked
