@@ -123,3 +123,25 @@ def test_blank_ids_become_null_only_when_asked(spark):
     assert parity["route_id"] == "" and parity["vehicle_id"] == ""
     fixed = flatten_feed(df, blank_ids_as_null=True).first()
     assert fixed["route_id"] is None and fixed["vehicle_id"] is None and fixed["trip_id"] is None
+
+
+def test_the_json_of_an_event_is_parsed_once(spark):
+    import datetime as dt
+    import io
+    from contextlib import redirect_stdout
+
+    from headway.plans.fixtures import positions_from_events
+
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, day, 7, "view", 1.0, k) for i, k in ((1, '{"k": 30}'), (23, '{"k": 4}'), (11, '{"k": 2}'), (2, None), (3, "no json"), (10, '{"k": 1}'))]
+    events = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    pos = positions_from_events(events)
+    got = {r["entity_id"]: (r["current_stop_sequence"], r["stop_id"], r["current_status"]) for r in pos.collect()}
+    assert got == {
+        "1": (5, "P30", "STOPPED_AT"), "23": (None, "P4", "IN_TRANSIT_TO"), "11": (2, None, "INCOMING_AT"), "2": (None, None, "INCOMING_AT"),
+        "3": (None, None, "INCOMING_AT"), "10": (1, "P1", "IN_TRANSIT_TO"), "10d": (1, "P1", "IN_TRANSIT_TO"),
+    }
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        pos.explain()
+    assert buf.getvalue().count("get_json_object") == 2  # the events and their copies
