@@ -126,3 +126,46 @@ def test_marked_words_are_known_by_their_words():
     encode._learn = lambda units: asked.extend(units) or learn(units)
     encode.encode(["a word! naïve;"])  # words and marks known, but not together
     assert not asked
+
+
+def test_a_cut_before_a_mark_after_every_latin_letter_and_sign():
+    enc = Encoder(PATH)
+    for c in map(chr, range(0x7E, 0x255)):
+        texts = [f"{c}.x {c}'s, {c}-{c}", f"a{c}!{c}", f"{c}{c}...\n{c}#", f" {c}", f"{c} "]  # one ends and one begins with a space
+        assert enc.encode(texts) == [np.array(plain_ids(t), "<u4").tobytes() for t in texts], hex(ord(c))
+
+
+def test_words_that_come_again_are_kept_and_single_ones_are_not():
+    asked, enc = [], Encoder(PATH, cache_units=300)
+    learn = enc._learn
+    enc._learn = lambda units: asked.extend(units) or learn(units)
+    once = " ".join(f"once{i}" for i in range(1000))  # more single words than there is room for
+    enc.encode(["x " + once + " often often", "x seldom"])
+    assert " often" in enc.cache and len(enc.cache) < 50  # a few single ones share their place with another
+    enc.encode(["x seldom"])
+    asked.clear()
+    enc.encode(["x often, seldom! x"])
+    assert not {" often", " seldom"} & set(asked)
+    enc.encode(["x" * 100 + " " + "x" * 100] * 3)
+    assert max(map(len, enc.cache)) <= 64
+
+
+def test_each_different_word_of_a_batch_is_asked_for_once():
+    asked, enc = [], Encoder(PATH, cache_units=0)
+    learn = enc._learn
+    enc._learn = lambda units: asked.extend(units) or learn(units)
+    texts = ["one two, two; two\ntwo two", "", " two two. One two,"] * 50
+    got = enc.encode(texts)
+    assert len(asked) == len(set(asked))
+    assert got == [np.array(plain_ids(t), "<u4").tobytes() for t in texts] and not enc.cache
+
+
+def test_a_full_cache_is_begun_anew_for_other_texts():
+    enc = Encoder(PATH, cache_units=50)
+    first = " ".join(f"w{i}" for i in range(100))
+    enc.encode([first, first])
+    assert len(enc.cache) >= 50
+    other = " ".join(f"v{i}x" for i in range(100))
+    for _ in range(2):
+        assert enc.encode([other, other]) == [np.array(plain_ids(other), "<u4").tobytes()] * 2
+    assert " v7x" in enc.cache and " w7" not in enc.cache
